@@ -3,7 +3,7 @@
 Texts with the same shingle set form a class; one row of each class is searched for. Two classes of at least the similarity
 asked for share one of their rarest shingles (the shortest n - T + 1 inverted lists of a set of n that must share T), so
 these alone are dealt out by shingle, and tell which shards of the index a class has to be searched in. A shard holds the
-whole sets of some classes as inverted lists. There a search merges its short lists, keeps the classes that
+whole sets of some classes as inverted lists; texts travel to it, as they take less room than sets. There a search merges its short lists, keeps the classes that
 occur often enough for the long lists to make up the rest, and probes the long lists for them by binary search.
 A shard passes over classes that it has already linked, so a group of near copies costs links in proportion to its size,
 not its pairs; the links found connect the same documents as all links would.
@@ -39,6 +39,9 @@ MEMO_WORDS = 600_000
 SHARD_CLASSES = 1_500
 #: Weight of DivideSkip's estimate of how many long lists to pass over.
 SKIP_WEIGHT = 0.0085
+POSTING = ["token", "fp", "n", "after"]
+#: Classes of a token that are compared one by one, and those of one token that a task holds at most.
+NEAR, MOST_HELD = 24, 200_000
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
 
@@ -125,12 +128,15 @@ def _rarity(counts: DataFrame) -> np.ndarray:
 
 
 def _postings(sent, words: int, similarity: tuple[int, int]):
-    """(token, fp, n) of the rarest shingles of each class that a partition holds."""
+    """(token, fp, n, after) of the rarest shingles of each class that a partition holds.
+
+    after counts the shingles of the set from this one on, in the order of rarity.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity, seen = sent.value, set()
         for batch in batches:
-            tokens, classes, sizes = [], [], []
+            tokens, classes, sizes, afters = [], [], [], []
             for text in batch.column("text"):
                 own = shingles(text.as_py(), words)
                 if not len(own) or (one := _class_of(own)[0]) in seen:
@@ -141,47 +147,90 @@ def _postings(sent, words: int, similarity: tuple[int, int]):
                 tokens.append(own[order].view(np.int64))
                 classes.append(np.full(keep, one, np.int64))
                 sizes.append(np.full(keep, len(own), np.int32))
+                afters.append(np.arange(len(own), len(own) - keep, -1, dtype=np.int32))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes, sizes)], ["token", "fp", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes, sizes, afters)], POSTING)
 
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of postings sorted by token and class, those whose token has another class; only one row is held back."""
-    held, joined = None, False
-    for batch in batches:
-        token, fp, n = (batch.column(c).to_numpy() for c in ("token", "fp", "n"))
-        if held is not None:
-            token, fp, n = (np.r_[h, x] for h, x in zip(held, (token, fp, n), strict=True))
+def _may_link(n, after, other_n, other_after, similarity: tuple[int, int]):
+    """Whether sets can be similar enough if a shingle is the rarest that they share: no more than those from it on can be shared."""
+    low, high = similarity
+    least = -(-low * (n + other_n) // (low + high))
+    return (after >= least) & (other_after >= least)
+
+
+def _shared(similarity: tuple[int, int]):
+    """Of postings sorted by token, size and class, those whose token has another class that they may link with.
+
+    Neighbours up to NEAR rows away are compared; postings of tokens with more classes stay if the next by size fits.
+    """
+    low, high = similarity
+
+    def kept(rows: list[np.ndarray]) -> pa.RecordBatch:
+        token, fp, n, after = rows
         new = np.r_[True, (token[1:] != token[:-1]) | (fp[1:] != fp[:-1])]
-        token, fp, n = token[new], fp[new], n[new]
-        same = token[1:] == token[:-1]
-        with_last = np.r_[joined, same]
-        keep = with_last[:-1] | same
-        if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[:-1][keep]) for x in (token, fp, n)], ["token", "fp", "n"])
-        held, joined = tuple(x[-1:] for x in (token, fp, n)), bool(with_last[-1])
-    if joined:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["token", "fp", "n"])
+        token, fp, n, after = token[new], fp[new], n[new].astype(np.int64), after[new].astype(np.int64)
+        begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        many = np.repeat(np.diff(np.r_[begin, len(token)]), np.diff(np.r_[begin, len(token)])) > NEAR + 1
+        keep = np.zeros(len(token), bool)
+        for d in range(1, min(NEAR, len(token) - 1) + 1):
+            may = (token[d:] == token[:-d]) & _may_link(n[:-d], after[:-d], n[d:], after[d:], similarity)
+            if d == 1:
+                may |= (token[1:] == token[:-1]) & many[1:] & (high * n[:-1] >= low * n[1:])
+            keep[d:] |= may
+            keep[:-d] |= may
+        return pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(fp[keep]), pa.array(n[keep].astype(np.int32)), pa.array(after[keep].astype(np.int32))], POSTING)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, passing = None, None
+        for batch in batches:
+            rows = [batch.column(c).to_numpy() for c in POSTING]
+            if not len(rows[0]):
+                continue
+            if passing is not None:  # the rest of a token with very many classes
+                rest = int(np.searchsorted(rows[0] != passing, True)) if rows[0][-1] != passing else len(rows[0])
+                yield pa.RecordBatch.from_arrays([pa.array(x[:rest]) for x in rows], POSTING)
+                rows = [x[rest:] for x in rows]
+                if not len(rows[0]):
+                    continue
+                passing = None
+            if held is not None:
+                rows = [np.r_[h, x] for h, x in zip(held, rows, strict=True)]
+            last = int(np.argmax(rows[0] == rows[0][-1]))
+            if last:
+                yield kept([x[:last] for x in rows])
+            held = [x[last:] for x in rows]
+            if len(held[0]) > MOST_HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], POSTING)
+                held, passing = None, held[0][0]
+        if held is not None:
+            yield kept(held)
+
+    return run
 
 
 def _routes(similarity: tuple[int, int]):
-    """Of postings sorted by token, size and class: each class with the shards that hold earlier classes of fitting size."""
+    """Of postings sorted by token, size and class: each class with the shards that hold earlier classes that it may link with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, largest = None, {}
+        current, before = None, {}
         low, high = similarity
         for batch in batches:
             probes, shards = [], []
-            for token, n, rep, shard in zip(*(batch.column(c).to_pylist() for c in ("token", "n", "rep", "shard")), strict=True):
+            for token, n, after, rep, shard in zip(*(batch.column(c).to_pylist() for c in ("token", "n", "after", "rep", "shard")), strict=True):
                 if token != current:
-                    current, largest = token, {}
-                for other, size in largest.items():
-                    if high * size >= low * n:
+                    current, before = token, {}
+                for other, seen in before.items():
+                    if high * seen[-1][0] >= low * n and (len(seen) > NEAR or any(_may_link(n, after, *x, similarity) for x in seen)):
                         probes.append(rep)
                         shards.append(other)
-                largest[shard] = n
+                own = before.setdefault(shard, [])
+                if len(own) > NEAR:  # then only the largest counts
+                    own[-1] = (n, after)
+                else:
+                    own.append((n, after))
             yield pa.RecordBatch.from_arrays([pa.array(probes, pa.int64()), pa.array(shards, pa.int64())], ["rep", "shard"])
 
     return run
@@ -236,17 +285,19 @@ class Shard:
                 yield probe, other
 
 
-def _search(similarity: tuple[int, int]):
-    """Of rows sorted by shard, sets of the index first: the links that searches of its probes find."""
+def _search(words: int, similarity: tuple[int, int]):
+    """Of rows sorted by shard, the texts of its index first: the links that searches of its probes find."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, index, ids, sets = None, None, [], []
         for batch in batches:
             links = []
-            for shard, probing, rep, raw in zip(*(batch.column(c) for c in ("shard", "probing", "rep", "hashes")), strict=True):
-                shard, probing, rep, own = shard.as_py(), probing.as_py(), rep.as_py(), np.frombuffer(raw.as_py(), np.uint64)
+            for shard, probing, rep, fp, text in zip(*(batch.column(c) for c in ("shard", "probing", "rep", "fp", "text")), strict=True):
+                shard, probing, rep, own = shard.as_py(), probing.as_py(), rep.as_py(), shingles(text.as_py(), words)
                 if shard != current:
                     current, index, ids, sets = shard, None, [], []
+                if not len(own) or _class_of(own)[0] != fp.as_py():
+                    continue  # another text of a repeated id
                 if not probing:
                     ids.append(rep)
                     sets.append(own)
@@ -259,34 +310,24 @@ def _search(similarity: tuple[int, int]):
     return run
 
 
-def _sets(words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [shingles(t.as_py(), words) for t in batch.column("text")]
-            fp = [_class_of(s)[0] if len(s) else None for s in own]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(fp, pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())], ["rep", "fp", "hashes"])
-
-    return run
-
-
 def links(docs: DataFrame, rows: DataFrame, rarity: np.ndarray, words: int, similarity: tuple[int, int]) -> DataFrame:
     """(u, v): links between the smallest ids of classes, enough of them to connect all that all links connect."""
     spark = docs.sparkSession
     classes = rows.where("n > 0").groupBy("fp", "fp2").agg(F.min("key").alias("rep"))
-    postings = docs.select("text").mapInArrow(_postings(spark.sparkContext.broadcast(rarity), words, similarity), "token bigint, fp bigint, n int")
-    shared = materialise(postings.repartition("token").sortWithinPartitions("token", "fp").mapInArrow(_shared, "token bigint, fp bigint, n int"), "shared")
+    postings = docs.select("text").mapInArrow(_postings(spark.sparkContext.broadcast(rarity), words, similarity), "token bigint, fp bigint, n int, after int")
+    shared = materialise(postings.repartition("token").sortWithinPartitions("token", "n", "fp").mapInArrow(_shared(similarity), "token bigint, fp bigint, n int, after int"), "shared")
     active = materialise(classes.join(shared.select("fp").distinct(), "fp").select("fp", "rep"), "active")
     shards = max(1, -(-active.count() // SHARD_CLASSES))
-    shard = F.pmod(F.xxhash64("rep"), F.lit(shards)).alias("shard")
-    listed = shared.join(active, "fp").select("token", "n", "rep", shard)
+    shard = F.pmod(F.xxhash64("rep"), F.lit(shards))
+    listed = shared.join(active, "fp").select("token", "n", "after", "rep", shard.alias("shard"))
     routes = listed.repartition("token").sortWithinPartitions("token", "n", "rep").mapInArrow(_routes(similarity), "rep bigint, shard bigint").distinct()
+    visits = routes.groupBy("rep").agg(F.collect_list("shard").alias("visits"))
     texts = maybe_member(docs.select(F.col("key").alias("rep"), "text"), "rep", membership_bitmap(active, "rep"))
-    sets = texts.select(F.col("rep").alias("key"), "text").mapInArrow(_sets(words), "rep bigint, fp bigint, hashes binary")
-    sets = materialise(sets.join(active, ["rep", "fp"], "left_semi").dropDuplicates(["rep", "fp"]).select("rep", "hashes"), "sets")
-    index = sets.select(shard, F.lit(False).alias("probing"), "rep", "hashes")
-    probes = routes.join(sets, "rep").select("shard", F.lit(True).alias("probing"), "rep", "hashes")
-    met = index.unionByName(probes).repartition(max(shards, 1), "shard").sortWithinPartitions("shard", "probing")
-    return met.mapInArrow(_search(similarity), "u bigint, v bigint")
+    texts = texts.join(active.join(visits, "rep", "left"), "rep")
+    own = F.array(F.struct(shard.alias("shard"), F.lit(False).alias("probing")))
+    others = F.coalesce(F.transform("visits", lambda x: F.struct(x.alias("shard"), F.lit(True).alias("probing"))), F.array().cast("array<struct<shard:bigint,probing:boolean>>"))
+    met = texts.select("rep", "fp", "text", F.explode(F.concat(own, others)).alias("to")).select("to.*", "rep", "fp", "text")
+    return met.repartition(shards, "shard").sortWithinPartitions("shard", "probing").mapInArrow(_search(words, similarity), "u bigint, v bigint")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
