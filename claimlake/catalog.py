@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-FLAGSHIP = "audit_summary_by_lang"
+from .plans import corpus_queries, text_queries
+from .plans.registry import ORACLE_SQL, QUERIES
+
+FLAGSHIP = text_queries.audit_summary_by_lang.__name__
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES", "corpus_queries", "text_queries"]
