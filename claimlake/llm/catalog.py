@@ -10,7 +10,8 @@ from . import bpe, exact_dedup, jaccard_join, langid, licences, packing, perspec
 from .oracle import ORACLE_SQL
 from .shared import fresh_path
 
-MULTI_RANKS, PACKING_TOKENIZER = "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.json"
+#: PACKING_RANKS has the vocabulary of byte_bpe_50k.json.
+MULTI_RANKS, PACKING_RANKS = "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +25,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER), public_tokenizers.PATTERN)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_RANKS), public_tokenizers.PATTERN)
 
 
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

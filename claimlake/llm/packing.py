@@ -12,7 +12,7 @@ ignored. An empty table gives an empty table.
 
 from __future__ import annotations
 
-import os
+import base64
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,14 +20,15 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import materialise
 
 GROUP_PIECES = 10_000
-MEMO_WORDS, MEMO_CHARS = 500_000, 48
+#: Words that a Python worker remembers.
+MEMO_WORDS = 800_000
 END = (0).to_bytes(4, "little")
 
 
@@ -35,60 +36,67 @@ class WordIds:
     """ids of whole texts, put together from remembered words.
 
     A space between two characters that aren't white space always starts a piece of the byte-level pattern, and so does a
-    line end between two such characters; the words between them can be encoded one by one. Texts with other white space
-    are split by the pattern itself.
+    line end between two such characters; the words between them can be encoded apart. New words are encoded
+    together, as one text, whose ids the lengths of their bytes deal out again. Texts with other white space are encoded whole.
+    The ids are those of the tokenizer file with the same vocabulary, which tests hold them against.
     """
 
-    def __init__(self, path: str, pattern: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.pattern = regex.compile(pattern)
+    def __init__(self, ranks_path: str, pattern: str):
+        with open(ranks_path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
+        for token, rank in ranks.items():
+            self.bytes_of[rank] = len(token)
         self.memo: dict[str, bytes | None] = {}
 
+    def _whole(self, text: str) -> np.ndarray:
+        return np.asarray(self.encoding.encode_ordinary(text), "<u4")
+
+    def _learn_clean(self, words: list[str], before: str) -> None:
+        """Encode words one after another, each with `before` in front, which is no part of its ids."""
+        if not words:
+            return
+        ids = self._whole("".join(before + w for w in words))
+        ends = np.cumsum([len(w.encode()) + len(before) for w in words])
+        cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
+        raw, begin = ids.tobytes(), 0
+        for word, end in zip(words, cuts.tolist(), strict=True):
+            self.memo[word] = raw[4 * (begin + len(before)) : 4 * end]
+            begin = end
+
     def _learn(self, words: set[str]) -> None:
         """Words with a leading space or none; None for those that can't stand alone."""
         if len(self.memo) + len(words) > MEMO_WORDS:
             self.memo.clear()
-        clean = [w for w in words if w and (bare := w[1:] if w[0] == " " else w) and bare == bare.strip() and "\n" not in bare]
         self.memo.update(dict.fromkeys(words))
-        for word, found in zip(clean, self.tokenizer.encode_batch(clean, add_special_tokens=False), strict=True):
-            self.memo[word] = np.asarray(found.ids, "<u4").tobytes()
+        clean = [w for w in words if w and (bare := w[1:] if w[0] == " " else w) and bare == bare.strip() and "\n" not in bare]
+        self._learn_clean([w for w in clean if w[0] == " "], "")
+        self._learn_clean([w for w in clean if w[0] != " "], "\n")
+        self.memo["\n"] = self._whole("\n").tobytes()
 
     def _words(self, text: str) -> list[str]:
         if "\n" not in text:
             return text.replace(" ", "\0 ").split("\0")
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
-    def _by_pattern(self, text: str) -> bytes:
-        pieces = self.pattern.findall(text)
-        distinct = list(dict.fromkeys(pieces))
-        ids = dict(zip(distinct, (np.asarray(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(distinct, add_special_tokens=False)), strict=True))
-        return b"".join(map(ids.__getitem__, pieces))
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [t if t and "\0" not in t else None for t in texts]
-        words = [self._words(t) if t else [] for t in plain]
-        new = set().union(*words).difference(self.memo)
-        new.discard("\n")
-        self._learn(new)
-        if "\n" not in self.memo:
-            self.memo["\n"] = np.asarray(self.tokenizer.encode("\n", add_special_tokens=False).ids, "<u4").tobytes()
+        words = [self._words(t) if t and "\0" not in t else [] for t in texts]
+        if new := set().union(*words).difference(self.memo):
+            self._learn(new)
         out = []
         for text, own in zip(texts, words, strict=True):
             try:
-                out.append(b"".join(map(self.memo.__getitem__, own)) if own else self._by_pattern(text))
+                out.append(b"".join(map(self.memo.__getitem__, own)) if own else self._whole(text).tobytes())
             except (TypeError, KeyError):  # a word that can't stand alone, or the memo started anew
-                out.append(self._by_pattern(text))
+                out.append(self._whole(text).tobytes())
         return out
 
 
 @lru_cache(maxsize=4)
-def word_ids(path: str, pattern: str) -> WordIds:
+def word_ids(ranks_path: str, pattern: str) -> WordIds:
     """One for each Python worker."""
-    return WordIds(path, pattern)
+    return WordIds(ranks_path, pattern)
 
 
 def cut(total: int, most: int) -> list[tuple[int, int]]:
@@ -99,13 +107,13 @@ def cut(total: int, most: int) -> list[tuple[int, int]]:
     return ([(0, first)] if first else []) + [(at, most) for at in range(first, total, most)]
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, pattern: str, max_tokens: int, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, max_tokens: int, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids]) of every document, its ids followed by id 0."""
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = word_ids(tokenizer_path, pattern)
+        own = word_ids(ranks_path, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
@@ -175,7 +183,7 @@ def pack(pieces: DataFrame, max_tokens: int, max_documents: int | None = None, m
     return dealt.groupBy("grp").applyInPandas(run, f"{fields}, sequence_id bigint, offset bigint")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, pattern: str, max_tokens: int = 2048, id_col: str = "doc_id", text_col: str = "text", **capacities) -> DataFrame:
+def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, max_tokens: int = 2048, id_col: str = "doc_id", text_col: str = "text", **capacities) -> DataFrame:
     """Tokenise once into a shared table, then pack its pieces."""
-    pieces = materialise(token_pieces(docs, tokenizer_path, pattern, max_tokens, id_col, text_col), "pieces")
+    pieces = materialise(token_pieces(docs, ranks_path, pattern, max_tokens, id_col, text_col), "pieces")
     return pack(pieces, max_tokens, **capacities).withColumnRenamed("key", id_col)
