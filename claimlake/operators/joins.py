@@ -17,12 +17,12 @@ def small(lexicon: DataFrame, most: int = MOST_LEXICON_ROWS) -> DataFrame:
     return F.broadcast(lexicon)
 
 
-def pattern_match(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, pattern_id): lower-case patterns contained in the raw or the preprocessed text."""
+def pattern_match(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, distinct: bool = True) -> DataFrame:
+    """(id, pattern_id): lower-case patterns contained in the raw or the preprocessed text; distinct needs state on a stream."""
     cleaned = T.squash_ws(T.strip_comments(T.strip_html(F.col(text_col))))
     rows = docs.select(id_col, F.lower(text_col).alias("raw"), F.lower(cleaned).alias("clean"))
     v = small(vectors.select(F.col("id").alias("pattern_id"), F.lower("pattern").alias("needle")))
-    return rows.join(v, F.contains("raw", F.col("needle")) | F.contains("clean", F.col("needle"))).select(id_col, "pattern_id").distinct()
+    return rows.join(v, F.contains("raw", F.col("needle")) | F.contains("clean", F.col("needle"))).select(id_col, "pattern_id").transform(lambda d: d.distinct() if distinct else d)
 
 
 def screen(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, mode: str = "halt") -> DataFrame:

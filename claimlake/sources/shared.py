@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -18,3 +19,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     _OWN[context.applicationId] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     context.setCheckpointDir(_OWN[context.applicationId])
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared folder."""
+    ensure_checkpoint_dir(spark)
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or _OWN[spark.sparkContext.applicationId]
+    return f"{root.rstrip('/')}/claimlake/{name}-{uuid.uuid4().hex}"
