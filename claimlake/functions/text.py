@@ -25,7 +25,7 @@ def squash_ws(c: Column) -> Column:
 def b64_segments(c: Column) -> Column:
     """Decoded base64 runs of 20 characters and more with right padding, if printable and over 5 characters long."""
     runs = F.regexp_extract_all(c, F.lit(r"[A-Za-z0-9+/]{20,}={0,2}"), F.lit(0))
-    body = lambda x: F.rtrim(F.lit("="), x)
+    body = lambda x: F.rtrim(x, F.lit("="))
     padded = F.filter(runs, lambda x: F.length(x) % 4 == 0)
     text = F.transform(padded, lambda x: F.make_valid_utf8(F.call_function("try_to_binary", F.rpad(body(x), ((F.length(body(x)) + 3) / 4).cast("int") * 4, "="), F.lit("base64")).cast("string")))
     clean = F.transform(text, lambda x: F.replace(x, F.lit("�"), F.lit("")))
@@ -38,6 +38,11 @@ def unicode_abuse(c: Column, share: float = 0.05) -> Column:
     return F.coalesce(odd > F.length(c) * share, F.lit(False))
 
 
+def preprocess(c: Column) -> Column:
+    """Without markup and comments, white space squashed, followed by the decoded base64 segments of the raw text."""
+    return F.when(c.isNotNull(), F.concat_ws(" ", squash_ws(strip_comments(strip_html(c))), b64_segments(c)))
+
+
 def tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
 

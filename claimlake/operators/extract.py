@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
 from ..functions.text import fmt_ts, norm_key
+from .joins import exclude_negatives
 from .rules import confidence
 
 
@@ -26,9 +27,10 @@ def _pair(number: int, actions):
     return lambda condition, at: F.struct(F.lit(number).alias("pattern_no"), at.alias("match_no"), F.trim(condition).alias("condition"), F.trim(F.get(actions, at)).alias("action"))
 
 
-def extract_segments(segments: DataFrame, patterns: tuple[str, ...] = L.IF_THEN_PATTERNS, gates: tuple[str, ...] = L.IF_THEN_GATES) -> DataFrame:
-    """One signature for each match in a segment; ids run over the document."""
+def extract_segments(segments: DataFrame, patterns: tuple[str, ...] = L.IF_THEN_PATTERNS, gates: tuple[str, ...] = L.IF_THEN_GATES, negatives: DataFrame | None = None) -> DataFrame:
+    """One signature for each match in a segment that no negative excludes; ids run over the document."""
     found = segments.select("doc_id", "seg_no", "start", "text", _matches("text", patterns, gates).alias("m")).select("doc_id", "seg_no", "start", "text", "m.*")
+    found = found if negatives is None else exclude_negatives(found, negatives)
     number = F.row_number().over(Window.partitionBy("doc_id").orderBy("seg_no", "pattern_no", "match_no"))
     return found.select(
         "doc_id", F.format_string("S-%03d", number).alias("id"), F.concat(F.lit("IF "), "condition").alias("condition"), F.concat(F.lit("THEN "), "action").alias("action"),
@@ -36,7 +38,7 @@ def extract_segments(segments: DataFrame, patterns: tuple[str, ...] = L.IF_THEN_
     )
 
 
-def extract_windowed(segments: DataFrame, sizes: tuple[int, ...] = (3, 5, 7), least: int = 15, patterns: tuple[str, ...] = L.IF_THEN_PATTERNS, gates: tuple[str, ...] = L.IF_THEN_GATES) -> DataFrame:
+def extract_windowed(segments: DataFrame, sizes: tuple[int, ...] = (3, 5, 7), least: int = 15, patterns: tuple[str, ...] = L.IF_THEN_PATTERNS, gates: tuple[str, ...] = L.IF_THEN_GATES, negatives: DataFrame | None = None) -> DataFrame:
     """Matches in windows of consecutive segments; of equal conditions the longest action stays, in the first one's place."""
     by = Window.partitionBy("doc_id").orderBy("seg_no")
     windows = None
@@ -44,13 +46,24 @@ def extract_windowed(segments: DataFrame, sizes: tuple[int, ...] = (3, 5, 7), le
         over = by.rowsBetween(0, size - 1)
         w = segments.select("doc_id", "seg_no", "start", F.array_join(F.collect_list("text").over(over), " ").alias("text"), F.count(F.lit(1)).over(over).alias("n")).where(F.col("n") == size).withColumn("size_no", F.lit(i))
         windows = w if windows is None else windows.unionByName(w)
-    found = windows.select("doc_id", "seg_no", "size_no", "start", "text", _matches("text", patterns, gates).alias("m")).select("doc_id", "seg_no", "size_no", "start", "m.*")
+    found = windows.select("doc_id", "seg_no", "size_no", "start", F.substring("text", 1, 200).alias("quote"), _matches("text", patterns, gates).alias("m")).select("doc_id", "seg_no", "size_no", "start", "quote", "m.*")
     found = found.where((F.length("condition") >= least) & (F.length("action") >= least))
     place = F.struct("size_no", "seg_no", "pattern_no", "match_no")
     best = F.struct(-F.length("action"), place.alias("place"))
-    kept = found.groupBy("doc_id", norm_key(F.col("condition")).alias("key")).agg(F.min(place).alias("slot"), F.min_by(F.struct("condition", "action", "start"), best).alias("won"))
+    kept = found.groupBy("doc_id", norm_key(F.col("condition")).alias("key")).agg(F.min(place).alias("slot"), F.min_by(F.struct("condition", "action", "start", "quote"), best).alias("won")).select("doc_id", "slot", "won.*")
+    kept = kept if negatives is None else exclude_negatives(kept, negatives)
     number = F.row_number().over(Window.partitionBy("doc_id").orderBy("slot"))
-    return kept.select("doc_id", F.format_string("S-%03d", number).alias("id"), F.concat(F.lit("IF "), "won.condition").alias("condition"), F.concat(F.lit("THEN "), "won.action").alias("action"), fmt_ts(F.col("won.start")).alias("source_timestamp"))
+    return kept.select(
+        "doc_id", F.format_string("S-%03d", number).alias("id"), F.concat(F.lit("IF "), "condition").alias("condition"), F.concat(F.lit("THEN "), "action").alias("action"),
+        fmt_ts(F.col("start")).alias("source_timestamp"), F.col("quote").alias("source_quote"), confidence(F.concat_ws(" ", "condition", "action")).alias("confidence"),
+    )
+
+
+def extract(segments: DataFrame, negatives: DataFrame | None = None, windowing: dict | None = None, **windowed) -> DataFrame:
+    """Documents of many short segments by windows, all others segment by segment; the keywords go to the two choices."""
+    short = needs_windowing(segments, **(windowing or {})).where("windowed").select("doc_id")
+    whole = extract_segments(segments.join(short, "doc_id", "left_anti"), negatives=negatives)
+    return whole.unionByName(extract_windowed(segments.join(short, "doc_id", "left_semi"), negatives=negatives, **windowed))
 
 
 def needs_windowing(segments: DataFrame, least: int = 20, length: float = 60, first: int = 50) -> DataFrame:

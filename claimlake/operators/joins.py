@@ -19,17 +19,30 @@ def small(lexicon: DataFrame, most: int = MOST_LEXICON_ROWS) -> DataFrame:
 
 def pattern_match(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, distinct: bool = True) -> DataFrame:
     """(id, pattern_id): lower-case patterns contained in the raw or the preprocessed text; distinct needs state on a stream."""
-    cleaned = T.squash_ws(T.strip_comments(T.strip_html(F.col(text_col))))
-    rows = docs.select(id_col, F.lower(text_col).alias("raw"), F.lower(cleaned).alias("clean"))
+    rows = docs.select(id_col, F.lower(text_col).alias("raw"), F.lower(T.preprocess(F.col(text_col))).alias("clean"))
     v = small(vectors.select(F.col("id").alias("pattern_id"), F.lower("pattern").alias("needle")))
     return rows.join(v, F.contains("raw", F.col("needle")) | F.contains("clean", F.col("needle"))).select(id_col, "pattern_id").transform(lambda d: d.distinct() if distinct else d)
 
 
-def screen(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, mode: str = "halt") -> DataFrame:
-    """Every document with its matches, whether it is clean, and whether it is blocked in the mode given."""
+def screen(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, mode: str = "halt", semantic: DataFrame | None = None, block_above: float = 0.92) -> DataFrame:
+    """Every document with its matches, whether it is clean, and whether it is blocked in the mode given.
+
+    semantic holds (id, pattern_id, similarity) of reports.semantic_match; each is a flag. In mode "halt" any match or flag
+    blocks, in any other mode only a similarity above the bound.
+    """
+    zero = F.lit(0).cast("long")
     found = pattern_match(docs, vectors, id_col, text_col).groupBy(id_col).agg(F.count(F.lit(1)).alias("matches"), F.min("pattern_id").alias("first_pattern"))
-    out = docs.select(id_col, T.unicode_abuse(F.col(text_col)).alias("warned")).join(found, id_col, "left").withColumn("matches", F.coalesce("matches", F.lit(0).cast("long")))
-    return out.withColumns({"clean": F.col("matches") == 0, "blocked": (F.col("matches") > 0) & F.lit(mode == "halt"), "reason": F.when(F.col("matches") > 0, F.format_string("pattern_match(%d)", "matches"))})
+    out = docs.select(id_col, T.unicode_abuse(F.col(text_col)).alias("warned")).join(found, id_col, "left").withColumn("matches", F.coalesce("matches", zero))
+    if semantic is None:
+        out = out.withColumns({"flags": zero, "top": F.lit(None).cast("double")})
+    else:
+        flagged = semantic.groupBy(id_col).agg(F.count(F.lit(1)).alias("flags"), F.max("similarity").alias("top"))
+        out = out.join(flagged, id_col, "left").withColumn("flags", F.coalesce("flags", zero))
+    clean = (F.col("matches") == 0) & (F.col("flags") == 0)
+    blocked = ~clean if mode == "halt" else F.coalesce(F.col("top") > block_above, F.lit(False))
+    reason = F.concat_ws("; ", F.when(F.col("matches") > 0, F.format_string("pattern_match(%d)", "matches")), F.when(F.col("flags") > 0, F.format_string("semantic_flag(%d)", "flags")))
+    out = out.withColumns({"clean": clean, "blocked": blocked, "reason": F.nullif(reason, F.lit(""))}).drop("top")
+    return out.drop("flags") if semantic is None else out
 
 
 def canon_conflict(signatures: DataFrame, theory: DataFrame, pairs: tuple[tuple[str, str], ...], least: int = 3) -> DataFrame:

@@ -48,6 +48,17 @@ def map_source(tier: Column, mapping: tuple[tuple[str, str], ...], parts: tuple[
     return out
 
 
+def claims_by_tier(claims: DataFrame, renamed: tuple[tuple[str, str], ...], by_file: tuple[tuple[str, str], ...], otherwise: str) -> DataFrame:
+    """(tier, n) of claims (tier, source_file): tiers by their present names; a missing one is told from the file's name."""
+    tier, guess = F.when(F.lit(False), ""), F.when(F.lit(False), "")
+    for old, new in renamed:
+        tier = tier.when(F.col("tier") == old, new)
+    for pattern, name in by_file:
+        guess = guess.when(F.coalesce("source_file", F.lit("")).rlike(pattern), name)
+    missing = F.coalesce("tier", F.lit("")).isin("", "UNKNOWN")
+    return claims.groupBy(tier.when(missing, guess.otherwise(otherwise)).otherwise(F.col("tier")).alias("tier")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def record_rejections(rejections: DataFrame, claims: DataFrame) -> DataFrame:
     """Negatives of rejections (rej_id, bundle, signature, reason): with the claim's text where it is known."""
     known = claims.select(F.col("bundle").alias("c_bundle"), F.col("signature").alias("c_signature"), "condition", "action", "drawer")
@@ -125,3 +136,12 @@ def render_theory(clusters: DataFrame, negatives: DataFrame, first: int = 10) ->
     told = lines.groupBy("drawer").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("root", line.alias("line")))), lambda x: x["line"]), "\n").alias("body"))
     lost = negatives.groupBy("drawer").agg(F.count(F.lit(1)).alias("n"))
     return told.join(lost, "drawer", "left").select("drawer", F.concat(F.lit("## "), F.col("drawer").cast("string"), F.lit("\n"), "body", F.format_string("\n%d negatives\n", F.coalesce("n", F.lit(0).cast("long")))).alias("text"))
+
+
+def render_notes(pairs: DataFrame, negatives: DataFrame, most: int = 20) -> DataFrame:
+    """One row of text: the first redundant pairs (a, b, similarity), then the last negatives (id, ord, reason); `most` of each."""
+    pair = F.format_string("- %s = %s (%.2f)", F.col("a").cast("string"), F.col("b").cast("string"), F.col("similarity"))
+    first = pairs.orderBy("a", "b").limit(most).agg(F.array_sort(F.collect_list(F.struct("a", "b", pair.alias("line")))).alias("p"))
+    last = negatives.orderBy(F.desc("ord"), F.desc("id")).limit(most).agg(F.array_sort(F.collect_list(F.struct("ord", "id", F.concat(F.lit("- "), F.col("id").cast("string"), F.lit(" | "), "reason").alias("line")))).alias("n"))
+    lines = lambda c: F.array_join(F.transform(c, lambda x: x["line"]), "\n")
+    return first.join(F.broadcast(last), F.lit(True), "left").select(F.concat(F.lit("## REDUNDANT\n"), lines("p"), F.lit("\n## NEGATIVES\n"), lines("n"), F.lit("\n")).alias("text"))

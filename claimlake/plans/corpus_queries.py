@@ -212,25 +212,30 @@ def coverage_pivot(spark, folder):
     return coverage.coverage_grid(grid, ["src0", "src1", "src2"])
 
 
-@query("""with c as (select p_partkey as concept_id, p_partkey as ord, string_split(lower(p_name), ' ') as terms, lower(p_brand) as drawer_name from part where p_partkey <= 200), t as (select doc_id as claim_id, lower(text) as text from documents),
-m as (select claim_id, concept_id, ord, len(list_filter(terms, lambda x: contains(text, x))) + case when contains(text, drawer_name) then 2 else 0 end as score from t cross join c)
-select claim_id, concept_id, score::bigint as score, (rank)::int as rank from (select *, row_number() over (partition by claim_id order by score desc, ord) as rank from m where score >= 2) where rank <= 3""")
+@query("""with c as (select p_partkey as concept_id, unnest(string_split(lower(p_name), ' ')) as term, 1 as points from part union all select p_partkey, lower(p_brand), 2 from part),
+h as (select doc_id as claim_id, term from documents join (select distinct term from c) on contains(lower(text), term)),
+m as (select claim_id, concept_id, sum(points) as score from h join c using (term) group by all)
+select claim_id, concept_id, score::bigint as score, (rank)::int as rank from (select *, row_number() over (partition by claim_id order by score desc, concept_id) as rank from m where score >= 2) where rank <= 3""")
 def concept_match(spark, folder):
-    concepts = table(spark, folder, "part").where("p_partkey <= 200").select(F.col("p_partkey").alias("concept_id"), F.col("p_partkey").alias("ord"), F.split(F.lower("p_name"), " ").alias("terms"), F.col("p_brand").alias("drawer_name"))
+    concepts = table(spark, folder, "part").select(F.col("p_partkey").alias("concept_id"), F.col("p_partkey").alias("ord"), F.split(F.lower("p_name"), " ").alias("terms"), F.col("p_brand").alias("drawer_name"))
     return joins.match_concepts(table(spark, folder, "documents").select(F.col("doc_id").alias("claim_id"), "text"), concepts)
 
 
-_TF = r"""with t as (select doc_id as id, lang as g, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) as token from documents), f as (select id, g, token, count(*) as tf from t group by all), n as (select id, sum(tf * tf)::double as sq from f group by id)"""
+_TF = r"""with r as (select min(doc_id) as doc_id, text from documents where regexp_matches(text, '[\p{L}\p{N}_]') group by text), t as (select doc_id as id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) as token from r), f as (select id, token, count(*) as tf from t group by all), n as (select id, sum(tf * tf)::double as sq from f group by id)"""
 
 
-@query(_TF + " select a.id as a, b.id as b, round(sum(a.tf * b.tf)::double / (sqrt(any_value(x.sq)) * sqrt(any_value(y.sq))), 6) as similarity from f a join f b on a.token = b.token and a.id < b.id join n x on x.id = a.id join n y on y.id = b.id group by 1, 2 having sum(a.tf * b.tf)::double / (sqrt(any_value(x.sq)) * sqrt(any_value(y.sq))) >= 0.95")
+@query(
+    _TF
+    + """ select a.id as a, b.id as b, round(sum(a.tf * b.tf)::double / (sqrt(any_value(x.sq)) * sqrt(any_value(y.sq))), 6) as similarity from f a join f b on a.token = b.token and a.id < b.id join n x on x.id = a.id join n y on y.id = b.id group by 1, 2 having sum(a.tf * b.tf)::double / (sqrt(any_value(x.sq)) * sqrt(any_value(y.sq))) >= 0.95
+union all select r.doc_id, d.doc_id, 1.0 from documents d join r on r.text = d.text and r.doc_id < d.doc_id"""
+)
 def redundant_pairs(spark, folder):
-    pairs = similarity.similar_pairs(table(spark, folder, "documents"), 0.95, "doc_id", "text")
-    return pairs.withColumn("similarity", F.round("similarity", 6))
+    """Pairs of different texts, each by its first document, and links from that to its copies."""
+    return similarity.redundant(table(spark, folder, "documents"), 0.95, "doc_id", "text").withColumn("similarity", F.round("similarity", 6))
 
 
 @query()
 def greedy_clusters(spark, folder):
     docs = table(spark, folder, "documents")
-    pairs = similarity.similar_pairs(docs, 0.95, "doc_id", "text", by="lang")
+    pairs = similarity.redundant(docs, 0.95, "doc_id", "text", by="lang")
     return similarity.greedy_cluster(docs, pairs, "doc_id").withColumnRenamed("id", "doc_id")

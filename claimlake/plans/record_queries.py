@@ -2,12 +2,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import coverage, prompts, reports
+from ..operators import compress, coverage, extract, joins, prompts, reports, similarity
 from ..sources import records, sinks
 from ..sources.shared import scratch_path
 from .corpus_queries import _OBS, observations
 from .registry import query, table
-from .text_queries import EXTRACTED_SQL, VECTORS, signatures
+from .text_queries import EXTRACTED_SQL, VECTORS, segments, signatures
 
 
 @query(EXTRACTED_SQL + " select 'B-' || lang as bundle_id, id, condition, action, count(*) as n from sig group by all")
@@ -135,15 +135,59 @@ def model_diversity(spark, folder):
     return reports.diversity(calls, "user_id", "event_id")
 
 
-@query(r"""with v(id, pattern) as (select 'B-' || item_id, text from benchmark where item_id < 20), vt as (select id, unnest(regexp_extract_all(lower(pattern), '[\p{L}\p{N}_]+')) as token from v), vf as (select id, token, count(*) as tf from vt group by all), vn as (select id, sum(tf * tf) as sq from vf group by id),
+_SEMANTIC = r"""with v(id, pattern) as (select 'B-' || item_id, text from benchmark), vt as (select id, unnest(regexp_extract_all(lower(pattern), '[\p{L}\p{N}_]+')) as token from v), vf as (select id, token, count(*) as tf from vt group by all), vn as (select id, sum(tf * tf) as sq from vf group by id),
 t as (select doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) as token from documents), f as (select doc_id, token, count(*) as tf from t group by all), n as (select doc_id, sum(tf * tf) as sq from f group by doc_id),
 d as (select doc_id, id, sum(f.tf * vf.tf) as dot from f join vf using (token) group by all)
-select doc_id, id as pattern_id, round(dot / (sqrt(n.sq::double) * sqrt(vn.sq::double)), 4) as similarity from d join n using (doc_id) join vn using (id) where dot / (sqrt(n.sq::double) * sqrt(vn.sq::double)) >= 0.5""")
+select doc_id, id as pattern_id, round(dot / (sqrt(n.sq::double) * sqrt(vn.sq::double)), 4) as similarity from d join n using (doc_id) join vn using (id) where dot / (sqrt(n.sq::double) * sqrt(vn.sq::double)) >= 0.5"""
+
+
+@query(_SEMANTIC)
 def semantic_matches(spark, folder):
-    vectors = table(spark, folder, "benchmark").where("item_id < 20").select(F.concat(F.lit("B-"), F.col("item_id").cast("string")).alias("id"), F.col("text").alias("pattern"))
+    vectors = table(spark, folder, "benchmark").select(F.concat(F.lit("B-"), F.col("item_id").cast("string")).alias("id"), F.col("text").alias("pattern"))
     return reports.semantic_match(table(spark, folder, "documents"), vectors, 0.5)
 
 
+@query(f"""with s as ({_SEMANTIC}), g as (select doc_id, count(*) as flags, max(similarity) as top from s group by doc_id),
+p(pattern_id, needle) as (values ('AV-1', 'ad 3'), ('AV-2', '<nav>'), ('AV-3', 'the of')), m as (select doc_id, count(*) as matches from documents join p on contains(lower(text), needle) group by doc_id)
+select doc_id, coalesce(matches, 0) as matches, coalesce(flags, 0) as flags, matches is null and flags is null as clean, coalesce(top > 0.6, false) as blocked, nullif(concat_ws('; ', 'pattern_match(' || matches || ')', 'semantic_flag(' || flags || ')'), '') as reason
+from documents left join m using (doc_id) left join g using (doc_id)""")
+def screen_log_only(spark, folder):
+    """Documents by patterns and by likeness to benchmark items; only likeness blocks."""
+    docs = table(spark, folder, "documents")
+    vectors = table(spark, folder, "benchmark").select(F.concat(F.lit("B-"), F.col("item_id").cast("string")).alias("id"), F.col("text").alias("pattern"))
+    found = joins.screen(docs, spark.createDataFrame(VECTORS, "id string, pattern string"), "doc_id", "text", "log_only", reports.semantic_match(docs, vectors, 0.5), 0.6)
+    return found.select("doc_id", "matches", "flags", "clean", "blocked", "reason")
+
+
+@query("""select case when t = 'de' then 'GERMAN' when coalesce(t, '') in ('', 'UNKNOWN') then case when contains(source, '1') then 'ONE' when contains(source, '2') then 'TWO' else 'OTHER' end else t end as tier, count(*) as n from (select nullif(lang, 'fr') as t, source from documents) group by 1""")
+def claims_by_tier(spark, folder):
+    claims = table(spark, folder, "documents").select(F.nullif("lang", F.lit("fr")).alias("tier"), F.col("source").alias("source_file"))
+    return reports.claims_by_tier(claims, (("de", "GERMAN"),), (("1", "ONE"), ("2", "TWO")), "OTHER")
+
+
+@query(EXTRACTED_SQL + r""", t as (select doc_id || '-' || id as id, condition, action from sig), w as (select id, 1 as side, unnest(regexp_extract_all(lower(condition), '[\p{L}\p{N}_]+')) as token from t union all select id, 2, unnest(regexp_extract_all(lower(action), '[\p{L}\p{N}_]+')) from t),
+c as (select id, token, count(*) filter (where side = 1) as x, count(*) filter (where side = 2) as y from w group by all), s as (select id, sum(x * y)::double as xy, sum(x * x)::double as xx, sum(y * y)::double as yy from c group by id)
+select t.id, round(case when xy > 0 then xy / (sqrt(xx) * sqrt(yy)) else 0 end, 6)::double as similarity from t left join s using (id)""")
+def condition_action_cosine(spark, folder):
+    rows = signatures(spark, folder).select(F.concat_ws("-", F.col("doc_id").cast("string"), "id").alias("id"), "condition", "action")
+    return similarity.cosine(rows, "id", "condition", "action").withColumn("similarity", F.round("similarity", 6))
+
+
+@query()
+def compress_counts(spark, folder):
+    """Signatures as claims, drawers by language, compressed."""
+    rows = signatures(spark, folder)
+    drawer = F.when(F.col("lang") == "en", 1).when(F.col("lang") == "fr", 2).when(F.col("lang") == "de", 3).otherwise(4)
+    claims = rows.select(F.concat_ws("-", F.col("doc_id").cast("string"), "id").alias("id"), "condition", "action", drawer.alias("drawer"))
+    negatives = table(spark, folder, "labels").where("toxic = 1").select(F.col("doc_id").alias("id"), F.col("doc_id").alias("ord"), F.lit("toxic").alias("reason"), F.lit(1).alias("drawer"))
+    return compress.compress(claims, negatives)[1]
+
+
+@query()
+def extract_by_choice(spark, folder):
+    return extract.extract(segments(spark, folder), windowing={"least": 4, "length": 600}, sizes=(1, 2, 3), least=10)
+
+
 @query(EXTRACTED_SQL + " select doc_id, count(*) as n from sig where not contains(condition || action, chr(10)) group by 1")
 def bundles_parsed(spark, folder):
     """Signatures rendered as bundle documents, and their rows counted in them again."""
@@ -153,8 +197,6 @@ def bundles_parsed(spark, folder):
 
 @query()
 def blocked_incidents(spark, folder):
-    from ..operators.joins import screen
-
     pages = table(spark, folder, "pages")
-    found = screen(pages, spark.createDataFrame(VECTORS, "id string, pattern string"), "page_id", "html")
+    found = joins.screen(pages, spark.createDataFrame(VECTORS, "id string, pattern string"), "page_id", "html")
     return sinks.incidents(found.join(pages.select("page_id", "html"), "page_id"), "page_id", "html", "2024-01-01T00:00:00Z")
