@@ -5,8 +5,8 @@ but letters and digits as one space) that a lexicon knows becomes its identifier
 identifiers; it matches where its identifiers follow each other among the known sentences of a text. Rules are tried
 in their order, and a place that a rule has matched is not matched again by a later one.
 
-Null and empty texts have no sentence and no row in the result; neither have texts without a matched rule. Repeated rows are reported once for each
-distinct text of an id. Extra columns are ignored. An empty table, lexicon or rule set gives an empty table. The lexicon and
+Null and empty texts have no sentence and no row in the result; neither have texts without a matched rule. Repeated rows are reported
+once; different texts of the same id are read as one, place by place. Extra columns are ignored. An empty table, lexicon or rule set gives an empty table. The lexicon and
 rules are parameters; beyond MOST_SENTENCES sentences the lexicon is joined by a shuffle instead of a broadcast.
 """
 
@@ -60,7 +60,7 @@ def recognise(docs: DataFrame, sentences: tuple[tuple[str, str], ...] = SENTENCE
     """(id, sentence_ids, licences): the known sentences of a text in order, and the licences whose rules match, in rule order."""
     if any("|" in name for name, _ in sentences):
         raise ValueError("sentence identifiers may not contain |")
-    known = known_sentences(docs, sentences, id_col, text_col).groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("at", "sentence_id"))).alias("found"))
+    known = known_sentences(docs, sentences, id_col, text_col).groupBy(id_col).agg(F.array_sort(F.collect_set(F.struct("at", "sentence_id"))).alias("found"))
     rest = F.concat(F.lit("|"), F.array_join(F.transform("found", lambda x: x["sentence_id"]), "||"), F.lit("|"))
     out = known.select(id_col, F.array_join(F.transform("found", lambda x: x["sentence_id"]), " ").alias("sentence_ids"), rest.alias("rest"), F.array().cast("array<string>").alias("matched"))
     for name, sequence in rules:

@@ -8,7 +8,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from claimlake.llm import bpe, components, exact_dedup, jaccard_join, langid, packing, perspective, secrets, topk, warc
+from claimlake.llm import bpe, components, exact_dedup, jaccard_join, langid, licences, packing, perspective, secrets, topk, warc
 
 TEXTS = ["", None, "a" * 3000 + " b", "x  y \n z\n\n\nw", "don't !'s 're''ll  \t q", " " * 500 + "z", "1" * 900 + "abc" * 300, "é b  c\x1c d \x85", "\x00 a\x00b", "tail \n", " lead", "😀😀 a😀b  😀", "a <|endoftext|> b", "the same words here again and again", "the same words here again and again"]
 
@@ -168,3 +168,33 @@ def test_perspectives(spark):
     assert set(found) == {"ann", "bob", "unknown"}
     begin, end = found["ann"].mask[0]
     assert found["ann"].rendered[begin:end] == "hi" and "<|user name=bob|>" in found["ann"].rendered and found["bob"].n_own == 1
+
+
+def test_perspectives_of_clashing_and_empty_tables(spark):
+    turns = spark.createDataFrame([(1, 0, "ann", "", 9), (1, 0, "ann", "", 9), (1, 1, "bob", "z" * 5000, 9)], "conv_id long, turn long, role string, text string, own int")
+    found = {r.perspective: r for r in perspective.rotate(turns).collect()}
+    assert found["ann"].n_turns == 3 and [e - b for b, e in found["ann"].mask] == [0, 0]
+    begin, end = found["bob"].mask[0]
+    assert found["bob"].rendered[begin:end] == "z" * 5000
+    assert perspective.rotate(turns.where("conv_id < 0")).count() == 0
+
+
+def test_licences(spark, docs, empty):
+    notice = "Licensed under the Apache License, Version 2.0.\nYou may not use this file except in compliance with the License."
+    rows = [(1, notice, 0), (1, notice, 0), (2, "x" * 9000 + ". released under the MIT   license!\r\nEnd", 0), (3, None, 0), (4, "", 0), (5, "You may not use this file except in compliance with the License. Licensed under the Apache License, Version 2.0.", 0)]
+    found = {r.doc_id: r for r in licences.recognise(spark.createDataFrame(rows, "doc_id long, text string, norm int")).collect()}
+    assert {i: r.licences for i, r in found.items()} == {1: "Apache-2.0-notice", 2: "MIT", 5: "Apache-2.0"}
+    assert found[5].sentence_ids == "apache-comply apache-short"
+    assert licences.recognise(docs).count() == licences.recognise(empty).count() == 0
+    own = licences.recognise(spark.createDataFrame([(1, "A b. C d.")], "doc_id long, text string"), (("p", "a B"), ("q", "c, d")), (("L", ("p", "q")),))
+    assert own.first().licences == "L"
+
+
+def test_pieces_fill_few_sequences():
+    rng = np.random.default_rng(2)
+    length = np.minimum(rng.geometric(1 / 400, 3000), 2048)
+    needs = np.stack([length, np.ones_like(length), length**2], axis=1).astype(float)
+    for rule in ("norm", "dot"):
+        sequence = packing.best_fit(needs, np.array([2048.0, 2048.0, 2048.0**2]), np.array([1.0, 1e-3, 1e-3]), rule)
+        assert np.bincount(sequence, length).max() <= 2048
+        assert sequence.max() + 1 <= 1.01 * -(-length.sum() // 2048)
