@@ -63,16 +63,24 @@ def exclude_negatives(signatures: DataFrame, negatives: DataFrame) -> DataFrame:
 
 
 def match_concepts(claims: DataFrame, concepts: DataFrame, top: int = 3, least: int = 2) -> DataFrame:
-    """(claim_id, concept_id, score, rank): a point for each term contained, two for the drawer's name."""
-    known = small(concepts)
-    terms = known.select("concept_id", "ord", F.explode("terms").alias("term"), F.lit(1).alias("points"))
-    terms = terms.unionByName(known.select("concept_id", "ord", F.col("drawer_name").alias("term"), F.lit(2).alias("points"))).withColumn("term", F.lower("term"))
+    """(claim_id, concept_id, score, rank): a point for each term contained, two for the drawer's name.
+
+    Concepts with the same terms and drawer always score alike, so they are met as one kind, of which the first `top` can rank.
+    """
+    low = small(concepts).select("concept_id", "ord", F.array_sort(F.transform("terms", lambda x: F.lower(x))).alias("terms"), F.lower("drawer_name").alias("drawer_name"))
+    members = F.slice(F.array_sort(F.collect_list(F.struct("ord", "concept_id"))), 1, top)
+    kinds = low.groupBy("terms", "drawer_name").agg(members.alias("members")).withColumn("first", F.get("members", 0))
+    terms = kinds.select("first", F.explode("terms").alias("term"), F.lit(1).alias("points"))
+    terms = terms.unionByName(kinds.select("first", F.col("drawer_name").alias("term"), F.lit(2).alias("points")))
     # each distinct term is looked for once in a text, however many concepts have it
     texts = claims.select("claim_id", F.lower("text").alias("low"))
     hits = texts.join(F.broadcast(terms.select("term").distinct()), F.contains("low", F.col("term"))).select("claim_id", "term")
-    met = hits.join(F.broadcast(terms), "term").groupBy("claim_id", "concept_id", "ord").agg(F.sum("points").alias("score")).where(F.col("score") >= least)
+    met = hits.join(F.broadcast(terms), "term").groupBy("claim_id", "first").agg(F.sum("points").alias("score")).where(F.col("score") >= least)
+    by = Window.partitionBy("claim_id").orderBy(F.desc("score"), "first")
+    best = met.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top).drop("rank").join(F.broadcast(kinds.select("first", "members")), "first")
+    each = best.select("claim_id", "score", F.inline("members"))
     by = Window.partitionBy("claim_id").orderBy(F.desc("score"), "ord")
-    return met.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top).select("claim_id", "concept_id", F.col("score").cast("long").alias("score"), "rank")
+    return each.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top).select("claim_id", "concept_id", F.col("score").cast("long").alias("score"), "rank")
 
 
 def find_claims(specs: DataFrame, claims: DataFrame) -> DataFrame:
