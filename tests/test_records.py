@@ -72,3 +72,13 @@ def test_theory_and_sinks(spark):
     assert got == {1: "## 1\n- A_B (2): S-1, S-2\n1 negatives\n", 2: "## 2\n- C (1): S-9\n0 negatives\n"}
     assert sinks.to_markdown(spark.createDataFrame([("a|b", None)], "x string, y int")).first().value == "| a\\|b | — |"
     assert tuple(sinks.stage_log(spark.createDataFrame([("ab",), ("c",)], "text string"), "s").first()) == ("s", 2, 3, "ab")
+
+
+def test_tiers_results_and_ids(spark):
+    rows = spark.createDataFrame([("a/Layer_0/x.md",), ("b/guide.md",), (None,)], "path string")
+    tiers = rows.select(records.source_tier(F.col("path"), (("CANON", ("layer_0",)), ("FIRST", ("guide",)))).alias("t")).collect()
+    assert [r.t for r in tiers] == ["CANON", "FIRST", "LATERAL"]
+    results = spark.createDataFrame([(1, 1, None, [("c", "FOUND"), ("d", "ABSENT")]), (1, 2, "failed", [("e", "FOUND")]), (2, 1, None, [])], "doc_id int, drawer int, error string, concepts array<struct<concept_id:string,status:string>>")
+    assert {tuple(r) for r in reports.explode_results(results).collect()} == {(1, 1, "c", "FOUND"), (1, 1, "d", "ABSENT")}
+    ids = spark.createDataFrame([("x", 2), ("x", 1), ("y", 5)], "p string, o int").withColumn("id", reports.seq_id("S", ["p"], ["o"])).collect()
+    assert {(r.p, r.o): r.id for r in ids} == {("x", 1): "S-001", ("x", 2): "S-002", ("y", 5): "S-001"}
