@@ -198,3 +198,30 @@ def test_pieces_fill_few_sequences():
         sequence = packing.best_fit(needs, np.array([2048.0, 2048.0, 2048.0**2]), np.array([1.0, 1e-3, 1e-3]), rule)
         assert np.bincount(sequence, length).max() <= 2048
         assert sequence.max() + 1 <= 1.01 * -(-length.sum() // 2048)
+
+
+def test_licences_in_their_real_wording(spark):
+    mit = """/*
+ * The MIT License (MIT)
+ *
+ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal
+ * in the Software without restriction, including without limitation the rights
+ * to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+ * copies of the Software, and to permit persons to whom the Software is
+ * furnished to do so, subject to the following conditions:
+ *
+ * The above copyright notice and this permission notice shall be included in all
+ * copies or substantial portions of the Software.
+ *
+ * THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+ * IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+ * FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. */"""
+    apache = '# Licensed under the Apache License, Version 2.0 (the "License");\r\n# you may not use this file except in compliance with the License.\r\n# You may obtain a copy'
+    gpl = "// This program is free software; you can redistribute it and/or modify\n// it under the terms of the GNU General Public License as published by\n// the Free Software Foundation; either version 2 of the License, or\n// (at your option) any later version."
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+    plain = "A heading without a mark\nReleased under the MIT License\nCopyright 2020 by us"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."
+    texts = [mit, apache, gpl, bsd, plain, mpl, "; SPDX-License-Identifier: AGPL-3.0-only", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Released under the\n\nMIT License of old"]
+    found = {r.doc_id: r.licences for r in licences.recognise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert found == {0: "MIT-text MIT", 1: "Apache-2.0-notice", 2: "GPL-2.0-or-later", 3: "BSD", 4: "MIT", 5: "MPL-2.0", 6: "AGPL-3.0-only", 7: "CC-BY-SA-4.0"}
