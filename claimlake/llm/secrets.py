@@ -1,7 +1,7 @@
 """Secret scans in DataFrame expressions: three patterns, and sliding-window entropy over candidate strings.
 
 Patterns find assignments to names of secrets, access keys and long hexadecimal numbers. Besides, maximal runs of each
-character class (hexadecimal, base64) are candidates; a window slides over a candidate while the counts of its
+character class (hexadecimal in either case, base64) are candidates; a window slides over a candidate while the counts of its
 characters are kept up to date, one added and one removed at each step, and so is the sum of c*log2(c) that gives the
 window's Shannon entropy. The windows that reach the class's entropy make a span, from the first's start to the last's end.
 Candidates that the allow-list matches, or that lack a digit or a letter, are suppressed; the patterns' spans always stay.
@@ -27,7 +27,7 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 #: Name, alphabet, pattern of candidates, window in characters, bits of entropy a window needs.
 CLASSES = (
-    ("hex", "0123456789abcdef", r"(?<![A-Za-z0-9])[0-9a-f]{20,}(?![A-Za-z0-9])", 20, 2.75),
+    ("hex", "0123456789abcdefABCDEF", r"(?<![A-Za-z0-9])[0-9A-Fa-f]{20,}(?![A-Za-z0-9])", 20, 2.75),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}", 24, 3.9),
 )
 ALLOWED = r"(?i)example|sample|placeholder|dummy|lorem|0123456789|abcdefghij|^[0-9a-f]{8}-[0-9a-f]{4}-|^(.{1,4})\1+.{0,4}$"

@@ -225,3 +225,11 @@ def test_licences_in_their_real_wording(spark):
     texts = [mit, apache, gpl, bsd, plain, mpl, "; SPDX-License-Identifier: AGPL-3.0-only", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Released under the\n\nMIT License of old"]
     found = {r.doc_id: r.licences for r in licences.recognise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert found == {0: "MIT-text MIT", 1: "Apache-2.0-notice", 2: "GPL-2.0-or-later", 3: "BSD", 4: "MIT", 5: "MPL-2.0", 6: "AGPL-3.0-only", 7: "CC-BY-SA-4.0"}
+
+
+def test_hexadecimal_keys_in_any_case(spark):
+    keys = ["9F86D081884C7D659A2FEAA0C55AD015A3BF4F1B", "9f86D081884c7D659A2feaa0C55ad015", "9f86d081884c7d659a2feaa0"]
+    texts = [f"see {key} there" for key in keys] + ["A" * 30 + "0", "x9F86D081884C7D659A2FEAA0"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in secrets.report(rows).where("n_entropy > 0").collect()} == {0, 1, 2}
+    assert {r.text for r in secrets.redact(rows.where("doc_id < 3")).collect()} == {"see [SECRET] there"}
