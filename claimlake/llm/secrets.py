@@ -4,7 +4,8 @@ Patterns find assignments to names of secrets, access keys and long hexadecimal
 character class (hexadecimal in either case, base64) are candidates; a window slides over a candidate while the counts of its
 characters are kept up to date, one added and one removed at each step, and so is the sum of c*log2(c) that gives the
 window's Shannon entropy. The windows that reach the class's entropy make a span, from the first's start to the last's end.
-Candidates that the allow-list matches, or that lack a digit or a letter, are suppressed; the patterns' spans always stay.
+Candidates that lack a digit or a letter are suppressed, and so are spans that lie within one match of the allow-list as a
+whole: a run of its words and sequences, or a candidate that is a UUID or repeats itself. The patterns' spans always stay.
 
 Spans count code points, ends exclusive. Null counts as the empty text; a text without finds has zero counts and an
 empty list of spans. Repeated rows are scanned alike. An empty table gives an empty table. Extra columns are ignored.
@@ -30,7 +31,11 @@ CLASSES = (
     ("hex", "0123456789abcdefABCDEF", r"(?<![A-Za-z0-9])[0-9A-Fa-f]{20,}(?![A-Za-z0-9])", 20, 2.75),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}", 24, 3.9),
 )
-ALLOWED = r"(?i)example|sample|placeholder|dummy|lorem|0123456789|abcdefghij|^[0-9a-f]{8}-[0-9a-f]{4}-|^(.{1,4})\1+.{0,4}$"
+#: Words and sequences that mean nothing, as runs of any length, and whole candidates of two kinds.
+ALLOWED = (
+    r"(?i)(?:[+/_=-]*(?:example|sample|placeholder|dummy|lorem|0123456789(?:abcdef)?|abcdefghij(?:klmnopqrstuvwxyz)?))+[+/_=-]*"
+    r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^(.{1,4})\1+.{0,4}$"
+)
 
 
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
@@ -94,21 +99,34 @@ def _hot(candidate: Column, alphabet: str, window: int, bits: float) -> Column:
     return F.aggregate(steps, start.cast(kind), lambda state, step: slide(state, step).cast(kind), lambda state: F.struct(state["first"].alias("first"), state["last"].alias("last")))
 
 
-def _span_of(alphabet: str, window: int, bits: float):
+def _measured(alphabet: str, window: int, bits: float):
     def span(x: Column) -> Column:
         hot = _hot(x["value"], alphabet, window, bits)
-        return F.struct((x["begin"] + hot["first"]).alias("begin"), (x["begin"] + hot["last"] + window).alias("end"), hot["first"].alias("first"))
+        return F.struct(hot.alias("hot"), x["begin"].alias("begin"), x["value"].alias("value"))
 
     return span
 
 
+def _unlisted(window: int):
+    """Whether a candidate has a span that no match of the allow-list covers."""
+
+    def kept(x: Column) -> Column:
+        covers = lambda m: (m["begin"] <= x["hot"]["first"]) & (m["end"] >= x["hot"]["last"] + window)
+        return (x["hot"]["first"] >= 0) & ~F.when(x["value"].rlike(ALLOWED), F.exists(_matches(x["value"], ALLOWED), covers)).otherwise(F.lit(False))
+
+    return kept
+
+
+def _span_of(window: int):
+    return lambda x: F.struct((x["begin"] + x["hot"]["first"]).alias("begin"), (x["begin"] + x["hot"]["last"] + window).alias("end"))
+
+
 def _entropy_spans(text: Column) -> Column:
     spans = []
     for _, alphabet, pattern, window, bits in CLASSES:
-        candidates = F.filter(_found(text, text.rlike(pattern), pattern), lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]") & ~x["value"].rlike(ALLOWED))
-
-        spans.append(F.filter(F.transform(candidates, _span_of(alphabet, window, bits)), lambda x: x["first"] >= 0))
-    return F.array_distinct(F.transform(F.concat(*spans), lambda x: F.struct(x["begin"].alias("begin"), x["end"].alias("end"))))
+        candidates = F.filter(_found(text, text.rlike(pattern), pattern), lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]"))
+        spans.append(F.transform(F.filter(F.transform(candidates, _measured(alphabet, window, bits)), _unlisted(window)), _span_of(window)))
+    return F.array_distinct(F.concat(*spans))
 
 
 def _marked(kind_no: int):

@@ -233,3 +233,14 @@ def test_hexadecimal_keys_in_any_case(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id for r in secrets.report(rows).where("n_entropy > 0").collect()} == {0, 1, 2}
     assert {r.text for r in secrets.redact(rows.where("doc_id < 3")).collect()} == {"see [SECRET] there"}
+
+
+def test_allowed_words_hide_no_secret_beside_them(spark):
+    key = "q7ZxV2mK9pLw4Tn8RbYc1HdJ6sGfA3eUoX5iN0Mt"
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    hidden = [f"sample_key={key}", f"/example/{key}", f"{uuid}-{key}", f"{key}0123456789abcdef"]
+    plain = ["example_placeholder_0123456789_dummy", "0123456789abcdef0123456789abcdef", "abcdefghijklmnopqrstuvwxyz0123456789", uuid]
+    rows = spark.createDataFrame(list(enumerate(hidden + plain)), "doc_id long, text string")
+    found = {r.doc_id: r.n_entropy for r in secrets.report(rows).collect()}
+    assert found == {i: int(i < len(hidden)) for i in range(len(hidden + plain))}
+    assert all(key not in r.text for r in secrets.redact(rows).collect())
