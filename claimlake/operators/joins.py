@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,22 +64,36 @@ def exclude_negatives(signatures: DataFrame, negatives: DataFrame) -> DataFrame:
     return signatures.join(reasons, hit, "left_anti")
 
 
-def match_concepts(claims: DataFrame, concepts: DataFrame, top: int = 3, least: int = 2) -> DataFrame:
+def _hits(texts: DataFrame, terms: DataFrame, most: int) -> DataFrame:
+    """(claim_id, term): the distinct terms contained in each text. The terms are broadcast block by block, of about half of `most` each."""
+    count = terms.count()
+    blocks = 1 if count <= most else -(-2 * count // most)
+    if blocks == 1:
+        parts = [terms]
+    else:
+        numbered = terms.withColumn("block", F.pmod(F.xxhash64("term"), F.lit(blocks)))
+        parts = [numbered.where(F.col("block") == i).drop("block") for i in range(blocks)]
+    met = [texts.join(F.broadcast(part), F.contains("low", F.col("term"))).select("claim_id", "term") for part in parts]
+    return reduce(DataFrame.unionByName, met)
+
+
+def match_concepts(claims: DataFrame, concepts: DataFrame, top: int = 3, least: int = 2, most: int = MOST_LEXICON_ROWS) -> DataFrame:
     """(claim_id, concept_id, score, rank): a point for each term contained, two for the drawer's name.
 
     Concepts with the same terms and drawer always score alike, so they are met as one kind, of which the first `top` can rank.
+    Any number of concepts may be given: only distinct terms are broadcast, over `most` of them in blocks.
     """
-    low = small(concepts).select("concept_id", "ord", F.array_sort(F.transform("terms", lambda x: F.lower(x))).alias("terms"), F.lower("drawer_name").alias("drawer_name"))
+    low = concepts.select("concept_id", "ord", F.array_sort(F.transform("terms", lambda x: F.lower(x))).alias("terms"), F.lower("drawer_name").alias("drawer_name"))
     members = F.slice(F.array_sort(F.collect_list(F.struct("ord", "concept_id"))), 1, top)
     kinds = low.groupBy("terms", "drawer_name").agg(members.alias("members")).withColumn("first", F.get("members", 0))
     terms = kinds.select("first", F.explode("terms").alias("term"), F.lit(1).alias("points"))
     terms = terms.unionByName(kinds.select("first", F.col("drawer_name").alias("term"), F.lit(2).alias("points")))
     # each distinct term is looked for once in a text, however many concepts have it
     texts = claims.select("claim_id", F.lower("text").alias("low"))
-    hits = texts.join(F.broadcast(terms.select("term").distinct()), F.contains("low", F.col("term"))).select("claim_id", "term")
-    met = hits.join(F.broadcast(terms), "term").groupBy("claim_id", "first").agg(F.sum("points").alias("score")).where(F.col("score") >= least)
+    hits = _hits(texts, terms.select("term").distinct(), most)
+    met = hits.join(terms, "term").groupBy("claim_id", "first").agg(F.sum("points").alias("score")).where(F.col("score") >= least)
     by = Window.partitionBy("claim_id").orderBy(F.desc("score"), "first")
-    best = met.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top).drop("rank").join(F.broadcast(kinds.select("first", "members")), "first")
+    best = met.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top).drop("rank").join(kinds.select("first", "members"), "first")
     each = best.select("claim_id", "score", F.inline("members"))
     by = Window.partitionBy("claim_id").orderBy(F.desc("score"), "ord")
     return each.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top).select("claim_id", "concept_id", F.col("score").cast("long").alias("score"), "rank")
