@@ -5,8 +5,8 @@ the first boundary that both have in their overlap and that holds in any context
 start of white space), and the pieces between the stitches are encoded. Where an overlap has no such boundary, because
 one run of characters is longer than it, the two chunks stay together as one segment. Decoding concatenates the bytes of the ids.
 
-Null and empty texts have no ids. Repeated rows and ids are kept apart only as far as their text is; rows that share an id
-must share their text if it is longer than a chunk (such rows are encoded once and joined back). Columns of `docs` other
+Null and empty texts have no ids. Every row comes back with the ids of its own text, also rows with a null or a repeated id; of long texts,
+rows that share id and text are encoded once and joined back. Columns of `docs` other
 than the id and the text are ignored, so that their names can't clash. An empty table gives an empty table.
 """
 
@@ -119,10 +119,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     span = chunk_chars + overlap_chars
     short = texts.where(F.length("text") <= span).mapInArrow(_encode_rows(ranks_path, pattern, ["key"]), f"key {kind}, ids binary")
 
-    long = texts.where(F.length("text") > span)
+    # equal structs may hold nulls, so that rows without an id find their ids as well
+    long = texts.where(F.length("text") > span).select(F.struct("key", F.sha2("text", 256).alias("digest")).alias("key"), "text")
+    long_kind = f"struct<key:{kind},digest:string>"
     chunks = long.dropDuplicates(["key"]).select("key", F.length("text").alias("chars"), F.explode(F.sequence(F.lit(0), F.expr(f"cast((length(text) - 1) div {chunk_chars} as int)"))).alias("chunk"), "text")
     chunks = chunks.select("key", "chunk", F.substring("text", F.col("chunk") * chunk_chars + 1, F.lit(span)).alias("text")).repartition("key", "chunk")
-    points = chunks.mapInArrow(_points_of_chunks(ranks_path, pattern, chunk_chars, overlap_chars), f"key {kind}, chunk int, head array<int>, tail array<int>")
+    points = chunks.mapInArrow(_points_of_chunks(ranks_path, pattern, chunk_chars, overlap_chars), f"key {long_kind}, chunk int, head array<int>, tail array<int>")
     in_order = Window.partitionBy("key").orderBy("chunk")
     cuts = points.select("key", "chunk", F.array_min(F.array_intersect("tail", F.lead("head").over(in_order))).alias("cut"), F.lead("chunk").over(in_order).isNull().alias("is_last"))
     cuts = cuts.select(
@@ -135,9 +137,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     end = F.when(F.col("is_last"), F.lit(span)).otherwise(F.coalesce(F.col("cut") - offset, F.lit(chunk_chars)))
     parts = chunks.join(cuts, ["key", "chunk"]).select("key", "segment", "chunk", F.substring("text", begin + 1, end - begin).alias("text"))
     segments = parts.groupBy("key", "segment").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "text"))), lambda x: x["text"]), "").alias("text"))
-    encoded = segments.mapInArrow(_encode_rows(ranks_path, pattern, ["key", "segment"]), f"key {kind}, segment bigint, ids binary")
+    encoded = segments.mapInArrow(_encode_rows(ranks_path, pattern, ["key", "segment"]), f"key {long_kind}, segment bigint, ids binary")
     whole = encoded.groupBy("key").agg(F.reduce(F.array_sort(F.collect_list(F.struct("segment", "ids"))), F.lit(b""), lambda done, x: F.concat(done, x["ids"])).alias("ids"))
-    whole = long.select("key").join(whole, "key")
+    whole = long.select("key").join(whole, "key").select("key.key", "ids")
     return short.unionByName(whole).select(F.col("key").alias(id_col), "ids")
 
 

@@ -244,3 +244,12 @@ def test_allowed_words_hide_no_secret_beside_them(spark):
     found = {r.doc_id: r.n_entropy for r in secrets.report(rows).collect()}
     assert found == {i: int(i < len(hidden)) for i in range(len(hidden + plain))}
     assert all(key not in r.text for r in secrets.redact(rows).collect())
+
+
+def test_long_texts_of_null_and_repeated_ids_keep_their_own_ids(spark):
+    texts = [(None, "ab cd " * 50), (None, "1 2 3 " * 60), (None, "short"), (7, "x yz " * 70), (7, "other words " * 40), (7, "x yz " * 70), (7, "z")]
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    own = bpe.encode(spark.createDataFrame(texts, "doc_id long, text string"), path, P.PATTERN, chunk_chars=97, overlap_chars=13)
+    found = sorted((r.doc_id or 0, np.frombuffer(r.ids, "<u4").tolist()) for r in own.collect())
+    whole = encoding("byte_bpe_multi_50k.tiktoken")
+    assert found == sorted((i or 0, whole.encode_ordinary(text)) for i, text in texts)
