@@ -2,7 +2,7 @@
 
 Training counts hashed character trigrams (a letter with both its neighbours) of every labelled document, per language.
 Inference runs expectation-maximisation over each document's trigrams: the expected share of each language explains them
-as a mixture. From the shares, nested language sets of growing size are fitted again, and the set with the highest
+as a mixture. From the shares, nested language sets of every size are fitted again, and the set with the highest
 likelihood less a penalty for each language more is selected; the prediction is its largest language, the score its share.
 
 A text that is null or has no letter is `und` with score 0. Rows whose language label is null take no part in training.
@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 #: Trigrams are hashed to so many buckets; a model has at most BUCKETS rows for each language.
 BITS = 16
 BUCKETS = 1 << BITS
-#: At most so many languages explain one document.
-MAX_LANGUAGES = 3
 STEPS, REFIT_STEPS = 12, 8
 #: Log-likelihood that each language more has to gain, as a multiple of log(letters), and as a share of the letters.
 PENALTY, PENALTY_SHARE = 6.0, 0.02
@@ -116,7 +114,7 @@ def infer(texts: list[str], table: np.ndarray) -> np.ndarray:
     rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1)
     best = best_value = None
     penalty = PENALTY * np.log(total + 1) + PENALTY_SHARE * total
-    for size in range(1, min(MAX_LANGUAGES, p.shape[1]) + 1):
+    for size in range(1, p.shape[1] + 1):
         start = np.where(rank < size, np.maximum(share, 1e-3), 0).astype(np.float32)
         start /= start.sum(axis=1, keepdims=True)
         fitted, value = _fit(p, count, of, starts, total, start, REFIT_STEPS if size > 1 else 0)

@@ -253,3 +253,14 @@ def test_long_texts_of_null_and_repeated_ids_keep_their_own_ids(spark):
     found = sorted((r.doc_id or 0, np.frombuffer(r.ids, "<u4").tolist()) for r in own.collect())
     whole = encoding("byte_bpe_multi_50k.tiktoken")
     assert found == sorted((i or 0, whole.encode_ordinary(text)) for i, text in texts)
+
+
+def test_mixture_of_more_than_three_languages(spark):
+    rng = np.random.default_rng(3)
+    letters = ["abcde", "fghij", "klmno", "pqrst", "uvwxy"]
+    words = [" ".join("".join(rng.choice(list(own), 5)) for _ in range(300)) for own in letters]
+    model = langid.train(spark.createDataFrame([(w, f"l{i}") for i, w in enumerate(words)], "text string, lang string"))
+    rows = spark.createDataFrame([(n, " ".join(words[:n])) for n in range(1, 6)], "doc_id long, text string")
+    found = {r.doc_id: r for r in langid.predict(rows, model).collect()}
+    assert {n: sorted(r.mixture) for n, r in found.items()} == {n: [f"l{i}" for i in range(n)] for n in range(1, 6)}
+    assert all(abs(r.score - 1 / n) < 0.02 for n, r in found.items())
