@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path(MULTI_RANKS), public_tokenizers.PATTERN
-    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern)
+    decoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern, wanted=("n_tokens", "ids_sha256", "decoded"))
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

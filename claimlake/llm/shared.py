@@ -1,14 +1,21 @@
-"""Where the operators of this subpackage keep intermediate tables, and a bounded membership filter."""
+"""Where the operators of this subpackage keep intermediate tables, slices of Arrow batches, and a bounded membership filter."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIR: dict[str, str] = {}
+#: Lists of the folders written inside open scratch() blocks, the innermost last.
+_OPEN: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,7 +33,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/claimlake/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/claimlake/{name}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -37,34 +47,59 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: 2**18 words of 64 bits: 4 MB as rows, whatever the size of the input.
-BITMAP_WORDS = 1 << 18
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def membership_bitmap(members: DataFrame, key: str, words: int = BITMAP_WORDS) -> DataFrame:
-    """A bitmap of the hashed keys in `members`, as at most `words` rows (word, bits)."""
-    hashed = F.xxhash64(key)
-    return (
-        members.select(F.pmod(hashed, F.lit(words)).alias("word"), _bit(hashed).alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-    )
+@contextmanager
+def scratch(spark: SparkSession):
+    """Deletes at its end the intermediate tables written inside; results needed afterwards must be written by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            delete(spark, path)
+
+
+def parts(batch: pa.RecordBatch, column: str = "text", most_bytes: int = 1 << 21, most_rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about `most_bytes` together, so that memory follows bytes, not rows; one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        before = ends[begin - 1] if begin else 0
+        end = min(begin + most_rows, max(begin + 1, int(np.searchsorted(ends, before + most_bytes, "right"))))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+#: Bits that a bitmap has for each member, and the words of 64 bits that it has at most: 2**20, about 50 MB once broadcast.
+BITS_A_MEMBER, MOST_BITMAP_WORDS = 16, 1 << 20
+
+
+def bitmap_words(members: int) -> int | None:
+    """Words of a bitmap for so many members; None if it would not shut out enough within its bound."""
+    words = 1 << max(8, (members * BITS_A_MEMBER // 64).bit_length())
+    return words if words <= 4 * MOST_BITMAP_WORDS else None
 
 
 def _bit(hashed: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.call_function("shiftrightunsigned", hashed, F.lit(40)).cast("int") % 64)
 
 
-def maybe_member(df: DataFrame, key: str, bitmap: DataFrame, words: int = BITMAP_WORDS) -> DataFrame:
-    """Rows of df whose key may be in the bitmap: all real members, few others; an exact join has to follow.
+def maybe_member(df: DataFrame, key: str, members: DataFrame, count: int) -> tuple[DataFrame, DataFrame | None]:
+    """(maybe, surely_not): rows whose key may be among the members, all real ones and few others, and the rest.
 
-    The bitmap has at most `words` rows, so that it may be broadcast for any size of the input.
+    An exact join of the first part has to follow. The members' hashed bitmap has at most MOST_BITMAP_WORDS rows and is broadcast; where
+    it would hold too many members to tell anything, every row is a maybe and there is no rest.
     """
-    bitmap = bitmap.select(F.col("word").alias("__word"), F.col("bits").alias("__bits"))
+    words = bitmap_words(count)
+    if words is None:
+        return df, None
+    words = min(words, MOST_BITMAP_WORDS)
     hashed = F.xxhash64(key)
-    return (
-        df.withColumn("__hash", hashed)
-        .join(F.broadcast(bitmap), F.pmod("__hash", F.lit(words)) == F.col("__word"))
-        .where(F.col("__bits").bitwiseAND(_bit(F.col("__hash"))) != 0)
-        .drop("__hash", "__word", "__bits")
-    )
+    bits = members.select(F.pmod(hashed, F.lit(words)).alias("__word"), _bit(hashed).alias("__bit")).groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    met = df.withColumn("__hash", hashed).join(F.broadcast(bits), F.pmod("__hash", F.lit(words)) == F.col("__word"), "left")
+    hit = F.coalesce(F.col("__bits").bitwiseAND(_bit(F.col("__hash"))) != 0, F.lit(False))
+    return met.where(hit).select(df.columns), met.where(~hit).select(df.columns)
