@@ -3,102 +3,32 @@
 Each piece of a document needs tokens, one place among a sequence's documents, and attention cost (the square of its
 length, as tokens attend within their own document). A piece goes, longest first, into the open sequence that has room
 under every capacity and either leaves the smallest weighted norm of residuals ("norm") or has the largest weighted dot
-product of needs and residuals ("dot"). Pieces are dealt at random into groups of about `group_pieces`, which are packed
-independently: a group's loss is a sequence or two of thousands, and no task ever holds more than a group.
+product of needs and residuals ("dot"). Pieces are dealt at random, by their row, into groups of about `group_pieces`, which are packed
+independently: a group's loss is a sequence or two of thousands, and no task ever holds more than a group, however often a row repeats.
 
-Null and empty texts consist of the end id alone. Repeated rows are packed as often as they occur. Extra columns are
-ignored. An empty table gives an empty table.
+Null and empty texts consist of the end id alone. A text of any length is encoded whole and cut; a worker holds a slice of texts of
+bounded bytes, or one longer text. Pieces of equal needs go by id and place. Repeated rows are packed as often as they occur. Extra
+columns are ignored. An empty table gives an empty table. The ids are those of the tokenizer file with the vocabulary of the ranks.
 """
 
 from __future__ import annotations
 
-import base64
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialise
+from .bpe import codec
+from .shared import materialise, parts
 
 GROUP_PIECES = 10_000
-#: Words that a Python worker remembers.
-MEMO_WORDS = 800_000
 END = (0).to_bytes(4, "little")
 
 
-class WordIds:
-    """ids of whole texts, put together from remembered words.
-
-    A space between two characters that aren't white space always starts a piece of the byte-level pattern, and so does a
-    line end between two such characters; the words between them can be encoded apart. New words are encoded
-    together, as one text, whose ids the lengths of their bytes deal out again. Texts with other white space are encoded whole.
-    The ids are those of the tokenizer file with the same vocabulary, which tests hold them against.
-    """
-
-    def __init__(self, ranks_path: str, pattern: str):
-        with open(ranks_path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = len(token)
-        self.memo: dict[str, bytes | None] = {}
-
-    def _whole(self, text: str) -> np.ndarray:
-        return np.asarray(self.encoding.encode_ordinary(text), "<u4")
-
-    def _learn_clean(self, words: list[str], before: str) -> None:
-        """Encode words one after another, each with `before` in front, which is no part of its ids."""
-        if not words:
-            return
-        ids = self._whole("".join(before + w for w in words))
-        ends = np.cumsum([len(w.encode()) + len(before) for w in words])
-        cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
-        raw, begin = ids.tobytes(), 0
-        for word, end in zip(words, cuts.tolist(), strict=True):
-            self.memo[word] = raw[4 * (begin + len(before)) : 4 * end]
-            begin = end
-
-    def _learn(self, words: set[str]) -> None:
-        """Words with a leading space or none; None for those that can't stand alone."""
-        if len(self.memo) + len(words) > MEMO_WORDS:
-            self.memo.clear()
-        self.memo.update(dict.fromkeys(words))
-        clean = [w for w in words if w and (bare := w[1:] if w[0] == " " else w) and bare == bare.strip() and "\n" not in bare]
-        self._learn_clean([w for w in clean if w[0] == " "], "")
-        self._learn_clean([w for w in clean if w[0] != " "], "\n")
-        self.memo["\n"] = self._whole("\n").tobytes()
-
-    def _words(self, text: str) -> list[str]:
-        if "\n" not in text:
-            return text.replace(" ", "\0 ").split("\0")
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [self._words(t) if t and "\0" not in t else [] for t in texts]
-        if new := set().union(*words).difference(self.memo):
-            self._learn(new)
-        out = []
-        for text, own in zip(texts, words, strict=True):
-            try:
-                out.append(b"".join(map(self.memo.__getitem__, own)) if own else self._whole(text).tobytes())
-            except (TypeError, KeyError):  # a word that can't stand alone, or the memo started anew
-                out.append(self._whole(text).tobytes())
-        return out
-
-
-@lru_cache(maxsize=4)
-def word_ids(ranks_path: str, pattern: str) -> WordIds:
-    """One for each Python worker."""
-    return WordIds(ranks_path, pattern)
-
-
 def cut(total: int, most: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document: all of `most` tokens but the first, which may be shorter."""
     if total <= most:
@@ -113,20 +43,19 @@ def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, max_tokens: int
     schema = f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = word_ids(ranks_path, pattern)
+        own = codec(ranks_path, pattern)
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][: 4 + with_ids]
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in parts(batch):
                 rows, of = [], []
-                for row, ids in enumerate(own.encode(part.column("text").to_pylist())):
-                    ids += END
+                for row, text in enumerate(part.column("text")):
+                    ids = own.encode(text.as_py()) + END
                     for piece, (start, length) in enumerate(cut(len(ids) // 4, max_tokens)):
                         of.append(row)
                         own_ids = ids[4 * start : 4 * (start + length)]
-                        rows.append((piece, start, length, zlib.crc32(own_ids), own_ids))
-                columns = list(zip(*rows, strict=True)) or [()] * 5
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][: 4 + with_ids]
-                yield pa.RecordBatch.from_arrays([part.column("key").take(pa.array(of, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=False))], ["key", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids])
+                        rows.append((piece, start, length, zlib.crc32(own_ids), own_ids)[: 4 + with_ids])
+                columns = list(zip(*rows, strict=True))
+                yield pa.RecordBatch.from_arrays([part.column("key").take(pa.array(of, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["key", "piece", "start", "length", "ids_crc32", "ids"][: 5 + with_ids])
 
     texts = docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return texts.mapInArrow(run, schema)
@@ -161,10 +90,15 @@ def best_fit(needs: np.ndarray, capacities: np.ndarray, weights: np.ndarray, rul
 
 
 def pack(pieces: DataFrame, max_tokens: int, max_documents: int | None = None, max_attention: int | None = None, weights: tuple[float, float, float] = (1.0, 1e-3, 1e-3), rule: str = "norm", group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """Adds sequence_id and offset to pieces (key, piece, start, length, ...); capacities that are None never bind."""
+    """Adds sequence_id and offset to pieces (key, piece, start, length, ...); capacities that are None never bind.
+
+    Attention costs of a sequence add up to less than its tokens squared, so that their capacity binds only below the square of
+    max_tokens, which pieces cut shorter than max_tokens allow.
+    """
     capacities = np.array([max_tokens, max_documents or max_tokens, max_attention or max_tokens**2], float)
     if capacities[2] < 1 or rule not in ("norm", "dot"):
         raise ValueError("capacities must be positive, and the rule norm or dot")
+    pieces = materialise(pieces, "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -179,11 +113,11 @@ def pack(pieces: DataFrame, max_tokens: int, max_documents: int | None = None, m
         return group.drop(columns="grp")
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64("key", "piece", "start", "ids_crc32"), F.lit(groups)))
+    # by the row's place in the written table, which is the same in every attempt; so repeated rows don't meet in one group
+    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("grp").applyInPandas(run, f"{fields}, sequence_id bigint, offset bigint")
 
 
 def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, max_tokens: int = 2048, id_col: str = "doc_id", text_col: str = "text", **capacities) -> DataFrame:
-    """Tokenise once into a shared table, then pack its pieces."""
-    pieces = materialise(token_pieces(docs, ranks_path, pattern, max_tokens, id_col, text_col), "pieces")
-    return pack(pieces, max_tokens, **capacities).withColumnRenamed("key", id_col)
+    """Tokenise into pieces and pack these."""
+    return pack(token_pieces(docs, ranks_path, pattern, max_tokens, id_col, text_col), max_tokens, **capacities).withColumnRenamed("key", id_col)
