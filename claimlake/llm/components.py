@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialise
+from .shared import delete, fresh_path
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -25,13 +25,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with an edge; component is its smallest node.
 
-    edges: columns u and v of one orderable type. Each round is written to the shared folder, so that plans don't grow;
-    only two numbers come to the driver. Loops and nulls are ignored.
+    edges: columns u and v of one orderable type. Each round is written to the shared folder and the one before deleted, so that neither
+    plans nor tables pile up; only two numbers come to the driver. Loops and nulls are ignored.
     """
+    spark = edges.sparkSession
+
+    def written(rows: DataFrame) -> tuple[DataFrame, str]:
+        path = fresh_path(spark, "edges")
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path), path
+
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u is not null and v is not null and u <> v").distinct()
-    edges, before = materialise(edges, "edges"), None
+    (edges, path), before = written(edges), None
     while True:
-        edges = materialise(_small_star(_large_star(edges)), "edges")
+        (edges, newer), older = written(_small_star(_large_star(edges))), path
+        delete(spark, older)
+        path = newer
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -8,12 +8,17 @@ occur often enough for the long lists to make up the rest, and probes the long l
 A shard passes over classes that it has already linked, so a group of near copies costs links in proportion to its size,
 not its pairs; the links found connect the same documents as all links would.
 
-Rarity is a count in a hashed table of fixed size over the whole corpus; it only orders the lists, so collisions cost time,
-not results. Shingles are compared by 64-bit hashes and classes by 128 bits.
+Classes go to shards by their smallest shingle hash, which two similar sets share as often as they are similar, so that a class visits
+few shards but its own; classes of one such hash beyond a shard's size are split over several. Postings of a frequent shingle are dealt
+over as many tasks as its count asks for, and meet not each other but one summary for each shard that has the shingle.
+
+Rarity is a count in a hashed table of fixed size over the whole corpus. It only orders the lists and tells which are split, so collisions cost
+time, not results; a shingle stands out of the table's noise, the root of the mean count, once it is more frequent than that. Shingles are compared by
+64-bit hashes and classes by 128 bits.
 
 Words are split at ASCII white space, with A-Z in lower case. A text of fewer words than a shingle is one shingle. A text that
-is null or without words has no set, links with nothing and is its own component. Repeated rows are a class like other
-copies. Extra columns are ignored. An empty table gives an empty table.
+is null or without words has no set, links with nothing and is its own component; so is a row without an id. Repeated rows are a class like other
+copies. Texts of any length are taken whole. Extra columns are ignored by join() and kept by one_of_each(), whatever their names. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -29,49 +34,73 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import materialise, maybe_member, membership_bitmap
+from .shared import materialise, maybe_member, parts
 
 WORDS, SIMILARITY = 5, (80, 100)
 #: Counters of the rarity table (4 bytes each), and how many a row of it holds.
-COUNTERS, COUNTERS_A_ROW = 1 << 20, 1 << 14
-MEMO_WORDS = 600_000
-#: Classes whose sets a shard of the index holds.
-SHARD_CLASSES = 1_500
+COUNTERS, COUNTERS_A_ROW = 1 << 21, 1 << 14
+#: Shingles of the classes whose sets a shard of the index holds.
+SHARD_SHINGLES = 1 << 18
+#: Postings of one shingle that a task gets about; more are split.
+HOT = 256
 #: Weight of DivideSkip's estimate of how many long lists to pass over.
 SKIP_WEIGHT = 0.0085
-POSTING = ["token", "fp", "n", "after"]
-#: Classes of a token that are compared one by one, and those of one token that a task holds at most.
-NEAR, MOST_HELD = 24, 200_000
-_FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_word_hashes = _WordHashes()
+POSTING = ["token", "fp", "n", "after", "salts"]
+#: Classes of a token that are compared one by one.
+NEAR = 24
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The finaliser of splitmix64."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _random(n: int, seed: int) -> np.ndarray:
+    return _mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+
+
+_BYTES, _PLACES = _random(256, 1), _random(4096, 2) | np.uint64(1)
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
+def _sum_of_products(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A hash of each run of values: their sum, each times the odd number of its place, mixed with the run's length."""
+    begin = np.cumsum(lengths) - lengths
+    place = np.arange(len(values)) - np.repeat(begin, lengths)
+    factors = _PLACES if lengths.max() <= len(_PLACES) else _random(int(lengths.max()), 2) | np.uint64(1)
+    return _mixed(np.add.reduceat(values * factors[place], begin) + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def sets_of(texts: list[bytes | None], words: int = WORDS) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the shingles of each text (UTF-8)."""
+    texts = [t or b"" for t in texts]
+    data = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)
+    space = _SPACE[data]
+    edges = np.flatnonzero(np.diff(np.r_[True, space, True]))
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return [np.empty(0, np.uint64) for _ in texts]
+    word = _sum_of_products(_BYTES[data[~space]], lengths)
+    bounds = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+    shingle = np.zeros(max(0, len(word) - words + 1), np.uint64)
+    for i in range(words):
+        shingle += word[i : len(word) - words + 1 + i] * _PLACES[i]
+    shingle = _mixed(shingle + np.uint64(words * 0xD6E8FEB86659FD93 % 2**64))
+    out = []
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if high - low >= words:
+            own = np.sort(shingle[low : high - words + 1])
+            out.append(own[np.r_[True, own[1:] != own[:-1]]])
+        else:
+            out.append(_sum_of_products(word[low:high], np.array([high - low])) if high > low else np.empty(0, np.uint64))
+    return out
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text."""
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return np.empty(0, np.uint64)
-    own = np.fromiter(map(_word_hashes.__getitem__, found), np.uint64, len(found))
-    size = min(words, len(own))
-    n = len(own) - size + 1
-    hashed = np.full(n, size, np.uint64)
-    for i in range(size):
-        hashed += own[i : i + n] * (_FACTORS[i % 7] + np.uint64(2 * (i // 7)))
-        if i:
-            hashed ^= hashed >> np.uint64(31)
-    hashed *= _FACTORS[2]
-    hashed ^= hashed >> np.uint64(32)
-    return np.unique(hashed)
+def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    for part in parts(batch):
+        yield part, sets_of(part.column("text").cast(pa.binary()).to_pylist(), words)
 
 
 def _class_of(own: np.ndarray) -> tuple[int, int]:
@@ -84,27 +113,33 @@ def required(n: int, similarity: tuple[int, int]) -> int:
     return max(1, -(-n * similarity[0] // similarity[1]))
 
 
+SCANNED = "key bigint, own bigint, n bigint, fp bigint, fp2 bigint, low bigint, part int, task int, counts binary"
+
+
 def _scan(words: int):
-    """Of each row its set's size and class; at the end the partition's rarity counts over distinct classes."""
+    """Of each row its set's size, class and smallest hash; at the end the partition's rarity counts over distinct classes."""
+    names = [f.split()[0] for f in SCANNED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters, seen = np.zeros(COUNTERS, np.uint32), set()
         for batch in batches:
-            rows = []
-            for text in batch.column("text"):
-                own = shingles(text.as_py(), words)
-                one, two = _class_of(own) if len(own) else (None, None)
-                rows.append((len(own), one, two))
-                if len(own) and one not in seen:
-                    seen.add(one)
-                    counters[(own & np.uint64(COUNTERS - 1)).astype(np.int64)] += 1
-            if rows:
-                n, one, two = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], ["key", "n", "fp", "fp2", "part", "task", "counts"])
+            for part, sets in _sets(batch, words):
+                rows = []
+                for own in sets:
+                    if not len(own):
+                        rows.append((0, None, None, None))
+                        continue
+                    both = _class_of(own)
+                    rows.append((len(own), *both, int(own[:1].view(np.int64)[0])))
+                    if both not in seen:
+                        seen.add(both)
+                        counters[(own & np.uint64(COUNTERS - 1)).astype(np.int64)] += 1
+                k = len(rows)
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("own"), *(pa.array(c, pa.int64()) for c in zip(*rows, strict=True)), *[pa.nulls(k, pa.int32())] * 2, pa.nulls(k, pa.binary())], names)
         if seen:
             packed = [zlib.compress(counters[i : i + COUNTERS_A_ROW].tobytes(), 1) for i in range(0, COUNTERS, COUNTERS_A_ROW)]
             k, task = len(packed), TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, batch.schema.field("key").type), *[pa.nulls(k, pa.int64())] * 3, pa.array(range(k), pa.int32()), pa.array([task] * k, pa.int32()), pa.array(packed, pa.binary())], ["key", "n", "fp", "fp2", "part", "task", "counts"])
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(k, pa.int64())] * 6, pa.array(range(k), pa.int32()), pa.array([task] * k, pa.int32()), pa.array(packed, pa.binary())], names)
 
     return run
 
@@ -127,8 +162,14 @@ def _rarity(counts: DataFrame) -> np.ndarray:
     return out
 
 
-def _postings(sent, words: int, similarity: tuple[int, int]):
-    """(token, fp, n, after) of the rarest shingles of each class that a partition holds.
+def _salts(counts: np.ndarray, usual: float) -> np.ndarray:
+    """Over how many tasks the postings of shingles are dealt, by their counters; 0 for those that the usual counter may hide."""
+    above = counts.astype(np.float64) - usual
+    return np.where(above > HOT + 8 * np.sqrt(usual), above // HOT + 1, 0).astype(np.int32)
+
+
+def _postings(sent, usual: float, words: int, similarity: tuple[int, int]):
+    """(token, fp, n, after, salts) of the rarest shingles of each class that a partition holds.
 
     after counts the shingles of the set from this one on, in the order of rarity.
     """
@@ -136,20 +177,20 @@ def _postings(sent, words: int, similarity: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity, seen = sent.value, set()
         for batch in batches:
-            tokens, classes, sizes, afters = [], [], [], []
-            for text in batch.column("text"):
-                own = shingles(text.as_py(), words)
-                if not len(own) or (one := _class_of(own)[0]) in seen:
-                    continue
-                seen.add(one)
-                keep = len(own) - required(len(own), similarity) + 1
-                order = np.lexsort((own, rarity[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]))[:keep]
-                tokens.append(own[order].view(np.int64))
-                classes.append(np.full(keep, one, np.int64))
-                sizes.append(np.full(keep, len(own), np.int32))
-                afters.append(np.arange(len(own), len(own) - keep, -1, dtype=np.int32))
-            if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, classes, sizes, afters)], POSTING)
+            for _, sets in _sets(batch, words):
+                columns = [[] for _ in POSTING]
+                for own in sets:
+                    if not len(own) or (both := _class_of(own)) in seen:
+                        continue
+                    seen.add(both)
+                    keep = len(own) - required(len(own), similarity) + 1
+                    counts = rarity[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                    order = np.lexsort((own, counts))[:keep]
+                    row = (own[order].view(np.int64), np.full(keep, both[0], np.int64), np.full(keep, len(own), np.int32), np.arange(len(own), len(own) - keep, -1, dtype=np.int32), _salts(counts[order], usual))
+                    for column, values in zip(columns, row, strict=True):
+                        column.append(values)
+                if columns[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], POSTING)
 
     return run
 
@@ -164,47 +205,38 @@ def _may_link(n, after, other_n, other_after, similarity: tuple[int, int]):
 def _shared(similarity: tuple[int, int]):
     """Of postings sorted by token, size and class, those whose token has another class that they may link with.
 
-    Neighbours up to NEAR rows away are compared; postings of tokens with more classes stay if the next by size fits.
+    Neighbours up to NEAR rows away are compared; postings of tokens with more classes stay if the next by size fits. Postings of split tokens all stay.
     """
     low, high = similarity
 
     def kept(rows: list[np.ndarray]) -> pa.RecordBatch:
-        token, fp, n, after = rows
-        new = np.r_[True, (token[1:] != token[:-1]) | (fp[1:] != fp[:-1])]
-        token, fp, n, after = token[new], fp[new], n[new].astype(np.int64), after[new].astype(np.int64)
+        new = np.r_[True, (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1]) | (rows[2][1:] != rows[2][:-1])]
+        rows = [x[new] for x in rows]
+        token, fp, n, after, salts = rows
+        n, after = n.astype(np.int64), after.astype(np.int64)
         begin = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
         many = np.repeat(np.diff(np.r_[begin, len(token)]), np.diff(np.r_[begin, len(token)])) > NEAR + 1
-        keep = np.zeros(len(token), bool)
+        keep = salts > 0
         for d in range(1, min(NEAR, len(token) - 1) + 1):
             may = (token[d:] == token[:-d]) & _may_link(n[:-d], after[:-d], n[d:], after[d:], similarity)
             if d == 1:
                 may |= (token[1:] == token[:-1]) & many[1:] & (high * n[:-1] >= low * n[1:])
             keep[d:] |= may
             keep[:-d] |= may
-        return pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(fp[keep]), pa.array(n[keep].astype(np.int32)), pa.array(after[keep].astype(np.int32))], POSTING)
+        return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in rows], POSTING)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, passing = None, None
+        held = None
         for batch in batches:
-            rows = [batch.column(c).to_numpy() for c in POSTING]
-            if not len(rows[0]):
+            if not batch.num_rows:
                 continue
-            if passing is not None:  # the rest of a token with very many classes
-                rest = int(np.searchsorted(rows[0] != passing, True)) if rows[0][-1] != passing else len(rows[0])
-                yield pa.RecordBatch.from_arrays([pa.array(x[:rest]) for x in rows], POSTING)
-                rows = [x[rest:] for x in rows]
-                if not len(rows[0]):
-                    continue
-                passing = None
+            rows = [batch.column(c).to_numpy() for c in POSTING]
             if held is not None:
                 rows = [np.r_[h, x] for h, x in zip(held, rows, strict=True)]
             last = int(np.argmax(rows[0] == rows[0][-1]))
             if last:
                 yield kept([x[:last] for x in rows])
             held = [x[last:] for x in rows]
-            if len(held[0]) > MOST_HELD:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], POSTING)
-                held, passing = None, held[0][0]
         if held is not None:
             yield kept(held)
 
@@ -236,6 +268,19 @@ def _routes(similarity: tuple[int, int]):
     return run
 
 
+def _hot_routes(hot: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The same for postings of split tokens: a class meets one summary for each shard with its token, in one of the token's parts.
+
+    Sets of similar enough sizes share at least n * similarity shingles, those from the token on among them.
+    """
+    low, high = similarity
+    shards = hot.groupBy("token", F.col("shard").alias("to")).agg(F.min(F.struct("n", "rep")).alias("first"), F.max("n").alias("largest"), F.max("after").alias("most"), F.max("salts").alias("salts"))
+    spread = shards.select("token", "to", "first", "largest", "most", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts").cast("long") - 1)).alias("salt"))
+    met = hot.withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts").cast("long"))).join(spread, ["token", "salt"])
+    may = (F.col("first") < F.struct("n", "rep")) & (F.least("largest", "after", "most") * high >= F.col("n") * low)
+    return met.where(may).select("rep", F.col("to").alias("shard"))
+
+
 class Shard:
     """Inverted lists of some sets, and what has been linked so far."""
 
@@ -292,63 +337,91 @@ def _search(words: int, similarity: tuple[int, int]):
         current, index, ids, sets = None, None, [], []
         for batch in batches:
             links = []
-            for shard, probing, rep, fp, text in zip(*(batch.column(c) for c in ("shard", "probing", "rep", "fp", "text")), strict=True):
-                shard, probing, rep, own = shard.as_py(), probing.as_py(), rep.as_py(), shingles(text.as_py(), words)
-                if shard != current:
-                    current, index, ids, sets = shard, None, [], []
-                if not len(own) or _class_of(own)[0] != fp.as_py():
-                    continue  # another text of a repeated id
-                if not probing:
-                    ids.append(rep)
-                    sets.append(own)
-                elif ids:
-                    index = index or Shard(ids, sets, similarity)
-                    links += index.search(rep, own)
+            for part, found in _sets(batch, words):
+                for shard, probing, rep, fp, own in zip(*(part.column(c).to_pylist() for c in ("shard", "probing", "rep", "fp")), found, strict=True):
+                    if shard != current:
+                        current, index, ids, sets = shard, None, [], []
+                    if not len(own) or _class_of(own)[0] != fp:
+                        continue  # another text of a repeated id
+                    if not probing:
+                        ids.append(rep)
+                        sets.append(own)
+                    elif ids:
+                        index = index or Shard(ids, sets, similarity)
+                        links += index.search(rep, own)
             u, v = zip(*links, strict=True) if links else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
     return run
 
 
-def links(docs: DataFrame, rows: DataFrame, rarity: np.ndarray, words: int, similarity: tuple[int, int]) -> DataFrame:
+def _placed(active: DataFrame) -> tuple[DataFrame, int]:
+    """Classes (fp, rep, n, low) with the shard of their smallest hash, or one of several where that has too many; and the number of shards."""
+    total = active.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shards = max(1, -(-total // SHARD_SHINGLES))
+    large = active.groupBy("low").agg(F.sum("n").alias("size")).where(F.col("size") > SHARD_SHINGLES)
+    split = F.xxhash64("low", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / SHARD_SHINGLES)))
+    shard = F.when(F.col("size").isNull(), F.pmod(F.xxhash64("low"), F.lit(shards))).otherwise(split)
+    return materialise(active.join(large, "low", "left").select("fp", "rep", shard.alias("shard")), "placed"), shards
+
+
+def links(docs: DataFrame, classes: DataFrame, rarity: np.ndarray, words: int, similarity: tuple[int, int]) -> DataFrame:
     """(u, v): links between the smallest ids of classes, enough of them to connect all that all links connect."""
-    spark = docs.sparkSession
-    classes = rows.where("n > 0").groupBy("fp", "fp2").agg(F.min("key").alias("rep"))
-    postings = docs.select("text").mapInArrow(_postings(spark.sparkContext.broadcast(rarity), words, similarity), "token bigint, fp bigint, n int, after int")
-    shared = materialise(postings.repartition("token").sortWithinPartitions("token", "n", "fp").mapInArrow(_shared(similarity), "token bigint, fp bigint, n int, after int"), "shared")
-    active = materialise(classes.join(shared.select("fp").distinct(), "fp").select("fp", "rep"), "active")
-    shards = max(1, -(-active.count() // SHARD_CLASSES))
-    shard = F.pmod(F.xxhash64("rep"), F.lit(shards))
-    listed = shared.join(active, "fp").select("token", "n", "after", "rep", shard.alias("shard"))
-    routes = listed.repartition("token").sortWithinPartitions("token", "n", "rep").mapInArrow(_routes(similarity), "rep bigint, shard bigint").distinct()
+    sent = docs.sparkSession.sparkContext.broadcast(rarity)
+    postings = docs.select("text").mapInArrow(_postings(sent, float(np.median(rarity)), words, similarity), "token bigint, fp bigint, n int, after int, salts int")
+    part = F.when(F.col("salts") > 0, F.pmod("fp", F.col("salts").cast("long"))).otherwise(0)
+    shared = materialise(postings.repartition("token", part).sortWithinPartitions("token", "n", "fp").mapInArrow(_shared(similarity), "token bigint, fp bigint, n int, after int, salts int"), "shared")
+    active = materialise(classes.join(shared.select("fp").distinct(), "fp").select("fp", "rep", "n", "low"), "active")
+    placed, shards = _placed(active)
+    listed = shared.join(placed, "fp").select("token", "n", "after", "salts", "rep", "shard")
+    routes = listed.where("salts = 0").repartition("token").sortWithinPartitions("token", "n", "rep").mapInArrow(_routes(similarity), "rep bigint, shard bigint")
+    routes = routes.unionByName(_hot_routes(listed.where("salts > 0"), similarity)).distinct()
     visits = routes.groupBy("rep").agg(F.collect_list("shard").alias("visits"))
-    texts = maybe_member(docs.select(F.col("key").alias("rep"), "text"), "rep", membership_bitmap(active, "rep"))
-    texts = texts.join(active.join(visits, "rep", "left"), "rep")
-    own = F.array(F.struct(shard.alias("shard"), F.lit(False).alias("probing")))
+    texts, _ = maybe_member(docs.select(F.col("key").alias("rep"), "text"), "rep", active, active.count())
+    texts = texts.join(placed.join(visits, "rep", "left"), "rep")
+    own = F.array(F.struct("shard", F.lit(False).alias("probing")))
     others = F.coalesce(F.transform("visits", lambda x: F.struct(x.alias("shard"), F.lit(True).alias("probing"))), F.array().cast("array<struct<shard:bigint,probing:boolean>>"))
     met = texts.select("rep", "fp", "text", F.explode(F.concat(own, others)).alias("to")).select("to.*", "rep", "fp", "text")
     return met.repartition(shards, "shard").sortWithinPartitions("shard", "probing").mapInArrow(_search(words, similarity), "u bigint, v bigint")
 
 
+def _components(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
+    """(key, own, n, component_id) of rows (key, own, text); own goes along."""
+    if not 0 < similarity[0] <= similarity[1] or words < 1:
+        raise ValueError("similarity must be a share above 0, and shingles need a word")
+    scanned = materialise(docs.mapInArrow(_scan(words), SCANNED), "scanned")
+    rows = scanned.where("part is null")
+    rarity = _rarity(scanned.where("part is not null"))
+    classes = rows.where("n > 0 and key is not null").groupBy("fp", "fp2").agg(F.min("key").alias("rep"), F.max("n").alias("n"), F.max("low").alias("low"))
+    found = connected_components(materialise(links(docs, classes, rarity, words, similarity), "links"))
+    named = classes.join(found, F.col("rep") == F.col("node"), "left").select("fp", "fp2", F.coalesce("component", "rep").alias("component_id"))
+    out = rows.select("key", "own", "n", F.when(F.col("key").isNotNull(), F.col("fp")).alias("fp"), "fp2").join(named, ["fp", "fp2"], "left")
+    return out.select("key", "own", "n", F.coalesce("component_id", "key").alias("component_id"))
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """(id, n_shingles, component_id) of every row; ids are whole numbers.
 
     component_id is the smallest id that links reach; similarity is a percentage as (low, 100).
     """
-    if not 0 < similarity[0] <= similarity[1] or words < 1:
-        raise ValueError("similarity must be a share above 0, and shingles need a word")
-    docs = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
-    scanned = materialise(docs.mapInArrow(_scan(words), "key bigint, n bigint, fp bigint, fp2 bigint, part int, task int, counts binary"), "scanned")
-    rows = scanned.where("part is null").select("key", "n", "fp", "fp2")
-    rarity = _rarity(scanned.where("part is not null"))
-    found = connected_components(materialise(links(docs, rows, rarity, words, similarity), "links"))
-    classes = rows.where("n > 0").groupBy("fp", "fp2").agg(F.min("key").alias("rep"))
-    classes = classes.join(found, F.col("rep") == F.col("node"), "left").select("fp", "fp2", F.coalesce("component", "rep").alias("component_id"))
-    out = rows.join(classes, ["fp", "fp2"], "left")
-    return out.select(F.col("key").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.lit(0).cast("long").alias("own"), F.col(text_col).alias("text"))
+    return _components(rows, words, similarity).select(F.col("key").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """One row of docs of each component, that of the smallest id, by rows, not ids; all rows without a set or an id stay.
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs without those that link, over any number of steps, to a smaller id."""
-    dropped = join(docs, id_col, text_col, **how).where(F.col("component_id") < F.col(id_col)).select(id_col)
-    return docs.join(dropped, id_col, "left_anti")
+    Of several texts of that id the one with the smallest hash stays, of repeated rows one.
+    """
+    key, own = F.col(id_col).cast("long").alias("key"), F.xxhash64(text_col).alias("own")
+    rows = materialise(_components(docs.select(key, own, F.col(text_col).alias("text")), words, similarity).where("n > 0 and key is not null"), "components")
+    firsts = rows.where("key = component_id").groupBy("key").agg(F.min("own").alias("own"))
+    heads = rows.where("key = component_id").groupBy("key", "own").agg(F.count(F.lit(1)).alias("times"))
+    others = heads.join(firsts, ["key", "own"], "left_anti").select("key", "own")
+    dropped = materialise(rows.where("key <> component_id").select("key", "own").distinct().unionByName(others), "dropped")
+    tagged = docs.select(F.struct("*").alias("row"), key, own).join(dropped, ["key", "own"], "left_anti")
+    again = materialise(heads.where("times > 1").join(firsts, ["key", "own"]).select("key", "own"), "again")
+    if again.isEmpty():
+        return tagged.select("row.*")
+    once = tagged.join(again, ["key", "own"], "left_semi").groupBy("key", "own").agg(F.first("row").alias("row"))
+    return tagged.join(again, ["key", "own"], "left_anti").select("row.*").unionByName(once.select("row.*"))

@@ -25,7 +25,7 @@ def empty(docs):
 
 
 def encoding(name):
-    return bpe.codec(P.path(name), P.PATTERN).memo.encoding
+    return bpe.codec(P.path(name), P.PATTERN).encoding
 
 
 @pytest.mark.parametrize("chunk, overlap", [(32768, 2048), (97, 13)])
@@ -78,17 +78,35 @@ def test_exact_dedup(docs, empty):
     assert exact_dedup.deduplicate(docs).count() == len(set(keys))
 
 
-def test_quotient_filters_merge_without_loss():
+@pytest.mark.parametrize("block_bits", [0, 6])
+def test_quotient_filters_merge_without_loss(block_bits):
     rng = np.random.default_rng(1)
-    parts = [rng.integers(0, 1 << 16, 500) for _ in range(4)]
-    remainders = [rng.integers(0, 4, 500).astype(np.uint64) for _ in range(4)]
-    filters, all_entries = [], []
-    for q, r in zip(parts, remainders, strict=True):
-        own, counts = np.unique(np.stack([q.astype(np.uint64), r]), axis=1, return_counts=True)
-        filters.append(exact_dedup.QuotientFilter.of(own[0].astype(np.int64), own[1], counts))
-        all_entries += list(zip(q.tolist(), r.tolist(), strict=True))
-    q, r, c = exact_dedup.QuotientFilter.merged(filters).entries()
-    assert {(a, b): n for a, b, n in zip(q.tolist(), r.tolist(), c.tolist(), strict=True)} == {x: all_entries.count(x) for x in set(all_entries)}
+    pool = rng.integers(0, 1 << 64, 900, np.uint64)
+    pool = pool[pool >> np.uint64(63 - block_bits) == 5 if block_bits else pool >= 0]
+    pool = np.r_[pool, pool ^ np.uint64(1), pool ^ np.uint64(1 << 30)]
+    filters, seen = [], []
+    for n in (1, 3, 200, 2000):
+        own, counts = np.unique(rng.choice(pool, n), return_counts=True)
+        filters.append(exact_dedup.QuotientFilter.from_row(*exact_dedup.QuotientFilter.of(own, counts, block_bits and block_bits + 1).row()))
+        seen += np.repeat(own, counts).tolist()
+    block = 5 if block_bits else 0
+    bits = block_bits and block_bits + 1
+    fp, n = exact_dedup.QuotientFilter.merged(filters, block, bits).entries(block, bits)
+    assert dict(zip(fp.tolist(), n.tolist(), strict=True)) == {x: seen.count(x) for x in set(seen)}
+
+
+def test_filters_take_bytes_by_their_entries():
+    fp = np.random.default_rng(1).integers(0, 1 << 64, 100_000, np.uint64)
+    for corpus in (10**5, 10**9):
+        bits = (corpus // exact_dedup.BLOCK_ENTRIES).bit_length()
+        size = sum(sum(len(x.as_py()) for c in exact_dedup.FILTER_COLUMNS[1:] for x in b.column(c)) for b in exact_dedup._filters_of(fp, bits))
+        assert size < 10 * len(fp)
+
+
+def test_deduplicate_keeps_one_row_of_each_text(spark):
+    rows = [(3, "x", 1), (3, "a b", 2), (1, "a b", 3), (1, "a  b", 4), (1, "a b", 3), (None, "a b", 5), (None, "y", 6), (None, None, 7), (9, " \t", 8), (8, " ", 9)]
+    kept = exact_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string, fp long")).collect()
+    assert sorted((r.doc_id or 0, r.text or "", r.fp) for r in kept) == [(0, "", 7), (0, "y", 6), (1, "a  b", 4), (3, "x", 1), (8, " ", 9)]
 
 
 def test_jaccard_join_against_all_pairs(spark, empty):
