@@ -180,6 +180,42 @@ def test_top_k_with_ties_and_bad_vectors(spark):
     assert topk.search(rows.where("vec_id < 0"), rows.where("vec_id < 0")).count() == 0
 
 
+def test_top_k_of_negative_and_large_scores(spark):
+    rows = spark.createDataFrame([(0, [-4.0e4, -4.0e4]), (50, [4.0e4, 4.0e4]), (3, [5.0e4, 1.0])], "vec_id long, embedding array<double>")
+    found = topk.search(rows, rows.where("vec_id = 0"), k=5).collect()
+    q = 256 * -40000
+    assert {(r.vec_id, r.score) for r in found} == {(50, -2 * q * q), (3, q * (256 * 50000 + 256))}
+    big = [(0, [2.0**21 + 1 / 256, 1.0]), (1, [2.0**21 + 3 / 256, 1 / 256]), (2, [2.0**21 + 3 / 256, 2 / 256])]
+    rows = spark.createDataFrame([(i, v, i) for i, v in big], "vec_id long, embedding array<double>, part long")
+    own = [[int(256 * x) for x in v] for _, v in big]
+    want = [(1, 2, sum(a * b for a, b in zip(own[0], own[2], strict=True))), (2, 1, sum(a * b for a, b in zip(own[0], own[1], strict=True)))]
+    assert [(r["rank"], r.vec_id, r.score) for r in topk.search(rows, rows.where("vec_id = 0")).orderBy("rank").collect()] == want
+    huge = spark.createDataFrame([(0, [1e30]), (1, [1e30])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="Overflow"):
+        topk.search(huge, huge).collect()
+
+
+def test_top_k_of_repeated_ids(spark):
+    rows = spark.createDataFrame([(50, [1.0]), (50, [0.5]), (1, [2.0]), (1, [2.0]), (None, [9.0]), (2, [])], "vec_id long, embedding array<float>")
+    found = topk.search(rows, rows.where("vec_id = 50"), k=5)
+    assert [(r["rank"], r.vec_id, r.score) for r in found.orderBy("rank").collect()] == [(1, 1, 512 * 128), (2, 1, 512 * 128)]
+
+
+def test_few_scores_are_resolved():
+    rng = np.random.default_rng(7)
+    centres = rng.normal(0, 100, (20, 64))
+    vectors = np.floor(centres[rng.integers(0, 20, 2000)] + rng.normal(0, 20, (2000, 64)))
+    queries, own = vectors[:40], np.arange(40)[:, None] == np.arange(2000)[None, :]
+    cutoff = np.array([np.sort(np.where(o, -np.inf, q @ vectors.T))[-5] for q, o in zip(queries, own, strict=True)]).astype(np.int64)
+    line, at = topk.collected(queries, vectors, own, cutoff, np.ones(40, bool), 4)
+    assert len(line) < 0.25 * own.size
+    score = queries @ vectors.T
+    reached = np.nonzero((score >= cutoff[:, None]) & ~own)
+    assert set(zip(*reached, strict=True)) <= set(zip(line, at, strict=True))
+    line, at, full = topk.gathered(queries, vectors, own, 5, slice(0, 16))
+    assert len(line) == 200 and (full == score[line, at]).all() and not own[line, at].any()
+
+
 def test_perspectives(spark):
     turns = spark.createDataFrame([(1, 0, "system", "s"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 3, None, "x"), (2, 0, "system", "only")], "conv_id long, turn long, role string, text string")
     found = {r.perspective: r for r in perspective.rotate(turns).collect()}
