@@ -7,6 +7,8 @@ window's Shannon entropy. The windows that reach the class's entropy make a span
 Candidates that lack a digit or a letter are suppressed, and so are spans that lie within one match of the allow-list as a
 whole: a run of its words and sequences, or a candidate that is a UUID or repeats itself. The patterns' spans always stay.
 
+A window's counts are packed into longs, and places are running sums by stretches, so that a text costs in proportion to its length, however many matches it has.
+
 Spans count code points, ends exclusive. Null counts as the empty text; a text without finds has zero counts and an
 empty list of spans. Repeated rows are scanned alike. An empty table gives an empty table. Extra columns are ignored.
 """
@@ -38,23 +40,42 @@ ALLOWED = (
 )
 
 
+#: Values that are added up one by one for each place; those of the stretches before are added once.
+STRETCH = 256
+
+
+def _let(value: Column, body) -> Column:
+    """body of a value that is worked out once; what a lambda takes from outside is worked out again at each of its calls."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _before(values: Column, start: Column, step, stretch: int = STRETCH) -> Column:
+    """For each place of an array of ints what `step` makes, from `start`, of all values before it, without going through all of them again."""
+
+    def by_stretch(own: Column) -> Column:
+        numbers = F.when(F.size(own) > 0, F.sequence(F.lit(0), F.floor((F.size(own) - 1) / stretch).cast("int"))).otherwise(F.expr("cast(array() as array<int>)"))
+        totals = F.transform(numbers, lambda b: F.aggregate(F.slice(own, b * stretch + 1, F.lit(stretch)), start, step))
+        return F.aggregate(totals, F.array(start), lambda done, x: F.concat(done, F.array(step(F.element_at(done, -1), x))))
+
+    def each(own: Column, starts: Column) -> Column:
+        return F.transform(own, lambda _, i: F.aggregate(F.slice(own, i - i % stretch + 1, i % stretch), F.get(starts, F.floor(i / stretch).cast("int")), step))
+
+    return _let(values, lambda own: _let(by_stretch(own), lambda starts: each(own, starts)))
+
+
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Array of (begin, end, value): where the pattern's matches are, and what the group holds.
 
     The pieces between the matches, as split gives them, and the matches themselves add up to the places.
     """
     whole, held = (F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (0, group))
-    between = F.split(text, pattern, -1)
-
-    def place(_: Column, i: Column) -> Column:
-        begin = _length(F.slice(between, F.lit(1), i + 1)) + _length(F.slice(whole, F.lit(1), i))
-        return F.struct(begin.alias("begin"), (begin + F.length(F.get(whole, i))).alias("end"), F.get(held, i).alias("value"))
+    found = F.arrays_zip(whole.alias("whole"), held.alias("held"), F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(whole)), lambda x: F.length(x)).alias("gap"))
 
-    return F.transform(whole, place)
+    def placed(own: Column) -> Column:
+        before = _before(F.transform(own, lambda x: x["gap"] + F.length(x["whole"])), F.lit(0), lambda done, x: done + x)
+        return F.zip_with(own, before, lambda x, at: F.struct((at + x["gap"]).alias("begin"), (at + x["gap"] + F.length(x["whole"])).alias("end"), x["held"].alias("value")))
 
-
-def _length(parts: Column) -> Column:
-    return F.length(F.array_join(parts, ""))
+    return _let(found, placed)
 
 
 def _none() -> Column:
@@ -67,35 +88,48 @@ def _found(text: Column, gate: Column, pattern: str, group: int = 0, least: int
     return F.when(gate, F.filter(found, lambda x: F.length(x["value"]) >= least) if least else found).otherwise(_none())
 
 
-def _entropy_sum(count: Column) -> Column:
-    return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
+#: Counts of a window stand in longs, so many to each, in so many bits.
+COUNTS_A_LONG, COUNT_BITS = 12, 5
 
 
 def _hot(candidate: Column, alphabet: str, window: int, bits: float) -> Column:
-    """(first, last): starts of the first and the last window that reach the entropy; -1 if none does."""
-    chars = F.split(candidate, "")
-    code = F.transform(F.filter(chars, lambda c: c != ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
-    steps = F.transform(code, lambda c, i: F.struct(c.alias("new"), F.when(i >= window, F.get(code, i - window)).otherwise(F.lit(-1)).alias("old"), i.alias("at")))
-    start = F.struct(
-        F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0.0).alias("total"), F.lit(-1).alias("first"), F.lit(-1).alias("last"),
-    )
+    """(first, last): starts of the first and the last window that reach the entropy; -1 if none does.
+
+    The counts of the window's characters are packed into a few longs, of which a step changes two fields.
+    """
+    if window >= 1 << COUNT_BITS:
+        raise ValueError("a window's counts need more bits")
+    code = F.transform(F.filter(F.split(candidate, ""), lambda c: c != ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
+    step_of = lambda own: F.transform(own, lambda c, i: F.struct(c.alias("new"), F.when(i >= window, F.get(own, i - window)).otherwise(F.lit(-1)).alias("old"), i.alias("at")))
+    steps = _let(code, step_of)
+    zeros = F.array(*[F.lit(0).cast("long")] * -(-len(alphabet) // COUNTS_A_LONG))
+    start = F.struct(zeros.alias("counts"), F.lit(0.0).alias("total"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
     most = window * (log2(window) - bits) + 1e-9  # the sum of c*log2(c) that a window may have
+    sums = F.array(*(F.lit(c * log2(c) if c else 0.0) for c in range(window + 2)))
+    word, shift = lambda at: F.floor(at / COUNTS_A_LONG).cast("int"), lambda at: (at % COUNTS_A_LONG) * COUNT_BITS
+    one = F.lit(1).cast("long")
+
+    def count(state: Column, at: Column) -> Column:
+        return F.call_function("shiftright", F.get(state["counts"], word(at)), shift(at)).bitwiseAND((1 << COUNT_BITS) - 1).cast("int")
 
     def slide(state: Column, step: Column) -> Column:
-        counts = state["counts"]
-        removed = F.when(step["old"] >= 0, F.get(counts, step["old"])).otherwise(F.lit(0))
-        less = F.when(step["old"] >= 0, _entropy_sum(removed - 1) - _entropy_sum(removed)).otherwise(F.lit(0.0))
-        before = F.get(counts, step["new"]) - F.when(step["new"] == step["old"], F.lit(1)).otherwise(F.lit(0))
-        total = state["total"] + less + _entropy_sum(before + 1) - _entropy_sum(before)
-        updated = F.transform(counts, lambda n, i: n + F.when(i == step["new"], F.lit(1)).otherwise(F.lit(0)) - F.when(i == step["old"], F.lit(1)).otherwise(F.lit(0)))
+        full = step["old"] >= 0
+        here = lambda at, j: F.when((at >= 0) & (word(at) == j), F.call_function("shiftleft", one, shift(at))).otherwise(F.lit(0).cast("long"))
+        counts = F.transform(state["counts"], lambda held, j: held + here(step["new"], j) - here(step["old"], j))
+        # the old character's count, 1 as well before the window is full, which changes nothing, and the new one's without it
+        removed = F.when(full, count(state, step["old"])).otherwise(F.lit(1))
+        before = count(state, step["new"]) - (full & (step["old"] == step["new"])).cast("int")
+        changed = lambda n, m: state["total"] + F.when(full, F.get(sums, n - 1) - F.get(sums, n)).otherwise(F.lit(0.0)) + F.get(sums, m + 1) - F.get(sums, m)
         begin = step["at"] - (window - 1)
-        hot = (begin >= 0) & (total <= most)
-        return F.struct(
-            updated.alias("counts"), total.alias("total"),
-            F.when(hot & (state["first"] < 0), begin).otherwise(state["first"]).alias("first"), F.when(hot, begin).otherwise(state["last"]).alias("last"),
-        )
 
-    kind = "struct<counts:array<int>,total:double,first:int,last:int>"
+        def state_of(total: Column) -> Column:
+            hot = (begin >= 0) & (total <= most)
+            first = F.when(hot & (state["first"] < 0), begin).otherwise(state["first"])
+            return F.struct(counts.alias("counts"), total.alias("total"), first.alias("first"), F.when(hot, begin).otherwise(state["last"]).alias("last"))
+
+        return _let(removed, lambda n: _let(before, lambda m: _let(changed(n, m), state_of)))
+
+    kind = "struct<counts:array<bigint>,total:double,first:int,last:int>"
     return F.aggregate(steps, start.cast(kind), lambda state, step: slide(state, step).cast(kind), lambda state: F.struct(state["first"].alias("first"), state["last"].alias("last")))
 
 
@@ -164,16 +198,14 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """docs with every span of the text replaced by the mark; overlapping spans become one. Null texts stay null."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    with_found = docs.withColumn("__found", spans_of(text))
-    kind = "struct<text:string,at:int>"
-
-    def step(state: Column, x: Column) -> Column:
-        begin = F.greatest(x["begin"], state["at"])
-        piece = F.when(x["begin"] >= state["at"], F.concat(state["text"], F.substring(text, state["at"] + 1, begin - state["at"]), F.lit(mark))).otherwise(state["text"])
-        return F.struct(piece.alias("text"), F.greatest(x["end"], state["at"]).alias("at")).cast(kind)
-
-    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at")).cast(kind)
-    clean = F.aggregate(F.col("__found"), start, step, lambda state: F.concat(state["text"], F.substring(text, state["at"] + 1, F.length(text))))
-    return with_found.withColumn(text_col, F.when(F.size("__found") > 0, clean).otherwise(F.col(text_col))).drop("__found")
+    """docs with every span of the text replaced by the mark; overlapping spans become one. Null texts stay null; other columns stay as they are."""
+    name = "found"
+    while name in docs.columns:
+        name += "_"
+    text, found = F.coalesce(F.col(text_col), F.lit("")), F.col(name)
+    done = _before(F.transform(found, lambda x: x["end"]), F.lit(0), lambda furthest, end: F.greatest(furthest, end))
+    new = lambda x, at: F.when(x["begin"] >= at, F.concat(F.substring(text, at + 1, x["begin"] - at), F.lit(mark))).otherwise("")
+    rest = F.substring(text, F.array_max(F.transform(found, lambda x: x["end"])) + 1, F.length(text))
+    clean = F.concat(F.array_join(F.zip_with(found, done, new), ""), rest)
+    with_found = docs.withColumn(name, spans_of(text))
+    return with_found.withColumn(text_col, F.when(F.size(found) > 0, clean).otherwise(F.col(text_col))).drop(name)
