@@ -7,7 +7,8 @@ likelihood less a penalty for each language more is selected; the prediction is
 
 A text that is null or has no letter is `und` with score 0. Rows whose language label is null take no part in training.
 Equal shares go to the language that sorts first. Repeated rows are predicted alike; extra columns are ignored. Without
-any training row everything is `und`. An empty table gives an empty table.
+any training row everything is `und`. An empty table gives an empty table. Texts of any length are inferred whole; memory follows the
+bytes of a slice of texts, or of the longest text.
 """
 
 from __future__ import annotations
@@ -17,13 +18,17 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import parts
+
 #: Trigrams are hashed to so many buckets; a model has at most BUCKETS rows for each language.
 BITS = 16
 BUCKETS = 1 << BITS
 STEPS, REFIT_STEPS = 12, 8
+#: Bytes and number of texts that are inferred together; a longer text is inferred alone.
+TEXT_BYTES, TEXTS = 1 << 20, 250
 #: Log-likelihood that each language more has to gain, as a multiple of log(letters), and as a share of the letters.
 PENALTY, PENALTY_SHARE = 6.0, 0.02
 UNDETERMINED = "und"
@@ -58,8 +63,7 @@ def _counts_of_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """One table of counts for each language that a partition holds."""
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
-        for begin in range(0, batch.num_rows, 500):
-            part = batch.slice(begin, 500)
+        for part in parts(batch):
             names, code = np.unique(np.array(part.column("lang").to_pylist(), object).astype(str), return_inverse=True)
             row, bucket = trigrams(part.column("text").to_pylist())
             counts = np.bincount(code[row] * BUCKETS + bucket, minlength=len(names) * BUCKETS).reshape(len(names), BUCKETS)
@@ -76,13 +80,13 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     return rows.mapInArrow(_counts_of_part, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def _model(counts: list[Row]) -> tuple[list[str], np.ndarray]:
-    """Languages in order, and the log-probability of each bucket (rows) in each language (columns), by interpolated counts."""
-    languages = sorted({r["lang"] for r in counts})
+def _model(counts: pa.Table) -> tuple[list[str], np.ndarray]:
+    """Languages in order, and the probability of each bucket (rows) in each language (columns), by interpolated counts."""
+    names = counts.column("lang").to_pylist()
+    languages = sorted(set(names))
     n = np.zeros((BUCKETS, len(languages)))
     column = {name: i for i, name in enumerate(languages)}
-    for r in counts:
-        n[r["bucket"], column[r["lang"]]] = r["n"]
+    n[counts.column("bucket").to_numpy(), [column[x] for x in names]] = counts.column("n").to_numpy()
     if not languages:
         return [], n.astype(np.float32)
     shared = n.sum(axis=1, keepdims=True) + 1.0
@@ -128,30 +132,44 @@ def infer(texts: list[str], table: np.ndarray) -> np.ndarray:
     return out
 
 
-def predict(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score, mixture): mixture maps each language of the selected set to its share.
+PREDICTED = "lang_pred string, score double, mixture map<string,double>"
 
-    The model has at most BUCKETS rows for each language, whatever the size of the corpus, and is sent to all workers.
-    """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(_model(model.collect()))
-    kind = docs.schema[id_col].dataType.simpleString()
+
+def _predicted(sent, key: str):
+    """The key column, and the prediction of each row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, table = sent.value
         for batch in batches:
-            for begin in range(0, batch.num_rows, 250):
-                part = batch.slice(begin, 250)
+            for part in parts(batch, most_bytes=TEXT_BYTES, most_rows=TEXTS):
                 shares = infer(part.column("text").to_pylist(), table)
                 known = shares.sum(axis=1) > 0 if len(languages) else np.zeros(len(shares), bool)
                 top = shares.argmax(axis=1) if len(languages) else np.zeros(len(shares), int)
                 name = [languages[i] if ok else UNDETERMINED for i, ok in zip(top, known, strict=True)]
                 score = [min(1.0, float(s[i])) if ok else 0.0 for s, i, ok in zip(shares, top, known, strict=True)]
                 mixture = [[(languages[i], round(float(s[i]), 4)) for i in np.flatnonzero(s > 0.005)] for s in shares]
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(mixture, pa.map_(pa.string(), pa.float64()))], ["key", "lang_pred", "score", "mixture"])
+                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(mixture, pa.map_(pa.string(), pa.float64()))], [key, "lang_pred", "score", "mixture"])
+
+    return run
+
 
+def predict(docs: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang_pred, score, mixture): mixture maps each language of the selected set to its share.
+
+    The model has at most BUCKETS rows for each language, whatever the size of the corpus; it comes to the driver in columns and is sent to all
+    workers as one number for each bucket and language.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(_model(model.toArrow()))
+    kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.mapInArrow(run, f"key {kind}, lang_pred string, score double, mixture map<string,double>").withColumnRenamed("key", id_col)
+    return texts.mapInArrow(_predicted(sent, "key"), f"key {kind}, {PREDICTED}").withColumnRenamed("key", id_col)
+
+
+def labelled(docs: DataFrame, model: DataFrame, text_col: str = "text") -> DataFrame:
+    """(row, lang_pred, score, mixture): every row of docs, as a struct, with its prediction; no join, so ids may repeat or be null."""
+    sent = docs.sparkSession.sparkContext.broadcast(_model(model.toArrow()))
+    texts = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return texts.mapInArrow(_predicted(sent, "row"), f"row {texts.schema['row'].dataType.simpleString()}, {PREDICTED}")
 
 
 def in_fold(id_col: str = "doc_id", folds: int = 4, fold: int = 2):
