@@ -34,7 +34,7 @@ _BASE32 = " || ".join(f"lpad(to_base(('0x' || substr(s, {at}, 10))::bigint, 32),
 
 ORACLE_SQL = {
     "op4_perspective_rotation": f"""
-with r as (select conv_id, turn, coalesce(role, 'unknown') as speaker, coalesce(text, '') as text from conversations),
+with r as (select conv_id, turn, coalesce(role, 'unknown') as speaker, regexp_replace(coalesce(text, ''), '<(\\\\*)\\|', '<\\1\\\\|', 'g') as text from conversations),
 p as (select distinct conv_id, speaker as perspective from r where speaker not in ({_CONTEXT})),
 s as (select conv_id, perspective, turn, speaker, text, speaker = perspective as own,
   case when speaker = perspective then '<|assistant|>' || chr(10) when speaker in ({_CONTEXT}) then '<|' || speaker || '|>' || chr(10) else '<|user name=' || speaker || '|>' || chr(10) end as head

@@ -1,4 +1,4 @@
-"""Multi-party perspective rotation of dialogues.
+r"""Multi-party perspective rotation of dialogues.
 
 Every participant of a conversation takes the assistant's part once: its turns are rendered as the assistant's, those of the other
 participants as users with their names, and the turns of context roles (system) as they are. The mask marks the
@@ -6,49 +6,55 @@ code points that the participant wrote, which are what a model would be trained
 
 Turns are ordered by turn, then speaker, then text. A null speaker is the participant `unknown`, a null text is empty; its
 mask span is empty then. Repeated turns are rendered as often as they occur. A conversation with none but context roles has no
-participant and no row. A conversation of a third of all turns is rendered in as many rows as it has participants, each from its
-own group. Extra columns are ignored. An empty table gives an empty table.
+participant and no row. Markers that stand in a text or name are escaped, so that no turn can forge another: `<|` gets a backslash between its characters,
+and one with backslashes there one more, which unescape() takes back; names have a space for line ends and `|\>` for `|>`. Turns meet the participants of their
+conversation in a join that splits large conversations; a perspective is one row, so that its turns come to one task, sorted, and places in it are running sums.
+Extra columns are ignored, whatever their names. An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CONTEXT_ROLES = ("system",)
 TURN_END = "<|end|>\n"
 
 
+def escaped(c: Column) -> Column:
+    return F.regexp_replace(c, r"<(\\*)\|", r"<$1\\|")
+
+
+def unescape(c: Column) -> Column:
+    return F.regexp_replace(c, r"<\\(\\*)\|", r"<$1|")
+
+
+def _name(c: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(escaped(c), r"[\r\n]+", " "), r"\|(\\*)>", r"|$1\\>")
+
+
 def turns_seen(turns: DataFrame, conv_col: str, turn_col: str, speaker_col: str, text_col: str, context_roles: tuple[str, ...]) -> DataFrame:
     """Every turn once for each participant of its conversation, with its rendered head."""
-    rows = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(speaker_col, F.lit("unknown")).alias("speaker"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(speaker_col, F.lit("unknown")).alias("speaker"), escaped(F.coalesce(text_col, F.lit(""))).alias("text"))
     participants = rows.where(~F.col("speaker").isin(*context_roles)).select("conv", F.col("speaker").alias("perspective")).distinct()
-    own = F.col("speaker") == F.col("perspective")
-    head = F.when(own, F.lit("<|assistant|>\n")).when(F.col("speaker").isin(*context_roles), F.concat(F.lit("<|"), "speaker", F.lit("|>\n"))).otherwise(F.concat(F.lit("<|user name="), "speaker", F.lit("|>\n")))
-    return rows.join(participants, "conv").select("conv", "perspective", "turn", "speaker", "text", own.alias("own"), head.alias("head"))
-
-
-def _turn_length(x: Column) -> Column:
-    return F.length(x["head"]) + F.length(x["text"]) + len(TURN_END)
+    own, name = F.col("speaker") == F.col("perspective"), _name(F.col("speaker"))
+    head = F.when(own, F.lit("<|assistant|>\n")).when(F.col("speaker").isin(*context_roles), F.concat(F.lit("<|"), name, F.lit("|>\n"))).otherwise(F.concat(F.lit("<|user name="), name, F.lit("|>\n")))
+    met = rows.join(participants.withColumnRenamed("conv", "of"), F.col("conv").eqNullSafe(F.col("of")))
+    return met.select("conv", "perspective", "turn", "speaker", "text", own.alias("own"), head.alias("head"))
 
 
 def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", speaker_col: str = "role", text_col: str = "text", context_roles: tuple[str, ...] = CONTEXT_ROLES) -> DataFrame:
     """(conv, perspective, rendered, mask, n_turns, n_own): mask is an array of (begin, end) in code points of rendered."""
     seen = turns_seen(turns, conv_col, turn_col, speaker_col, text_col, context_roles)
-    grouped = seen.groupBy("conv", "perspective").agg(F.array_sort(F.collect_list(F.struct("turn", "speaker", "text", "head", "own"))).alias("turns"))
-    kind = "struct<at:int,spans:array<struct<begin:int,end:int>>>"
-
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + F.length(x["head"])
-        span = F.array(F.struct(begin.alias("begin"), (begin + F.length(x["text"])).alias("end")))
-        return F.struct((state["at"] + _turn_length(x)).alias("at"), F.when(x["own"], F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans")).cast(kind)
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<begin:int,end:int>>").alias("spans")).cast(kind)
-    return grouped.select(
-        F.col("conv").alias(conv_col),
-        "perspective",
-        F.array_join(F.transform("turns", lambda x: F.concat(x["head"], x["text"], F.lit(TURN_END))), "").alias("rendered"),
-        F.aggregate("turns", start, step, lambda state: state["spans"]).alias("mask"),
-        F.size("turns").cast("long").alias("n_turns"),
-        F.size(F.filter("turns", lambda x: x["own"])).cast("long").alias("n_own"),
-    )
+    so_far = Window.partitionBy("conv", "perspective").orderBy("turn", "speaker", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shown = F.concat("head", "text", F.lit(TURN_END))
+    placed = seen.select("conv", "perspective", "own", shown.alias("shown"), F.length("text").alias("chars"), F.count(F.lit(1)).over(so_far).alias("no"), F.sum(F.length(shown)).over(so_far).alias("stop"))
+    end = (F.col("stop") - len(TURN_END)).cast("int")
+    span = F.struct((end - F.col("chars")).alias("begin"), end.alias("end"))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("no", "shown"))), lambda x: x["shown"])
+    return placed.groupBy("conv", "perspective").agg(
+        F.array_join(in_order, "").alias("rendered"),
+        F.array_sort(F.collect_list(F.when(F.col("own"), span))).alias("mask"),
+        F.count(F.lit(1)).alias("n_turns"),
+        F.count_if("own").alias("n_own"),
+    ).withColumnRenamed("conv", conv_col)
