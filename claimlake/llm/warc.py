@@ -2,9 +2,12 @@
 
 A page becomes three records: the request, the response (or a revisit of the capture that already holds an equal payload)
 and metadata; request and metadata name the capture's record in WARC-Concurrent-To. Archives are gzipped text files of
-records one after another, written by Spark with the record separator as line end, so any store that Spark writes will do.
+records one after another, written by Spark with the record separator as line end, so any store that Spark writes will do; such a file is one
+gzip member. Files are as many as the payloads' bytes ask for, and are read as streams, so that a task holds a file's compressed bytes and one record.
 Reading follows Content-Length, recomputes the digests of responses, and joins the records of a capture through their concurrent-to
-identifiers into one nested row.
+identifiers into one nested row; a response whose digest is wrong is marked, left out or raised, as the caller says.
+
+Which page is the response is told from ids and digests alone. Payloads travel once, to the file of their id, so that no payload is a hot key.
 
 A null page text is an empty payload. Payloads are equal when their bytes are; among equal ones of at least `min_bytes`
 the one with the largest page id is the response. Rows that repeat both page id and payload are the same capture,
@@ -17,13 +20,16 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RECORDS_PER_FILE = 6_000
+#: Payload bytes of a file, about, and records of one at most.
+FILE_BYTES, RECORDS_PER_FILE = 32 << 20, 100_000
 CRLF = "\r\n"
 END_OF_RECORD = CRLF * 2
 # The profile of revisit records in WARC 1.1, and the digits of base 32.
@@ -45,16 +51,27 @@ def _record(kind: str, fields: list[tuple[str, Column]], block: Column) -> Colum
     return F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF * 2), block)
 
 
-def with_revisits(pages: DataFrame, id_col: str, text_col: str, min_bytes: int) -> DataFrame:
-    """Adds payload_key, payload_bytes and original_id: the largest id among equal payloads, null for a payload that stands alone."""
-    payload = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = pages.withColumns({"payload": payload, "payload_key": F.sha2(payload, 256), "payload_bytes": F.octet_length(payload).cast("long")})
-    equal = keyed.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_key").agg(F.count(F.lit(1)).alias("n"), F.max(id_col).alias("original_id"))
-    return keyed.join(equal.where("n > 1").drop("n"), "payload_key", "left")
+def with_payload(pages: DataFrame) -> DataFrame:
+    """Adds payload, payload_key and payload_bytes to pages (id, url, html)."""
+    payload = F.coalesce("html", F.lit(""))
+    return pages.select("id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("payload_key"), F.octet_length(payload).cast("long").alias("payload_bytes"))
+
+
+def originals(keyed: DataFrame, min_bytes: int) -> DataFrame:
+    """(id, payload_key, original_id): of pages whose payload occurs more than once, the largest id among equal ones."""
+    light = keyed.where(F.col("payload_bytes") >= min_bytes).select("id", "payload_key")
+    equal = light.groupBy("payload_key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("original_id")).where("n > 1").drop("n")
+    return light.distinct().join(equal, "payload_key").select("id", "payload_key", "original_id")
 
 
 def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", text_col: str = "html", min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> None:
-    rows = with_revisits(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(text_col).alias("html")), "id", "html", min_bytes)
+    keyed = with_payload(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(text_col).alias("html")))
+    files = max(1, -(-keyed.agg(F.coalesce(F.sum("payload_bytes"), F.lit(0))).first()[0] // FILE_BYTES))
+    place = F.pmod(F.xxhash64("id", "payload_key"), F.lit(files * 64))  # several groups to a file, so that files are even
+    of = originals(keyed, min_bytes).select(F.col("id").alias("of_id"), F.col("payload_key").alias("of_key"), "original_id", place.alias("of_place"))
+    dealt = keyed.withColumn("place", place).repartition(files, "place")
+    met = (F.col("place") == F.col("of_place")) & F.col("id").eqNullSafe(F.col("of_id")) & (F.col("payload_key") == F.col("of_key"))
+    rows = dealt.join(of.repartition(files, "of_place").hint("shuffle_hash"), met, "left")
     name = lambda kind, number: F.concat(F.lit("<urn:capture:"), F.coalesce(number.cast("string"), F.lit("null")), F.lit(":"), F.substring("payload_key", 1, 32), F.lit(f":{kind}>"))
     revisits = F.col("original_id").isNotNull() & ~F.col("original_id").eqNullSafe(F.col("id"))
     capture, own = name("capture", F.col("id")), lambda kind: name(kind, F.col("id"))
@@ -71,21 +88,26 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     records.write.option("lineSep", END_OF_RECORD).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, block) of each record of an archive; a record that is cut off raises ValueError."""
-    at = 0
-    while at < len(data):
-        body = data.find(b"\r\n\r\n", at) + 4
-        if body < 4 or not data.startswith(b"WARC/", at):
-            raise ValueError(f"no WARC record at byte {at}")
-        fields = dict(line.split(": ", 1) for line in data[at : body - 4].decode("utf-8").split(CRLF)[1:])
-        at = body + int(fields["Content-Length"])
-        if len(data) < at:
+def parse_records(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(fields, block) of each record of an archive; what is no record, or one that is cut off, raises ValueError."""
+    while first := stream.readline():
+        if not first.startswith(b"WARC/"):
+            raise ValueError("no WARC record where one should begin")
+        fields = {}
+        while (line := stream.readline()) not in (b"\r\n", b""):
+            name, _, value = line.decode("utf-8").rstrip(CRLF).partition(": ")
+            fields[name] = value
+        length = int(fields["Content-Length"])
+        block = stream.read(length)
+        if len(block) < length:
             raise ValueError("the last record is cut off")
-        yield fields, data[body:at]
-        at += len(END_OF_RECORD)
+        yield fields, block
+        if stream.read(len(END_OF_RECORD)) not in (END_OF_RECORD.encode(), b""):
+            raise ValueError("a record is longer than it says")
 
 
+#: Bytes of blocks that a task gives on at once, about.
+BATCH_BYTES = 8 << 20
 RECORD_FIELDS = (("record_id", "WARC-Record-ID"), ("record_type", "WARC-Type"), ("concurrent_to", "WARC-Concurrent-To"), ("target_uri", "WARC-Target-URI"), ("date", "WARC-Date"), ("payload_digest", "WARC-Payload-Digest"), ("refers_to", "WARC-Refers-To"))
 RECORD_SCHEMA = ", ".join(f"{name} string" for name, _ in RECORD_FIELDS) + ", payload_bytes bigint, digest_ok boolean, block binary"
 
@@ -104,27 +126,40 @@ def _details(fields: dict[str, str], block: bytes) -> tuple[int | None, bool | N
 def read_archive(spark: SparkSession, path: str, blocks: bool = True) -> DataFrame:
     """The records of all archives in a folder. blocks=False leaves the payload-bearing blocks of responses out."""
 
+    schema = pa.schema([*((name, pa.string()) for name, _ in RECORD_FIELDS), ("payload_bytes", pa.int64()), ("digest_ok", pa.bool_()), ("block", pa.binary())])
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([*((name, pa.string()) for name, _ in RECORD_FIELDS), ("payload_bytes", pa.int64()), ("digest_ok", pa.bool_()), ("block", pa.binary())])
         for batch in batches:
             for content in batch.column("content"):
-                rows = []
-                for fields, block in parse_records(gzip.decompress(content.as_py())):
-                    keep = blocks or fields["WARC-Type"] not in ("response", "revisit")
-                    rows.append((*(fields.get(header) for _, header in RECORD_FIELDS), *_details(fields, block), block if keep else None))
-                    if len(rows) == 1000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-                        rows = []
+                rows, held = [], 0
+                with gzip.open(io.BytesIO(content.as_buffer()), "rb") as stream:
+                    for fields, block in parse_records(stream):
+                        keep = blocks or fields["WARC-Type"] not in ("response", "revisit")
+                        rows.append((*(fields.get(header) for _, header in RECORD_FIELDS), *_details(fields, block), block if keep else None))
+                        held += len(block) if keep else 0
+                        if len(rows) == 1000 or held > BATCH_BYTES:
+                            yield table(rows)
+                            rows, held = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                    yield table(rows)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
     return files.where("length > 0").select("content").mapInArrow(run, RECORD_SCHEMA)
 
 
-def assemble(records: DataFrame) -> DataFrame:
-    """One nested row for each capture: its response or revisit, its request and its metadata, and how often it is archived."""
+def assemble(records: DataFrame, on_bad_digest: str = "keep") -> DataFrame:
+    """One nested row for each capture: its response or revisit, its request and its metadata, and how often it is archived.
+
+    A response whose payload hasn't the digest that its record names is kept, with digest_ok false, left out ("drop"), or an error ("raise").
+    """
+    if on_bad_digest not in ("keep", "drop", "raise"):
+        raise ValueError("on_bad_digest is keep, drop or raise")
     by = F.coalesce("concurrent_to", "record_id").alias("capture_id")
     of = lambda *kinds: F.max(F.when(F.col("record_type").isin(*kinds), F.struct(*records.columns)))
     grouped = records.groupBy(by).agg(of("response", "revisit").alias("capture"), of("request").alias("request"), of("metadata").alias("metadata"), F.count_if(F.col("record_type").isin("response", "revisit")).alias("n_copies"))
-    return grouped.where("n_copies > 0")
+    good = F.coalesce("capture.digest_ok", F.lit(True))
+    wanted = F.lit(True) if on_bad_digest == "keep" else good if on_bad_digest == "drop" else F.when(good, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("wrong payload digest: "), "capture_id")).cast("boolean"))
+    return grouped.where("n_copies > 0").where(wanted)

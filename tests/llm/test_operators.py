@@ -1,5 +1,6 @@
 """Operators against brute force, on small rows with nulls, empty and long texts, ties, repeats and clashing columns."""
 
+import io
 import math
 import re
 from collections import Counter
@@ -8,6 +9,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from claimlake.llm import bpe, components, exact_dedup, jaccard_join, langid, licences, packing, perspective, secrets, topk, warc
@@ -168,6 +170,59 @@ def test_archive_round_trip(spark, tmp_path):
     assert warc.read_archive(spark, str(tmp_path / "b")).count() == 0
 
 
+def test_archives_of_many_files_and_bad_digests(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    rows = [(i, f"http://h/{i}", "x" * 70_000 if i == 7 else "same" if i % 3 == 0 else f"{i} é" * (i % 50), i) for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, place long")
+    path = str(tmp_path / "a")
+    warc.write_archive(pages, path)
+    records = warc.read_archive(spark, path)
+    assert len(list((tmp_path / "a").glob("*.gz"))) > 3
+    found = warc.assemble(records, "raise").collect()
+    assert len(found) == 400 and sum(r.capture.record_type == "response" for r in found) == len({r[2] for r in rows})
+    assert max(r.capture.payload_bytes for r in found) == 70_000 and {r.n_copies for r in found} == {1}
+    bad = records.withColumn("digest_ok", F.when(F.col("payload_bytes") == 70_000, False).otherwise(F.col("digest_ok")))
+    assert warc.assemble(bad, "drop").count() == 399 and warc.assemble(bad).count() == 400
+    with pytest.raises(Exception, match="wrong payload digest"):
+        warc.assemble(bad, "raise").collect()
+    for data in (b"WARC/1.1\r\nContent-Length: 9\r\n\r\nab", b"nothing\r\n", b"WARC/1.1\r\nContent-Length: 1\r\n\r\nabcdefgh"):
+        with pytest.raises(ValueError, match="record"):
+            list(warc.parse_records(io.BytesIO(data)))
+
+
+def test_mixture_against_plain_loops():
+    """Shares, set and penalised likelihood of each text, by loops over its trigrams."""
+    rng = np.random.default_rng(4)
+    table = rng.dirichlet(np.ones(langid.BUCKETS) * 0.05, 3).T.astype(np.float32) + np.float32(1e-7)
+    texts = ["".join(rng.choice(list("abc de"), 60)) for _ in range(6)] + ["", "123", "a", "Été ß"]
+    got = langid.infer(texts, table)
+    for text, own in zip(texts, got, strict=True):
+        _, bucket = langid.trigrams([text])
+        if not len(bucket):
+            assert not own.any()
+            continue
+
+        def fitted(share, steps, bucket=bucket):
+            for _ in range(steps):
+                new = np.zeros(3)
+                for b in bucket:
+                    joint = [float(table[b, i]) * share[i] for i in range(3)]
+                    for i in range(3):
+                        new[i] += joint[i] / sum(joint)
+                share = new / len(bucket)
+            return share, sum(math.log(sum(float(table[b, i]) * share[i] for i in range(3))) for b in bucket)
+
+        share, _ = fitted(np.full(3, 1 / 3), langid.STEPS)
+        order, best = sorted(range(3), key=lambda i: -share[i]), None
+        for size in (1, 2, 3):
+            start = np.array([max(share[i], 1e-3) if i in order[:size] else 0.0 for i in range(3)])
+            found, value = fitted(start / start.sum(), langid.REFIT_STEPS if size > 1 else 0)
+            value -= (size - 1) * (langid.PENALTY * math.log(len(bucket) + 1) + langid.PENALTY_SHARE * len(bucket))
+            if best is None or value > best[1]:
+                best = found, value
+        assert np.allclose(own, best[0], atol=1e-3)
+
+
 def test_top_k_with_ties_and_bad_vectors(spark):
     rng = np.random.default_rng(5)
     vectors = [(i, rng.integers(-2, 3, 6).astype(float).tolist()) for i in range(300)] + [(300, None), (301, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (302, [float("nan")] * 6), (350, [1.0])]
