@@ -251,19 +251,19 @@ def _routes(similarity: tuple[int, int]):
         low, high = similarity
         for batch in batches:
             probes, shards = [], []
-            for token, n, after, rep, shard in zip(*(batch.column(c).to_pylist() for c in ("token", "n", "after", "rep", "shard")), strict=True):
+            for token, n, after, fp, shard in zip(*(batch.column(c).to_pylist() for c in ("token", "n", "after", "fp", "shard")), strict=True):
                 if token != current:
                     current, before = token, {}
                 for other, seen in before.items():
                     if high * seen[-1][0] >= low * n and (len(seen) > NEAR or any(_may_link(n, after, *x, similarity) for x in seen)):
-                        probes.append(rep)
+                        probes.append(fp)
                         shards.append(other)
                 own = before.setdefault(shard, [])
                 if len(own) > NEAR:  # then only the largest counts
                     own[-1] = (n, after)
                 else:
                     own.append((n, after))
-            yield pa.RecordBatch.from_arrays([pa.array(probes, pa.int64()), pa.array(shards, pa.int64())], ["rep", "shard"])
+            yield pa.RecordBatch.from_arrays([pa.array(probes, pa.int64()), pa.array(shards, pa.int64())], ["fp", "shard"])
 
     return run
 
@@ -274,32 +274,32 @@ def _hot_routes(hot: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     Sets of similar enough sizes share at least n * similarity shingles, those from the token on among them.
     """
     low, high = similarity
-    shards = hot.groupBy("token", F.col("shard").alias("to")).agg(F.min(F.struct("n", "rep")).alias("first"), F.max("n").alias("largest"), F.max("after").alias("most"), F.max("salts").alias("salts"))
+    shards = hot.groupBy("token", F.col("shard").alias("to")).agg(F.min(F.struct("n", "fp")).alias("first"), F.max("n").alias("largest"), F.max("after").alias("most"), F.max("salts").alias("salts"))
     spread = shards.select("token", "to", "first", "largest", "most", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts").cast("long") - 1)).alias("salt"))
-    met = hot.withColumn("salt", F.pmod(F.xxhash64("rep"), F.col("salts").cast("long"))).join(spread, ["token", "salt"])
-    may = (F.col("first") < F.struct("n", "rep")) & (F.least("largest", "after", "most") * high >= F.col("n") * low)
-    return met.where(may).select("rep", F.col("to").alias("shard"))
+    met = hot.withColumn("salt", F.pmod(F.xxhash64("fp"), F.col("salts").cast("long"))).join(spread, ["token", "salt"])
+    may = (F.col("first") < F.struct("n", "fp")) & (F.least("largest", "after", "most") * high >= F.col("n") * low)
+    return met.where(may).select("fp", F.col("to").alias("shard"))
 
 
 class Shard:
-    """Inverted lists of some sets, and what has been linked so far."""
+    """Inverted lists of the sets of some classes (two numbers each), and what has been linked so far."""
 
-    def __init__(self, ids: list[int], sets: list[np.ndarray], similarity: tuple[int, int]):
+    def __init__(self, ids: list[tuple[int, int]], sets: list[np.ndarray], similarity: tuple[int, int]):
         self.ids, self.similarity = np.array(ids, np.int64), similarity
         self.sizes = np.array([len(s) for s in sets], np.int64)
         self.tokens, rank = np.unique(np.concatenate(sets), return_inverse=True)
         # list and place in it as one sorted number, so that a binary search probes a list for a class
         self.entries = np.sort(rank.astype(np.int64) * len(ids) + np.repeat(np.arange(len(ids)), self.sizes))
         self.begin = np.searchsorted(self.entries, np.arange(len(self.tokens) + 1) * len(ids))
-        self.parent: dict[int, int] = {}
+        self.parent: dict[tuple[int, int], tuple[int, int]] = {}
 
-    def _root(self, x: int) -> int:
+    def _root(self, x: tuple[int, int]) -> tuple[int, int]:
         while (up := self.parent.get(x, x)) != x:
             self.parent[x] = x = self.parent.get(up, up)
         return x
 
-    def search(self, probe: int, own: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Links from the probe to sets that come before it by size and id, but for those linked already."""
+    def search(self, probe: tuple[int, int], own: np.ndarray) -> Iterator[tuple[tuple[int, int], tuple[int, int]]]:
+        """Links from the probe to sets that come before it by size and class, but for those linked already."""
         low, high = self.similarity
         need, n = required(len(own), self.similarity), len(own)
         at = np.minimum(np.searchsorted(self.tokens, own), len(self.tokens) - 1)
@@ -314,11 +314,12 @@ class Shard:
         spans = length[: len(short)]
         flat = np.repeat(self.begin[short] - np.r_[0, np.cumsum(spans)[:-1]], spans) + np.arange(spans.sum())
         found, times = np.unique(self.entries[flat] % len(self.ids), return_counts=True)  # the merge of the short lists
-        before = (self.sizes[found] < n) | (self.sizes[found] == n) & (self.ids[found] < probe)
+        one, two = self.ids[found].T
+        before = (self.sizes[found] < n) | (self.sizes[found] == n) & ((one < probe[0]) | (one == probe[0]) & (two < probe[1]))
         keep = (times >= need - skipped) & before & (high * self.sizes[found] >= low * n)
         found, times = found[keep], times[keep]
         for i in np.argsort(-times, kind="stable"):
-            other = int(self.ids[found[i]])
+            other = tuple(self.ids[found[i]].tolist())
             mine, theirs = self._root(probe), self._root(other)
             if mine == theirs:
                 continue
@@ -330,27 +331,32 @@ class Shard:
                 yield probe, other
 
 
+CLASS = "struct<one:bigint,two:bigint>"
+
+
 def _search(words: int, similarity: tuple[int, int]):
     """Of rows sorted by shard, the texts of its index first: the links that searches of its probes find."""
 
+    def classes(values: list[tuple[int, int]]) -> pa.StructArray:
+        return pa.StructArray.from_arrays([pa.array([x[i] for x in values], pa.int64()) for i in (0, 1)], ["one", "two"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, index, ids, sets = None, None, [], []
         for batch in batches:
             links = []
             for part, found in _sets(batch, words):
-                for shard, probing, rep, fp, own in zip(*(part.column(c).to_pylist() for c in ("shard", "probing", "rep", "fp")), found, strict=True):
+                for shard, probing, fp, own in zip(*(part.column(c).to_pylist() for c in ("shard", "probing", "fp")), found, strict=True):
                     if shard != current:
                         current, index, ids, sets = shard, None, [], []
-                    if not len(own) or _class_of(own)[0] != fp:
+                    if not len(own) or (both := _class_of(own))[0] != fp:
                         continue  # another text of a repeated id
                     if not probing:
-                        ids.append(rep)
+                        ids.append(both)
                         sets.append(own)
                     elif ids:
                         index = index or Shard(ids, sets, similarity)
-                        links += index.search(rep, own)
-            u, v = zip(*links, strict=True) if links else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+                        links += index.search(both, own)
+            yield pa.RecordBatch.from_arrays([classes([x[i] for x in links]) for i in (0, 1)], ["u", "v"])
 
     return run
 
@@ -366,37 +372,40 @@ def _placed(active: DataFrame) -> tuple[DataFrame, int]:
 
 
 def links(docs: DataFrame, classes: DataFrame, rarity: np.ndarray, words: int, similarity: tuple[int, int]) -> DataFrame:
-    """(u, v): links between the smallest ids of classes, enough of them to connect all that all links connect."""
+    """(u, v): links between classes, enough of them to connect all that all links connect."""
     sent = docs.sparkSession.sparkContext.broadcast(rarity)
     postings = docs.select("text").mapInArrow(_postings(sent, float(np.median(rarity)), words, similarity), "token bigint, fp bigint, n int, after int, salts int")
     part = F.when(F.col("salts") > 0, F.pmod("fp", F.col("salts").cast("long"))).otherwise(0)
     shared = materialise(postings.repartition("token", part).sortWithinPartitions("token", "n", "fp").mapInArrow(_shared(similarity), "token bigint, fp bigint, n int, after int, salts int"), "shared")
     active = materialise(classes.join(shared.select("fp").distinct(), "fp").select("fp", "rep", "n", "low"), "active")
     placed, shards = _placed(active)
-    listed = shared.join(placed, "fp").select("token", "n", "after", "salts", "rep", "shard")
-    routes = listed.where("salts = 0").repartition("token").sortWithinPartitions("token", "n", "rep").mapInArrow(_routes(similarity), "rep bigint, shard bigint")
+    listed = shared.join(placed, "fp").select("token", "n", "after", "salts", "fp", "shard")
+    routes = listed.where("salts = 0").repartition("token").sortWithinPartitions("token", "n", "fp").mapInArrow(_routes(similarity), "fp bigint, shard bigint")
     routes = routes.unionByName(_hot_routes(listed.where("salts > 0"), similarity)).distinct()
-    visits = routes.groupBy("rep").agg(F.collect_list("shard").alias("visits"))
+    visits = routes.groupBy("fp").agg(F.collect_list("shard").alias("visits"))
     texts, _ = maybe_member(docs.select(F.col("key").alias("rep"), "text"), "rep", active, active.count())
-    texts = texts.join(placed.join(visits, "rep", "left"), "rep")
+    texts = texts.join(placed.join(visits, "fp", "left"), "rep")
     own = F.array(F.struct("shard", F.lit(False).alias("probing")))
     others = F.coalesce(F.transform("visits", lambda x: F.struct(x.alias("shard"), F.lit(True).alias("probing"))), F.array().cast("array<struct<shard:bigint,probing:boolean>>"))
-    met = texts.select("rep", "fp", "text", F.explode(F.concat(own, others)).alias("to")).select("to.*", "rep", "fp", "text")
-    return met.repartition(shards, "shard").sortWithinPartitions("shard", "probing").mapInArrow(_search(words, similarity), "u bigint, v bigint")
+    met = texts.select("fp", "text", F.explode(F.concat(own, others)).alias("to")).select("to.*", "fp", "text")
+    return met.repartition(shards, "shard").sortWithinPartitions("shard", "probing").mapInArrow(_search(words, similarity), f"u {CLASS}, v {CLASS}")
 
 
 def _components(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
-    """(key, own, n, component_id) of rows (key, own, text); own goes along."""
+    """(key, own, n, component_id, root) of rows (key, own, text); own goes along, root tells components apart that share an id."""
     if not 0 < similarity[0] <= similarity[1] or words < 1:
         raise ValueError("similarity must be a share above 0, and shingles need a word")
     scanned = materialise(docs.mapInArrow(_scan(words), SCANNED), "scanned")
     rows = scanned.where("part is null")
     rarity = _rarity(scanned.where("part is not null"))
     classes = rows.where("n > 0 and key is not null").groupBy("fp", "fp2").agg(F.min("key").alias("rep"), F.max("n").alias("n"), F.max("low").alias("low"))
-    found = connected_components(materialise(links(docs, classes, rarity, words, similarity), "links"))
-    named = classes.join(found, F.col("rep") == F.col("node"), "left").select("fp", "fp2", F.coalesce("component", "rep").alias("component_id"))
+    found = connected_components(materialise(links(docs, classes, rarity, words, similarity), "links")).select("node.one", "node.two", F.xxhash64("component").alias("root"))
+    linked = classes.join(found, (F.col("fp") == F.col("one")) & (F.col("fp2") == F.col("two"))).select("fp", "fp2", "rep", "root")
+    linked = linked.join(linked.groupBy("root").agg(F.min("rep").alias("component_id")), "root")
+    named = classes.select("fp", "fp2", "rep").join(linked.drop("rep"), ["fp", "fp2"], "left")
+    named = named.select("fp", "fp2", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("root", F.xxhash64(F.struct("fp", "fp2"))).alias("root"))
     out = rows.select("key", "own", "n", F.when(F.col("key").isNotNull(), F.col("fp")).alias("fp"), "fp2").join(named, ["fp", "fp2"], "left")
-    return out.select("key", "own", "n", F.coalesce("component_id", "key").alias("component_id"))
+    return out.select("key", "own", "n", F.coalesce("component_id", "key").alias("component_id"), "root")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
@@ -411,16 +420,16 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """One row of docs of each component, that of the smallest id, by rows, not ids; all rows without a set or an id stay.
 
-    Of several texts of that id the one with the smallest hash stays, of repeated rows one.
+    Of several texts of that id in one component the one with the smallest hash stays, of repeated rows one.
     """
     key, own = F.col(id_col).cast("long").alias("key"), F.xxhash64(text_col).alias("own")
     rows = materialise(_components(docs.select(key, own, F.col(text_col).alias("text")), words, similarity).where("n > 0 and key is not null"), "components")
-    firsts = rows.where("key = component_id").groupBy("key").agg(F.min("own").alias("own"))
-    heads = rows.where("key = component_id").groupBy("key", "own").agg(F.count(F.lit(1)).alias("times"))
-    others = heads.join(firsts, ["key", "own"], "left_anti").select("key", "own")
+    heads = rows.where("key = component_id").groupBy("key", "root", "own").agg(F.count(F.lit(1)).alias("times"))
+    firsts = heads.groupBy("key", "root").agg(F.min("own").alias("own"))
+    others = heads.join(firsts, ["key", "root", "own"], "left_anti").select("key", "own")
     dropped = materialise(rows.where("key <> component_id").select("key", "own").distinct().unionByName(others), "dropped")
     tagged = docs.select(F.struct("*").alias("row"), key, own).join(dropped, ["key", "own"], "left_anti")
-    again = materialise(heads.where("times > 1").join(firsts, ["key", "own"]).select("key", "own"), "again")
+    again = materialise(heads.where("times > 1").join(firsts, ["key", "root", "own"]).select("key", "own"), "again")
     if again.isEmpty():
         return tagged.select("row.*")
     once = tagged.join(again, ["key", "own"], "left_semi").groupBy("key", "own").agg(F.first("row").alias("row"))
