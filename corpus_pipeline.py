@@ -3,6 +3,11 @@
 Each stage is a function (spark, docs, sf_dir) of the documents that its predecessor kept; its result is written as Parquet
 and read again. Language ID keeps what it can attribute to a language; the two deduplications keep one document of each
 group; the secret scan replaces secrets in the texts; packing returns the pieces of the documents and their sequences.
+
+Stages keep and drop rows, not ids, so that rows with a null or repeated id are judged each by their own text. A null or empty text, or one
+without letters, has no language and goes in the first stage. Of rows with equal texts one stays, and of repeated rows one.
+Further columns of documents are kept, whatever their names, up to packing, which returns its own. An empty table gives an empty table.
+Texts of any length are read whole. Tables that a stage writes for itself are deleted when its result is written, and so is the result before it.
 """
 
 from __future__ import annotations
@@ -12,16 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.llm import exact_dedup, jaccard_join, langid, packing, secrets
-from claimlake.llm.shared import materialise
+from claimlake.llm.shared import delete, fresh_path, scratch
 
 #: A document whose largest language has a smaller share than this belongs to no language.
 MIN_LANGUAGE_SHARE = 0.35
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.predict(docs, langid.train(docs.where(~langid.in_fold())))
-    rejected = found.where((F.col("lang_pred") == langid.UNDETERMINED) | (F.col("score") < MIN_LANGUAGE_SHARE)).select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    found = langid.labelled(docs, langid.train(docs.where(~langid.in_fold())))
+    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SHARE)).select("row.*")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,12 +52,19 @@ STAGES = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: Learned languages, linked components and tokens are beyond SQL; tests hold the stages against brute force.
+#: Learned languages, linked components and tokens are beyond SQL; tests hold the stages and the whole against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        path = fresh_path(spark, name)
+        with scratch(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
