@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordinal import with_ordinal
+from .ordinal import running_total, with_ordinal
 
 
 def categorize(title: Column, rules: tuple[tuple[str, tuple[str, ...]], ...], override: Column | None = None) -> Column:
@@ -27,12 +27,15 @@ def tag_topics(text: Column, patterns: tuple[tuple[str, str], ...]) -> Column:
 
 
 def build_queue(rows: DataFrame, strategy: str, category_order: tuple[str, ...] = ()) -> DataFrame:
-    """Adds position from 1. Columns: ord (input order), category, view_count, upload_date."""
+    """Adds position from 1. Columns: ord (input order), category, view_count, upload_date; only what orders the queue is sorted, and ord joins it back."""
     rank = F.lit(99)
     for i, name in reversed(list(enumerate(category_order))):
         rank = F.when(F.col("category") == name, i).otherwise(rank)
-    keys = {"mentorship_first": [rank, F.desc("view_count")], "chronological": [F.asc("upload_date")], "views": [F.desc("view_count")]}.get(strategy, [])
-    return with_ordinal(rows, [*keys, F.col("ord")], "position")
+    first = {"mentorship_first": [rank, -F.col("view_count")], "chronological": [F.col("upload_date")], "views": [-F.col("view_count")]}.get(strategy, [])
+    keys = [f"key{i}" for i in range(len(first))]
+    light = rows.select("ord", *(c.alias(k) for k, c in zip(keys, first, strict=True)))
+    order = [F.col(k).asc_nulls_last() if strategy != "chronological" else F.col(k) for k in keys]
+    return rows.join(with_ordinal(light, [*order, F.col("ord")], "position").select("ord", "position"), "ord")
 
 
 def top_per(rows: DataFrame, by: str, order: list[Column], n: int) -> DataFrame:
@@ -40,13 +43,44 @@ def top_per(rows: DataFrame, by: str, order: list[Column], n: int) -> DataFrame:
 
 
 def cost_guard(log: DataFrame, session_limit: float, daily_limit: float, halt: bool = True) -> DataFrame:
-    """Running cost per session and day, what remains, and a halt that stays once a limit is reached."""
-    running = lambda *by: Window.partitionBy(*by).orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    out = log.withColumn("day", F.to_date("ts"))
-    out = out.withColumns({"session_total": F.round(F.sum("cost").over(running("session")), 6), "daily_total": F.round(F.sum("cost").over(running("session", "day")), 6)})
+    """Running cost of the session and of the day over all sessions, what remains, and a halt of the session that stays once a limit is reached.
+
+    Costs add up exactly, to a millionth. Days and sessions of any size are dealt over several tasks.
+    """
+    cost = F.coalesce(F.col("cost").cast("decimal(18,6)"), F.lit(0))
+    order = ["ts", "event_id"]
+    out = running_total(log.withColumn("day", F.to_date("ts")), "day", order, cost, "daily_total")
+    out = running_total(out, "session", order, cost, "session_total").withColumns({c: F.col(c).cast("double") for c in ("daily_total", "session_total")})
     over = (F.col("session_total") >= session_limit) | (F.col("daily_total") >= daily_limit)
-    out = out.withColumns({"remaining": F.greatest(F.lit(0.0), F.round(session_limit - F.col("session_total"), 6)), "__over": over & F.lit(halt)})
-    return out.withColumn("halted", F.max("__over").over(running("session"))).drop("__over")
+    first = out.where(over & F.lit(halt)).groupBy(F.col("session").alias("__of")).agg(F.min(F.struct(*order)).alias("__first"))
+    met = out.join(first, F.col("session").eqNullSafe(F.col("__of")), "left")
+    halted = F.coalesce(F.struct(*order) >= F.col("__first"), F.lit(False))
+    return met.withColumns({"remaining": F.greatest(F.lit(0.0), F.round(session_limit - F.col("session_total"), 6)), "halted": halted}).drop("__of", "__first")
+
+
+def guard_status(log: DataFrame, turns: int | None = 20, stall_minutes: float | None = 5, limits: tuple[float, float] | None = (0.5, 1.0)) -> DataFrame:
+    """(session, turns_ok, active, within_cost, allowed): what each guard says of a session; one that is None is off and always agrees."""
+    yes, sessions = F.lit(True), log.select("session").distinct()
+    out = sessions.withColumns({"turns_ok": yes, "active": yes, "within_cost": yes})
+    if turns is not None:
+        count = log.groupBy("session").agg(F.count(F.lit(1)).alias("n"))
+        out = out.join(count, "session").withColumn("turns_ok", F.col("n") < turns).drop("n")
+    if stall_minutes is not None:
+        stalled = stall_guard(log, stall_minutes).groupBy("session").agg(F.bool_or("stalled").alias("stalled"))
+        out = out.join(stalled, "session").withColumn("active", ~F.col("stalled")).drop("stalled")
+    if limits is not None:
+        halted = cost_guard(log, *limits).groupBy("session").agg(F.bool_or("halted").alias("halted"))
+        out = out.join(halted, "session").withColumn("within_cost", ~F.col("halted")).drop("halted")
+    return out.withColumn("allowed", F.col("turns_ok") & F.col("active") & F.col("within_cost"))
+
+
+def gates(found: DataFrame, least: int = 10, rejection: tuple[float, float] = (0.1, 0.3), most_errors: float = 0.05) -> DataFrame:
+    """Adds to (total, rejected, error_rate) the rejection rate, a verdict for each gate, and whether all pass."""
+    rate = F.col("rejected") / F.greatest("total", F.lit(1))
+    told = lambda ok, text: F.when(ok, "PASS").otherwise(F.concat(F.lit("FAIL ("), text, F.lit(")")))
+    percent = lambda c, form: F.format_string(form, 100 * c)
+    out = found.withColumns({"signatures": told(F.col("total") >= least, F.col("total").cast("string")), "rejection": told(rate.between(*rejection), percent(rate, "%.0f%%")), "jargon": told(F.col("error_rate") <= most_errors, percent(F.col("error_rate"), "%.1f%%"))})
+    return out.withColumns({"rate": F.round(rate, 4), "all_pass": (F.col("signatures") == "PASS") & (F.col("rejection") == "PASS") & (F.col("jargon") == "PASS")})
 
 
 def turn_guard(log: DataFrame, warn: int = 15, most: int = 20) -> DataFrame:

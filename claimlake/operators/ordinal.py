@@ -1,4 +1,4 @@
-"""Global row numbers without putting all rows in one task."""
+"""Global row numbers and running totals without putting all rows, or all of a large group, in one task."""
 
 from __future__ import annotations
 
@@ -10,10 +10,27 @@ from ..sources.shared import ensure_checkpoint_dir
 
 def with_ordinal(rows: DataFrame, keys: list[Column], name: str) -> DataFrame:
     """Adds 1, 2, ... in the order of the keys, which must be total: rows are range-partitioned, numbered within their
-    partition, and moved up by the sizes of the partitions before it, of which there are as many as partitions."""
+    partition, and moved up by the sizes of the partitions before it, of which there are as many as partitions. All columns are sorted
+    along, so rows should have few."""
     ensure_checkpoint_dir(rows.sparkSession)
     dealt = rows.repartitionByRange(*keys).withColumn("__part", F.spark_partition_id()).checkpoint()
     sizes = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = sizes.select("__part", (F.sum("__size").over(Window.orderBy("__part")) - F.col("__size")).alias("__before"))
     numbered = dealt.withColumn("__local", F.row_number().over(Window.partitionBy("__part").orderBy(*keys)))
     return numbered.join(F.broadcast(before), "__part").withColumn(name, F.col("__before") + F.col("__local")).drop("__part", "__local", "__before")
+
+
+def running_total(rows: DataFrame, by: str, order: list[str], value: Column, name: str) -> DataFrame:
+    """Adds the running sum of a value in each group, up to and with the row; the order must be total.
+
+    Rows are range-partitioned by group and order, so that a large group is dealt over several tasks; a part starts from the sums of
+    the group's parts before it, of which there are as many as partitions and groups.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
+    dealt = rows.withColumn("__value", value).repartitionByRange(by, *order).withColumn("__part", F.spark_partition_id()).checkpoint()
+    sums = dealt.groupBy(by, "__part").agg(F.sum("__value").alias("__sum"))
+    before = F.sum("__sum").over(Window.partitionBy(by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sums.select(F.col(by).alias("__by"), F.col("__part").alias("__of"), F.coalesce(before, F.lit(0)).alias("__before"))
+    local = F.sum("__value").over(Window.partitionBy("__part", by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    met = dealt.withColumn("__local", local).join(starts, F.col(by).eqNullSafe(F.col("__by")) & (F.col("__part") == F.col("__of")))
+    return met.withColumn(name, F.col("__before") + F.col("__local")).drop("__value", "__part", "__local", "__by", "__of", "__before")
