@@ -19,18 +19,60 @@ def upgrade_ranked(observations: DataFrame) -> DataFrame:
 
 
 def upgrade_sticky(observations: DataFrame) -> DataFrame:
-    """FOUND wins; otherwise the first observation stays."""
-    found = F.bool_or(F.col("status") == "FOUND")
-    return observations.groupBy("concept_id", "source").agg(F.when(found, "FOUND").otherwise(F.min_by("status", "ord")).alias("status"))
+    """FOUND wins; otherwise the first status other than PENDING stays."""
+    told = F.when(F.col("status") != "PENDING", F.col("status"))
+    first = F.min_by(told, F.when(told.isNotNull(), F.col("ord")))
+    return observations.groupBy("concept_id", "source").agg(F.when(F.bool_or(F.col("status") == "FOUND"), "FOUND").otherwise(F.coalesce(first, F.lit("PENDING"))).alias("status"))
 
 
-def coverage_summary(coverage: DataFrame) -> DataFrame:
-    """Counts by status, by drawer, by source and in total, in one pass."""
-    coverage.createOrReplaceTempView("__coverage")
-    return coverage.sparkSession.sql("""
-        select case when grouping(status) = 0 then 'status' when grouping(drawer) = 0 then 'drawer' when grouping(source) = 0 then 'source' else 'total' end as dimension,
-          coalesce(status, drawer, source, 'all') as value, count(*) as total, count_if(status_of = 'FOUND') as found
-        from (select *, status as status_of from __coverage) group by grouping sets ((status), (drawer), (source), ())""")
+def from_claims(cells: DataFrame, matches: DataFrame) -> DataFrame:
+    """Cells (concept_id, source, status, signature_ids, bundles, documents) after the claims that were matched to their concepts.
+
+    matches: (concept_id, source, ord, signature_id, bundle, document). A cell with a match is FOUND; each new name is appended to its
+    list once, in order. Matches without a cell are ignored. Names are made distinct before they meet in a cell.
+    """
+    lists = {"signature_ids": "signature_id", "bundles": "bundle", "documents": "document"}
+    names = F.array(*(F.struct(F.lit(to).alias("list"), F.col(c).cast("string").alias("name")) for to, c in lists.items()))
+    each = matches.select("concept_id", "source", "ord", F.inline(names)).where("name <> ''").groupBy("concept_id", "source", "list", "name").agg(F.min("ord").alias("ord"))
+    ordered = lambda to: F.transform(F.array_sort(F.collect_list(F.when(F.col("list") == to, F.struct("ord", "name")))), lambda x: x["name"])
+    found = each.groupBy("concept_id", "source").agg(*(ordered(to).alias(f"new_{to}") for to in lists))
+    some = matches.select("concept_id", "source").distinct().withColumn("matched", F.lit(True))
+    met = cells.join(some, ["concept_id", "source"], "left").join(found, ["concept_id", "source"], "left")
+    grown = lambda to: F.array_union(F.coalesce(to, F.array().cast("array<string>")), F.coalesce(f"new_{to}", F.array().cast("array<string>")))
+    return met.select("concept_id", "source", F.when(F.col("matched"), "FOUND").otherwise(F.col("status")).alias("status"), *(grown(to).alias(to) for to in lists))
+
+
+def coverage_summary(cells: DataFrame) -> DataFrame:
+    """Counts of cells (concept_id, source, drawer, status) by status, all of which appear, by drawer, by source and in total, in one pass."""
+    grouped = cells.withColumn("status_of", F.col("status")).groupingSets([[F.col("status")], [F.col("drawer")], [F.col("source")], []], "status", "drawer", "source")
+    kind = F.when(F.grouping("status") == 0, "status").when(F.grouping("drawer") == 0, "drawer").when(F.grouping("source") == 0, "source").otherwise("total")
+    counts = grouped.agg(kind.alias("dimension"), F.count(F.lit(1)).alias("total"), F.count_if(F.col("status_of") == "FOUND").alias("found"))
+    counts = counts.select("dimension", F.coalesce("status", "drawer", "source", F.lit("all")).alias("value"), "total", "found")
+    none = cells.sparkSession.range(1).select(F.lit("status").alias("dimension"), F.explode(F.array(*map(F.lit, STATUSES))).alias("value"), F.lit(0).cast("long").alias("total"), F.lit(0).cast("long").alias("found"))
+    return counts.unionByName(none).groupBy("dimension", "value").agg(F.sum("total").alias("total"), F.sum("found").alias("found"))
+
+
+def coverage_report(cells: DataFrame, low_percent: float = 20, pending_share: float = 0.5, most_gaps: int = 10) -> DataFrame:
+    """(section, name, n, of, percent): shares of statuses, effective coverage, sources and drawers, concepts with partial evidence only or none, recommendations."""
+    summary = coverage_summary(cells)
+    share = lambda n, of: F.round(F.when(of > 0, 100 * n / of).otherwise(0.0), 1)
+    row = lambda section, name, n, of: [F.lit(section).alias("section"), name.alias("name"), n.alias("n"), of.alias("of"), share(n, of).alias("percent")]
+    of_status = lambda *s: F.coalesce(F.sum(F.when((F.col("dimension") == "status") & F.col("value").isin(*s), F.col("total"))), F.lit(0))
+    one = summary.agg(F.coalesce(F.sum(F.when(F.col("dimension") == "total", F.col("total"))), F.lit(0)).alias("all"), of_status("PENDING").alias("pending"), of_status("FOUND", "PARTIAL").alias("effective"))
+    told = lambda s: F.bool_or(F.col("status") == s)
+    concepts = cells.groupBy("concept_id").agg(told("FOUND").alias("found"), told("PARTIAL").alias("partial"))
+    shown = concepts.agg(F.count(F.lit(1)).alias("concepts"), F.count_if(F.col("partial") & ~F.col("found")).alias("partial_only"), F.count_if(~F.col("partial") & ~F.col("found")).alias("gaps"))
+    one = one.unionByName(shown, allowMissingColumns=True).agg(*(F.max(c).alias(c) for c in [*one.columns, *shown.columns]))
+    parts = [summary.where("dimension = 'status'").join(one).select(*row("status", F.col("value"), F.col("total"), F.col("all")))]
+    parts += [summary.where(F.col("dimension") == d).select(*row(d, F.col("value"), F.col("found"), F.col("total"))) for d in ("source", "drawer")]
+    parts += [one.select(*row("coverage", F.lit("effective"), F.col("effective"), F.col("all"))), one.select(*row("evidence", F.lit("partial_only"), F.col("partial_only"), F.col("concepts"))), one.select(*row("evidence", F.lit("none"), F.col("gaps"), F.col("concepts")))]
+    parts.append(summary.where("dimension = 'source'").select(*row("recommendation", F.concat(F.lit("low_coverage:"), "value"), F.col("found"), F.col("total"))).where(F.col("percent") < low_percent))
+    parts.append(one.where(F.col("pending") > F.col("all") * pending_share).select(*row("recommendation", F.lit("high_pending_rate"), F.col("pending"), F.col("all"))))
+    parts.append(one.where(F.col("gaps") > most_gaps).select(*row("recommendation", F.lit("coverage_gaps"), F.col("gaps"), F.col("concepts"))))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def coverage_gaps(coverage: DataFrame) -> DataFrame:
@@ -39,4 +81,11 @@ def coverage_gaps(coverage: DataFrame) -> DataFrame:
 
 
 def coverage_grid(coverage: DataFrame, sources: list[str]) -> DataFrame:
+    """A column for each of the sources given."""
     return coverage.groupBy("concept_id").pivot("source", sources).agg(F.first("status"))
+
+
+def coverage_lines(coverage: DataFrame) -> DataFrame:
+    """(concept_id, cells): all sources of a concept in order, as source=status; any number of sources is one column."""
+    pairs = F.array_sort(F.collect_list(F.concat_ws("=", "source", "status")))
+    return coverage.groupBy("concept_id").agg(F.array_join(pairs, " ").alias("cells"))
