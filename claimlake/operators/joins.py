@@ -4,26 +4,57 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-#: Rows of a lexicon that may be broadcast for a substring join, which has no other way to run.
+#: Rows that a broadcast table may have.
 MOST_LEXICON_ROWS = 100_000
+#: Needles that are looked for as one array in each row; larger lexicons are broadcast in blocks.
+MOST_NEEDLES = 500
 
 
 def small(lexicon: DataFrame, most: int = MOST_LEXICON_ROWS) -> DataFrame:
     if lexicon.limit(most + 1).count() > most:
-        raise ValueError(f"a substring lexicon has over {most} rows")
+        raise ValueError(f"a lexicon has over {most} rows")
     return F.broadcast(lexicon)
 
 
+def _needles(lexicon: DataFrame) -> Column | None:
+    """A small lexicon (name, needle) as an array of structs; None for a larger one."""
+    rows = lexicon.limit(MOST_NEEDLES + 1).collect()
+    if len(rows) > MOST_NEEDLES:
+        return None
+    kind = f"array<struct<name:{lexicon.schema['name'].dataType.simpleString()},needle:string>>"
+    return F.array(*(F.struct(F.lit(r["name"]).alias("name"), F.lit(r["needle"]).alias("needle")) for r in sorted(rows, key=str))).cast(kind)
+
+
+def _blocks(lexicon: DataFrame, key: str, most: int) -> list[DataFrame]:
+    """The lexicon in parts of about half of `most` rows each, so that any of them may be broadcast."""
+    count = lexicon.count()
+    if count <= most:
+        return [lexicon]
+    blocks = -(-2 * count // most)
+    numbered = lexicon.withColumn("__block", F.pmod(F.xxhash64(key), F.lit(blocks)))
+    return [numbered.where(F.col("__block") == i).drop("__block") for i in range(blocks)]
+
+
+def _found_in(rows: DataFrame, fields: list[str], lexicon: DataFrame, most: int = MOST_LEXICON_ROWS) -> tuple[DataFrame, bool]:
+    """(rows with the array `names` of the lexicon's needles that a field contains, True), or (one row for each needle found, False)."""
+    holds = lambda needle: reduce(lambda a, b: a | b, (F.contains(f, needle) for f in fields))
+    if (array := _needles(lexicon)) is not None:
+        return rows.withColumn("names", F.transform(F.filter(array, lambda x: holds(x["needle"])), lambda x: x["name"])), True
+    met = [rows.join(F.broadcast(part), holds(F.col("needle"))) for part in _blocks(lexicon, "needle", most)]
+    return reduce(DataFrame.unionByName, met), False
+
+
 def pattern_match(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, distinct: bool = True) -> DataFrame:
     """(id, pattern_id): lower-case patterns contained in the raw or the preprocessed text; distinct needs state on a stream."""
     rows = docs.select(id_col, F.lower(text_col).alias("raw"), F.lower(T.preprocess(F.col(text_col))).alias("clean"))
-    v = small(vectors.select(F.col("id").alias("pattern_id"), F.lower("pattern").alias("needle")))
-    return rows.join(v, F.contains("raw", F.col("needle")) | F.contains("clean", F.col("needle"))).select(id_col, "pattern_id").transform(lambda d: d.distinct() if distinct else d)
+    found, listed = _found_in(rows, ["raw", "clean"], vectors.select(F.col("id").alias("name"), F.lower("pattern").alias("needle")))
+    found = found.select(id_col, F.explode("names").alias("pattern_id")) if listed else found.select(id_col, F.col("name").alias("pattern_id"))
+    return found.distinct() if distinct else found
 
 
 def screen(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, mode: str = "halt", semantic: DataFrame | None = None, block_above: float = 0.92) -> DataFrame:
@@ -33,8 +64,14 @@ def screen(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, mode
     blocks, in any other mode only a similarity above the bound.
     """
     zero = F.lit(0).cast("long")
-    found = pattern_match(docs, vectors, id_col, text_col).groupBy(id_col).agg(F.count(F.lit(1)).alias("matches"), F.min("pattern_id").alias("first_pattern"))
-    out = docs.select(id_col, T.unicode_abuse(F.col(text_col)).alias("warned")).join(found, id_col, "left").withColumn("matches", F.coalesce("matches", zero))
+    rows = docs.select(id_col, T.unicode_abuse(F.col(text_col)).alias("warned"), F.lower(text_col).alias("raw"), F.lower(T.preprocess(F.col(text_col))).alias("clean"))
+    found, listed = _found_in(rows, ["raw", "clean"], vectors.select(F.col("id").alias("name"), F.lower("pattern").alias("needle")))
+    if listed:  # no row leaves its partition
+        names = F.array_distinct("names")
+        out = found.select(id_col, "warned", F.coalesce(F.size(names), F.lit(0)).cast("long").alias("matches"), F.array_min(names).alias("first_pattern"))
+    else:
+        met = found.groupBy(id_col).agg(F.count_distinct("name").alias("matches"), F.min("name").alias("first_pattern"))
+        out = rows.select(id_col, "warned").join(met, id_col, "left").withColumn("matches", F.coalesce("matches", zero))
     if semantic is None:
         out = out.withColumns({"flags": zero, "top": F.lit(None).cast("double")})
     else:
@@ -48,68 +85,84 @@ def screen(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, mode
 
 
 def canon_conflict(signatures: DataFrame, theory: DataFrame, pairs: tuple[tuple[str, str], ...], least: int = 3) -> DataFrame:
-    """(id, line_no, pair_no): the first theory line with the opposite term and enough shared words."""
-    terms = signatures.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair_no int, a string, b string")
-    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), r"[ \t\n\x0B\f\r]+"), lambda w: w != ""))
-    opposed = small(theory).join(F.broadcast(terms), F.contains(F.lower("line"), F.col("b"))).select("pair_no", "a", "line_no", words(F.col("line")).alias("line_words"))
-    met = signatures.withColumn("own_words", words(F.col("condition"))).join(F.broadcast(opposed), F.contains(F.lower("condition"), F.col("a")))
-    met = met.where(F.size(F.array_intersect("own_words", "line_words")) >= least)
+    """(id, line_no, pair_no): of each signature (id, condition) that conflicts, the first pair and theory line (line_no, line) with the opposite term and enough shared words.
+
+    Conditions and lines meet by pair and shared word, not each with each.
+    """
+    words = lambda c: F.explode(F.array_distinct(F.filter(F.split(F.lower(c), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")))
+    having = lambda c, term: F.filter(F.array(*(F.when(F.contains(F.lower(c), F.lit(p[term])), i) for i, p in enumerate(pairs))), lambda x: x.isNotNull())
+    own = signatures.select("id", F.explode(having("condition", 0)).alias("pair_no"), "condition").select("id", "pair_no", words(F.col("condition")).alias("word"))
+    lines = theory.select("line_no", F.explode(having("line", 1)).alias("pair_no"), "line").select("line_no", "pair_no", words(F.col("line")).alias("word"))
+    met = own.join(lines, ["pair_no", "word"]).groupBy("id", "pair_no", "line_no").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
     return met.groupBy("id").agg(F.min(F.struct("pair_no", "line_no")).alias("m")).select("id", "m.line_no", "m.pair_no")
 
 
 def exclude_negatives(signatures: DataFrame, negatives: DataFrame) -> DataFrame:
     """Signatures without those whose condition or action contains a negative's reason; empty reasons count for nothing."""
-    reasons = small(negatives.select(F.lower("reason").alias("reason")).where("reason <> ''").distinct())
-    hit = F.contains(F.lower("condition"), F.col("reason")) | F.contains(F.lower("action"), F.col("reason"))
-    return signatures.join(reasons, hit, "left_anti")
+    reasons = negatives.select(F.lower("reason").alias("needle")).where("needle <> ''").distinct()
+    holds = lambda needle: F.contains(F.lower("condition"), needle) | F.contains(F.lower("action"), needle)
+    if (array := _needles(reasons.select(F.lit(0).alias("name"), "needle"))) is not None:
+        return signatures.where(~F.coalesce(F.exists(array, lambda x: holds(x["needle"])), F.lit(False)))
+    for part in _blocks(reasons, "needle", MOST_LEXICON_ROWS):
+        signatures = signatures.join(F.broadcast(part), holds(F.col("needle")), "left_anti")
+    return signatures
 
 
 def _hits(texts: DataFrame, terms: DataFrame, most: int) -> DataFrame:
-    """(claim_id, term): the distinct terms contained in each text. The terms are broadcast block by block, of about half of `most` each."""
-    count = terms.count()
-    blocks = 1 if count <= most else -(-2 * count // most)
-    if blocks == 1:
-        parts = [terms]
-    else:
-        numbered = terms.withColumn("block", F.pmod(F.xxhash64("term"), F.lit(blocks)))
-        parts = [numbered.where(F.col("block") == i).drop("block") for i in range(blocks)]
-    met = [texts.join(F.broadcast(part), F.contains("low", F.col("term"))).select("claim_id", "term") for part in parts]
-    return reduce(DataFrame.unionByName, met)
+    """(claim_id, term): the distinct terms contained in each text. Terms are an array or broadcast block by block."""
+    found, listed = _found_in(texts, ["low"], terms.select(F.col("term").alias("name"), F.col("term").alias("needle")), most)
+    return found.select("claim_id", F.explode("names").alias("term")) if listed else found.select("claim_id", F.col("name").alias("term"))
 
 
 def match_concepts(claims: DataFrame, concepts: DataFrame, top: int = 3, least: int = 2, most: int = MOST_LEXICON_ROWS) -> DataFrame:
-    """(claim_id, concept_id, score, rank): a point for each term contained, two for the drawer's name.
+    """(claim_id, concept_id, score, rank) of claims (claim_id, text, drawer, concept_id) and concepts (concept_id, ord, terms, drawer_name).
 
+    A claim that names a known concept matches it alone, with a null score. Otherwise a concept gets a point for each term that the text
+    contains, and two if the drawers of claim and concept contain one another, in either case; the first of equals by ord rank.
     Concepts with the same terms and drawer always score alike, so they are met as one kind, of which the first `top` can rank.
     Any number of concepts may be given: only distinct terms are broadcast, over `most` of them in blocks.
     """
-    low = concepts.select("concept_id", "ord", F.array_sort(F.transform("terms", lambda x: F.lower(x))).alias("terms"), F.lower("drawer_name").alias("drawer_name"))
-    members = F.slice(F.array_sort(F.collect_list(F.struct("ord", "concept_id"))), 1, top)
-    kinds = low.groupBy("terms", "drawer_name").agg(members.alias("members")).withColumn("first", F.get("members", 0))
-    terms = kinds.select("first", F.explode("terms").alias("term"), F.lit(1).alias("points"))
-    terms = terms.unionByName(kinds.select("first", F.col("drawer_name").alias("term"), F.lit(2).alias("points")))
+    named = claims.join(concepts.select("concept_id").distinct(), "concept_id").select("claim_id", "concept_id", F.lit(None).cast("long").alias("score"), F.lit(1).alias("rank"))
+    claims = claims.join(named.select("claim_id"), "claim_id", "left_anti")
+    low = concepts.select("concept_id", "ord", F.array_sort(F.transform("terms", lambda x: F.lower(x))).alias("terms"), F.coalesce(F.upper("drawer_name"), F.lit("")).alias("drawer_name"))
+    first_of = lambda: F.slice(F.array_sort(F.collect_list(F.struct("ord", "concept_id"))), 1, top)
+    kinds = low.groupBy("terms", "drawer_name").agg(first_of().alias("members")).withColumn("first", F.get("members", 0))
     # each distinct term is looked for once in a text, however many concepts have it
-    texts = claims.select("claim_id", F.lower("text").alias("low"))
-    hits = _hits(texts, terms.select("term").distinct(), most)
-    met = hits.join(terms, "term").groupBy("claim_id", "first").agg(F.sum("points").alias("score")).where(F.col("score") >= least)
-    by = Window.partitionBy("claim_id").orderBy(F.desc("score"), "first")
-    best = met.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top).drop("rank").join(kinds.select("first", "members"), "first")
-    each = best.select("claim_id", "score", F.inline("members"))
+    terms = kinds.select("first", F.explode("terms").alias("term"))
+    hits = _hits(claims.select("claim_id", F.lower("text").alias("low")), terms.select("term").distinct(), most)
+    by_terms = hits.join(terms, "term").groupBy("claim_id", "first").agg(F.count(F.lit(1)).alias("points"))
+    # drawers meet as distinct names
+    drawers = claims.select("claim_id", F.upper("drawer").alias("drawer")).where("drawer <> ''")
+    names = small(kinds.select("drawer_name").where("drawer_name <> ''").distinct())
+    alike = drawers.select("drawer").distinct().join(names, F.contains("drawer", F.col("drawer_name")) | F.contains("drawer_name", F.col("drawer")))
+    bonus = drawers.join(alike, "drawer").select("claim_id", "drawer_name", F.lit(2).alias("bonus"))
+    scored = by_terms.join(kinds.select("first", "drawer_name", "members"), "first").join(bonus, ["claim_id", "drawer_name"], "left")
+    scored = scored.select("claim_id", (F.col("points") + F.coalesce("bonus", F.lit(0))).alias("score"), F.inline("members"))
+    of_drawer = low.withColumn("n", F.row_number().over(Window.partitionBy("drawer_name").orderBy("ord"))).where(F.col("n") <= top)
+    if least <= 2:  # the drawer alone is enough, for the first of its concepts
+        scored = scored.unionByName(bonus.join(of_drawer, "drawer_name").select("claim_id", F.col("bonus").cast("long").alias("score"), "ord", "concept_id"))
+    best = scored.groupBy("claim_id", "ord", "concept_id").agg(F.max("score").alias("score")).where(F.col("score") >= least)
     by = Window.partitionBy("claim_id").orderBy(F.desc("score"), "ord")
-    return each.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top).select("claim_id", "concept_id", F.col("score").cast("long").alias("score"), "rank")
+    ranked = best.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top)
+    return ranked.select("claim_id", "concept_id", F.col("score").cast("long").alias("score"), "rank").unionByName(named)
 
 
 def find_claims(specs: DataFrame, claims: DataFrame) -> DataFrame:
-    """Each spec with the claim of its bundle, else of the newest bundle that has the signature; misses stay, with nulls."""
-    c = claims.select(F.col("bundle").alias("found_bundle"), F.col("signature").alias("__signature"), "claim")
-    met = specs.join(c, (F.col("signature") == F.col("__signature")) & (F.col("bundle").isNull() | (F.col("bundle") == F.col("found_bundle"))), "left")
-    by = Window.partitionBy("spec_id").orderBy(F.desc_nulls_last("found_bundle"))
-    return met.withColumn("n", F.row_number().over(by)).where("n = 1").select("spec_id", "signature", "found_bundle", "claim")
+    """Each spec with the claim of its bundle, else of the newest bundle that has the signature; misses stay, with nulls.
+
+    A spec meets one row: its bundle's, or the newest of its signature, found beforehand.
+    """
+    own = claims.groupBy(F.col("bundle").alias("of"), F.col("signature").alias("own")).agg(F.min("claim").alias("own_claim"))
+    newest = own.groupBy(F.col("own").alias("any")).agg(F.max("of").alias("newest"), F.max_by("own_claim", "of").alias("newest_claim"))
+    met = specs.join(own, (F.col("signature") == F.col("own")) & (F.col("bundle") == F.col("of")), "left").join(newest, F.col("signature") == F.col("any"), "left")
+    bare = F.col("bundle").isNull()
+    return met.select("spec_id", "signature", F.when(bare, F.col("newest")).otherwise(F.col("of")).alias("found_bundle"), F.when(bare, F.col("newest_claim")).otherwise(F.col("own_claim")).alias("claim"))
 
 
-def update_status(queue: DataFrame, updates: DataFrame, key: str = "id") -> DataFrame:
-    """Queue rows with the status, bundle and error of their update, if there is one; the smallest of several counts."""
-    u = updates.groupBy(key).agg(F.min(F.struct("status", "bundle_id", "error")).alias("u"))
+def update_status(queue: DataFrame, updates: DataFrame, key: str = "id", order: str | None = None) -> DataFrame:
+    """Queue rows with the status, bundle and error of their update, if there is one; of several the first in `order`, or the smallest."""
+    value = F.struct("status", "bundle_id", "error")
+    u = updates.groupBy(key).agg((F.min_by(value, F.struct(order, value)) if order else F.min(value)).alias("u"))
     out = queue.join(u, key, "left")
     kept = [c for c in queue.columns if c not in ("status", "bundle_id", "error")]
     return out.select(*kept, *(F.coalesce(F.col(f"u.{c}"), F.col(c)).alias(c) for c in ("status", "bundle_id", "error")))
