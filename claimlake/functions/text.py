@@ -33,8 +33,8 @@ def b64_segments(c: Column) -> Column:
 
 
 def unicode_abuse(c: Column, share: float = 0.05) -> Column:
-    """Whether more than a share of the characters are format, control or private-use ones."""
-    odd = F.length(F.regexp_replace(c, r"[^\p{Cf}\p{Cc}\p{Co}]", ""))
+    """Whether more than a share of the characters are format, control, private-use or unassigned ones."""
+    odd = F.length(F.regexp_replace(c, r"[^\p{Cf}\p{Cc}\p{Co}\p{Cn}]", ""))
     return F.coalesce(odd > F.length(c) * share, F.lit(False))
 
 
@@ -81,6 +81,11 @@ def status_symbol(c: Column) -> Column:
     return F.when(c == "FOUND", "Y").when(c == "PARTIAL", "~").when(c == "ABSENT", "-").otherwise(".")
 
 
+def status_word(c: Column) -> Column:
+    """Four characters or more for each status of a grid."""
+    return F.when(c == "FOUND", "FOUND").when(c == "PARTIAL", "PART").when(c == "ABSENT", "---").when(c == "PENDING", "...").otherwise("?")
+
+
 def first_of(c: Column, markers: tuple[str, ...]) -> Column:
     """The first marker, in lexicon order, that the text contains."""
     return F.get(F.filter(F.array(*map(F.lit, markers)), lambda m: F.contains(c, m)), 0)

@@ -18,23 +18,25 @@ def _matches(text: str, patterns: tuple[str, ...], gates: tuple[str, ...]):
     """
     parts = []
     for i, (pattern, gate) in enumerate(zip(patterns, gates, strict=True)):
-        one, two = (F.when(F.col(text).rlike(gate), F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(g))).otherwise(F.array().cast("array<string>")) for g in (1, 2))
-        parts.append(F.transform(one, _pair(i, two)))
+        one, two = (F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(g)) for g in (1, 2))
+        both = F.when(F.col(text).rlike(gate), F.arrays_zip(one.alias("condition"), two.alias("action"))).otherwise(F.array().cast("array<struct<condition:string,action:string>>"))
+        parts.append(F.transform(both, _pair(i)))
     return F.explode(F.concat(*parts))
 
 
-def _pair(number: int, actions):
-    return lambda condition, at: F.struct(F.lit(number).alias("pattern_no"), at.alias("match_no"), F.trim(condition).alias("condition"), F.trim(F.get(actions, at)).alias("action"))
+def _pair(number: int):
+    return lambda x, at: F.struct(F.lit(number).alias("pattern_no"), at.alias("match_no"), F.trim(x["condition"]).alias("condition"), F.trim(x["action"]).alias("action"))
 
 
-def extract_segments(segments: DataFrame, patterns: tuple[str, ...] = L.IF_THEN_PATTERNS, gates: tuple[str, ...] = L.IF_THEN_GATES, negatives: DataFrame | None = None) -> DataFrame:
-    """One signature for each match in a segment that no negative excludes; ids run over the document."""
-    found = segments.select("doc_id", "seg_no", "start", "text", _matches("text", patterns, gates).alias("m")).select("doc_id", "seg_no", "start", "text", "m.*")
+def extract_segments(segments: DataFrame, patterns: tuple[str, ...] = L.IF_THEN_PATTERNS, gates: tuple[str, ...] = L.IF_THEN_GATES, negatives: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One signature for each match in a segment that no negative excludes; ids run over the document. Columns in `keep` go along; texts don't."""
+    about = ["doc_id", "seg_no", *keep, fmt_ts(F.col("start")).alias("source_timestamp"), F.substring("text", 1, 200).alias("source_quote"), confidence(F.col("text")).alias("confidence")]
+    found = segments.select(*about, _matches("text", patterns, gates).alias("m")).select("*", "m.*").drop("m")
     found = found if negatives is None else exclude_negatives(found, negatives)
     number = F.row_number().over(Window.partitionBy("doc_id").orderBy("seg_no", "pattern_no", "match_no"))
     return found.select(
         "doc_id", F.format_string("S-%03d", number).alias("id"), F.concat(F.lit("IF "), "condition").alias("condition"), F.concat(F.lit("THEN "), "action").alias("action"),
-        fmt_ts(F.col("start")).alias("source_timestamp"), F.substring("text", 1, 200).alias("source_quote"), confidence(F.col("text")).alias("confidence"),
+        "source_timestamp", "source_quote", "confidence", *keep,
     )
 
 

@@ -110,10 +110,14 @@ def explode_results(results: DataFrame) -> DataFrame:
 
 
 def render_bundles(signatures: DataFrame, by: str, order: str, phrases: tuple[str, ...] = ()) -> DataFrame:
-    """(bundle, text, n, bleed): a Markdown document of a bundle's signatures, and the forbidden phrases that it contains."""
+    """(bundle, text, n, bleed): a Markdown document of a bundle's signatures, and the forbidden phrases that it contains.
+
+    White space in a cell becomes one space, and a bar is escaped, so that each signature is one line.
+    """
     from .rules import narrative_violations
 
-    line = F.concat_ws(" | ", F.col("id"), F.col("condition"), F.col("action"))
+    cell = lambda c: F.regexp_replace(F.replace(F.col(c), F.lit("|"), F.lit("\\|")), r"[ \t\n\x0B\f\r]+", " ")
+    line = F.concat_ws(" | ", cell("id"), cell("condition"), cell("action"))
     ordered = F.array_sort(F.collect_list(F.struct(order, F.concat(F.lit("| "), line, F.lit(" |")).alias("line"))))
     table = F.array_join(F.transform(ordered, lambda x: x["line"]), "\n")
     head = "## SIGNATURES\n\n| ID | Condition | Action |\n|---|---|---|\n"
@@ -124,7 +128,7 @@ def render_bundles(signatures: DataFrame, by: str, order: str, phrases: tuple[st
 def parse_bundles(bundles: DataFrame, by: str) -> DataFrame:
     """(bundle, id, condition, action): the signature rows of bundle documents."""
     lines = bundles.select(by, F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(r"^\| S-\d+ \|"))
-    cell = lambda i: F.trim(F.split("line", r" \| ")[i])
+    cell = lambda i: F.trim(F.replace(F.split("line", r" \| ")[i], F.lit("\\|"), F.lit("|")))
     return lines.select(by, F.substring(cell(0), 3, 20).alias("id"), cell(1).alias("condition"), F.regexp_replace(cell(2), r" \|$", "").alias("action"))
 
 
@@ -145,3 +149,19 @@ def render_notes(pairs: DataFrame, negatives: DataFrame, most: int = 20) -> Data
     last = negatives.orderBy(F.desc("ord"), F.desc("id")).limit(most).agg(F.array_sort(F.collect_list(F.struct("ord", "id", F.concat(F.lit("- "), F.col("id").cast("string"), F.lit(" | "), "reason").alias("line")))).alias("n"))
     lines = lambda c: F.array_join(F.transform(c, lambda x: x["line"]), "\n")
     return first.join(F.broadcast(last), F.lit(True), "left").select(F.concat(F.lit("## REDUNDANT\n"), lines("p"), F.lit("\n## NEGATIVES\n"), lines("n"), F.lit("\n")).alias("text"))
+
+
+def run_summary(results: DataFrame, still_pending: DataFrame) -> DataFrame:
+    """One row (total_pending, processed, failed, skipped) of the results of a run (id, status) and the rows that still wait (id)."""
+    of = lambda s: F.count_if(F.col("status") == s)
+    counted = results.agg(of("DONE").alias("processed"), of("FAILED").alias("failed"), of("SKIPPED").alias("skipped"))
+    waiting = still_pending.agg(F.count(F.lit(1)).alias("total_pending"))
+    return waiting.unionByName(counted, allowMissingColumns=True).agg(*(F.max(c).alias(c) for c in [*waiting.columns, *counted.columns]))
+
+
+def yield_summary(docs: DataFrame, signatures: DataFrame, by: str) -> DataFrame:
+    """(by, files, with_signatures, zero_yield, extracted, validated, rejected) of documents (id, by) and audited signatures (id, verdict)."""
+    of = signatures.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("verdict") == "REJECT").alias("bad"))
+    n, bad = F.coalesce("n", F.lit(0).cast("long")), F.coalesce("bad", F.lit(0).cast("long"))
+    met = docs.join(of, "id", "left").groupBy(by)
+    return met.agg(F.count(F.lit(1)).alias("files"), F.count_if(n > 0).alias("with_signatures"), F.count_if(n == 0).alias("zero_yield"), F.sum(n).alias("extracted"), F.sum(n - bad).alias("validated"), F.sum(bad).alias("rejected"))

@@ -17,8 +17,18 @@ def _words(c: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(c), r"[ \t\n\x0B\f\r]+"), lambda w: w != ""))
 
 
-def provenance() -> Column:
-    return F.when(_blank("source_timestamp"), "provenance")
+def _any(columns: list[str], *names: str) -> Column:
+    """Whether one of the columns that there are isn't blank."""
+    out = F.lit(False)
+    for name in names:
+        out = out | ~_blank(name) if name in columns else out
+    return out
+
+
+def provenance(columns: list[str]) -> Column:
+    """A time is needed; either name of time and source will do."""
+    timed, sourced = _any(columns, "source_timestamp", "timestamp"), _any(columns, "source", "source_url")
+    return F.when(~timed & ~sourced, "provenance:source").when(~timed, "provenance:timestamp")
 
 
 def falsifiability(markers: tuple[str, ...]) -> Column:
@@ -44,15 +54,27 @@ def tautology(pairs: tuple[tuple[str, str], ...], threshold: float) -> Column:
 
 
 def ambiguity(markers: tuple[str, ...]) -> Column:
+    """The first marker, and the field that has it, the condition before the action."""
     found = F.get(F.filter(F.array(*map(F.lit, markers)), lambda m: F.contains(F.lower("condition"), m) | F.contains(F.lower("action"), m)), 0)
-    return F.when(found.isNotNull(), F.concat(F.lit("ambiguity:"), found))
+    field = F.when(F.contains(F.lower("condition"), found), "condition").otherwise("action")
+    return F.when(found.isNotNull(), F.concat_ws(":", F.lit("ambiguity"), found, field))
+
+
+def audit(signatures: DataFrame, absolute=L.ABSOLUTE_MARKERS, ambiguous=L.AMBIGUOUS_MARKERS, pairs=L.TAUTOLOGIES, overlap: float = 0.7, theory: DataFrame | None = None, contradictions=L.CONTRADICTIONS) -> DataFrame:
+    """Adds check_failed (the first rule that fails, with its marker), verdict and attempts.
 
+    theory holds lines (line_no, line) of canon, which the last rule holds signatures (with an id) against.
+    """
+    checks = [provenance(signatures.columns), falsifiability(absolute), consistency(), tautology(pairs, overlap), ambiguity(ambiguous)]
+    if theory is not None:
+        from .joins import canon_conflict
 
-def audit(signatures: DataFrame, absolute=L.ABSOLUTE_MARKERS, ambiguous=L.AMBIGUOUS_MARKERS, pairs=L.TAUTOLOGIES, overlap: float = 0.7) -> DataFrame:
-    """Adds check_failed (the first rule that fails, with its marker), verdict and attempts."""
-    checks = [provenance(), falsifiability(absolute), consistency(), tautology(pairs, overlap), ambiguity(ambiguous)]
+        against = canon_conflict(signatures, theory, contradictions).select("id", F.col("pair_no").alias("__pair"))
+        signatures = signatures.join(against, "id", "left")
+        terms = F.array(*(F.lit(a) for a, _ in contradictions))
+        checks.append(F.when(F.col("__pair").isNotNull(), F.concat(F.lit("canon_conflict:"), F.get(terms, F.col("__pair")))))
     at = F.coalesce(*(F.when(c.isNotNull(), i + 1) for i, c in enumerate(checks)))
-    return signatures.withColumns({"check_failed": F.coalesce(*checks), "attempts": F.least(F.coalesce(at, F.lit(3)), F.lit(3))}).withColumn("verdict", F.when(F.col("check_failed").isNull(), "NO_FALSIFICATION_FOUND").otherwise("REJECT"))
+    return signatures.withColumns({"check_failed": F.coalesce(*checks), "attempts": F.least(F.coalesce(at, F.lit(3)), F.lit(3))}).withColumn("verdict", F.when(F.col("check_failed").isNull(), "NO_FALSIFICATION_FOUND").otherwise("REJECT")).drop("__pair")
 
 
 def audit_summary(verdicts: DataFrame, by: list[str]) -> DataFrame:
@@ -71,7 +93,7 @@ def rejection_reasons(verdicts: DataFrame, by: list[str]) -> DataFrame:
 def narrative_violations(c: Column, phrases=L.NARRATIVE, exclude_quotes: bool = False) -> Column:
     """Phrases that a text contains in either case; lines of tables may be left out first."""
     if exclude_quotes:
-        c = F.array_join(F.filter(F.split(c, "\n"), lambda line: ~(line.startswith("|") & ~line.startswith("|-"))), "\n")
+        c = F.array_join(F.filter(F.transform(F.split(c, "\n"), lambda line: F.trim(line)), lambda line: ~(line.startswith("|") & ~line.startswith("|-"))), "\n")
     return F.filter(F.array(*map(F.lit, phrases)), lambda p: F.contains(F.lower(c), F.lower(p)))
 
 
