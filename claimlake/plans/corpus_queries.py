@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import corpus, coverage, joins, similarity
+from ..operators import corpus, coverage, joins, reports, similarity
 from .registry import query, table
 
 RULES = (("ENGLISH", ("the ", "of ")), ("FRENCH", ("que ",)), ("GERMAN", ("und ", "der ")))
@@ -12,12 +12,12 @@ TOPICS = (("A", r"tion|sion"), ("B", r"menta|mente"), ("C", r"keit|heit"), ("D",
 
 def catalogue(spark, folder):
     docs = table(spark, folder, "documents")
-    return docs.select(F.col("doc_id").alias("ord"), F.col("doc_id").alias("id"), corpus.categorize(F.substring("text", 1, 60), RULES).alias("category"), F.col("n_chars").alias("view_count"), F.col("source").alias("upload_date"), F.substring("text", 1, 60).alias("title"), corpus.tag_topics(F.col("text"), TOPICS).alias("topics"))
+    return docs.select(F.col("doc_id").alias("ord"), F.col("doc_id").alias("id"), corpus.categorize(F.col("text"), RULES).alias("category"), F.col("n_chars").alias("view_count"), F.col("source").alias("upload_date"), F.substring("text", 1, 60).alias("title"), corpus.tag_topics(F.col("text"), TOPICS).alias("topics"))
 
 
 _CATALOGUE = """with c as (select doc_id as ord, doc_id as id, n_chars as view_count, source as upload_date, substr(text, 1, 60) as title, text,
-  case when contains(lower(substr(text, 1, 60)), 'the ') or contains(lower(substr(text, 1, 60)), 'of ') then 'ENGLISH' when contains(lower(substr(text, 1, 60)), 'que ') then 'FRENCH'
-  when contains(lower(substr(text, 1, 60)), 'und ') or contains(lower(substr(text, 1, 60)), 'der ') then 'GERMAN' else 'UNKNOWN' end as category,
+  case when contains(lower(text), 'the ') or contains(lower(text), 'of ') then 'ENGLISH' when contains(lower(text), 'que ') then 'FRENCH'
+  when contains(lower(text), 'und ') or contains(lower(text), 'der ') then 'GERMAN' else 'UNKNOWN' end as category,
   list_filter(['A', 'B', 'C', 'D'], lambda x: case x when 'A' then regexp_matches(lower(text), 'tion|sion') when 'B' then regexp_matches(lower(text), 'menta|mente') when 'C' then regexp_matches(lower(text), 'keit|heit') else regexp_matches(lower(text), '[0-9]{4}') end) as topics from documents)"""
 
 
@@ -61,12 +61,18 @@ def buckets_and_routes(spark, folder):
     return table(spark, folder, "documents").select("doc_id", T.bucketize(F.col("n_chars"), [(600, "SHORT"), (3600, "MEDIUM")], "LONG").alias("bucket"), T.bucketize(F.col("n_chars"), [(100, "visual")], "text").alias("route"))
 
 
-@query("select d.source, count(*) as total, count(*) filter (where l.quality = 0) as rejected, round(count(*) filter (where l.quality = 0) / count(*), 4) as rate, count(*) >= 10 and count(*) filter (where l.quality = 0) / count(*) between 0.1 and 0.3 as passed from documents d join labels l using (doc_id) group by d.source")
+@query("""with m as (select d.source, l.quality, contains(lower(d.text), 'tion')::int + contains(lower(d.text), 'ment')::int as terms, contains(lower(d.text), 'ung')::int as errors from documents d join labels l using (doc_id)),
+g as (select source, count(*) as total, count(*) filter (where quality = 0) as rejected, round_even(sum(errors) / greatest(sum(terms), 1), 4) as error_rate from m group by source),
+r as (select *, rejected / greatest(total, 1) as x from g),
+t as (select source, total, rejected, error_rate, round(x, 4) as rate, case when total >= 10 then 'PASS' else 'FAIL (' || total || ')' end as signatures, x between 0.1 and 0.3 as rejection_ok, error_rate <= 0.05 as jargon_ok from r)
+select *, signatures = 'PASS' and rejection_ok and jargon_ok as all_pass from t""")
 def gates_by_source(spark, folder):
     met = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
-    out = met.groupBy("source").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("quality") == 0).alias("rejected"))
-    rate = F.col("rejected") / F.col("total")
-    return out.select("source", "total", "rejected", F.round(rate, 4).alias("rate"), ((F.col("total") >= 10) & rate.between(0.1, 0.3)).alias("passed"))
+    low = F.lower("text")
+    found = lambda *words: sum((F.contains(low, F.lit(w)).cast("int") for w in words), F.lit(0))
+    out = met.groupBy("source").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("quality") == 0).alias("rejected"), F.bround(F.sum(found("ung")) / F.greatest(F.sum(found("tion", "ment")), F.lit(1)), 4).alias("error_rate"))
+    told = corpus.gates(out)
+    return told.select("source", "total", "rejected", "error_rate", "rate", "signatures", (F.col("rejection") == "PASS").alias("rejection_ok"), (F.col("jargon") == "PASS").alias("jargon_ok"), "all_pass")
 
 
 @query("select doc_id from documents where doc_id not in (select doc_id from labels)")
@@ -96,7 +102,7 @@ def log(spark, folder):
 _LOG = "with log as (select event_id, ts, user_id as session, round(abs(value) / 1000, 6) as cost, event_type, ts::date as day from events)"
 
 
-@query(_LOG + """, r as (select event_id, round(sum(cost) over (partition by session order by ts, event_id rows unbounded preceding), 6) as session_total, round(sum(cost) over (partition by session, day order by ts, event_id rows unbounded preceding), 6) as daily_total, session, ts from log)
+@query(_LOG + """, r as (select event_id, round(sum(cost) over (partition by session order by ts, event_id rows unbounded preceding), 6) as session_total, round(sum(cost) over (partition by day order by ts, event_id rows unbounded preceding), 6) as daily_total, session, ts from log)
 select event_id, session_total, daily_total, greatest(0.0, round(0.5 - session_total, 6)) as remaining, max(session_total >= 0.5 or daily_total >= 1.0) over (partition by session order by ts, event_id rows unbounded preceding) as halted from r""")
 def cost_guard(spark, folder):
     return corpus.cost_guard(log(spark, folder), 0.5, 1.0).select("event_id", "session_total", "daily_total", "remaining", "halted")
@@ -112,12 +118,15 @@ def stall_gaps(spark, folder):
     return corpus.stall_guard(log(spark, folder)).select("event_id", "gap_s", "stalled")
 
 
-@query("""with g as (select user_id as session, row_number() over (partition by user_id order by ts, event_id) as turn, epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by ts, event_id) as gap from events)
-select session, max(turn) < 20 as turns_ok, not coalesce(bool_or(round(gap / 1e6, 3) >= 86400), false) as active, max(turn) < 20 and not coalesce(bool_or(round(gap / 1e6, 3) >= 86400), false) as allowed from g group by session""")
+@query(_LOG + """, g as (select session, row_number() over (partition by session order by ts, event_id) as turn, epoch_us(ts) - lag(epoch_us(ts)) over (partition by session order by ts, event_id) as gap,
+  round(sum(cost) over (partition by session order by ts, event_id rows unbounded preceding), 6) >= 0.5 or round(sum(cost) over (partition by day order by ts, event_id rows unbounded preceding), 6) >= 1.0 as dear from log),
+s as (select session, max(turn) < 20 as turns_ok, not coalesce(bool_or(round(gap / 1e6, 3) >= 86400), false) as active, not bool_or(dear) as within_cost from g group by session)
+select *, turns_ok and active and within_cost as allowed, turns_ok and within_cost as allowed_unwatched from s""")
 def guard_status(spark, folder):
-    rows = corpus.stall_guard(corpus.turn_guard(log(spark, folder)), minutes=1440)
-    out = rows.groupBy("session").agg((F.max("turn") < 20).alias("turns_ok"), (~F.bool_or("stalled")).alias("active"))
-    return out.withColumn("allowed", F.col("turns_ok") & F.col("active"))
+    """All three guards, and what they say with the watchdog switched off."""
+    rows = log(spark, folder)
+    unwatched = corpus.guard_status(rows, 20, None, (0.5, 1.0)).select("session", F.col("allowed").alias("allowed_unwatched"))
+    return corpus.guard_status(rows, 20, 1440, (0.5, 1.0)).join(unwatched, "session")
 
 
 @query(_LOG + " select day, round(sum(cost), 4) as cost, count(*) as n, count(*) >= 25 as compress from log group by day")
@@ -191,14 +200,35 @@ def coverage_ranked(spark, folder):
     return coverage.upgrade_ranked(observations(spark, folder)).withColumn("documents", F.array_join(F.transform("documents", lambda x: x.cast("string")), ","))
 
 
-@query(_OBS + " select concept_id, source, case when bool_or(status = 'FOUND') then 'FOUND' else min_by(status, ord) end as status from o group by all")
+@query(_OBS + " select concept_id, source, case when bool_or(status = 'FOUND') then 'FOUND' else coalesce(min_by(status, ord) filter (where status in ('PARTIAL', 'ABSENT')), 'PENDING') end as status from o group by all")
 def coverage_sticky(spark, folder):
     return coverage.upgrade_sticky(observations(spark, folder))
 
 
-@query(_OBS + """ select case when grouping(status) = 0 then 'status' when grouping(drawer) = 0 then 'drawer' when grouping(source) = 0 then 'source' else 'total' end as dimension, coalesce(status, drawer, source, 'all') as value, count(*) as total, count(*) filter (where s = 'FOUND') as found from (select *, status as s from o) group by grouping sets ((status), (drawer), (source), ())""")
+def cells(spark, folder):
+    """The cells of the observations with the drawers of their concepts."""
+    return coverage.upgrade_ranked(observations(spark, folder)).withColumn("drawer", F.split("concept_id", "-")[0]).drop("documents")
+
+
+_CELLS = _OBS + ", s as (select concept_id, source, max_by(status, r) as status, split_part(concept_id, '-', 1) as drawer from o group by concept_id, source)"
+_SUMMARY = _CELLS + """, g as (select case when grouping(status) = 0 then 'status' when grouping(drawer) = 0 then 'drawer' when grouping(source) = 0 then 'source' else 'total' end as dimension, coalesce(status, drawer, source, 'all') as value, count(*) as total, count(*) filter (where st = 'FOUND') as found from (select *, status as st from s) group by grouping sets ((status), (drawer), (source), ())
+  union all select 'status', unnest(['PENDING', 'ABSENT', 'PARTIAL', 'FOUND']), 0, 0), m as (select dimension, value, sum(total)::bigint as total, sum(found)::bigint as found from g group by all)"""
+
+
+@query(_SUMMARY + " select * from m")
 def coverage_summary(spark, folder):
-    return coverage.coverage_summary(observations(spark, folder))
+    return coverage.coverage_summary(cells(spark, folder))
+
+
+@query(_SUMMARY + """, one as (select (select total from m where dimension = 'total') as a, (select total from m where dimension = 'status' and value = 'PENDING') as p, (select sum(total)::bigint from m where dimension = 'status' and value in ('FOUND', 'PARTIAL')) as e),
+c as (select concept_id, bool_or(status = 'FOUND') as f, bool_or(status = 'PARTIAL') as h from s group by concept_id), k as (select count(*) as c, count(*) filter (where h and not f) as po, count(*) filter (where not h and not f) as ga from c),
+r as (select 'status' as section, value as name, total as n, a as of from m, one where dimension = 'status' union all select dimension, value, found, total from m where dimension in ('source', 'drawer')
+  union all select 'coverage', 'effective', e, a from one union all select 'evidence', 'partial_only', po, c from k union all select 'evidence', 'none', ga, c from k
+  union all select 'recommendation', 'low_coverage:' || value, found, total from m where dimension = 'source' and round(100 * found / total, 1) < 20
+  union all select 'recommendation', 'high_pending_rate', p, a from one where p > a * 0.5 union all select 'recommendation', 'coverage_gaps', ga, c from k where ga > 10)
+select *, round(case when of > 0 then 100 * n / of else 0.0 end, 1)::double as percent from r""")
+def coverage_report(spark, folder):
+    return coverage.coverage_report(cells(spark, folder))
 
 
 @query(_OBS + " select concept_id, 0::bigint as found from o group by concept_id having bool_and(status in ('ABSENT', 'PENDING'))")
@@ -206,19 +236,61 @@ def coverage_gaps(spark, folder):
     return coverage.coverage_gaps(observations(spark, folder))
 
 
-@query(_OBS + ", s as (select concept_id, source, max_by(status, r) as status from o group by all) select concept_id, max(status) filter (where source = 'src0') as src0, max(status) filter (where source = 'src1') as src1, max(status) filter (where source = 'src2') as src2 from s group by concept_id")
+@query(_CELLS + " select concept_id, string_agg(source || '=' || status, ' ' order by source || '=' || status) as cells from s group by concept_id")
 def coverage_pivot(spark, folder):
-    grid = coverage.upgrade_ranked(observations(spark, folder))
-    return coverage.coverage_grid(grid, ["src0", "src1", "src2"])
+    """All sources of each concept, as one column, since sources grow with the corpus."""
+    return coverage.coverage_lines(cells(spark, folder))
+
+
+def concepts(spark, folder):
+    return table(spark, folder, "part").select(F.col("p_partkey").alias("concept_id"), F.col("p_partkey").alias("ord"), F.split(F.lower("p_name"), " ").alias("terms"), F.col("p_brand").alias("drawer_name"))
+
+
+def claims_of_concepts(spark, folder):
+    """Documents as claims: some name a concept, some have a drawer that is the head of several concepts' drawers."""
+    doc, none = F.col("doc_id"), F.lit(None)
+    drawer = F.when(doc % 7 == 0, F.concat(F.lit("brand#"), (doc % 5 + 1).cast("string")))
+    return table(spark, folder, "documents").select(doc.alias("claim_id"), "text", drawer.alias("drawer"), F.when(doc % 50 == 0, doc).otherwise(none).cast("long").alias("concept_id"), "source")
+
+
+_MATCHED = """with c as (select p_partkey as concept_id, upper(p_brand) as drawer, p_name from part), t as (select concept_id, unnest(string_split(lower(p_name), ' ')) as term from c),
+d as (select doc_id as claim_id, text, source, case when doc_id % 7 = 0 then 'BRAND#' || (doc_id % 5 + 1) end as drawer, case when doc_id % 50 = 0 then doc_id end as direct from documents),
+named as (select claim_id, c.concept_id, null::bigint as score, 1 as rank from d join c on c.concept_id = d.direct),
+h as (select claim_id, term from d join (select distinct term from t) on contains(lower(text), term)),
+p as (select claim_id, concept_id, 1 as points from h join t using (term) union all select claim_id, concept_id, 2 from d join c on contains(c.drawer, d.drawer) or contains(d.drawer, c.drawer)),
+m as (select claim_id, concept_id, sum(points)::bigint as score from p where claim_id not in (select claim_id from named) group by all),
+r as (select claim_id, concept_id, score, (row_number() over (partition by claim_id order by score desc, concept_id))::int as rank from m where score >= 2),
+matched as (select * from r where rank <= 3 union all select * from named)"""
 
 
-@query("""with c as (select p_partkey as concept_id, unnest(string_split(lower(p_name), ' ')) as term, 1 as points from part union all select p_partkey, lower(p_brand), 2 from part),
-h as (select doc_id as claim_id, term from documents join (select distinct term from c) on contains(lower(text), term)),
-m as (select claim_id, concept_id, sum(points) as score from h join c using (term) group by all)
-select claim_id, concept_id, score::bigint as score, (rank)::int as rank from (select *, row_number() over (partition by claim_id order by score desc, concept_id) as rank from m where score >= 2) where rank <= 3""")
+@query(_MATCHED + " select * from matched")
 def concept_match(spark, folder):
-    concepts = table(spark, folder, "part").select(F.col("p_partkey").alias("concept_id"), F.col("p_partkey").alias("ord"), F.split(F.lower("p_name"), " ").alias("terms"), F.col("p_brand").alias("drawer_name"))
-    return joins.match_concepts(table(spark, folder, "documents").select(F.col("doc_id").alias("claim_id"), "text"), concepts)
+    return joins.match_concepts(claims_of_concepts(spark, folder), concepts(spark, folder))
+
+
+@query(_MATCHED + """, cell as (select p_partkey as concept_id, 'src' || (p_partkey % 20) as source, case when p_partkey % 3 = 0 then 'ABSENT' else 'PENDING' end as status, case when p_partkey % 3 = 0 then ['S-old'] else [] end as old from part),
+x as (select concept_id, d.source, claim_id from matched join d using (claim_id)), f as (select concept_id, source, list('S-' || claim_id order by claim_id) as sig, list(distinct 'B-' || claim_id % 4) as bun, list(claim_id::varchar order by claim_id) as doc from x group by all)
+select concept_id, source, case when f.sig is null then status else 'FOUND' end as status, array_to_string(list_concat(old, coalesce(f.sig, [])), ',') as signature_ids, coalesce(len(f.bun), 0)::int as n_bundles, array_to_string(coalesce(f.doc, []), ',') as documents from cell left join f using (concept_id, source)""")
+def coverage_from_claims(spark, folder):
+    """Cells of concepts in one source each, upgraded by the documents that match them."""
+    claims = claims_of_concepts(spark, folder)
+    key, null = F.col("p_partkey"), F.lit(None)
+    cell = table(spark, folder, "part").select(
+        key.alias("concept_id"), F.concat(F.lit("src"), (key % 20).cast("string")).alias("source"), F.when(key % 3 == 0, "ABSENT").otherwise("PENDING").alias("status"),
+        F.when(key % 3 == 0, F.array(F.lit("S-old"))).alias("signature_ids"), null.cast("array<string>").alias("bundles"), null.cast("array<string>").alias("documents"),
+    )
+    claim = F.col("claim_id")
+    matches = joins.match_concepts(claims, concepts(spark, folder)).join(claims.select("claim_id", "source"), "claim_id")
+    matches = matches.select("concept_id", "source", claim.alias("ord"), F.concat(F.lit("S-"), claim.cast("string")).alias("signature_id"), F.concat(F.lit("B-"), (claim % 4).cast("string")).alias("bundle"), claim.alias("document"))
+    out = coverage.from_claims(cell, matches)
+    return out.select("concept_id", "source", "status", F.array_join("signature_ids", ",").alias("signature_ids"), F.size("bundles").alias("n_bundles"), F.array_join("documents", ",").alias("documents"))
+
+
+@query("select count(*) filter (where quality is null) as total_pending, count(*) filter (where quality = 1) as processed, count(*) filter (where quality = 0 and toxic = 0) as failed, count(*) filter (where quality = 0 and toxic = 1) as skipped from documents left join labels using (doc_id)")
+def run_summary(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    status = F.when(F.col("quality") == 1, "DONE").when(F.col("toxic") == 0, "FAILED").otherwise("SKIPPED")
+    return reports.run_summary(labels.join(docs.select("doc_id"), "doc_id").select(F.col("doc_id").alias("id"), status.alias("status")), docs.join(labels, "doc_id", "left_anti").select(F.col("doc_id").alias("id")))
 
 
 _TF = r"""with r as (select min(doc_id) as doc_id, text from documents where regexp_matches(text, '[\p{L}\p{N}_]') group by text), t as (select doc_id as id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) as token from r), f as (select id, token, count(*) as tf from t group by all), n as (select id, sum(tf * tf)::double as sq from f group by id)"""

@@ -7,7 +7,7 @@ from ..sources import records, sinks
 from ..sources.shared import scratch_path
 from .corpus_queries import _OBS, observations
 from .registry import query, table
-from .text_queries import EXTRACTED_SQL, VECTORS, segments, signatures
+from .text_queries import AUDIT_SQL, EXTRACTED_SQL, VECTORS, segments, signatures, verdicts
 
 
 @query(EXTRACTED_SQL + " select 'B-' || lang as bundle_id, id, condition, action, count(*) as n from sig group by all")
@@ -108,12 +108,12 @@ def tier_sources(spark, folder):
     return table(spark, folder, "events").select("event_id", reports.map_source(F.col("event_type"), (("click", "WEB"),), (("PUR", "SHOP"),)).alias("source"))
 
 
-@query(EXTRACTED_SQL + """, c as (select lang as bundle, id as signature, min(struct_pack(condition := condition, action := action)) as c from sig where doc_id % 2 = 0 group by all)
+@query(EXTRACTED_SQL + """, c as (select lang as bundle, id as signature, min(struct_pack(condition := condition, action := action)) as c from sig group by all)
 select s.doc_id || '-' || s.id as rej_id, case when c is null then 'vague' else substr('vague Original: ' || c.condition || ' -> ' || c.action, 1, 500) end as reason from sig s left join c on c.bundle = s.lang and c.signature = s.id""")
 def rejections_to_negatives(spark, folder):
     rows = signatures(spark, folder).select("doc_id", F.col("lang").alias("bundle"), F.col("id").alias("signature"), "condition", "action", F.lit(1).alias("drawer"))
     rejections = rows.select(F.concat_ws("-", F.col("doc_id").cast("string"), "signature").alias("rej_id"), "bundle", "signature", F.lit("vague").alias("reason"))
-    return reports.record_rejections(rejections, rows.where("doc_id % 2 = 0")).select("rej_id", "reason")
+    return reports.record_rejections(rejections, rows).select("rej_id", "reason")
 
 
 @query("""with n as (select string_agg(doc_id || ': ' || source, chr(10) order by doc_id) as negatives from (select doc_id, source from documents order by doc_id desc limit 10)) select conv_id, turn, negatives from conversations, n""")
@@ -188,15 +188,40 @@ def extract_by_choice(spark, folder):
     return extract.extract(segments(spark, folder), windowing={"least": 4, "length": 600}, sizes=(1, 2, 3), least=10)
 
 
-@query(EXTRACTED_SQL + " select doc_id, count(*) as n from sig where not contains(condition || action, chr(10)) group by 1")
+@query(EXTRACTED_SQL + " select doc_id, count(*) as n from sig group by 1")
 def bundles_parsed(spark, folder):
     """Signatures rendered as bundle documents, and their rows counted in them again."""
-    rows = signatures(spark, folder).where(~F.contains(F.concat("condition", "action"), F.lit("\n")))
+    rows = signatures(spark, folder)
     return reports.parse_bundles(reports.render_bundles(rows, "doc_id", "id"), "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(r"""with c as (select page_id, html, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '', 'g'), '<[^>]+>', '', 'g'), '(?ms)(//.*?$|/\*.*?\*/|#.*?$)', '', 'g'), '[ \t\n\x0B\f\r]+', ' ', 'g'), ' ') as clean from pages),
+v(id, needle) as (values ('AV-1', 'ad 3'), ('AV-2', '<nav>'), ('AV-3', 'the of')), m as (select page_id, count(*) as n from c join v on contains(lower(html), needle) or contains(lower(clean), needle) group by page_id)
+select page_id::varchar as id, 'INCIDENT' as type, substr(html, 1, 500) as content, '2024-01-01T00:00:00Z' as timestamp, 'pattern_match(' || n || ')' as reason from c join m using (page_id)""")
 def blocked_incidents(spark, folder):
     pages = table(spark, folder, "pages")
     found = joins.screen(pages, spark.createDataFrame(VECTORS, "id string, pattern string"), "page_id", "html")
     return sinks.incidents(found.join(pages.select("page_id", "html"), "page_id"), "page_id", "html", "2024-01-01T00:00:00Z")
+
+
+@query(AUDIT_SQL + """, y as (select doc_id, count(*) as n, count(check_failed) as bad from verdicts group by doc_id)
+select source, count(*) as files, count(y.n) as with_signatures, count(*) - count(y.n) as zero_yield, coalesce(sum(y.n), 0)::bigint as extracted, coalesce(sum(y.n - y.bad), 0)::bigint as validated, coalesce(sum(y.bad), 0)::bigint as rejected from documents left join y using (doc_id) group by source""")
+def yield_by_source(spark, folder):
+    """Files with and without signatures, and what became of these."""
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "source")
+    return reports.yield_summary(docs, verdicts(spark, folder).select(F.col("doc_id").alias("id"), "verdict"), "source")
+
+
+_CANON = "['the', 'que', 'und', 'der']", "['of', 'la', 'das', 'die']"
+
+
+@query(EXTRACTED_SQL + rf""", p as (select unnest(range(4)) as pair_no, unnest({_CANON[0]}) as a, unnest({_CANON[1]}) as b),
+w as (select distinct doc_id || '-' || id as id, pair_no, unnest(list_filter(regexp_split_to_array(lower(condition), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) as word from sig join p on contains(lower(condition), a)),
+t as (select distinct item_id as line_no, pair_no, unnest(list_filter(regexp_split_to_array(lower(text), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) as word from benchmark join p on contains(lower(text), b)),
+m as (select id, pair_no, line_no from w join t using (pair_no, word) group by all having count(*) >= 3)
+select id, pair_no::int as pair_no, line_no from (select *, row_number() over (partition by id order by pair_no, line_no) as n from m) where n = 1""")
+def canon_conflicts(spark, folder):
+    """Signatures against the benchmark's items as canon."""
+    rows = signatures(spark, folder).select(F.concat_ws("-", F.col("doc_id").cast("string"), "id").alias("id"), "condition")
+    theory = table(spark, folder, "benchmark").select(F.col("item_id").alias("line_no"), F.col("text").alias("line"))
+    return joins.canon_conflict(rows, theory, (("the", "of"), ("que", "la"), ("und", "das"), ("der", "die"))).select("id", "pair_no", "line_no")

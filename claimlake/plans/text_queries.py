@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import lexicons as L
 from ..functions import text as T
 from ..operators import extract, joins, rules
 from .registry import query, table
@@ -66,16 +67,14 @@ def sentences(spark, folder):
     return table(spark, folder, "documents").select("doc_id", "lang", F.lit(0).alias("seg_no"), F.lit(0.0).alias("start"), F.translate("text", "\r", " ").alias("text"))
 
 
-ONE, TWO = r"(?i)(?:if|when)\s+(.+?)(?:,\s*|\s+then\s+)(.+?)(?:\.|$)", r"(?i)(.+?)\s+(?:is your|that'?s your)\s+(.+?)(?:\.|$)"
-_Q = [p.replace("'", "''") for p in (ONE, TWO)]
+_Q = [p.replace("'", "''") for p in L.IF_THEN_PATTERNS]
 _EXTRACTED = " union all ".join(f"""select doc_id, lang, {i} as pattern_no, unnest(regexp_extract_all(t, '{p}', 1)) as condition, unnest(regexp_extract_all(t, '{p}', 2)) as action, generate_subscripts(regexp_extract_all(t, '{p}', 1), 1) as match_no from src""" for i, p in enumerate(_Q))
 EXTRACTED_SQL = rf"""with src as (select doc_id, lang, translate(text, chr(13), ' ') as t from documents), found as ({_EXTRACTED}),
 sig as (select doc_id, lang, 'S-' || lpad((row_number() over (partition by doc_id order by pattern_no, match_no))::varchar, 3, '0') as id, 'IF ' || trim(condition, ' ') as condition, 'THEN ' || trim(action, ' ') as action from found)"""
 
 
 def signatures(spark, folder):
-    docs = sentences(spark, folder)
-    return extract.extract_segments(docs).join(docs.select("doc_id", "lang"), "doc_id")
+    return extract.extract_segments(sentences(spark, folder), keep=("lang",))
 
 
 @query(EXTRACTED_SQL + " select doc_id, id, condition, action from sig")
@@ -85,6 +84,10 @@ def extract_if_then(spark, folder):
 
 #: Words of the synthetic texts in place of the default markers, which don't occur in them.
 ABSOLUTE, AMBIGUOUS = ("tion", "quell"), ("ing", "ment", "ung")
+PAIRS = (("the", "of"), ("que", "la"), ("und", "der"))
+
+
+_PAIRS = " or ".join(f"contains(lower(condition), '{a}') and contains(lower(action), '{b}')" for a, b in PAIRS)
 
 
 def _contains_any(words):
@@ -94,16 +97,18 @@ def _contains_any(words):
 AUDIT_SQL = (
     EXTRACTED_SQL
     + rf""", words as (select *, list_distinct(list_filter(regexp_split_to_array(lower(condition), '{WS}+'), lambda w: w <> '')) as cw, list_distinct(list_filter(regexp_split_to_array(lower(action), '{WS}+'), lambda w: w <> '')) as aw from sig),
-verdicts as (select *, coalesce('falsifiability:' || {_contains_any(ABSOLUTE)},
+verdicts as (select *, coalesce(case when doc_id % 13 = 0 then case when doc_id % 2 = 0 then 'provenance:source' else 'provenance:timestamp' end end, 'falsifiability:' || {_contains_any(ABSOLUTE)},
   case when contains(lower(action), 'buy') and contains(lower(action), 'sell') and not contains(lower(action), 'or') then 'logical_consistency:contradiction' end,
-  case when least(len(cw), len(aw)) >= 3 and len(list_intersect(cw, aw)) > 0.7 * least(len(cw), len(aw)) then 'tautology:overlap' end,
-  'ambiguity:' || {_contains_any(AMBIGUOUS)}) as check_failed from words)"""
+  case when {_PAIRS} then 'tautology:pair' when least(len(cw), len(aw)) >= 3 and len(list_intersect(cw, aw)) > 0.7 * least(len(cw), len(aw)) then 'tautology:overlap' end,
+  'ambiguity:' || {_contains_any(AMBIGUOUS)} || case when contains(lower(condition), {_contains_any(AMBIGUOUS)}) then ':condition' else ':action' end) as check_failed from words)"""
 )
 
 
 def verdicts(spark, folder):
-    rows = signatures(spark, folder).withColumn("source", F.lit("documents"))
-    return rules.audit(rows, absolute=ABSOLUTE, ambiguous=AMBIGUOUS, pairs=())
+    """Signatures audited; those of some documents lack a time, and some of these a source as well."""
+    untimed = F.col("doc_id") % 13 == 0
+    rows = signatures(spark, folder).withColumns({"source_timestamp": F.when(~untimed, F.col("source_timestamp")), "source_url": F.when(~untimed | (F.col("doc_id") % 2 != 0), "documents")})
+    return rules.audit(rows.drop("source"), absolute=ABSOLUTE, ambiguous=AMBIGUOUS, pairs=PAIRS)
 
 
 @query(AUDIT_SQL + " select doc_id, id, check_failed, case when check_failed is null then 'NO_FALSIFICATION_FOUND' else 'REJECT' end as verdict from verdicts")
@@ -167,7 +172,8 @@ def pattern_matches(spark, folder):
     return joins.pattern_match(docs, _vectors(spark), "doc_id", "text")
 
 
-@query(EXTRACTED_SQL + """ select doc_id, id, condition from sig where not exists (select 1 from (select distinct lower(substr(text, 1, 4)) as r from benchmark) where contains(lower(condition), r) or contains(lower(action), r))""")
+@query(EXTRACTED_SQL + """ select doc_id, id, condition from sig where not exists (select 1 from (select distinct lower(unnest(string_split(text, ' '))) as r from benchmark) where length(r) >= 11 and ( contains(lower(condition), r) or contains(lower(action), r)))""")
 def negative_exclusion(spark, folder):
-    negatives = table(spark, folder, "benchmark").select(F.substring("text", 1, 4).alias("reason"))
+    """Without signatures that contain a long word of any benchmark item."""
+    negatives = table(spark, folder, "benchmark").select(F.explode(F.split("text", " ")).alias("reason")).where(F.length("reason") >= 11)
     return joins.exclude_negatives(signatures(spark, folder), negatives).select("doc_id", "id", "condition")
