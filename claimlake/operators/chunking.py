@@ -156,6 +156,29 @@ def chunk_markdown(docs: DataFrame, chunk_size: int, overlap: int, preserve_sect
     return chunk_sections(md_sections(docs), chunk_size) if preserve_sections else chunk_by_size(docs, chunk_size, overlap)
 
 
+def chunk(rows: DataFrame, mode: str, chunk_size: int = MAX_CHARS, overlap: int = 200) -> DataFrame:
+    """Chunks of documents (doc_id, text) by "sections" or "size", or of pages (doc_id, page_num, text) by "pages"."""
+    if mode == "pages":
+        return chunk_pages(rows, chunk_size)
+    if mode not in ("sections", "size"):
+        raise ValueError("a mode is sections, size or pages")
+    return chunk_markdown(rows, chunk_size, overlap, mode == "sections")
+
+
+def provenance_label(chunks: DataFrame) -> Column:
+    """Where a chunk comes from, by what it has: its pages, its span of characters, its section, or its number."""
+    has = set(chunks.columns)
+    one = F.col("page_start") == F.col("page_end") if "page_start" in has else None
+    forms = []
+    if one is not None:
+        forms.append(F.when(F.col("page_start").isNotNull(), F.when(one, F.format_string("page %d", "page_start")).otherwise(F.format_string("pages %d-%d", "page_start", "page_end"))))
+    if {"start", "text"} <= has:
+        forms.append(F.when(F.col("start").isNotNull(), F.format_string("chars %d-%d", F.col("start"), F.col("start") + F.length("text"))))
+    if "section" in has:
+        forms.append(F.when(F.coalesce("section", F.lit("")) != "", F.concat(F.lit("section: "), "section")))
+    return F.coalesce(*forms, F.format_string("chunk %d", "chunk_num"))
+
+
 def content_loss(docs: DataFrame, chunks: DataFrame, least: float = 0.8) -> DataFrame:
     """(doc_id, chars, chunk_chars, lost): whether a document's chunks hold too little of it."""
     held = chunks.groupBy("doc_id").agg(F.sum(F.length("text")).alias("chunk_chars"))
@@ -167,6 +190,5 @@ def chunk_provenance(chunks: DataFrame, pages: DataFrame) -> DataFrame:
     """Adds provenance and visual to chunks with a span of pages, of pages (doc_id, page_num, visual)."""
     seen = pages.where("visual").select(F.col("doc_id").alias("__doc"), "page_num")
     on = (F.col("doc_id") == F.col("__doc")) & F.col("page_num").between(F.col("page_start"), F.col("page_end"))
-    label = F.when(F.col("page_start") == F.col("page_end"), F.format_string("page %d", "page_start")).otherwise(F.format_string("pages %d-%d", "page_start", "page_end"))
     hit = chunks.join(seen, on, "left_semi").select("doc_id", "chunk_num", F.lit(True).alias("visual"))
-    return chunks.join(hit, ["doc_id", "chunk_num"], "left").withColumns({"provenance": label, "visual": F.coalesce("visual", F.lit(False))})
+    return chunks.join(hit, ["doc_id", "chunk_num"], "left").withColumns({"provenance": provenance_label(chunks), "visual": F.coalesce("visual", F.lit(False))})

@@ -165,3 +165,54 @@ def yield_summary(docs: DataFrame, signatures: DataFrame, by: str) -> DataFrame:
     n, bad = F.coalesce("n", F.lit(0).cast("long")), F.coalesce("bad", F.lit(0).cast("long"))
     met = docs.join(of, "id", "left").groupBy(by)
     return met.agg(F.count(F.lit(1)).alias("files"), F.count_if(n > 0).alias("with_signatures"), F.count_if(n == 0).alias("zero_yield"), F.sum(n).alias("extracted"), F.sum(n - bad).alias("validated"), F.sum(bad).alias("rejected"))
+
+
+GATES = ("TEMPORAL", "STRUCTURAL", "RISK")
+ATTEMPTS = 3
+
+
+def _table(cells: Column, none: str) -> Column:
+    """The lines of a Markdown table of an array of arrays of cells, or the line for none."""
+    clean = lambda c: F.regexp_replace(F.replace(F.coalesce(c, F.lit("")), F.lit("|"), F.lit("\\|")), r"[ \t\n\x0B\f\r]+", " ")
+    lines = F.transform(cells, lambda row: F.concat(F.lit("| "), F.array_join(F.transform(row, clean), " | "), F.lit(" |")))
+    return F.when(F.size(cells) > 0, F.array_join(lines, "\n")).otherwise(none)
+
+
+def render_evidence(bundles: DataFrame, phrases: tuple[str, ...] = ()) -> DataFrame:
+    """Adds text, novel and bleed to bundles (bundle_id, source, span, signatures, deltas, gates, results, auditor, negatives).
+
+    signatures: array of (id, condition, action, at); deltas: (parameter, current, value, change); gates: (name, status, notes), by default all pending;
+    results: (id, verdict, reason) of the audit; negatives: ids. bleed lists the forbidden phrases outside of tables.
+    """
+    from .rules import narrative_violations
+
+    rows = lambda c, *names: F.transform(F.coalesce(c, F.array()), lambda x: F.array(*(x[n].cast("string") for n in names)))
+    default = F.array(*(F.struct(F.lit(g).alias("name"), F.lit("PENDING").alias("status"), F.lit("").alias("notes")) for g in GATES))
+    gates = F.transform(F.coalesce("gates", default), lambda x: F.array(F.upper(x["name"]), F.coalesce(x["status"], F.lit("PENDING")), F.coalesce(x["notes"], F.lit(""))))
+    rejected = F.filter("results", lambda x: x["verdict"] == "REJECT")
+    passed = F.size("results") - F.size(rejected)
+    novel = F.size(F.filter(F.coalesce("deltas", F.array().cast("array<struct<parameter:string,current:string,value:string,change:string>>")), lambda x: F.coalesce(x["change"], F.lit("NEW")) == "NEW"))
+    reasons = F.when(F.size(rejected) > 0, F.array_join(F.transform(rejected, lambda x: F.concat(F.lit("- "), x["id"], F.lit(": "), F.coalesce(x["reason"], F.lit("")))), "\n")).otherwise("- None")
+    statement = F.when(F.size(rejected) > 0, F.format_string("%d signatures rejected", F.size(rejected))).otherwise(f"No falsification found after {ATTEMPTS} attempts")
+    negatives = F.coalesce(F.nullif(F.array_join("negatives", ", "), F.lit("")), F.lit("none"))
+    text = F.concat(
+        F.lit("# EVIDENCE BUNDLE: "), "bundle_id", F.lit("\n## Source: "), "source", F.lit(" @ "), "span",
+        F.lit("\n\n### IF-THEN SIGNATURES\n| ID | Condition (IF) | Action (THEN) | Source Timestamp |\n|----|----|----|----|\n"), _table(rows(F.col("signatures"), "id", "condition", "action", "at"), "| — | No validated signatures | — | — |"),
+        F.lit("\n\n### DELTA TO CANON\n| Parameter | Current | This Bundle | Change Type |\n|----|----|----|----|\n"), _table(rows(F.col("deltas"), "parameter", "current", "value", "change"), "| — | — | — | — |"),
+        F.format_string("\n\n**Novelty:** %d net-new parameters\n\n### AUDITOR VERDICT\n- Signatures validated: %d\n- Signatures rejected: %d\n- Rejection reasons:\n", novel, passed, F.size(rejected)), reasons,
+        F.lit(f"\n- Falsification attempts: {ATTEMPTS}\n- Statement: "), statement,
+        F.lit("\n\n### GATES PASSED\n| Gate | Status | Notes |\n|----|----|----|\n"), _table(gates, "| — | PENDING | — |"),
+        F.lit("\n\n### PROVENANCE\n- Auditor model: ["), F.coalesce("auditor", F.lit("pending")), F.lit("]\n- Negatives considered: ["), negatives, F.lit("]\n"),
+    )
+    out = bundles.withColumns({"text": text, "novel": novel})
+    return out.withColumn("bleed", narrative_violations(F.col("text"), phrases, True) if phrases else F.array().cast("array<string>"))
+
+
+def parse_evidence(bundles: DataFrame) -> DataFrame:
+    """(bundle_id, validated, rejected, auditor, negatives) of the texts of bundle documents."""
+    found = lambda pattern: F.nullif(F.regexp_extract("text", pattern, 1), F.lit(""))
+    number = lambda name: found(rf"(?m)^- {name}: (\d+)$").cast("int")
+    return bundles.select(
+        found(r"(?m)^# EVIDENCE BUNDLE: (.+)$").alias("bundle_id"), number("Signatures validated").alias("validated"), number("Signatures rejected").alias("rejected"),
+        found(r"(?m)^- Auditor model: \[(.*)\]$").alias("auditor"), found(r"(?m)^- Negatives considered: \[(.*)\]$").alias("negatives"),
+    )

@@ -68,7 +68,8 @@ def size_chunks(spark, folder):
 
 
 
-@query()
+@query(_SIZE + """, h as (select doc_id, sum(length(trim(substr(text, start + 1, stop - start), chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13))))::bigint as chunk_chars from c join documents using (doc_id) group by doc_id)
+select doc_id, length(text)::bigint as chars, coalesce(chunk_chars, 0)::bigint as chunk_chars, coalesce(coalesce(chunk_chars, 0) < 0.8 * length(text), false) as lost from documents left join h using (doc_id)""")
 def content_loss(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return chunking.content_loss(docs, chunking.chunk_by_size(docs, 2000, 200))

@@ -225,3 +225,23 @@ def canon_conflicts(spark, folder):
     rows = signatures(spark, folder).select(F.concat_ws("-", F.col("doc_id").cast("string"), "id").alias("id"), "condition")
     theory = table(spark, folder, "benchmark").select(F.col("item_id").alias("line_no"), F.col("text").alias("line"))
     return joins.canon_conflict(rows, theory, (("the", "of"), ("que", "la"), ("und", "das"), ("der", "die"))).select("id", "pair_no", "line_no")
+
+
+@query(AUDIT_SQL + """ select doc_id, 'B-' || doc_id as bundle_id, (count(*) - count(check_failed))::int as validated, count(check_failed)::int as rejected, 'rules' as auditor, 'none' as negatives, count(*) filter (where check_failed is null)::int as n_rows from verdicts group by doc_id""")
+def evidence_bundles(spark, folder):
+    """Audited signatures rendered as evidence bundles and read back from their texts."""
+    rows = verdicts(spark, folder)
+    signature = F.struct("id", "condition", "action", F.col("source_timestamp").alias("at"))
+    bundles = rows.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.when(F.col("verdict") != "REJECT", signature))).alias("signatures"),
+        F.array_sort(F.collect_list(F.struct("id", "verdict", F.col("check_failed").alias("reason")))).alias("results"),
+    )
+    null = F.lit(None)
+    bundles = bundles.select(
+        "doc_id", F.concat(F.lit("B-"), F.col("doc_id").cast("string")).alias("bundle_id"), F.lit("documents").alias("source"), F.lit("0:00-0:00").alias("span"), "signatures", "results",
+        null.cast("array<struct<parameter:string,current:string,value:string,change:string>>").alias("deltas"), null.cast("array<struct<name:string,status:string,notes:string>>").alias("gates"), F.lit("rules").alias("auditor"), null.cast("array<string>").alias("negatives"),
+    )
+    told = reports.render_evidence(bundles)
+    lines = told.select("doc_id", F.size(F.regexp_extract_all("text", F.lit(r"(?m)^\| S-\d+ \|"), F.lit(0))).alias("n_rows"))
+    parsed = reports.parse_evidence(told).withColumn("doc_id", F.substring("bundle_id", 3, 20).cast("long"))
+    return parsed.join(lines, "doc_id")
