@@ -88,22 +88,33 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     records.write.option("lineSep", END_OF_RECORD).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
-def parse_records(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, block) of each record of an archive; what is no record, or one that is cut off, raises ValueError."""
-    while first := stream.readline():
-        if not first.startswith(b"WARC/"):
+def parse_records(stream: BinaryIO, ahead: int = 1 << 20) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(fields, block) of each record of an archive, of which `ahead` bytes and a record are held; what is no record, or one that is cut off, raises ValueError."""
+    held, at = b"", 0
+
+    def more(least: int) -> bool:
+        """Hold `least` bytes from `at` on, if the stream has them."""
+        nonlocal held, at
+        if len(held) - at < least:
+            held, at = held[at:] + stream.read(max(ahead, least)), 0
+        return len(held) - at >= least
+
+    while more(1):
+        if not (more(5) and held.startswith(b"WARC/", at)):
             raise ValueError("no WARC record where one should begin")
-        fields = {}
-        while (line := stream.readline()) not in (b"\r\n", b""):
-            name, _, value = line.decode("utf-8").rstrip(CRLF).partition(": ")
-            fields[name] = value
+        while (end := held.find(b"\r\n\r\n", at)) < 0:
+            if not more(len(held) - at + 1):
+                raise ValueError("the head of a record is cut off")
+        fields = dict(line.split(": ", 1) for line in held[at:end].decode("utf-8").split(CRLF)[1:])
         length = int(fields["Content-Length"])
-        block = stream.read(length)
-        if len(block) < length:
+        at = end + 4
+        if not more(length):
             raise ValueError("the last record is cut off")
-        yield fields, block
-        if stream.read(len(END_OF_RECORD)) not in (END_OF_RECORD.encode(), b""):
+        block, at = held[at : at + length], at + length
+        if more(len(END_OF_RECORD)) and not held.startswith(END_OF_RECORD.encode(), at):
             raise ValueError("a record is longer than it says")
+        yield fields, block
+        at = min(len(held), at + len(END_OF_RECORD))
 
 
 #: Bytes of blocks that a task gives on at once, about.
