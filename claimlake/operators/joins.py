@@ -120,8 +120,9 @@ def match_concepts(claims: DataFrame, concepts: DataFrame, top: int = 3, least:
     A claim that names a known concept matches it alone, with a null score. Otherwise a concept gets a point for each term that the text
     contains, and two if the drawers of claim and concept contain one another, in either case; the first of equals by ord rank.
     Concepts with the same terms and drawer always score alike, so they are met as one kind, of which the first `top` can rank.
-    Any number of concepts may be given: only distinct terms are broadcast, over `most` of them in blocks.
+    Any number of concepts may be given: only distinct terms are broadcast, over `most` of them in blocks. Claims without a column drawer or concept_id have none.
     """
+    claims = claims.withColumns({c: F.lit(None).cast(concepts.schema[of].dataType) for c, of in (("drawer", "drawer_name"), ("concept_id", "concept_id")) if c not in claims.columns})
     named = claims.join(concepts.select("concept_id").distinct(), "concept_id").select("claim_id", "concept_id", F.lit(None).cast("long").alias("score"), F.lit(1).alias("rank"))
     claims = claims.join(named.select("claim_id"), "claim_id", "left_anti")
     low = concepts.select("concept_id", "ord", F.array_sort(F.transform("terms", lambda x: F.lower(x))).alias("terms"), F.coalesce(F.upper("drawer_name"), F.lit("")).alias("drawer_name"))

@@ -123,13 +123,13 @@ def test_cosine_of_two_columns(spark):
 
 
 def test_concepts_beyond_the_broadcast_bound(spark):
-    claims = spark.createDataFrame([(i, f"T{i} and t{i + 1} of drawer{i % 3}") for i in range(40)], "claim_id int, text string")
+    claims = spark.createDataFrame([(i, f"T{i} and t{i + 1} of drawer{i % 3}", "drawer" if i == 7 else f"DRAWER{i % 3}" if i % 2 else None) for i in range(40)], "claim_id int, text string, drawer string")
     concepts = spark.createDataFrame([(i, i, [f"t{i % 50}", f"t{(i + 1) % 50}"], f"Drawer{i % 3}") for i in range(200)], "concept_id int, ord int, terms array<string>, drawer_name string")
     found = {(r.claim_id, r.concept_id, r.score, r["rank"]) for r in joins.match_concepts(claims, concepts, most=10).collect()}
     expected = set()
     for c in claims.collect():
-        scores = [(-sum(t in c.text.lower() for t in k.terms) - 2 * (k.drawer_name.lower() in c.text.lower()), k.ord) for k in concepts.collect()]
+        scores = [(-sum(t in c.text.lower() for t in k.terms) - 2 * bool(c.drawer and (k.drawer_name.lower() in c.drawer.lower() or c.drawer.lower() in k.drawer_name.lower())), k.ord) for k in concepts.collect()]
         expected |= {(c.claim_id, k, -s, rank) for rank, (s, k) in enumerate(sorted(x for x in scores if x[0] <= -2)[:3], 1)}
     assert found == expected
     many = spark.range(joins.MOST_LEXICON_ROWS + 1).selectExpr("id as concept_id", "id as ord", "array('t1', 't2') as terms", "'x' as drawer_name")
-    assert sorted(r.concept_id for r in joins.match_concepts(claims.where("claim_id = 1"), many).collect()) == [0, 1, 2]
+    assert sorted(r.concept_id for r in joins.match_concepts(claims.where("claim_id = 1").drop("drawer"), many).collect()) == [0, 1, 2]
