@@ -53,6 +53,24 @@ def test_clusters_equal_the_greedy_ones(spark):
     assert sorted(r.ids for r in got) == greedy(rows, 0.85)
 
 
+def test_pairs_that_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK", 4)
+    rows = [(i, g, t) for i, g, t in texts() if i != 60] + [(70, 2, " ".join(f"r{j % 1500}" for j in range(2990))), (71, 2, " ".join(f"r{j}" for j in range(1500)))]
+    docs = spark.createDataFrame([*rows, (60, 1, ""), (72, 1, None), (None, 1, "w1 w2"), (73, None, "w1 w2")], "id long, grp int, text string")
+    found = {(r.a, r.b): r.similarity for r in similarity.similar_pairs(docs, 0.85, by="grp").collect()}
+    want = {(a[0], b[0]): cosine(vector(a[2]), vector(b[2])) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] and cosine(vector(a[2]), vector(b[2])) >= 0.85}
+    assert set(found) == set(want) and (70, 71) in found and all(abs(found[k] - v) < 1e-9 for k, v in want.items())
+
+
+def test_clusters_of_long_chains(spark):
+    docs = spark.range(60)
+    chain = [(i - 1, i, 0.9) for i in range(1, 40)] + [(39, 45, 0.8), (40, 45, 0.8), (41, 45, 0.7), (45, 46, 0.9)]
+    pairs = spark.createDataFrame(chain, "a long, b long, similarity double")
+    roots = {r.id: r.root for r in similarity.greedy_cluster(docs, pairs).collect()}
+    assert roots == {i: 0 if i < 40 or i in (45, 46) else i for i in range(60)}
+    assert {r.root for r in similarity.greedy_cluster(docs, pairs.where("a < 0")).collect()} == set(range(60))
+
+
 def test_compression_counts(spark):
     rows = texts()
     claims = spark.createDataFrame([(i, t, "", g) for i, g, t in rows], "id long, condition string, action string, drawer int")
