@@ -306,7 +306,16 @@ def redundant_pairs(spark, folder):
     return similarity.redundant(table(spark, folder, "documents"), 0.95, "doc_id", "text").withColumn("similarity", F.round("similarity", 6))
 
 
-@query()
+@query(
+    r"""with recursive r as (select min(doc_id) as doc_id, lang, text from documents where regexp_matches(text, '[\p{L}\p{N}_]') and lang is not null group by lang, text),
+t as (select doc_id as id, lang, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) as token from r), f as (select id, lang, token, count(*) as tf from t group by all), n as (select id, sum(tf * tf)::double as sq from f group by id),
+pairs as (select a.id as a, b.id as b, sum(a.tf * b.tf)::double / (sqrt(any_value(x.sq)) * sqrt(any_value(y.sq))) as similarity from f a join f b on a.token = b.token and a.lang = b.lang and a.id < b.id join n x on x.id = a.id join n y on y.id = b.id group by 1, 2
+  union all select r.doc_id, d.doc_id, 1.0 from documents d join r on r.text = d.text and r.lang = d.lang and r.doc_id < d.doc_id),
+near as (select b as id, a as other from pairs where similarity >= 0.95 qualify rank() over (partition by b order by similarity desc) = 1),
+reached as (select id, other from near union select reached.id, near.other from reached join near on near.id = reached.other),
+roots as (select id, min(other) as root from reached where other not in (select id from near) group by id)
+select doc_id, coalesce(root, doc_id) as root from documents left join roots on id = doc_id"""
+)
 def greedy_clusters(spark, folder):
     docs = table(spark, folder, "documents")
     pairs = similarity.redundant(docs, 0.95, "doc_id", "text", by="lang")
