@@ -9,7 +9,8 @@ A shard passes over classes that it has already linked, so a group of near copie
 not its pairs; the links found connect the same documents as all links would.
 
 Classes go to shards by their smallest shingle hash, which two similar sets share as often as they are similar, so that a class visits
-few shards but its own; classes of one such hash beyond a shard's size are split over several. Postings of a frequent shingle are dealt
+few shards but its own; classes of one such hash beyond a shard's size are split over several, and the probes of a shard that many visit over several
+copies of it. Postings of a frequent shingle are dealt
 over as many tasks as its count asks for, and meet not each other but one summary for each shard that has the shingle.
 
 Rarity is a count in a hashed table of fixed size over the whole corpus. It only orders the lists and tells which are split, so collisions cost
@@ -34,13 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import materialise, maybe_member, parts
+from .shared import join_large, materialise, maybe_member, parts
 
 WORDS, SIMILARITY = 5, (80, 100)
 #: Counters of the rarity table (4 bytes each), and how many a row of it holds.
 COUNTERS, COUNTERS_A_ROW = 1 << 21, 1 << 14
 #: Shingles of the classes whose sets a shard of the index holds.
 SHARD_SHINGLES = 1 << 18
+#: Probes of one shard that a task gets, or as many as the shard has classes if these are more; others go to copies of the shard.
+PROBES = 2048
 #: Postings of one shingle that a task gets about; more are split.
 HOT = 256
 #: Weight of DivideSkip's estimate of how many long lists to pass over.
@@ -335,7 +338,7 @@ CLASS = "struct<one:bigint,two:bigint>"
 
 
 def _search(words: int, similarity: tuple[int, int]):
-    """Of rows sorted by shard, the texts of its index first: the links that searches of its probes find."""
+    """Of rows sorted by shard and copy, the texts of its index first: the links that searches of its probes find."""
 
     def classes(values: list[tuple[int, int]]) -> pa.StructArray:
         return pa.StructArray.from_arrays([pa.array([x[i] for x in values], pa.int64()) for i in (0, 1)], ["one", "two"])
@@ -345,7 +348,7 @@ def _search(words: int, similarity: tuple[int, int]):
         for batch in batches:
             links = []
             for part, found in _sets(batch, words):
-                for shard, probing, fp, own in zip(*(part.column(c).to_pylist() for c in ("shard", "probing", "fp")), found, strict=True):
+                for *shard, probing, fp, own in zip(*(part.column(c).to_pylist() for c in ("shard", "copy", "probing", "fp")), found, strict=True):
                     if shard != current:
                         current, index, ids, sets = shard, None, [], []
                     if not len(own) or (both := _class_of(own))[0] != fp:
@@ -381,14 +384,19 @@ def links(docs: DataFrame, classes: DataFrame, rarity: np.ndarray, words: int, s
     placed, shards = _placed(active)
     listed = shared.join(placed, "fp").select("token", "n", "after", "salts", "fp", "shard")
     routes = listed.where("salts = 0").repartition("token").sortWithinPartitions("token", "n", "fp").mapInArrow(_routes(similarity), "fp bigint, shard bigint")
-    routes = routes.unionByName(_hot_routes(listed.where("salts > 0"), similarity)).distinct()
-    visits = routes.groupBy("fp").agg(F.collect_list("shard").alias("visits"))
+    routes = materialise(routes.unionByName(_hot_routes(listed.where("salts > 0"), similarity)).distinct(), "routes")
+    held = placed.groupBy("shard").agg(F.count(F.lit(1)).alias("held"))
+    copies = F.ceil(F.col("size") / F.greatest(F.lit(PROBES), "held")).alias("copies")
+    visited = routes.groupBy("shard").agg(F.count(F.lit(1)).alias("size")).join(held, "shard").select("shard", "size", copies)
+    to = F.struct("shard", F.pmod(F.xxhash64("fp"), F.col("copies")).alias("copy"), F.lit(True).alias("probing"))
+    visits = join_large(routes, visited, ["shard"], routes.count()).groupBy("fp").agg(F.collect_list(to).alias("visits"))
+    placed = placed.join(visited.drop("size"), "shard", "left")
     texts, _ = maybe_member(docs.select(F.col("key").alias("rep"), "text"), "rep", active, active.count())
     texts = texts.join(placed.join(visits, "fp", "left"), "rep")
-    own = F.array(F.struct("shard", F.lit(False).alias("probing")))
-    others = F.coalesce(F.transform("visits", lambda x: F.struct(x.alias("shard"), F.lit(True).alias("probing"))), F.array().cast("array<struct<shard:bigint,probing:boolean>>"))
+    own = F.transform(F.sequence(F.lit(0).cast("long"), F.coalesce("copies", F.lit(1).cast("long")) - 1), lambda c: F.struct("shard", c.alias("copy"), F.lit(False).alias("probing")))
+    others = F.coalesce("visits", F.array().cast("array<struct<shard:bigint,copy:bigint,probing:boolean>>"))
     met = texts.select("fp", "text", F.explode(F.concat(own, others)).alias("to")).select("to.*", "fp", "text")
-    return met.repartition(shards, "shard").sortWithinPartitions("shard", "probing").mapInArrow(_search(words, similarity), f"u {CLASS}, v {CLASS}")
+    return met.repartition(shards, "shard", "copy").sortWithinPartitions("shard", "copy", "probing").mapInArrow(_search(words, similarity), f"u {CLASS}, v {CLASS}")
 
 
 def _components(docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
@@ -398,14 +406,19 @@ def _components(docs: DataFrame, words: int, similarity: tuple[int, int]) -> Dat
     scanned = materialise(docs.mapInArrow(_scan(words), SCANNED), "scanned")
     rows = scanned.where("part is null")
     rarity = _rarity(scanned.where("part is not null"))
-    classes = rows.where("n > 0 and key is not null").groupBy("fp", "fp2").agg(F.min("key").alias("rep"), F.max("n").alias("n"), F.max("low").alias("low"))
+    has_class = F.coalesce(F.expr("n > 0 and key is not null"), F.lit(False))
+    classes = rows.where(has_class).groupBy("fp", "fp2").agg(F.min("key").alias("rep"), F.max("n").alias("n"), F.max("low").alias("low"), F.count(F.lit(1)).alias("size"))
+    classes = materialise(classes, "classes")
     found = connected_components(materialise(links(docs, classes, rarity, words, similarity), "links")).select("node.one", "node.two", F.xxhash64("component").alias("root"))
-    linked = classes.join(found, (F.col("fp") == F.col("one")) & (F.col("fp2") == F.col("two"))).select("fp", "fp2", "rep", "root")
-    linked = linked.join(linked.groupBy("root").agg(F.min("rep").alias("component_id")), "root")
-    named = classes.select("fp", "fp2", "rep").join(linked.drop("rep"), ["fp", "fp2"], "left")
-    named = named.select("fp", "fp2", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("root", F.xxhash64(F.struct("fp", "fp2"))).alias("root"))
-    out = rows.select("key", "own", "n", F.when(F.col("key").isNotNull(), F.col("fp")).alias("fp"), "fp2").join(named, ["fp", "fp2"], "left")
-    return out.select("key", "own", "n", F.coalesce("component_id", "key").alias("component_id"), "root")
+    linked = materialise(classes.join(found, (F.col("fp") == F.col("one")) & (F.col("fp2") == F.col("two"))).select("fp", "fp2", "rep", "root"), "linked")
+    least = linked.groupBy("root").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("size"))
+    linked = join_large(linked.drop("rep"), least, ["root"], linked.count()).drop("size")
+    named = classes.select("fp", "fp2", "rep", "size").join(linked, ["fp", "fp2"], "left")
+    root = F.coalesce("root", F.xxhash64(F.struct("fp", "fp2"))).alias("root")
+    named = materialise(named.select("fp", "fp2", F.coalesce("component_id", "rep").alias("component_id"), root, "size"), "named")
+    alone = rows.where(~has_class).select("key", "own", "n", F.col("key").alias("component_id"), F.lit(None).cast("long").alias("root"))
+    classed = join_large(rows.where(has_class).select("key", "own", "n", "fp", "fp2"), named, ["fp", "fp2"], rows.count())
+    return classed.select(alone.columns).unionByName(alone)
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:

@@ -63,6 +63,22 @@ def scratch(spark: SparkSession):
             delete(spark, path)
 
 
+#: Groups of more than one such share of all rows are joined by broadcast; there are fewer of them than this.
+LARGE_SHARES = 1024
+
+
+def join_large(rows: DataFrame, groups: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """Inner join of rows to their groups, a row of `groups` each, so that no large group lands in one task.
+
+    groups has the number of its rows as column size, and total is the number of all rows or more: fewer than LARGE_SHARES groups can hold a larger
+    share than that, so these are broadcast whatever the input; all others meet their rows by a shuffle. Rows with a null key meet none.
+    """
+    large = F.col("size") * LARGE_SHARES > total
+    hot, usual = F.broadcast(groups.where(large)), groups.where(~large)
+    rest = rows.join(F.broadcast(groups.where(large).select(keys)), keys, "left_anti")
+    return rows.join(hot, keys).unionByName(rest.join(usual, keys))
+
+
 def parts(batch: pa.RecordBatch, column: str = "text", most_bytes: int = 1 << 21, most_rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts have about `most_bytes` together, so that memory follows bytes, not rows; one row at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

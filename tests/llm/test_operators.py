@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from claimlake.llm import bpe, components, exact_dedup, jaccard_join, langid, licences, packing, perspective, secrets, topk, warc
+from claimlake.llm import bpe, components, exact_dedup, jaccard_join, langid, licences, packing, perspective, secrets, shared, topk, warc
 
 TEXTS = ["", None, "a" * 3000 + " b", "x  y \n z\n\n\nw", "don't !'s 're''ll  \t q", " " * 500 + "z", "1" * 900 + "abc" * 300, "é b  c\x1c d \x85", "\x00 a\x00b", "tail \n", " lead", "😀😀 a😀b  😀", "a <|endoftext|> b", "the same words here again and again", "the same words here again and again"]
 
@@ -113,7 +113,11 @@ def test_deduplicate_keeps_one_row_of_each_text(spark):
     assert sorted((r.doc_id or 0, r.text or "", r.fp) for r in kept) == [(0, "", 7), (0, "y", 6), (1, "a  b", 4), (3, "x", 1), (8, " ", 9)]
 
 
-def test_jaccard_join_against_all_pairs(spark, empty):
+@pytest.mark.parametrize("shard, probes, shares", [(jaccard_join.SHARD_SHINGLES, jaccard_join.PROBES, shared.LARGE_SHARES), (128, 1, 8)])
+def test_jaccard_join_against_all_pairs(spark, empty, monkeypatch, shard, probes, shares):
+    monkeypatch.setattr(jaccard_join, "SHARD_SHINGLES", shard)
+    monkeypatch.setattr(jaccard_join, "PROBES", probes)
+    monkeypatch.setattr(shared, "LARGE_SHARES", shares)
     rng = np.random.default_rng(3)
     base = [[f"w{rng.integers(60)}" for _ in range(rng.integers(3, 60))] for _ in range(12)]
     texts = []
@@ -141,6 +145,20 @@ def test_jaccard_join_against_all_pairs(spark, empty):
     assert jaccard_join.join(empty).count() == 0
 
 
+def test_large_groups_meet_their_rows(spark):
+    rows = spark.createDataFrame([(k, i) for i in range(40) for k in (0, i, None)], "k long, i long")
+    groups = rows.where("k is not null").groupBy("k").agg(F.count(F.lit(1)).alias("size"))
+    for total in (1, 120, 10**9):
+        met = shared.join_large(rows, groups, ["k"], total).collect()
+        assert Counter(r.k for r in met) == Counter({0: 41, **dict.fromkeys(range(1, 40), 1)}) and all(r.size == (41 if r.k == 0 else 1) for r in met)
+
+
+def test_components_of_a_star(spark):
+    edges = spark.createDataFrame([(500, i) for i in range(200)] + [(i, 900) for i in range(600, 700)], "u long, v long")
+    found = {r.node: r.component for r in components.connected_components(edges).collect()}
+    assert found == {**dict.fromkeys([*range(200), 500], 0), **dict.fromkeys([*range(600, 700), 900], 600)}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (100, 100), (None, 3)], "u long, v long")
     found = {r.node: r.component for r in components.connected_components(edges).collect()}
