@@ -293,13 +293,26 @@ class Shard:
         self.tokens, rank = np.unique(np.concatenate(sets), return_inverse=True)
         # list and place in it as one sorted number, so that a binary search probes a list for a class
         self.entries = np.sort(rank.astype(np.int64) * len(ids) + np.repeat(np.arange(len(ids)), self.sizes))
+        self.owners = self.entries % len(ids)
         self.begin = np.searchsorted(self.entries, np.arange(len(self.tokens) + 1) * len(ids))
-        self.parent: dict[tuple[int, int], tuple[int, int]] = {}
-
-    def _root(self, x: tuple[int, int]) -> tuple[int, int]:
-        while (up := self.parent.get(x, x)) != x:
-            self.parent[x] = x = self.parent.get(up, up)
-        return x
+        self.slots, self.used = {x: i for i, x in enumerate(ids)}, len(ids)
+        self.up = np.arange(len(ids))
+
+    def _slot(self, x: tuple[int, int]) -> int:
+        """The place of a class in `up`; one that is not of the index gets the next."""
+        if x not in self.slots:
+            self.slots[x], self.used = self.used, self.used + 1
+            if self.used > len(self.up):
+                self.up = np.r_[self.up, np.arange(len(self.up), 2 * self.used)]
+        return self.slots[x]
+
+    def _roots(self, slots: np.ndarray) -> np.ndarray:
+        """What stands for the linked group of each slot."""
+        root = self.up[slots]
+        while ((above := self.up[root]) != root).any():
+            root = above
+        self.up[slots] = root
+        return root
 
     def search(self, probe: tuple[int, int], own: np.ndarray) -> Iterator[tuple[tuple[int, int], tuple[int, int]]]:
         """Links from the probe to sets that come before it by size and class, but for those linked already."""
@@ -316,22 +329,32 @@ class Shard:
         short, long = lists[: len(lists) - skipped], lists[len(lists) - skipped :]
         spans = length[: len(short)]
         flat = np.repeat(self.begin[short] - np.r_[0, np.cumsum(spans)[:-1]], spans) + np.arange(spans.sum())
-        found, times = np.unique(self.entries[flat] % len(self.ids), return_counts=True)  # the merge of the short lists
+        # the merge of the short lists: counted where they are long together, as in a group of near copies, and sorted otherwise
+        if len(flat) > len(self.ids):
+            all_times = np.bincount(self.owners[flat], minlength=len(self.ids))
+            found = np.flatnonzero(all_times)
+            times = all_times[found]
+        else:
+            found, times = np.unique(self.owners[flat], return_counts=True)
         one, two = self.ids[found].T
         before = (self.sizes[found] < n) | (self.sizes[found] == n) & ((one < probe[0]) | (one == probe[0]) & (two < probe[1]))
         keep = (times >= need - skipped) & before & (high * self.sizes[found] >= low * n)
         found, times = found[keep], times[keep]
-        for i in np.argsort(-times, kind="stable"):
-            other = tuple(self.ids[found[i]].tolist())
-            mine, theirs = self._root(probe), self._root(other)
-            if mine == theirs:
-                continue
+        order = np.argsort(-times, kind="stable")
+        found, times = found[order], times[order]
+        mine, theirs = int(self._roots(np.array([self._slot(probe)]))[0]), self._roots(found)
+        left = theirs != mine
+        while left.any():
+            i = int(np.argmax(left))
+            left[i] = False
             key = long * len(self.ids) + found[i]
             place = np.minimum(np.searchsorted(self.entries, key), len(self.entries) - 1)
             overlap = int(times[i] + (self.entries[place] == key).sum())
             if high * overlap >= low * (n + int(self.sizes[found[i]]) - overlap):
-                self.parent[max(mine, theirs)] = min(mine, theirs)
-                yield probe, other
+                root = int(theirs[i])
+                self.up[max(mine, root)] = mine = min(mine, root)
+                left &= theirs != root
+                yield probe, tuple(self.ids[found[i]].tolist())
 
 
 CLASS = "struct<one:bigint,two:bigint>"
