@@ -69,4 +69,19 @@ with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::dou
   where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (select q.vec_id as query_id, c.vec_id as vec_id, list_inner_product(q.v, c.v)::bigint as score from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0)
 select * from (select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score from s) where rank <= 5""",
+    "op12_importance_resampling": r"""
+with tab as (select list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+f as (select doc_id, unnest(ws) as w from d),
+g as (select unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as w from benchmark),
+v as (select w, hex(encode(w)) as x from (select w from f union select w from g)),
+k as (select w, xor(list_reduce([4294967295] || list_transform(range(0, len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::bigint), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 as bucket from v, tab),
+source as (select bucket, count(*) as s from f join k using (w) group by bucket), target as (select bucket, count(*) as t from g join k using (w) group by bucket),
+total as (select (select count(*) from f) as s_all, (select count(*) from g) as t_all),
+gains as (select w, floor(1000 * ln((coalesce(t, 0) + 1)::double * (s_all + 10000) / ((coalesce(s, 0) + 1)::double * (t_all + 10000))))::bigint as gain from k left join source using (bucket) left join target using (bucket), total),
+weighed as (select doc_id, count(*) as n, floor(sum(gain) / count(*))::bigint as weight from f join gains using (w) group by doc_id),
+scored as (select d.doc_id, coalesce(n, 0) as n_features, coalesce(weight, 0) as weight,
+  coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score from d left join weighed using (doc_id)),
+placed as (select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place, count(*) over (partition by n_features >= 20) as n from scored)
+select doc_id, n_features, weight, score, case when n_features >= 20 and place <= 10 * n // 100 then place end as rank from placed""",
 }
