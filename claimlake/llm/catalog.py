@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, importance, jaccard_join, langid, licences, packing, perspective, secrets, topk, warc, whitening
+from . import bpe, exact_dedup, importance, jaccard_join, langid, licences, packing, perspective, secrets, topk, url_filter, warc, whitening
 from .oracle import ORACLE_SQL
 from .shared import fresh_path
 
@@ -82,12 +82,23 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: The rules of op 13.
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"), url_filter.Rule("block", "example.org", "/es/"), url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"), url_filter.Rule("block", "com", "/de/"),
+]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_best_fit_packing, op3_language_mixture, op4_perspective_rotation, op5_exact_dedup, op6_licence_rules, op7_ngram_jaccard_join, op8_secret_scan, op9_warc, op10_exact_top_k, op11_embedding_whitening, op12_importance_resampling, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_best_fit_packing, op3_language_mixture, op4_perspective_rotation, op5_exact_dedup, op6_licence_rules, op7_ngram_jaccard_join, op8_secret_scan, op9_warc, op10_exact_top_k, op11_embedding_whitening, op12_importance_resampling, op13_url_filter, pipeline)}
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -84,4 +84,16 @@ scored as (select d.doc_id, coalesce(n, 0) as n_features, coalesce(weight, 0) as
   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score from d left join weighed using (doc_id)),
 placed as (select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place, count(*) over (partition by n_features >= 20) as n from scored)
 select doc_id, n_features, weight, score, case when n_features >= 20 and place <= 10 * n // 100 then place end as rank from placed""",
+    "op13_url_filter": r"""
+with recursive rules(verdict, h, p) as (values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+a as (select page_id, html, url, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) end as rest from pages),
+b as (select page_id, html, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path, regexp_extract(url, '^[^#]*') as node from a),
+links as (select node as u, unnest(list_concat(regexp_extract_all(html, '(?i)<link\srel="canonical"\shref="([^"#]*)', 1), regexp_extract_all(html, '(?i)<meta\shttp-equiv="refresh"\scontent="[0-9]*;\s*url=([^"#]*)', 1))) as v from b),
+nodes as (select node, host, path from b union select v, regexp_extract(v, '://([^/?#]*)', 1), regexp_extract(v, '://[^/?#]*([^?#]*)', 1) from links),
+ruled as (select n.node, n.host, n.path, max_by(r.h || r.p, length(r.h || r.p)) as rule, max_by(r.verdict, length(r.h || r.p)) as verdict
+  from nodes n left join rules r on n.host <> '' and ends_with('.' || n.host, '.' || r.h) and starts_with(n.path, r.p) group by all),
+reach(node) as (select node from ruled where verdict = 'block' union select case when links.u = reach.node then links.v else links.u end from reach join links on reach.node in (links.u, links.v))
+select b.page_id, b.host, b.path, ruled.rule, coalesce(ruled.verdict, case when b.node in (from reach) then 'block' else 'allow' end) as verdict, ruled.verdict is null and b.node in (from reach) as alias
+from b join ruled on ruled.node is not distinct from b.node and ruled.host = b.host and ruled.path = b.path""",
 }
