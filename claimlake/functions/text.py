@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 SPACE = r"[ \t\n\x0B\f\r]"
 
 
+def let(value: Column, body) -> Column:
+    """body of a value that is worked out once; what a lambda takes from outside is worked out again at each of its calls."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def strip_html(c: Column) -> Column:
     """Without scripts and tags."""
     return F.regexp_replace(F.regexp_replace(c, r"(?is)<script[^>]*>.*?</script>", ""), r"<[^>]+>", "")

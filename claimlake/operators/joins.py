@@ -1,59 +1,29 @@
-"""Lexicon, lookup and upsert joins. Lexicons are broadcast after a check of their size."""
+"""Lexicon, lookup and upsert joins. Small tables are broadcast after a check of their size, larger ones shuffled."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .matching import first_overlaps, found_in
 
 #: Rows that a broadcast table may have.
 MOST_LEXICON_ROWS = 100_000
-#: Needles that are looked for as one array in each row; larger lexicons are broadcast in blocks.
-MOST_NEEDLES = 500
-
-
-def small(lexicon: DataFrame, most: int = MOST_LEXICON_ROWS) -> DataFrame:
-    if lexicon.limit(most + 1).count() > most:
-        raise ValueError(f"a lexicon has over {most} rows")
-    return F.broadcast(lexicon)
-
-
-def _needles(lexicon: DataFrame) -> Column | None:
-    """A small lexicon (name, needle) as an array of structs; None for a larger one."""
-    rows = lexicon.limit(MOST_NEEDLES + 1).collect()
-    if len(rows) > MOST_NEEDLES:
-        return None
-    kind = f"array<struct<name:{lexicon.schema['name'].dataType.simpleString()},needle:string>>"
-    return F.array(*(F.struct(F.lit(r["name"]).alias("name"), F.lit(r["needle"]).alias("needle")) for r in sorted(rows, key=str))).cast(kind)
+#: Needles that are looked for in place in each text; larger lexicons become automata.
+MOST_NEEDLES = 24
 
 
-def _blocks(lexicon: DataFrame, key: str, most: int) -> list[DataFrame]:
-    """The lexicon in parts of about half of `most` rows each, so that any of them may be broadcast."""
-    count = lexicon.count()
-    if count <= most:
-        return [lexicon]
-    blocks = -(-2 * count // most)
-    numbered = lexicon.withColumn("__block", F.pmod(F.xxhash64(key), F.lit(blocks)))
-    return [numbered.where(F.col("__block") == i).drop("__block") for i in range(blocks)]
-
-
-def _found_in(rows: DataFrame, fields: list[str], lexicon: DataFrame, most: int = MOST_LEXICON_ROWS) -> tuple[DataFrame, bool]:
-    """(rows with the array `names` of the lexicon's needles that a field contains, True), or (one row for each needle found, False)."""
-    holds = lambda needle: reduce(lambda a, b: a | b, (F.contains(f, needle) for f in fields))
-    if (array := _needles(lexicon)) is not None:
-        return rows.withColumn("names", F.transform(F.filter(array, lambda x: holds(x["needle"])), lambda x: x["name"])), True
-    met = [rows.join(F.broadcast(part), holds(F.col("needle"))) for part in _blocks(lexicon, "needle", most)]
-    return reduce(DataFrame.unionByName, met), False
+def lookup(table: DataFrame, most: int = MOST_LEXICON_ROWS) -> DataFrame:
+    """The table to join with: broadcast if it has few rows, else as it is, for a join by shuffle."""
+    return table if table.limit(most + 1).count() > most else F.broadcast(table)
 
 
 def pattern_match(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, distinct: bool = True) -> DataFrame:
     """(id, pattern_id): lower-case patterns contained in the raw or the preprocessed text; distinct needs state on a stream."""
     rows = docs.select(id_col, F.lower(text_col).alias("raw"), F.lower(T.preprocess(F.col(text_col))).alias("clean"))
-    found, listed = _found_in(rows, ["raw", "clean"], vectors.select(F.col("id").alias("name"), F.lower("pattern").alias("needle")))
-    found = found.select(id_col, F.explode("names").alias("pattern_id")) if listed else found.select(id_col, F.col("name").alias("pattern_id"))
+    found = found_in(rows, ["raw", "clean"], vectors.select(F.col("id").alias("name"), F.lower("pattern").alias("needle")), most_in_place=MOST_NEEDLES)
+    found = found.select(id_col, F.explode(F.array_distinct("names")).alias("pattern_id"))
     return found.distinct() if distinct else found
 
 
@@ -65,13 +35,9 @@ def screen(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, mode
     """
     zero = F.lit(0).cast("long")
     rows = docs.select(id_col, T.unicode_abuse(F.col(text_col)).alias("warned"), F.lower(text_col).alias("raw"), F.lower(T.preprocess(F.col(text_col))).alias("clean"))
-    found, listed = _found_in(rows, ["raw", "clean"], vectors.select(F.col("id").alias("name"), F.lower("pattern").alias("needle")))
-    if listed:  # no row leaves its partition
-        names = F.array_distinct("names")
-        out = found.select(id_col, "warned", F.coalesce(F.size(names), F.lit(0)).cast("long").alias("matches"), F.array_min(names).alias("first_pattern"))
-    else:
-        met = found.groupBy(id_col).agg(F.count_distinct("name").alias("matches"), F.min("name").alias("first_pattern"))
-        out = rows.select(id_col, "warned").join(met, id_col, "left").withColumn("matches", F.coalesce("matches", zero))
+    found = found_in(rows, ["raw", "clean"], vectors.select(F.col("id").alias("name"), F.lower("pattern").alias("needle")), most_in_place=MOST_NEEDLES)
+    names = F.array_distinct("names")  # no row leaves its partition
+    out = found.select(id_col, "warned", F.size(names).cast("long").alias("matches"), F.array_min(names).alias("first_pattern"))
     if semantic is None:
         out = out.withColumns({"flags": zero, "top": F.lit(None).cast("double")})
     else:
@@ -85,61 +51,56 @@ def screen(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, mode
 
 
 def canon_conflict(signatures: DataFrame, theory: DataFrame, pairs: tuple[tuple[str, str], ...], least: int = 3) -> DataFrame:
-    """(id, line_no, pair_no): of each signature (id, condition) that conflicts, the first pair and theory line (line_no, line) with the opposite term and enough shared words.
-
-    Conditions and lines meet by pair and shared word, not each with each.
-    """
-    words = lambda c: F.explode(F.array_distinct(F.filter(F.split(F.lower(c), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")))
+    """(id, line_no, pair_no): of each signature (id, condition) that conflicts, the first pair and theory line (line_no, line) with the opposite term and enough shared words."""
+    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")).alias("words")
     having = lambda c, term: F.filter(F.array(*(F.when(F.contains(F.lower(c), F.lit(p[term])), i) for i, p in enumerate(pairs))), lambda x: x.isNotNull())
-    own = signatures.select("id", F.explode(having("condition", 0)).alias("pair_no"), "condition").select("id", "pair_no", words(F.col("condition")).alias("word"))
-    lines = theory.select("line_no", F.explode(having("line", 1)).alias("pair_no"), "line").select("line_no", "pair_no", words(F.col("line")).alias("word"))
-    met = own.join(lines, ["pair_no", "word"]).groupBy("id", "pair_no", "line_no").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    return met.groupBy("id").agg(F.min(F.struct("pair_no", "line_no")).alias("m")).select("id", "m.line_no", "m.pair_no")
+    own = signatures.select("id", having("condition", 0).alias("groups"), words("condition")).where(F.size("groups") > 0)
+    lines = theory.select("line_no", F.explode(having("line", 1)).alias("group_no"), words("line"))
+    return first_overlaps(own, lines, least).select("id", F.col("line_no").cast(theory.schema["line_no"].dataType).alias("line_no"), F.col("group_no").alias("pair_no"))
 
 
 def exclude_negatives(signatures: DataFrame, negatives: DataFrame) -> DataFrame:
     """Signatures without those whose condition or action contains a negative's reason; empty reasons count for nothing."""
-    reasons = negatives.select(F.lower("reason").alias("needle")).where("needle <> ''").distinct()
-    holds = lambda needle: F.contains(F.lower("condition"), needle) | F.contains(F.lower("action"), needle)
-    if (array := _needles(reasons.select(F.lit(0).alias("name"), "needle"))) is not None:
-        return signatures.where(~F.coalesce(F.exists(array, lambda x: holds(x["needle"])), F.lit(False)))
-    for part in _blocks(reasons, "needle", MOST_LEXICON_ROWS):
-        signatures = signatures.join(F.broadcast(part), holds(F.col("needle")), "left_anti")
-    return signatures
+    reasons = negatives.select(F.lower("reason").alias("needle")).where("needle <> ''").distinct().select(F.lit(0).alias("name"), "needle")
+    low = signatures.withColumns({"__condition": F.lower("condition"), "__action": F.lower("action")})
+    return found_in(low, ["__condition", "__action"], reasons, "__found", MOST_NEEDLES).where(F.size("__found") == 0).select(signatures.columns)
 
 
-def _hits(texts: DataFrame, terms: DataFrame, most: int) -> DataFrame:
-    """(claim_id, term): the distinct terms contained in each text. Terms are an array or broadcast block by block."""
-    found, listed = _found_in(texts, ["low"], terms.select(F.col("term").alias("name"), F.col("term").alias("needle")), most)
-    return found.select("claim_id", F.explode("names").alias("term")) if listed else found.select("claim_id", F.col("name").alias("term"))
+def _alike(drawers: DataFrame, names: DataFrame) -> DataFrame:
+    """(drawer, drawer_name): distinct drawers and names one of which contains the other."""
+    both = ["drawer", "drawer_name"]
+    within = found_in(drawers, ["drawer"], names.select(F.col("drawer_name").alias("name"), F.col("drawer_name").alias("needle"))).select("drawer", F.explode("names").alias("drawer_name"))
+    around = found_in(names, ["drawer_name"], drawers.select(F.col("drawer").alias("name"), F.col("drawer").alias("needle"))).select(F.explode("names").alias("drawer"), "drawer_name")
+    return within.unionByName(around.select(both)).distinct()
 
 
-def match_concepts(claims: DataFrame, concepts: DataFrame, top: int = 3, least: int = 2, most: int = MOST_LEXICON_ROWS) -> DataFrame:
+def match_concepts(claims: DataFrame, concepts: DataFrame, top: int = 3, least: int = 2, most: int | None = None) -> DataFrame:
     """(claim_id, concept_id, score, rank) of claims (claim_id, text, drawer, concept_id) and concepts (concept_id, ord, terms, drawer_name).
 
     A claim that names a known concept matches it alone, with a null score. Otherwise a concept gets a point for each term that the text
     contains, and two if the drawers of claim and concept contain one another, in either case; the first of equals by ord rank.
-    Concepts with the same terms and drawer always score alike, so they are met as one kind, of which the first `top` can rank.
-    Any number of concepts may be given: only distinct terms are broadcast, over `most` of them in blocks. Claims without a column drawer or concept_id have none.
+    Concepts with the same terms and drawer always score alike, so they are met as one kind, of which the first `top` can rank; these are ranked before they meet in a row.
+    Any number of concepts, terms and drawers may be given; up to `most` terms are looked for in place. Claims without a column drawer or concept_id have none.
     """
     claims = claims.withColumns({c: F.lit(None).cast(concepts.schema[of].dataType) for c, of in (("drawer", "drawer_name"), ("concept_id", "concept_id")) if c not in claims.columns})
     named = claims.join(concepts.select("concept_id").distinct(), "concept_id").select("claim_id", "concept_id", F.lit(None).cast("long").alias("score"), F.lit(1).alias("rank"))
     claims = claims.join(named.select("claim_id"), "claim_id", "left_anti")
     low = concepts.select("concept_id", "ord", F.array_sort(F.transform("terms", lambda x: F.lower(x))).alias("terms"), F.coalesce(F.upper("drawer_name"), F.lit("")).alias("drawer_name"))
-    first_of = lambda: F.slice(F.array_sort(F.collect_list(F.struct("ord", "concept_id"))), 1, top)
-    kinds = low.groupBy("terms", "drawer_name").agg(first_of().alias("members")).withColumn("first", F.get("members", 0))
+    within = F.row_number().over(Window.partitionBy("terms", "drawer_name").orderBy("ord", "concept_id"))
+    leading = low.withColumn("n", within).where(F.col("n") <= top)
+    kinds = leading.groupBy("terms", "drawer_name").agg(F.array_sort(F.collect_list(F.struct("ord", "concept_id"))).alias("members")).withColumn("first", F.get("members", 0))
     # each distinct term is looked for once in a text, however many concepts have it
     terms = kinds.select("first", F.explode("terms").alias("term"))
-    hits = _hits(claims.select("claim_id", F.lower("text").alias("low")), terms.select("term").distinct(), most)
+    distinct = terms.select("term").distinct()
+    hits = found_in(claims.select("claim_id", F.lower("text").alias("low")), ["low"], distinct.select(F.col("term").alias("name"), F.col("term").alias("needle")), most_in_place=MOST_NEEDLES if most is None else most).select("claim_id", F.explode("names").alias("term"))
     by_terms = hits.join(terms, "term").groupBy("claim_id", "first").agg(F.count(F.lit(1)).alias("points"))
     # drawers meet as distinct names
     drawers = claims.select("claim_id", F.upper("drawer").alias("drawer")).where("drawer <> ''")
-    names = small(kinds.select("drawer_name").where("drawer_name <> ''").distinct())
-    alike = drawers.select("drawer").distinct().join(names, F.contains("drawer", F.col("drawer_name")) | F.contains("drawer_name", F.col("drawer")))
+    alike = _alike(drawers.select("drawer").distinct(), kinds.select("drawer_name").where("drawer_name <> ''").distinct())
     bonus = drawers.join(alike, "drawer").select("claim_id", "drawer_name", F.lit(2).alias("bonus"))
     scored = by_terms.join(kinds.select("first", "drawer_name", "members"), "first").join(bonus, ["claim_id", "drawer_name"], "left")
     scored = scored.select("claim_id", (F.col("points") + F.coalesce("bonus", F.lit(0))).alias("score"), F.inline("members"))
-    of_drawer = low.withColumn("n", F.row_number().over(Window.partitionBy("drawer_name").orderBy("ord"))).where(F.col("n") <= top)
+    of_drawer = leading.withColumn("n", F.row_number().over(Window.partitionBy("drawer_name").orderBy("ord"))).where(F.col("n") <= top)
     if least <= 2:  # the drawer alone is enough, for the first of its concepts
         scored = scored.unionByName(bonus.join(of_drawer, "drawer_name").select("claim_id", F.col("bonus").cast("long").alias("score"), "ord", "concept_id"))
     best = scored.groupBy("claim_id", "ord", "concept_id").agg(F.max("score").alias("score")).where(F.col("score") >= least)
@@ -171,12 +132,12 @@ def update_status(queue: DataFrame, updates: DataFrame, key: str = "id", order:
 
 def route_models(calls: DataFrame, routes: DataFrame) -> DataFrame:
     """The model of (tier, role), else of the role in tier 'default'."""
-    exact = small(routes.select(F.col("tier"), F.col("role"), F.col("model").alias("exact")))
-    default = small(routes.where("tier = 'default'").select("role", F.col("model").alias("fallback")))
+    exact = lookup(routes.select(F.col("tier"), F.col("role"), F.col("model").alias("exact")))
+    default = lookup(routes.where("tier = 'default'").select("role", F.col("model").alias("fallback")))
     return calls.join(exact, ["tier", "role"], "left").join(default, "role", "left").withColumn("model", F.coalesce("exact", "fallback")).drop("exact", "fallback")
 
 
 def call_cost(usage: DataFrame, prices: DataFrame) -> DataFrame:
     """Adds cost_usd; calls of models without a price have no row."""
     tokens = lambda c: F.coalesce(F.col(c), F.lit(0)) / 1e6
-    return usage.join(small(prices), "model").withColumn("cost_usd", tokens("prompt_tokens") * F.col("input_per_m") + tokens("completion_tokens") * F.col("output_per_m")).drop("input_per_m", "output_per_m")
+    return usage.join(lookup(prices), "model").withColumn("cost_usd", tokens("prompt_tokens") * F.col("input_per_m") + tokens("completion_tokens") * F.col("output_per_m")).drop("input_per_m", "output_per_m")

@@ -55,11 +55,11 @@ def concept_prompts(docs: DataFrame, concepts: DataFrame, task: str, most_chars:
     A concept (concept_id, ord, drawer, name, definition, terms) is a line with 200 characters of its definition and its first five terms.
     Concepts are a lexicon: each drawer's list is one row.
     """
-    from .joins import small
+    from .joins import lookup
 
     line = F.concat(F.lit("- "), "concept_id", F.lit(": "), "name", F.lit(" - "), F.substring(F.coalesce("definition", F.lit("")), 1, 200), F.lit(" (terms: "), F.array_join(F.slice("terms", 1, 5), ", "), F.lit(")"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("ord", line.alias("line")))), lambda x: x["line"])
-    lists = small(concepts.groupBy("drawer").agg(F.array_join(ordered, "\n").alias("list")))
+    lists = lookup(concepts.groupBy("drawer").agg(F.array_join(ordered, "\n").alias("list")))
     head = F.concat(F.lit("CONCEPTS:\n"), "list", F.lit("\n\nCONTENT:\n"), F.substring("text", 1, most_chars), F.lit(f"\n\n{task}"))
     return docs.join(lists, F.col("drawer").isNotNull()).select("doc_id", "drawer", head.alias("prompt"))
 

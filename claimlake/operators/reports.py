@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
-from .joins import small
+from .matching import cosines
 
 STOPWORDS = ("if", "the", "a", "an", "and", "or", "to", "of", "in", "at", "is", "then")
 
@@ -93,15 +93,11 @@ def seq_id(prefix: str, partition: list[str], order: list[str]) -> Column:
 
 
 def semantic_match(docs: DataFrame, vectors: DataFrame, threshold: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, pattern_id, similarity): cosine of term frequencies of texts and patterns. Only tokens of patterns leave a text."""
-    token_rows = lambda d, i, t: d.select(i, F.explode(tokens(F.col(t))).alias("token")).groupBy(i, "token").agg(F.count(F.lit(1)).alias("tf"))
-    v = token_rows(small(vectors.select(F.col("id").alias("pattern_id"), "pattern")), "pattern_id", "pattern")
-    v = v.join(v.groupBy("pattern_id").agg(F.sum(F.col("tf") * F.col("tf")).alias("v_sq")), "pattern_id").withColumnRenamed("tf", "v_tf")
-    tf = token_rows(docs, id_col, text_col)
-    square = tf.groupBy(id_col).agg(F.sum(F.col("tf") * F.col("tf")).alias("sq"))
-    dots = tf.join(F.broadcast(v), "token").groupBy(id_col, "pattern_id", "v_sq").agg(F.sum(F.col("tf") * F.col("v_tf")).alias("dot"))
-    similarity = F.col("dot") / (F.sqrt(F.col("sq").cast("double")) * F.sqrt(F.col("v_sq").cast("double")))
-    return dots.join(square, id_col).withColumn("similarity", F.round(similarity, 4)).where(similarity >= threshold).select(id_col, "pattern_id", "similarity")
+    """(id, pattern_id, similarity): cosine of term frequencies of texts and patterns, of any number; rows that share an id are one text each."""
+    words = lambda c: tokens(F.col(c)).alias("words")
+    lines = vectors.select(F.col("id").alias("line_id"), words("pattern"))
+    met = cosines(docs.select(id_col, words(text_col)), id_col, "words", lines, threshold)
+    return met.select(id_col, F.col("line_id").alias("pattern_id"), F.round("similarity", 4).alias("similarity"))
 
 
 def explode_results(results: DataFrame) -> DataFrame:
