@@ -26,5 +26,18 @@ CATEGORIES = (
     ("MENTORSHIP", ("mentorship",)), ("LIVE_SESSION", ("live", "stream")), ("QA", ("q&a", "question")),
     ("LECTURE", ("lecture", "lesson")), ("REVIEW", ("review",)),
 )
-CLUSTER_STOPWORDS = ("IF", "THEN")
+
+#: What a verdict says for each failure: (code, reason, citation); %s is the marker, the pair's terms, or the number of shared words.
+REASONS = (
+    ("provenance:source", "Missing provenance — no timestamp or source attribution", "INV-SOURCE-PROVENANCE: Every if-then traces to transcript timestamp"),
+    ("provenance:timestamp", "Missing timestamp — source exists but no temporal reference", "INV-SOURCE-PROVENANCE"),
+    ("falsifiability", "Unfalsifiable claim — contains absolute marker: '%s'", "Claims with absolute quantifiers cannot be empirically tested"),
+    ("logical_consistency:contradiction", "Logical contradiction — action contains both buy and sell without alternative", "Mutually exclusive actions in single signature"),
+    ("logical_consistency:empty", "Incomplete signature — empty condition or action", "If-then signature requires both IF and THEN clauses"),
+    ("tautology:pair", "Tautology — condition '%s' restates action '%s'", "Circular logic: condition implies action by definition"),
+    ("tautology:overlap", "Tautology suspected — %s words overlap between condition and action", "High word overlap suggests circular reasoning"),
+    ("ambiguity:condition", "Ambiguity — condition contains subjective marker: '%s'", "Conditions must be objectively testable without interpretation"),
+    ("ambiguity:action", "Ambiguity — action contains subjective marker: '%s'", "Actions must be concrete and executable"),
+    ("canon_conflict", "Conflicts with canon — condition uses '%s' but the theory contains '%s' in similar context", "Theory line containing: '%s'"),
+)
 # Fixed values end.

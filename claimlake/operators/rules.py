@@ -60,21 +60,51 @@ def ambiguity(markers: tuple[str, ...]) -> Column:
     return F.when(found.isNotNull(), F.concat_ws(":", F.lit("ambiguity"), found, field))
 
 
+def explain(failed: Column, pairs: tuple[tuple[str, str], ...], canon_terms: Column | None = None, canon_line: Column | None = None) -> Column:
+    """(reason, citation) of a failed check, null for none."""
+    marker = F.regexp_extract(failed, "^[^:]*:(.*?)(?::(?:condition|action))?$", 1)
+    known = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs)) if pairs else F.array().cast("array<struct<a:string,b:string>>")
+    pair = F.get(F.filter(known, lambda p: F.contains(F.lower("condition"), p["a"]) & F.contains(F.lower("action"), p["b"])), 0)
+    shared = F.size(F.array_intersect(_words(F.col("condition")), _words(F.col("action"))))
+    none = F.lit(None).cast("string")
+    terms = (canon_terms["a"], canon_terms["b"]) if canon_terms is not None else (none, none)
+    fillers = {"falsifiability": [marker], "tautology:pair": [pair["a"], pair["b"]], "tautology:overlap": [shared.cast("string")], "ambiguity:condition": [marker], "ambiguity:action": [marker], "canon_conflict": [*terms]}
+    out = F.when(failed.isNull(), None)
+    for code, reason, citation in L.REASONS:
+        check, _, field = code.partition(":")
+        hit = F.startswith(failed, F.lit(check + ":")) & (F.endswith(failed, F.lit(":" + field)) if field else F.lit(True))
+        filled = F.format_string(reason, *fillers[code]) if code in fillers else F.lit(reason)
+        cited = F.format_string(citation, F.substring(F.btrim(F.lower(canon_line)), 1, 80)) if code == "canon_conflict" and canon_line is not None else F.lit(citation)
+        out = out.when(hit, F.struct(filled.alias("reason"), cited.alias("citation")))
+    return out
+
+
 def audit(signatures: DataFrame, absolute=L.ABSOLUTE_MARKERS, ambiguous=L.AMBIGUOUS_MARKERS, pairs=L.TAUTOLOGIES, overlap: float = 0.7, theory: DataFrame | None = None, contradictions=L.CONTRADICTIONS) -> DataFrame:
-    """Adds check_failed (the first rule that fails, with its marker), verdict and attempts.
+    """Adds check_failed (the first rule that fails, with its marker), verdict, attempts, and the reason and citation of a rejection.
 
     theory holds lines (line_no, line) of canon, which the last rule holds signatures (with an id) against.
     """
     checks = [provenance(signatures.columns), falsifiability(absolute), consistency(), tautology(pairs, overlap), ambiguity(ambiguous)]
+    terms = line = None
     if theory is not None:
-        from .joins import canon_conflict
+        from .joins import canon_conflict, lookup
 
-        against = canon_conflict(signatures, theory, contradictions).select("id", F.col("pair_no").alias("__pair"))
+        against = canon_conflict(signatures, theory, contradictions).join(lookup(theory.select("line_no", F.col("line").alias("__line"))), "line_no").select("id", F.col("pair_no").alias("__pair"), "__line")
         signatures = signatures.join(against, "id", "left")
-        terms = F.array(*(F.lit(a) for a, _ in contradictions))
-        checks.append(F.when(F.col("__pair").isNotNull(), F.concat(F.lit("canon_conflict:"), F.get(terms, F.col("__pair")))))
+        terms, line = F.get(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in contradictions)), F.col("__pair")), F.col("__line")
+        checks.append(F.when(F.col("__pair").isNotNull(), F.concat(F.lit("canon_conflict:"), terms["a"])))
     at = F.coalesce(*(F.when(c.isNotNull(), i + 1) for i, c in enumerate(checks)))
-    return signatures.withColumns({"check_failed": F.coalesce(*checks), "attempts": F.least(F.coalesce(at, F.lit(3)), F.lit(3))}).withColumn("verdict", F.when(F.col("check_failed").isNull(), "NO_FALSIFICATION_FOUND").otherwise("REJECT")).drop("__pair")
+    out = signatures.withColumns({"check_failed": F.coalesce(*checks), "attempts": F.least(F.coalesce(at, F.lit(3)), F.lit(3))})
+    out = out.withColumns({"verdict": F.when(F.col("check_failed").isNull(), "NO_FALSIFICATION_FOUND").otherwise("REJECT"), "__told": explain(F.col("check_failed"), pairs, terms, line)})
+    return out.withColumns({"reason": F.col("__told.reason"), "citation": F.col("__told.citation")}).drop("__pair", "__line", "__told")
+
+
+def split_verdicts(verdicts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(validated, rejected) of audited signatures, which are worked out once: written to the shared folder, then filtered twice."""
+    from ..sources.shared import materialise
+
+    told = materialise(verdicts, "verdicts")
+    return told.where("verdict <> 'REJECT'"), told.where("verdict = 'REJECT'")
 
 
 def audit_summary(verdicts: DataFrame, by: list[str]) -> DataFrame:

@@ -212,7 +212,7 @@ def cells(spark, folder):
 
 _CELLS = _OBS + ", s as (select concept_id, source, max_by(status, r) as status, split_part(concept_id, '-', 1) as drawer from o group by concept_id, source)"
 _SUMMARY = _CELLS + """, g as (select case when grouping(status) = 0 then 'status' when grouping(drawer) = 0 then 'drawer' when grouping(source) = 0 then 'source' else 'total' end as dimension, coalesce(status, drawer, source, 'all') as value, count(*) as total, count(*) filter (where st = 'FOUND') as found from (select *, status as st from s) group by grouping sets ((status), (drawer), (source), ())
-  union all select 'status', unnest(['PENDING', 'ABSENT', 'PARTIAL', 'FOUND']), 0, 0), m as (select dimension, value, sum(total)::bigint as total, sum(found)::bigint as found from g group by all)"""
+  union all select 'status', unnest(['PENDING', 'ABSENT', 'PARTIAL', 'FOUND', 'NOT_APPLICABLE']), 0, 0), m as (select dimension, value, sum(total)::bigint as total, sum(found)::bigint as found from g group by all)"""
 
 
 @query(_SUMMARY + " select * from m")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
 
@@ -26,3 +26,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     ensure_checkpoint_dir(spark)
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or _OWN[spark.sparkContext.applicationId]
     return f"{root.rstrip('/')}/claimlake/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, which a lost executor doesn't take along."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
