@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from .plans import chunk_queries, corpus_queries, evidence_queries, record_queries, text_queries
+from .plans import chunk_queries, corpus_queries, evidence_queries, record_queries, report_queries, text_queries
 from .plans.registry import ORACLE_SQL, QUERIES
 
 FLAGSHIP = text_queries.audit_summary_by_lang.__name__
-__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES", "chunk_queries", "corpus_queries", "evidence_queries", "record_queries", "text_queries"]
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES", "chunk_queries", "corpus_queries", "evidence_queries", "record_queries", "report_queries", "text_queries"]

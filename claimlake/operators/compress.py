@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import ensure_checkpoint_dir
+from ..sources.shared import materialise
 from .reports import by_drawer, cluster_topics, render_notes, render_theory
 from .similarity import classes, greedy_cluster, similar_pairs
 
@@ -17,17 +17,16 @@ def compress(claims: DataFrame, negatives: DataFrame, threshold: float = 0.85) -
     for all. Claims of a drawer with the same text are met as one: copies always share a cluster, and count once in pairs.
     Without claims both are empty.
     """
-    ensure_checkpoint_dir(claims.sparkSession)
     rows = claims.select("id", by_drawer(F.col("drawer")).alias("drawer"), F.concat_ws(" ", "condition", "action").alias("text"))
-    own = classes(rows, by="drawer").checkpoint()
+    own = materialise(classes(rows, by="drawer"), "classes")
     firsts = rows.join(own.where("id = rep").select("id"), "id", "left_semi")
     drawer_of = firsts.select("id", "drawer")
     pairs = similar_pairs(firsts, threshold)
     for side in ("a", "b"):
         pairs = pairs.join(drawer_of.select(F.col("id").alias(side), F.col("drawer").alias(f"{side}_drawer")), side)
-    pairs = pairs.checkpoint()
+    pairs = materialise(pairs, "pairs")
     roots = greedy_cluster(firsts, pairs.where("a_drawer = b_drawer"))
-    clusters = rows.join(own, "id").join(roots.select(F.col("id").alias("rep"), "root"), "rep").select("id", "drawer", "text", "root").checkpoint()
+    clusters = materialise(rows.join(own, "id").join(roots.select(F.col("id").alias("rep"), "root"), "rep").select("id", "drawer", "text", "root"), "clusters")
     titled = clusters.join(cluster_topics(clusters, "root", "id", "text"), "root")
     notes = render_notes(pairs, negatives).join(F.broadcast(claims.limit(1).select(F.lit(1).alias("one"))), F.lit(True)).select(F.lit(None).cast("int").alias("drawer"), "text")
     theory = render_theory(titled, negatives).unionByName(notes)

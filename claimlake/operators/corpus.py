@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordinal import running_total, with_ordinal
+from .ordinal import rolling_mean, running_total, with_ordinal, with_previous
 
 
 def categorize(title: Column, rules: tuple[tuple[str, tuple[str, ...]], ...], override: Column | None = None) -> Column:
@@ -45,12 +45,13 @@ def top_per(rows: DataFrame, by: str, order: list[Column], n: int) -> DataFrame:
 def cost_guard(log: DataFrame, session_limit: float, daily_limit: float, halt: bool = True) -> DataFrame:
     """Running cost of the session and of the day over all sessions, what remains, and a halt of the session that stays once a limit is reached.
 
-    Costs add up exactly, to a millionth. Days and sessions of any size are dealt over several tasks.
+    Costs add up exactly, to a millionth. Days and sessions of any size are dealt over several tasks; other columns than event_id, ts, session and cost join their rows afterwards.
     """
-    cost = F.coalesce(F.col("cost").cast("decimal(18,6)"), F.lit(0))
     order = ["ts", "event_id"]
-    out = running_total(log.withColumn("day", F.to_date("ts")), "day", order, cost, "daily_total")
-    out = running_total(out, "session", order, cost, "session_total").withColumns({c: F.col(c).cast("double") for c in ("daily_total", "session_total")})
+    cost = F.coalesce(F.col("cost").cast("decimal(18,6)"), F.lit(0))
+    totals = running_total(log.select(*order, "session", "cost", F.to_date("ts").alias("day")), "day", order, cost, "daily_total")
+    totals = running_total(totals, "session", order, cost, "session_total").withColumns({c: F.col(c).cast("double") for c in ("daily_total", "session_total")})
+    out = _with_others(totals, log)
     over = (F.col("session_total") >= session_limit) | (F.col("daily_total") >= daily_limit)
     first = out.where(over & F.lit(halt)).groupBy(F.col("session").alias("__of")).agg(F.min(F.struct(*order)).alias("__first"))
     met = out.join(first, F.col("session").eqNullSafe(F.col("__of")), "left")
@@ -66,10 +67,10 @@ def guard_status(log: DataFrame, turns: int | None = 20, stall_minutes: float |
         count = log.groupBy("session").agg(F.count(F.lit(1)).alias("n"))
         out = out.join(count, "session").withColumn("turns_ok", F.col("n") < turns).drop("n")
     if stall_minutes is not None:
-        stalled = stall_guard(log, stall_minutes).groupBy("session").agg(F.bool_or("stalled").alias("stalled"))
+        stalled = stall_guard(log.select("event_id", "ts", "session"), stall_minutes).groupBy("session").agg(F.bool_or("stalled").alias("stalled"))
         out = out.join(stalled, "session").withColumn("active", ~F.col("stalled")).drop("stalled")
     if limits is not None:
-        halted = cost_guard(log, *limits).groupBy("session").agg(F.bool_or("halted").alias("halted"))
+        halted = cost_guard(log.select("event_id", "ts", "session", "cost"), *limits).groupBy("session").agg(F.bool_or("halted").alias("halted"))
         out = out.join(halted, "session").withColumn("within_cost", ~F.col("halted")).drop("halted")
     return out.withColumn("allowed", F.col("turns_ok") & F.col("active") & F.col("within_cost"))
 
@@ -83,14 +84,42 @@ def gates(found: DataFrame, least: int = 10, rejection: tuple[float, float] = (0
     return out.withColumns({"rate": F.round(rate, 4), "all_pass": (F.col("signatures") == "PASS") & (F.col("rejection") == "PASS") & (F.col("jargon") == "PASS")})
 
 
+def _with_others(found: DataFrame, log: DataFrame) -> DataFrame:
+    """What was found of the rows of a log with the columns that weren't sorted along, by the row's id, which is unique then."""
+    others = [c for c in log.columns if c not in found.columns]
+    return found.join(log.select("event_id", *others), "event_id") if others else found
+
+
+def _in_session(log: DataFrame) -> DataFrame:
+    """Rows with their number in the session and the time, in microseconds, of the row before; sessions of any size are dealt over several tasks."""
+    light = log.select("session", "ts", "event_id").withColumn("us", F.unix_micros("ts"))
+    return _with_others(with_previous(light, "session", ["ts", "event_id"], "us", "us_before", "turn"), log)
+
+
 def turn_guard(log: DataFrame, warn: int = 15, most: int = 20) -> DataFrame:
-    turn = F.row_number().over(Window.partitionBy("session").orderBy("ts", "event_id"))
-    return log.withColumn("turn", turn).withColumns({"state": F.when(F.col("turn") >= most, "HALT").when(F.col("turn") >= warn, "WARN").otherwise("OK"), "pct_used": F.round(F.col("turn") * 100.0 / most, 1)})
+    """Adds the row's turn in its session, whether it is a warning or a halt, and the share of turns used."""
+    out = _in_session(log).withColumn("turn", F.col("turn").cast("int")).drop("us", "us_before")
+    return out.withColumns({"state": F.when(F.col("turn") >= most, "HALT").when(F.col("turn") >= warn, "WARN").otherwise("OK"), "pct_used": F.round(F.col("turn") * 100.0 / most, 1)})
 
 
 def stall_guard(log: DataFrame, minutes: float = 5) -> DataFrame:
-    gap = F.unix_micros("ts") - F.lag(F.unix_micros("ts")).over(Window.partitionBy("session").orderBy("ts", "event_id"))
-    return log.withColumn("gap_s", F.round(gap / 1e6, 3)).withColumn("stalled", F.coalesce(F.col("gap_s") >= minutes * 60, F.lit(False)))
+    """Adds the seconds since the session's row before, and whether these are a stall."""
+    out = _in_session(log).withColumn("gap_s", F.round((F.col("us") - F.col("us_before")) / 1e6, 3)).drop("us", "us_before", "turn")
+    return out.withColumn("stalled", F.coalesce(F.col("gap_s") >= minutes * 60, F.lit(False)))
+
+
+def drift_alert(verdicts: DataFrame, order: list[str], size: int = 100, least: float = 0.05) -> DataFrame:
+    """Adds the share of rejections (column verdict) over the last `size` rows in a total order, and whether it is too low to be trusted; the first size - 1 rows never alarm."""
+    rejected = (F.col("verdict") == "REJECT").cast("double")
+    light = with_ordinal(verdicts.select(*order, "verdict"), [F.col(c) for c in order], "place")
+    out = rolling_mean(light, ["place"], rejected, size, "share").withColumn("drifting", (F.col("place") >= size) & (F.col("share") < least))
+    return out
+
+
+def silent_rejections(verdicts: DataFrame, time: str, at: str, hours: int = 24) -> DataFrame:
+    """One row (last_rejection, silent): whether no rejection was made in the hours before a time."""
+    last = F.max(F.when(F.col("verdict") == "REJECT", F.col(time)))
+    return verdicts.agg(last.alias("last_rejection")).withColumn("silent", F.coalesce(F.unix_micros(F.lit(at).cast("timestamp")) - F.unix_micros("last_rejection") >= hours * 3_600_000_000, F.lit(True)))
 
 
 def last_n(rows: DataFrame, order: list[Column], n: int) -> DataFrame:

@@ -27,17 +27,18 @@ def pattern_match(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: st
     return found.distinct() if distinct else found
 
 
-def screen(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, mode: str = "halt", semantic: DataFrame | None = None, block_above: float = 0.92) -> DataFrame:
+def screen(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, mode: str = "halt", semantic: DataFrame | None = None, block_above: float = 0.92, keep: list[str] | None = None) -> DataFrame:
     """Every document with its matches, whether it is clean, and whether it is blocked in the mode given.
 
     semantic holds (id, pattern_id, similarity) of reports.semantic_match; each is a flag. In mode "halt" any match or flag
-    blocks, in any other mode only a similarity above the bound.
+    blocks, in any other mode only a similarity above the bound. Columns in `keep` go along.
     """
     zero = F.lit(0).cast("long")
-    rows = docs.select(id_col, T.unicode_abuse(F.col(text_col)).alias("warned"), F.lower(text_col).alias("raw"), F.lower(T.preprocess(F.col(text_col))).alias("clean"))
+    kept = keep or []
+    rows = docs.select(id_col, *kept, T.unicode_abuse(F.col(text_col)).alias("warned"), F.lower(text_col).alias("raw"), F.lower(T.preprocess(F.col(text_col))).alias("clean"))
     found = found_in(rows, ["raw", "clean"], vectors.select(F.col("id").alias("name"), F.lower("pattern").alias("needle")), most_in_place=MOST_NEEDLES)
     names = F.array_distinct("names")  # no row leaves its partition
-    out = found.select(id_col, "warned", F.size(names).cast("long").alias("matches"), F.array_min(names).alias("first_pattern"))
+    out = found.select(id_col, *kept, "warned", F.size(names).cast("long").alias("matches"), F.array_min(names).alias("first_pattern"))
     if semantic is None:
         out = out.withColumns({"flags": zero, "top": F.lit(None).cast("double")})
     else:

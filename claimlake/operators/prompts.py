@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import parse_llm_array, unfence
+from ..functions.text import fmt_ts, parse_llm_array, unfence
 
 ANSWER = "struct<`if`:string,`then`:string,timestamp:string,source_quote:string,confidence:string,drawer:string,drawer_confidence:string,drawer_basis:string>"
 
@@ -25,6 +28,30 @@ def normalize_transcript(payloads: DataFrame) -> DataFrame:
     return out.select("doc_id", (F.row_number().over(Window.partitionBy("doc_id").orderBy("at")) - 1).alias("seg_no"), "start", "text")
 
 
+def format_transcript(segments: DataFrame, title: Column, by: str = "doc_id") -> DataFrame:
+    """(by, prompt): the title of a transcript, then a line for each segment (by, seg_no, start, text) with its second; title is of a row and the same for all of a transcript."""
+    line = F.format_string("[%.1fs] %s", F.col("start").cast("double"), F.coalesce("text", F.lit("")))
+    ordered = F.array_sort(F.collect_list(F.struct("seg_no", line.alias("line"))))
+    body = F.array_join(F.transform(ordered, lambda x: x["line"]), "\n")
+    return segments.groupBy(by).agg(F.concat(F.first(F.coalesce(title, F.lit("unknown"))), F.lit("\n\n"), body).alias("prompt"))
+
+
+def timed_lines(segments: DataFrame, by: str = "doc_id") -> DataFrame:
+    """(by, content): a line [MM:SS] text for each segment (by, seg_no, start, text) that has text."""
+    whole = F.floor("start").cast("long")
+    line = F.format_string("[%02d:%02d] %s", F.floor(whole / 60), whole % 60, F.btrim("text"))
+    kept = segments.where(F.btrim("text") != "")
+    ordered = F.array_sort(F.collect_list(F.struct("seg_no", line.alias("line"))))
+    return kept.groupBy(by).agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("content"))
+
+
+def timestamp_range(segments: DataFrame, docs: DataFrame, by: str = "doc_id") -> DataFrame:
+    """(by, span): M:SS of a document's first and last segment, 0:00-0:00 for one without any."""
+    zero = F.lit(0.0)
+    ends = segments.groupBy(by).agg(F.min_by("start", "seg_no").alias("a"), F.max_by("start", "seg_no").alias("b"))
+    return docs.select(by).join(ends, by, "left").select(by, F.concat_ws("-", fmt_ts(F.coalesce("a", zero)), fmt_ts(F.coalesce("b", zero))).alias("span"))
+
+
 def format_chunks(chunks: DataFrame) -> DataFrame:
     """(doc_id, prompt): all chunks of a document, each below its provenance, tier and file."""
     block = F.concat(F.format_string("[%s] [%s] %s\n", "provenance", "source_tier", "source_file"), "text", F.lit("\n\n"))
@@ -64,8 +91,67 @@ def concept_prompts(docs: DataFrame, concepts: DataFrame, task: str, most_chars:
     return docs.join(lists, F.col("drawer").isNotNull()).select("doc_id", "drawer", head.alias("prompt"))
 
 
-def with_model_responses(prompts: DataFrame, responses: DataFrame) -> DataFrame:
-    """Joins recorded answers (prompt_hash, response) by the SHA-256 of the prompt; a prompt without one has null."""
+ANSWERED = "prompt_hash string, response string, error string"
+
+
+def _asked(responder: Callable[[list[str]], list[str | None]], batch: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for begin in range(0, len(frame), batch):
+                part = frame.iloc[begin : begin + batch]
+                told = _answers(responder, part["prompt"].tolist())
+                yield pd.DataFrame({"prompt_hash": part["prompt_hash"].tolist(), "response": [a for a, _ in told], "error": [e for _, e in told]})
+
+    return run
+
+
+def _answers(responder: Callable[[list[str]], list[str | None]], prompts: list[str]) -> list[tuple[str | None, str | None]]:
+    """(answer, error) of each prompt; where a batch fails its prompts are asked one by one, so that one of them doesn't cost the others."""
+    try:
+        found = list(responder(prompts))
+        if len(found) != len(prompts):
+            raise ValueError(f"{len(found)} answers to {len(prompts)} prompts")
+        return [(x, None if x is not None else "no answer") for x in found]
+    except Exception as e:  # whatever a responder raises becomes a row
+        if len(prompts) == 1:
+            return [(None, f"{type(e).__name__}: {e}"[:500])]
+        return [x for p in prompts for x in _answers(responder, [p])]
+
+
+def ask(prompts: DataFrame, responder: Callable[[list[str]], list[str | None]], answers: str, batch: int = 32, wave: int = 10_000) -> DataFrame:
+    """Answers (prompt_hash, response, error) of all prompts (prompt), by a user's function from a list of prompts to one of answers.
+
+    Each distinct prompt is asked once: answers are appended to the table at `answers`, below which earlier ones aren't asked for again, neither by a later run nor after a failure. Prompts
+    go in waves of about `wave`, each written when it ends, and within one in tasks of about `batch`, so that a lost executor costs a batch for each of its cores. An answer that failed has an
+    error, and is asked for again by the next run.
+    """
+    from ..sources.records import missing
+    from ..sources.shared import materialise, scratch
+
+    spark = prompts.sparkSession
+
+    def recorded() -> DataFrame:
+        return spark.createDataFrame([], ANSWERED) if missing(spark, answers) else spark.read.schema(ANSWERED).parquet(answers)
+
+    with scratch(spark):
+        hashed = prompts.where("prompt is not null").select(F.sha2("prompt", 256).alias("prompt_hash"), "prompt").dropDuplicates(["prompt_hash"])
+        todo = materialise(hashed.join(recorded().where("response is not null").select("prompt_hash"), "prompt_hash", "left_anti"), "prompts")
+        waves = -(-todo.count() // wave)
+        for i in range(waves):
+            part = todo.where(F.pmod(F.xxhash64("prompt_hash"), F.lit(waves)) == i)
+            part.repartition(max(1, min(wave, 10_000) // batch)).mapInPandas(_asked(responder, batch), ANSWERED).write.mode("append").parquet(answers)
+    return recorded()
+
+
+def with_model_responses(prompts: DataFrame, responses: DataFrame | Callable[[list[str]], list[str | None]], answers: str | None = None, **asking) -> DataFrame:
+    """Joins answers (prompt_hash, response) by the SHA-256 of the prompt; a prompt without one has null.
+
+    responses: a table of recorded answers, or a responder that `ask` uses, with the folder of its answers.
+    """
+    if callable(responses):
+        if answers is None:
+            raise ValueError("a responder needs a folder for its answers")
+        responses = ask(prompts, responses, answers, **asking)
     recorded = responses.groupBy("prompt_hash").agg(F.min("response").alias("response"))
     return prompts.withColumn("prompt_hash", F.sha2("prompt", 256)).join(recorded, "prompt_hash", "left")
 

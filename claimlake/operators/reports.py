@@ -122,22 +122,117 @@ def render_bundles(signatures: DataFrame, by: str, order: str, phrases: tuple[st
 
 
 def parse_bundles(bundles: DataFrame, by: str) -> DataFrame:
-    """(bundle, id, condition, action): the signature rows of bundle documents."""
+    """(bundle, id, condition, action, error): the signature rows of bundle documents; one with too few cells has an error, and null for those that it lacks."""
     lines = bundles.select(by, F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(r"^\| S-\d+ \|"))
-    cell = lambda i: F.trim(F.replace(F.split("line", r" \| ")[i], F.lit("\\|"), F.lit("|")))
-    return lines.select(by, F.substring(cell(0), 3, 20).alias("id"), cell(1).alias("condition"), F.regexp_replace(cell(2), r" \|$", "").alias("action"))
+    cells = F.split(F.regexp_replace("line", r" \|$", ""), r" \| ")
+    cell = lambda i: F.trim(F.replace(F.get(cells, F.lit(i)), F.lit("\\|"), F.lit("|")))
+    error = F.when(F.size(cells) < 3, F.format_string("%d of 3 cells", F.size(cells)))
+    return lines.select(by, F.regexp_extract("line", r"^\| (S-\d+) \|", 1).alias("id"), cell(1).alias("condition"), cell(2).alias("action"), error.alias("error"))
+
+
+def _first_ids(clusters: DataFrame, first: int) -> DataFrame:
+    """(drawer, root, topic, n, ids): clusters with their size and first ids, ranked before they meet in a row."""
+    keys = ["drawer", "root", "topic"]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("id"))
+    ids = clusters.withColumn("id", F.col("id").cast("string")).withColumn("r", place).where(F.col("r") <= first)
+    listed = ids.groupBy(*keys).agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    sizes = clusters.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumnsRenamed({k: f"of_{k}" for k in keys})
+    met = sizes.join(listed, F.col("of_drawer").eqNullSafe(F.col("drawer")) & F.col("of_root").eqNullSafe(F.col("root")) & F.col("of_topic").eqNullSafe(F.col("topic")))
+    return met.select(*keys, "n", "ids")
 
 
 def render_theory(clusters: DataFrame, negatives: DataFrame, first: int = 10) -> DataFrame:
     """(drawer, text): a line for each cluster (drawer, root, topic, id) with its size and first ids, then the number of negatives."""
-    ids = F.slice(F.array_sort(F.collect_list(F.col("id").cast("string"))), 1, first)
-    lines = clusters.groupBy("drawer", "root", "topic").agg(F.count(F.lit(1)).alias("n"), ids.alias("ids"))
+    lines = _first_ids(clusters, first)
     line = F.format_string("- %s (%d): %s", "topic", "n", F.array_join("ids", ", "))
     told = lines.groupBy("drawer").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("root", line.alias("line")))), lambda x: x["line"]), "\n").alias("body"))
     lost = negatives.groupBy("drawer").agg(F.count(F.lit(1)).alias("n"))
     return told.join(lost, "drawer", "left").select("drawer", F.concat(F.lit("## "), F.col("drawer").cast("string"), F.lit("\n"), "body", F.format_string("\n%d negatives\n", F.coalesce("n", F.lit(0).cast("long")))).alias("text"))
 
 
+def theory_index(clusters: DataFrame, names: dict[int, str] | None = None, first: int = 5) -> DataFrame:
+    """(drawer, root, line): the index line of each cluster (drawer, root, topic, id), with its first ids; names are those of drawers."""
+    name = F.format_string("Drawer %d", F.col("drawer").cast("int"))
+    if names:
+        name = F.coalesce(F.get(F.map_values(F.map_filter(F.create_map(*(x for k, v in names.items() for x in (F.lit(k), F.lit(v)))), lambda k, _: k == F.col("drawer"))), 0), name)
+    more = F.when(F.col("n") > first, "...").otherwise("")
+    line = F.concat(F.lit("- **"), name, F.lit("** | CLUSTER: "), "topic", F.lit(" | Entries: "), F.array_join("ids", ", "), more)
+    return _first_ids(clusters, first).select("drawer", "root", line.alias("line"))
+
+
+def theory_totals(clusters: DataFrame, negatives: DataFrame) -> DataFrame:
+    """One row (entries, clusters, negatives) of the footer."""
+    counted = clusters.groupBy("drawer", "root").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("entries"), F.count(F.lit(1)).alias("clusters"))
+    return counted.join(negatives.agg(F.count(F.lit(1)).alias("negatives")), F.lit(True))
+
+
+def negative_events(rejections: DataFrame, at: str, start: int = 0) -> DataFrame:
+    """Event rows of rejections (rej_id, reason, signature, bundle, claim, drawer, rejected_by, original), numbered N-001 on from `start` in the order of rej_id; columns that lack have none.
+
+    They are what sinks.append_events appends; numbers come by ranges, not from one task.
+    """
+    from .ordinal import with_ordinal
+
+    has = set(rejections.columns)
+    text = lambda c, default="": F.coalesce(F.col(c).cast("string"), F.lit(default)) if c in has else F.lit(default)
+    numbered = with_ordinal(rejections.select("rej_id").distinct(), [F.col("rej_id")], "n")
+    entries = F.map_from_entries(F.filter(F.array(*(F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in (
+        ("source_signature", text("signature")), ("source_bundle", text("bundle")), ("source_claim_id", text("claim")), ("drawer", text("drawer")), ("rejected_by", text("rejected_by", "auditor")), ("original_reason", text("original")), ("recorded_at", F.lit(at)),
+    ))), lambda e: e["value"] != ""))
+    return rejections.join(numbered, "rej_id").select(
+        F.format_string("N-%03d", F.col("n") + start).alias("id"), F.lit("NEGATIVE").alias("type"), F.lit(None).cast("string").alias("content"), text("bundle").alias("source"), F.lit(at).alias("timestamp"), F.col("reason"), entries.alias("metadata"),
+    )
+
+
+def cluster_report(catalogue: DataFrame, top: int = 5) -> DataFrame:
+    """(category, rank, line): of each category (category, ord, title, url, view_count, duration, topics) the most viewed, with views, minutes and topics."""
+    place = F.row_number().over(Window.partitionBy("category").orderBy(F.coalesce("view_count", F.lit(0)).desc(), "ord"))
+    best = catalogue.withColumn("rank", place).where(F.col("rank") <= top)
+    views = F.format_number(F.coalesce("view_count", F.lit(0)), 0)
+    minutes = F.floor(F.coalesce("duration", F.lit(0)) / 60).cast("long").cast("string")
+    topics = F.when(F.size("topics") > 0, F.concat(F.lit(" ["), F.array_join("topics", ", "), F.lit("]"))).otherwise("")
+    line = F.concat(F.lit("- ["), F.substring(F.coalesce(F.nullif("title", F.lit("")), F.lit("?")), 1, 60), F.lit("]("), F.coalesce("url", F.lit("")), F.lit(") — "), views, F.lit(" views, "), minutes, F.lit("min"), topics)
+    return best.select("category", "rank", line.alias("line"))
+
+
+def topic_report(catalogue: DataFrame) -> DataFrame:
+    """(topic, n, place): topics by falling count, then by name."""
+    from .ordinal import with_ordinal
+
+    counted = catalogue.select(F.explode("topics").alias("topic")).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    return with_ordinal(counted, [F.desc("n"), F.col("topic")], "place")
+
+
+def capped_listing(claims: DataFrame, most: int) -> DataFrame:
+    """(pos, drawer, line): claims (ord, drawer, condition, action, source_file) by drawer, a null one being 0, and within it in order; `most` in all, then a line with the number of those left out.
+
+    Only the first are sorted, and counts are of all.
+    """
+    from .ordinal import with_ordinal
+
+    rows = claims.withColumn("drawer", F.coalesce(F.col("drawer").cast("int"), F.lit(0)))
+    first = with_ordinal(rows.orderBy("drawer", "ord").limit(most), [F.col("drawer"), F.col("ord")], "pos")
+    line = F.concat(F.lit("- IF "), F.coalesce("condition", F.lit("")), F.lit(" → THEN "), F.coalesce("action", F.lit("")), F.lit(" ("), F.coalesce("source_file", F.lit("unknown")), F.lit(")"))
+    left = rows.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+    more = left.select(F.lit(most + 1).cast("long").alias("pos"), F.lit(None).cast("int").alias("drawer"), F.format_string("... and %d more claims truncated", F.col("n") - most).alias("line"))
+    return first.select("pos", "drawer", line.alias("line")).unionByName(more)
+
+
+def plan_queue(queue: DataFrame, limit: int | None = None, dry_run: bool = False) -> DataFrame:
+    """Queue rows (id, status, url, position, ...) with the action of a run: only QUEUED rows are pending, the first `limit` of them by position are taken.
+
+    Of these, one without an address is a `skip`, the others a `run`, or `dry_run`; pending rows beyond the limit `wait`, all others are `done`. Only pending keys are sorted.
+    """
+    from .ordinal import with_ordinal
+
+    pending = F.col("status") == "QUEUED"
+    place = with_ordinal(queue.where(pending).select("id", "position"), [F.col("position"), F.col("id")], "__place").select("id", "__place")
+    taken = F.lit(True) if not limit else F.col("__place") <= limit
+    bare = F.coalesce("url", F.lit("")) == ""
+    action = F.when(F.col("__place").isNull(), "done").when(~taken, "wait").when(bare, "skip").otherwise("dry_run" if dry_run else "run")
+    return queue.join(place, "id", "left").withColumn("action", action).drop("__place")
+
+
 def render_notes(pairs: DataFrame, negatives: DataFrame, most: int = 20) -> DataFrame:
     """One row of text: the first redundant pairs (a, b, similarity), then the last negatives (id, ord, reason); `most` of each."""
     pair = F.format_string("- %s = %s (%.2f)", F.col("a").cast("string"), F.col("b").cast("string"), F.col("similarity"))

@@ -105,17 +105,17 @@ _LOG = "with log as (select event_id, ts, user_id as session, round(abs(value) /
 @query(_LOG + """, r as (select event_id, round(sum(cost) over (partition by session order by ts, event_id rows unbounded preceding), 6) as session_total, round(sum(cost) over (partition by day order by ts, event_id rows unbounded preceding), 6) as daily_total, session, ts from log)
 select event_id, session_total, daily_total, greatest(0.0, round(0.5 - session_total, 6)) as remaining, max(session_total >= 0.5 or daily_total >= 1.0) over (partition by session order by ts, event_id rows unbounded preceding) as halted from r""")
 def cost_guard(spark, folder):
-    return corpus.cost_guard(log(spark, folder), 0.5, 1.0).select("event_id", "session_total", "daily_total", "remaining", "halted")
+    return corpus.cost_guard(log(spark, folder).drop("event_type"), 0.5, 1.0).select("event_id", "session_total", "daily_total", "remaining", "halted")
 
 
 @query("""select event_id, n::int as turn, case when n >= 20 then 'HALT' when n >= 15 then 'WARN' else 'OK' end as state, round(n * 100.0 / 20, 1)::double as pct_used from (select event_id, row_number() over (partition by user_id order by ts, event_id) as n from events)""")
 def turn_guard(spark, folder):
-    return corpus.turn_guard(log(spark, folder)).select("event_id", "turn", "state", F.col("pct_used").cast("double").alias("pct_used"))
+    return corpus.turn_guard(log(spark, folder).select("event_id", "ts", "session")).select("event_id", "turn", "state", F.col("pct_used").cast("double").alias("pct_used"))
 
 
 @query("""select event_id, round(g / 1e6, 3) as gap_s, coalesce(round(g / 1e6, 3) >= 300, false) as stalled from (select event_id, epoch_us(ts) - lag(epoch_us(ts)) over (partition by user_id order by ts, event_id) as g from events)""")
 def stall_gaps(spark, folder):
-    return corpus.stall_guard(log(spark, folder)).select("event_id", "gap_s", "stalled")
+    return corpus.stall_guard(log(spark, folder).select("event_id", "ts", "session")).select("event_id", "gap_s", "stalled")
 
 
 @query(_LOG + """, g as (select session, row_number() over (partition by session order by ts, event_id) as turn, epoch_us(ts) - lag(epoch_us(ts)) over (partition by session order by ts, event_id) as gap,

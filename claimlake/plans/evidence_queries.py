@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
-from ..operators import coverage, rules
+from ..operators import corpus, coverage, rules
 from .corpus_queries import observations
 from .registry import query, table
 from .text_queries import AUDIT_SQL, PAIRS, verdicts
@@ -84,3 +84,10 @@ def coverage_sticky_signatures(spark, folder):
 def coverage_grades(spark, folder):
     names = F.array(*map(F.lit, ("UNIQUE", "STRONG_EVIDENCE", "MODERATE_EVIDENCE", "PRACTITIONER_LORE")))
     return coverage.grade_counts(table(spark, folder, "part").select(F.col("p_partkey").alias("concept_id"), F.get(names, F.col("p_size") % 5).alias("grade")))
+
+
+@query(AUDIT_SQL + """, v as (select doc_id, id, (check_failed is not null)::int::double as bad, row_number() over (order by doc_id, id) as place from verdicts)
+select doc_id, id, place, round(share, 6) as share, place >= 100 and share < 0.05 as drifting from (select *, avg(bad) over (order by place rows between 99 preceding and current row) as share from v)""")
+def drift_alert(spark, folder):
+    rows = verdicts(spark, folder).select("doc_id", "id", "verdict")
+    return corpus.drift_alert(rows, ["doc_id", "id"]).select("doc_id", "id", "place", F.round("share", 6).alias("share"), "drifting")

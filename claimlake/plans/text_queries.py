@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
 from ..functions import text as T
-from ..operators import extract, joins, rules
+from ..operators import extract, joins, prompts, rules
 from .registry import query, table
 
 WS = r"[ \t\n\x0B\f\r]"
@@ -51,10 +51,8 @@ def format_timestamp(spark, folder):
 
 @query("""select conv_id, 'CONVERSATION: ' || conv_id || chr(10) || chr(10) || string_agg('[' || (turn * 30)::bigint || '.0s] ' || text, chr(10) order by turn) as prompt from conversations where trim(text) <> '' group by conv_id""")
 def prompt_text(spark, folder):
-    turns = table(spark, folder, "conversations").where("trim(text) <> ''")
-    line = F.format_string("[%d.0s] %s", F.col("turn") * 30, "text")
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("line")))), lambda x: x["line"]), "\n")
-    return turns.groupBy("conv_id").agg(body.alias("body")).select("conv_id", F.concat(F.lit("CONVERSATION: "), F.col("conv_id").cast("string"), F.lit("\n\n"), "body").alias("prompt"))
+    turns = table(spark, folder, "conversations").where("trim(text) <> ''").select("conv_id", F.col("turn").alias("seg_no"), (F.col("turn") * 30).alias("start"), "text")
+    return prompts.format_transcript(turns, F.concat(F.lit("CONVERSATION: "), F.col("conv_id").cast("string")), "conv_id")
 
 
 def segments(spark, folder):

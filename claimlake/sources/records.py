@@ -21,13 +21,29 @@ def _json(spark: SparkSession, path: str, schema: str, on_error: str, glob: str
     return (reader.option("pathGlobFilter", glob).option("recursiveFileLookup", "true") if glob else reader).json(path)
 
 
-def _missing(spark: SparkSession, path: str) -> bool:
+def missing(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def _until_bad(spark: SparkSession, path: str, schema: str, glob: str) -> DataFrame:
+    """Of each file the lines before its first one that isn't a JSON object; blank lines count for nothing.
+
+    A line's place is that of its block in the file and its number in the task that read the block, so that large files are read in parts.
+    """
+    rows = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    rows = rows.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("source_name"), place.alias("place")).where(F.trim("value") != "")
+    good = F.coalesce(F.expr("schema_of_variant(try_parse_json(value)) like 'OBJECT%'"), F.lit(False))
+    first = rows.where(~good).groupBy("file").agg(F.min("place").alias("first_bad"))
+    kept = rows.join(first, "file", "left").where(F.col("first_bad").isNull() | (F.col("place") < F.col("first_bad")))
+    return kept.select(F.from_json("value", schema).alias("c"), "source_name").select("c.*", "source_name")
+
+
 def read_claims(spark: SparkSession, path: str, on_error: str = "drop", glob: str = "*.json*") -> DataFrame:
-    """Claims of all files below path with the name of their file. Bad lines: kept as nulls, dropped, or raised."""
+    """Claims of all files below path with the name of their file. Bad lines: kept as nulls, dropped, raised, or (abort) the end of their file."""
+    if on_error == "abort":
+        return _until_bad(spark, path, CLAIM, glob)
     return _json(spark, path, CLAIM, on_error, glob).withColumn("source_name", F.col("_metadata.file_name"))
 
 
@@ -40,7 +56,7 @@ def read_events(spark: SparkSession, path: str, type: str | None = None, last: i
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Index rows; none if there is no file."""
-    return spark.createDataFrame([], INDEX) if _missing(spark, path) else _json(spark, path, INDEX, "drop")
+    return spark.createDataFrame([], INDEX) if missing(spark, path) else _json(spark, path, INDEX, "drop")
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .records import EVENT, missing
+from .shared import delete, materialise, scratch
+
 
 def append_events(events: DataFrame, path: str) -> None:
     """Appends by UTC day of the timestamp; rows of a day are brought together first, so that a day gets few files."""
@@ -43,6 +46,42 @@ def split_archive(events: DataFrame, today: str, keep_days: int) -> tuple[DataFr
     return events.where(~old), events.where(old)
 
 
+def _days(spark: SparkSession, path: str) -> DataFrame:
+    return spark.createDataFrame([], EVENT) if missing(spark, path) else spark.read.schema(EVENT).json(path)
+
+
+def archive_events(spark: SparkSession, live: str, archived: str, today: str, keep_days: int) -> list[str]:
+    """Moves the days of `live` (as append_events writes them) that are keep_days old or older to `archived`, and returns them.
+
+    The days are written to the archive first, together with what it holds of them already, and leave the live folder only then: a failure between the steps loses no day, read_archived gives none of its
+    rows twice, and the next run goes on. Days that can't be read as a date stay. There are as many names in the driver as days.
+    """
+    rows = _days(spark, live)
+    old = split_archive(rows, today, keep_days)[1]
+    days = sorted(str(r[0]) for r in old.select("session_date").distinct().collect())
+    if days:
+        with scratch(spark):
+            held = _days(spark, archived).where(F.col("session_date").isin(days))
+            key = F.to_json(F.struct(*held.columns))
+            both = materialise(held.unionByName(old).withColumn("__key", key).dropDuplicates(["__key"]).drop("__key"), "archive")
+            both.repartition("session_date", F.pmod(F.hash("id"), F.lit(8))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("session_date").json(archived)
+        for day in days:
+            delete(spark, f"{live.rstrip('/')}/session_date={day}")
+    return days
+
+
+def read_archived(spark: SparkSession, live: str, archived: str) -> DataFrame:
+    """Events of both folders with the column part; rows of a day that both hold count once."""
+    here, there = _days(spark, live), _days(spark, archived)
+    key = F.to_json(F.struct(*there.columns))
+    keyed = lambda df: df.withColumn("__key", key)
+    both = there.select("session_date").distinct().join(here.select("session_date").distinct(), "session_date")  # days between the steps of a move
+    again = keyed(here.join(both, "session_date", "left_semi")).join(keyed(there).select("__key"), "__key", "left_anti").drop("__key")
+    alone = here.join(both, here["session_date"].eqNullSafe(both["session_date"]), "left_anti")
+    part = lambda df, name: df.withColumn("part", F.lit(name))
+    return part(there, "archived").unionByName(part(alone, "live")).unionByName(part(again, "live"))
+
+
 def incidents(flagged: DataFrame, id_col: str, text_col: str, at: str) -> DataFrame:
     """Event rows for blocked documents: reason, and the first 500 characters of the text."""
     return flagged.where("blocked").select(F.col(id_col).cast("string").alias("id"), F.lit("INCIDENT").alias("type"), F.substring(text_col, 1, 500).alias("content"), F.lit(at).alias("timestamp"), "reason")
@@ -53,6 +92,14 @@ def stage_log(rows: DataFrame, stage: str, text_col: str = "text") -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(text_col)), F.lit(0)).alias("chars"), F.min(F.substring(text_col, 1, 1000)).alias("preview")).select(F.lit(stage).alias("stage"), "*")
 
 
+def write_logged(rows: DataFrame, path: str, stage: str, text_col: str = "text") -> dict:
+    """Writes rows as Parquet and returns their stage_log, observed in the same pass."""
+    seen = Observation()
+    watched = rows.observe(seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(text_col)), F.lit(0)).alias("chars"), F.min(F.substring(text_col, 1, 1000)).alias("preview"))
+    watched.write.mode("overwrite").parquet(path)
+    return {"stage": stage, **seen.get}
+
+
 def to_json(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("*")).alias("value"))
 
