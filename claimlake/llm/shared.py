@@ -1,67 +1,19 @@
-"""Where the operators of this subpackage keep intermediate tables, slices of Arrow batches, and a bounded membership filter."""
+"""Joins that deal large groups over all tasks, slices of Arrow batches, and a bounded membership filter."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_OWN_DIR: dict[str, str] = {}
-#: Lists of the folders written inside open scratch() blocks, the innermost last.
-_OPEN: list[list[str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a scratch folder in local mode."""
-    context = spark.sparkContext
-    found = context.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if context.applicationId not in _OWN_DIR:
-        _OWN_DIR[context.applicationId] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        context.setCheckpointDir(_OWN_DIR[context.applicationId])
-    return _OWN_DIR[context.applicationId]
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    path = f"{shared_dir(spark).rstrip('/')}/claimlake/{name}-{uuid.uuid4().hex}"
-    if _OPEN:
-        _OPEN[-1].append(path)
-    return path
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: its lineage is cut, and a lost executor loses nothing."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
-@contextmanager
-def scratch(spark: SparkSession):
-    """Deletes at its end the intermediate tables written inside; results needed afterwards must be written by then."""
-    _OPEN.append([])
-    try:
-        yield
-    finally:
-        for path in _OPEN.pop():
-            delete(spark, path)
+from ..sources.shared import delete, materialise, scratch, shared_dir
+from ..sources.shared import scratch_path as fresh_path
 
+__all__ = ["LARGE_SHARES", "bitmap_words", "delete", "fresh_path", "join_large", "left_join_large", "materialise", "maybe_member", "parts", "scratch", "shared_dir"]
 
 #: Groups of more than one such share of all rows are joined by broadcast; there are fewer of them than this.
 LARGE_SHARES = 1024
@@ -79,6 +31,14 @@ def join_large(rows: DataFrame, groups: DataFrame, keys: list[str], total: int)
     return rows.join(hot, keys).unionByName(rest.join(usual, keys))
 
 
+def left_join_large(rows: DataFrame, groups: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """As join_large, but rows that meet no group stay, with nulls."""
+    large = F.col("size") * LARGE_SHARES > total
+    met = rows.join(F.broadcast(groups.where(large)), keys, "left")
+    rest = met.where("size is null").select(rows.columns).join(groups.where(~large), keys, "left")
+    return met.where("size is not null").unionByName(rest)
+
+
 def parts(batch: pa.RecordBatch, column: str = "text", most_bytes: int = 1 << 21, most_rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts have about `most_bytes` together, so that memory follows bytes, not rows; one row at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

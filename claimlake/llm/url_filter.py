@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import LARGE_SHARES, join_large, materialise
+from .shared import join_large, left_join_large, materialise
 
 #: Rules that each row is held against in place.
 MOST_RULES = 200
@@ -120,14 +120,6 @@ def _in_place(rules: list[Rule], host: Column, path: Column) -> Column:
     return F.get(F.filter(known, fits), 0)
 
 
-def left_join_large(rows: DataFrame, groups: DataFrame, keys: list[str], total: int) -> DataFrame:
-    """As join_large, but rows that meet no group stay, with nulls."""
-    large = F.col("size") * LARGE_SHARES > total
-    met = rows.join(F.broadcast(groups.where(large)), keys, "left")
-    rest = met.where("size is null").select(rows.columns).join(groups.where(~large), keys, "left")
-    return met.where("size is not null").unionByName(rest)
-
-
 def _by_join(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """Adds rule and verdict to rows (host, path, ...), of any number of rules (verdict, host, path)."""
     addresses = materialise(rows.where("host <> ''").groupBy("host", "path").agg(F.count(F.lit(1)).alias("size")), "addresses")
