@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import join_large, materialise, maybe_member, parts
+from .shared import join_large, left_join_large, materialise, maybe_member, parts
 
 WORDS, SIMILARITY = 5, (80, 100)
 #: Counters of the rarity table (4 bytes each), and how many a row of it holds.
@@ -413,7 +413,9 @@ def links(docs: DataFrame, classes: DataFrame, rarity: np.ndarray, words: int, s
     visited = routes.groupBy("shard").agg(F.count(F.lit(1)).alias("size")).join(held, "shard").select("shard", "size", copies)
     to = F.struct("shard", F.pmod(F.xxhash64("fp"), F.col("copies")).alias("copy"), F.lit(True).alias("probing"))
     visits = join_large(routes, visited, ["shard"], routes.count()).groupBy("fp").agg(F.collect_list(to).alias("visits"))
-    placed = placed.join(visited.drop("size"), "shard", "left")
+    # a shard that holds a large share of the classes meets them by broadcast
+    searched = visited.drop("size").join(held.withColumnRenamed("held", "size"), "shard")
+    placed = left_join_large(placed, searched, ["shard"], active.count()).drop("size")
     texts, _ = maybe_member(docs.select(F.col("key").alias("rep"), "text"), "rep", active, active.count())
     texts = texts.join(placed.join(visits, "fp", "left"), "rep")
     own = F.transform(F.sequence(F.lit(0).cast("long"), F.coalesce("copies", F.lit(1).cast("long")) - 1), lambda c: F.struct("shard", c.alias("copy"), F.lit(False).alias("probing")))
