@@ -43,7 +43,7 @@ COUNTERS, COUNTERS_A_ROW = 1 << 21, 1 << 14
 #: Shingles of the classes whose sets a shard of the index holds.
 SHARD_SHINGLES = 1 << 18
 #: Probes of one shard that a task gets, or as many as the shard has classes if these are more; others go to copies of the shard.
-PROBES = 2048
+PROBES = 512
 #: Postings of one shingle that a task gets about; more are split.
 HOT = 256
 #: Weight of DivideSkip's estimate of how many long lists to pass over.
