@@ -7,7 +7,7 @@ each keeps its remainders sorted. The merged filters give the fingerprints that
 are shuffled, and grouped by their bytes. Texts that differ but share a fingerprint are thereby told apart.
 
 Null counts as the empty text, and all empty texts are equal. In copies(), rows that repeat both id and text of the row that stays
-count in group_size and carry its mark: there an id names one row. deduplicate() keeps exactly one row of equal texts, whatever the ids:
+count in group_size and carry its mark: there an id names one row. A row without an id stays only if no row of its text has one, and then all of these carry the mark. deduplicate() keeps exactly one row of equal texts, whatever the ids:
 that of the smallest id, nulls last. Extra columns are kept by deduplicate(), whatever their names. An empty table gives an empty table.
 Texts of any length are fingerprinted whole.
 """
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialise, maybe_member
+from .shared import left_join_large, materialise, maybe_member
 
 #: Distinct fingerprints that a block of the merged filters has about, and those after which a partition sends its filters on.
 BLOCK_ENTRIES, HELD_ENTRIES = 1 << 18, 1 << 21
@@ -137,10 +137,11 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     texts = texts.withColumn("fp", F.xxhash64("norm"))
     rows = materialise(texts.select("key", "fp", F.sha2("norm", 256).alias("text_sha256")), "digests")
     twice = twice_seen(rows)
-    suspects = maybe_member(texts, "fp", twice, twice.count())[0].join(twice.select("fp"), "fp", "left_semi")
-    groups = suspects.groupBy("fp", "norm").agg(F.min("key").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
-    groups = groups.select("fp", F.sha2("norm", 256).alias("text_sha256"), "keep_id", "group_size")
-    out = rows.join(groups, ["fp", "text_sha256"], "left")
+    # copies meet within their tasks before they are dealt by text, so that a large group sends a row a task
+    suspects = maybe_member(texts, "fp", twice, twice.count())[0]
+    groups = suspects.groupBy("fp", "norm").agg(F.min("key").alias("keep_id"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    groups = materialise(groups.select("fp", F.sha2("norm", 256).alias("text_sha256"), "keep_id", "size"), "groups")
+    out = left_join_large(rows, groups, ["fp", "text_sha256"], rows.count()).withColumnRenamed("size", "group_size")
     keep = F.coalesce("keep_id", "key")
     return out.select(F.col("key").alias(id_col), keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), keep.eqNullSafe(F.col("key")).alias("kept"), "text_sha256")
 
@@ -151,6 +152,6 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     twice = twice_seen(materialise(docs.select(F.xxhash64(norm).alias("fp")), "fingerprints"))
     rows = docs.select(F.struct("*").alias("row"), F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(text_col)).alias("place"), norm.alias("norm"), F.xxhash64(norm).alias("fp"))
     maybe, alone = maybe_member(rows, "fp", twice, twice.count())
-    found = maybe.join(twice.select("fp"), "fp", "left_semi").groupBy("fp", "norm").agg(F.min_by("row", "place").alias("row")).select("row.*")
-    found = found.unionByName(maybe.join(twice.select("fp"), "fp", "left_anti").select("row.*"))
+    # rows that only seemed to be repeated are groups of one
+    found = maybe.groupBy("fp", "norm").agg(F.min_by("row", "place").alias("row")).select("row.*")
     return found if alone is None else found.unionByName(alone.select("row.*"))
