@@ -28,6 +28,16 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_RANKS), public_tokenizers.PATTERN)
 
 
+#: Pieces, documents and attention cost of a sequence of packing_three_capacities; each of them closes sequences there.
+SHORT_PIECE, MOST_DOCUMENTS, MOST_ATTENTION = 512, 6, 600_000
+
+
+def packing_three_capacities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op 2 with shorter pieces and all three capacities in force."""
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_RANKS), public_tokenizers.PATTERN, SHORT_PIECE)
+    return packing.pack(pieces, 2048, MOST_DOCUMENTS, MOST_ATTENTION).withColumnRenamed("key", "doc_id")
+
+
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = langid.in_fold()
@@ -99,6 +109,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_best_fit_packing, op3_language_mixture, op4_perspective_rotation, op5_exact_dedup, op6_licence_rules, op7_ngram_jaccard_join, op8_secret_scan, op9_warc, op10_exact_top_k, op11_embedding_whitening, op12_importance_resampling, op13_url_filter, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_best_fit_packing, op3_language_mixture, op4_perspective_rotation, op5_exact_dedup, op6_licence_rules, op7_ngram_jaccard_join, op8_secret_scan, op9_warc, op10_exact_top_k, op11_embedding_whitening, op12_importance_resampling, op13_url_filter, packing_three_capacities, pipeline)}
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from .shared import materialise
 
-#: Vectors of a block of queries and of candidates, and of a part of the candidates.
-QUERY_BLOCK, CANDIDATE_BLOCK, PART = 512, 8192, 65_536
+#: Bytes of the vectors of a block of queries and of candidates, and of a part of the candidates, in doubles; and the most rows of a block, whose scores are one matrix.
+QUERY_BYTES, CANDIDATE_BYTES, PART_BYTES = 1 << 18, 1 << 22, 1 << 25
+MOST_QUERIES, MOST_CANDIDATES = 512, 8192
 LISTS = 4
 #: Whole numbers that float64 holds exactly; and entries that are scored in full at once.
 EXACT, AT_ONCE = 2.0**53, 1 << 16
@@ -167,16 +168,20 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     spark = vectors.sparkSession
     candidates = quantised(vectors, id_col, vector_col, scale)
     length = [r[0] for r in candidates.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()]
-    fits = F.size("v") == F.lit(length[0] if length else 0)
+    dims = length[0] if length else 0
+    fits = F.size("v") == F.lit(dims)
+    # as many vectors as there is room for, so that wide ones don't take more memory
+    rows_of = lambda size, most: max(1, min(most, size // (8 * max(1, dims))))
+    query_block, candidate_block, part = rows_of(QUERY_BYTES, MOST_QUERIES), rows_of(CANDIDATE_BYTES, MOST_CANDIDATES), rows_of(PART_BYTES, PART_BYTES)
     no_cutoff = F.lit(None).cast("long").alias("cutoff")
-    blocks = materialise(_blocks(candidates.where(fits).select("vec_id", "v", no_cutoff), CANDIDATE_BLOCK), "blocks")
+    blocks = materialise(_blocks(candidates.where(fits).select("vec_id", "v", no_cutoff), candidate_block), "blocks")
     size = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("ids")), F.lit(0)) / 8).first()
-    parts = int(max(1, -(-size[1] // PART), min(size[0], spark.sparkContext.defaultParallelism)))
+    parts = int(max(1, -(-size[1] // part), min(size[0], spark.sparkContext.defaultParallelism)))
     asked = materialise(quantised(queries, id_col, vector_col, scale).where(fits).groupBy("vec_id").agg(F.min("v").alias("v")), "asked")
 
     def meet(with_cutoffs: DataFrame, answer) -> DataFrame:
         here = blocks.select(F.pmod(F.xxhash64("block"), F.lit(parts)).alias("part"), F.lit(False).alias("asks"), "*")
-        there = _blocks(with_cutoffs, QUERY_BLOCK).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), F.lit(True).alias("asks"), "*")
+        there = _blocks(with_cutoffs, query_block).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"), F.lit(True).alias("asks"), "*")
         return here.unionByName(there).repartition(parts, "part").sortWithinPartitions("part", "asks").mapInArrow(_met(answer), FOUND)
 
     def gather(block, ids, q, c, others, cutoff, known):

@@ -458,3 +458,20 @@ def test_mixture_of_more_than_three_languages(spark):
     found = {r.doc_id: r for r in langid.predict(rows, model).collect()}
     assert {n: sorted(r.mixture) for n, r in found.items()} == {n: [f"l{i}" for i in range(n)] for n in range(1, 6)}
     assert all(abs(r.score - 1 / n) < 0.02 for n, r in found.items())
+
+
+def test_top_k_of_wide_vectors_takes_small_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    vectors = rng.standard_normal((90, 300)).astype(np.float32)
+    rows = [(i, v.tolist(), 0, 0) for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int, part int").repartition(3)
+    for name, size in (("QUERY_BYTES", 3 * 2400), ("CANDIDATE_BYTES", 7 * 2400), ("PART_BYTES", 20 * 2400)):
+        monkeypatch.setattr(topk, name, size)
+    whole = np.floor(256 * vectors.astype(np.float64)).astype(np.int64)
+    want = set()
+    for q in range(0, 90, 10):
+        scores = whole @ whole[q]
+        best = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:4]
+        want |= {(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)}
+    got = topk.search(table, table.where("vec_id % 10 = 0"), k=4).collect()
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == want
