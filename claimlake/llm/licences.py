@@ -7,6 +7,7 @@ space) that a lexicon knows becomes its identifier; what a longer known sentence
 an ordered sequence of identifiers; it matches where its identifiers follow each other among the known sentences of a text. Rules
 are tried in their order, and a place that a rule has matched is not matched again by a later one.
 
+An SPDX expression is read as one line for each licence that it joins. Texts of any length are read whole; a place of a text is compared with as many words as the longest known sentence has.
 Null and empty texts have no sentence and no row in the result; neither have texts without a matched rule. Repeated rows are reported
 once; different texts of the same id are read as one, place by place. Extra columns are ignored. An empty table, lexicon or rule set gives an empty table. The lexicon and
 rules are parameters; beyond MOST_SENTENCES sentences the lexicon is joined by a shuffle instead of a broadcast.
@@ -72,6 +73,37 @@ SENTENCES = (
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("gpl3-short", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl-later", "You can redistribute it and/or modify it under the terms of the GNU General Public License."),
+    ("gpl-title", "GNU GENERAL PUBLIC LICENSE"),
+    ("lgpl-title", "GNU LESSER GENERAL PUBLIC LICENSE"),
+    ("lgpl-title", "GNU LIBRARY GENERAL PUBLIC LICENSE"),
+    ("agpl-title", "GNU AFFERO GENERAL PUBLIC LICENSE"),
+    ("gnu-2-date", "Version 2, June 1991"),
+    ("gnu-21-date", "Version 2.1, February 1999"),
+    ("gnu-3-date", "Version 3, 29 June 2007"),
+    ("agpl-3-date", "Version 3, 19 November 2007"),
+    ("gnu-verbatim", "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."),
+    ("gpl2-preamble", "The licenses for most software are designed to take away your freedom to share and change it."),
+    ("gpl3-preamble", "The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+    ("agpl3-preamble", "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed to ensure cooperation with the community in the case of network server software."),
+    ("lgpl3-body", "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License, supplemented by the additional permissions listed below."),
+    ("apache-terms", "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION"),
+    ("apache-means", '"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document.'),
+    ("mpl2-title", "Mozilla Public License Version 2.0"),
+    ("mpl2-title", "Mozilla Public License, version 2.0"),
+    ("mpl2-contributor", "means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software."),
+    ("mpl2-contributor", '"Contributor" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software.'),
+    ("mpl2-contributor", '1.1. "Contributor" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software.'),
+    ("mpl2-covered", '"Covered Software" means Source Code Form to which the initial Contributor has attached the notice in Exhibit A, the Executable Form of such Source Code Form, and Modifications of such Source Code Form, in each case including portions thereof.'),
+    ("epl2-title", "Eclipse Public License - v 2.0"),
+    ("epl1-title", "Eclipse Public License - v 1.0"),
+    ("cc0-title", "CC0 1.0 Universal"),
+    ("cc0-body", "The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights (defined below) upon the creator and subsequent owner(s) (each and all, an \"owner\") of an original work of authorship and/or a database (each, a \"Work\")."),
+    ("zlib-misrepresent", "The origin of this software must not be misrepresented; you must not claim that you wrote the original software."),
+    ("bsd-style", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("bsd-style", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file in the root of the source tree."),
+    ("mit-style", "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file."),
+    ("mit-style", "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file or at https://opensource.org/licenses/MIT."),
+    ("apache-style", "Use of this source code is governed by an Apache 2.0 license that can be found in the LICENSE file."),
 )
 #: The notices of the GNU licences: the work is called program, library or by its own name with "is free software" before this.
 _GNU = (("GPL", "GNU General Public License"), ("LGPL", "GNU Lesser General Public License"), ("LGPL", "GNU Library General Public License"), ("AGPL", "GNU Affero General Public License"))
@@ -112,6 +144,17 @@ _NAMES |= {
 _OPENINGS = tuple(f"{who}{how} under {the}" for who in ("", "This work is ", "This project is ", "This software is ", "This file is ", "This program is ", "This code is ", "This package is ") for how in ("licensed", "released", "distributed", "available") for the in ("", "the ", "a ", "the terms of the "))
 SENTENCES += tuple((f"named-{licence}", f"{opening}{name}") for licence, names in _NAMES.items() for name in names for opening in _OPENINGS)
 SENTENCES += tuple((f"spdx-{licence}{more}", f"SPDX-License-Identifier: {licence}{more}") for licence in _NAMES for more in ("", "-only", "-or-later") if not more or "GPL" in licence)
+#: Notices that point to a file, and those of two licences of which one may choose.
+_FOUND_IN = tuple(f"This source code is licensed under the {{}} {tail}" for tail in ("found in the LICENSE file in the root directory of this source tree.", "found in the LICENSE file.", "that can be found in the LICENSE file."))
+SENTENCES += tuple((f"named-{licence}", form.format(name if name.endswith("icense") else f"{name} license")) for licence, names in _NAMES.items() for name in names for form in _FOUND_IN)
+_EITHER = ("Licensed under either of {0} or {1}", "Licensed under either of the {0} or the {1}", "Licensed under either of {0} or {1} at your option", "Licensed under the {0} or the {1}", "Dual-licensed under {0} and {1}", "Dual licensed under the {0} or the {1}")
+_CHOICES = tuple((a, b) for one in _NAMES["Apache-2.0"] for two in ("MIT License", "MIT") for a, b in ((one, two), (two, one)))
+SENTENCES += tuple(("either-apache-mit", form.format(a, b)) for form in _EITHER for a, b in _CHOICES)
+#: First sentences of the bodies of Creative Commons licences.
+SENTENCES += tuple(
+    (f"cc-body-{short}", f'By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons {title} 4.0 International Public License ("Public License").') for short, title in _CREATIVE
+)
+SENTENCES += tuple((f"cc-body-{short}", f"Creative Commons {title} 4.0 International Public License") for short, title in _CREATIVE)
 RULES = (
     ("Apache-2.0-notice", ("apache-short", "apache-comply")),
     ("Apache-2.0-notice", ("apache-notice",)),
@@ -143,7 +186,31 @@ RULES = (
     ("CC-BY-NC-4.0", ("cc-by-nc",)),
     ("GPL-3.0", ("gpl3-short",)),
     ("GPL", ("gpl-later",)),
+    ("GPL-2.0", ("gpl-title", "gnu-2-date")),
+    ("GPL-3.0", ("gpl-title", "gnu-3-date")),
+    ("LGPL-2.0", ("lgpl-title", "gnu-2-date")),
+    ("LGPL-2.1", ("lgpl-title", "gnu-21-date")),
+    ("LGPL-3.0", ("lgpl-title", "gnu-3-date")),
+    ("AGPL-3.0", ("agpl-title", "agpl-3-date")),
+    ("GPL-2.0", ("gpl2-preamble",)),
+    ("GPL-3.0", ("gpl3-preamble",)),
+    ("AGPL-3.0", ("agpl3-preamble",)),
+    ("LGPL-3.0", ("lgpl3-body",)),
+    ("Apache-2.0", ("apache-terms", "apache-means")),
+    ("MPL-2.0", ("mpl2-title",)),
+    ("MPL-2.0", ("mpl2-contributor",)),
+    ("MPL-2.0", ("mpl2-covered",)),
+    ("EPL-2.0", ("epl2-title",)),
+    ("EPL-1.0", ("epl1-title",)),
+    ("CC0-1.0", ("cc0-title",)),
+    ("CC0-1.0", ("cc0-body",)),
+    ("Zlib", ("zlib-misrepresent",)),
+    ("BSD", ("bsd-style",)),
+    ("MIT", ("mit-style",)),
+    ("Apache-2.0", ("apache-style",)),
+    ("Apache-2.0-OR-MIT", ("either-apache-mit",)),
 )
+RULES += tuple((f"CC-{short}-4.0", (f"cc-body-{short}",)) for short, _ in _CREATIVE)
 RULES += tuple((f"{short}-{version if '.' in version else version + '.0'}-{'or-later' if kind == 'later' else kind}", (f"{short.lower()}-{version}-{kind}",)) for short, versions in _GNU_VERSIONS.items() for version in versions for kind in ("later", "only"))
 RULES += tuple((licence, (f"named-{licence}",)) for licence in _NAMES)
 RULES += tuple((x.removeprefix("spdx-"), (x,)) for x, _ in SENTENCES if x.startswith("spdx-"))
@@ -158,8 +225,16 @@ def _words(sentence: str) -> list[str]:
     return re.findall(r"[^\W_]+", sentence.lower())
 
 
+def _one_licence_a_line(text: Column) -> Column:
+    """The text with a line for each licence of an SPDX expression, whatever joins them."""
+    tag = "SPDX-License-Identifier:"
+    joined = rf"[ \t]+(?:OR|AND|WITH|or|and|with)[ \t]+(?<={tag}[^\n]{{1,200}})"
+    return F.when(F.contains(text, F.lit(tag)), F.regexp_replace(text, joined, f"\n{tag} ")).otherwise(text)
+
+
 def _fragments(text: Column) -> Column:
     """The normalised lines of a text; an empty one stands after each sentence and for each blank line."""
+    text = _one_licence_a_line(text)
     lines = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), r"[.!?][ \t\n]+", "\n\n")
     lines = F.regexp_replace(F.regexp_replace(lines, r"(?m)^[ \t]*(?:REM|dnl)[ \t]", ""), r":[ \t]+(?=\S)", ":\n")
     return F.split(F.regexp_replace(F.trim(F.regexp_replace(F.lower(lines), r"[^\p{L}\p{N}\n]+", " ")), r" ?\n ?", "\n"), "\n")
@@ -212,7 +287,9 @@ def recognise(docs: DataFrame, sentences: tuple[tuple[str, str], ...] = SENTENCE
     known = known.select(id_col, F.transform(_uncovered(F.col("found")), lambda x: x["sentence_id"]).alias("found"))
     rest = F.concat(F.lit("|"), F.array_join("found", "||"), F.lit("|"))
     kind = "struct<rest:string,matched:array<string>>"
-    in_order = docs.sparkSession.createDataFrame([([(name, "".join(f"|{x}|" for x in sequence)) for name, sequence in rules],)], "rules array<struct<name:string,needle:string>>")
+    ordered = F.array(*(F.struct(F.lit(name).alias("name"), F.lit(sequence[0]).alias("first"), F.lit("".join(f"|{x}|" for x in sequence)).alias("needle")) for name, sequence in rules if sequence))
+    # only rules whose first identifier the text has can match; they keep their order
+    tried = F.filter(ordered, lambda rule: F.array_contains("found", rule["first"])) if rules else F.array().cast("array<struct<name:string,first:string,needle:string>>")
 
     def step(state: Column, rule: Column) -> Column:
         hit = F.contains(state["rest"], rule["needle"])
@@ -220,5 +297,5 @@ def recognise(docs: DataFrame, sentences: tuple[tuple[str, str], ...] = SENTENCE
         return F.when(hit, F.struct(F.replace(state["rest"], rule["needle"], F.lit("#")).alias("rest"), named.alias("matched")).cast(kind)).otherwise(state)
 
     start = F.struct(rest.alias("rest"), F.array().cast("array<string>").alias("matched")).cast(kind)
-    out = known.crossJoin(F.broadcast(in_order)).select(id_col, F.array_join("found", " ").alias("sentence_ids"), F.aggregate("rules", start, step, lambda state: state["matched"]).alias("matched"))
+    out = known.select(id_col, F.array_join("found", " ").alias("sentence_ids"), F.aggregate(tried, start, step, lambda state: state["matched"]).alias("matched"))
     return out.where(F.size("matched") > 0).select(id_col, "sentence_ids", F.array_join("matched", " ").alias("licences"))

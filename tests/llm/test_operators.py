@@ -475,3 +475,24 @@ def test_top_k_of_wide_vectors_takes_small_blocks(spark, monkeypatch):
         want |= {(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)}
     got = topk.search(table, table.where("vec_id % 10 = 0"), k=4).collect()
     assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == want
+
+
+NOTICES = {
+    "GPL-3.0": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n",
+    "MIT": "/**\n * This source code is licensed under the MIT license found in the\n * LICENSE file in the root directory of this source tree.\n */\nfoo();",
+    "MPL-2.0": 'Mozilla Public License Version 2.0\n==================================\n\n1. Definitions\n--------------\n\n1.1. "Contributor"\n    means each individual or legal entity that creates, contributes to\n    the creation of, or owns Covered Software.\n',
+    "BSD": "// Copyright 2009 Some Authors. All rights reserved.\n// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.\n\npackage x",
+    "CC-BY-SA-4.0": 'By exercising the Licensed Rights (defined below), You accept and agree\nto be bound by the terms and conditions of this Creative Commons\nAttribution-ShareAlike 4.0 International Public License ("Public\nLicense"). To the extent this Public License may be interpreted as a contract, ...',
+    "MIT Apache-2.0": "# SPDX-License-Identifier: MIT OR Apache-2.0\nx = 1",
+    "Apache-2.0-OR-MIT": "Licensed under either of Apache License, Version 2.0 or MIT license at your option.",
+}
+
+
+def test_licence_bodies_and_expressions(spark):
+    rows = [(name, text) for name, text in NOTICES.items()] + [("GPL-2.0-only", "/* SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 */"), ("none", "the MIT of this source code is found in a BSD-style house. GNU General Public. either of MIT or x")]
+    found = {r.doc_id: set(r.licences.split()) for r in licences.recognise(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert found == {name: set(name.split()) for name, _ in rows if name != "none"}
+    long = "filler words without end " * 40_000 + ".\n" + NOTICES["MIT"]
+    assert licences.recognise(spark.createDataFrame([(1, long)], "doc_id int, text string")).first().licences == "MIT"
+    assert licences.recognise(spark.createDataFrame(rows, "doc_id string, text string"), rules=()).count() == 0
+    assert not [n for n in ("NestedLoop", "Cartesian") if n in licences.recognise(spark.createDataFrame(rows, "doc_id string, text string"))._jdf.queryExecution().executedPlan().toString()]
