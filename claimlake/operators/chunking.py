@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 MAX_CHARS, COMBINE_CHARS, NEVER = 16_000, 2_000, 1 << 60
 HEADING = r"^(#{1,6})[ \t]+(.+)$"
@@ -36,23 +37,40 @@ def md_sections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def _per_row(grouped: DataFrame, keys: list[str], fold, kind: str) -> DataFrame:
+    """(keys, out): what a fold makes of the column `rows` of each row, a list of dicts in order; one step after another, in time proportional to the list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = pa.array([fold(rows) for rows in batch.column("rows").to_pylist()], arrow)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), made], [*keys, "out"])
+
+    types = {f.name: f.dataType.simpleString() for f in grouped.schema.fields}
+    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), f"out {kind}"])
+    arrow = to_arrow_type(grouped.sparkSession.createDataFrame([], f"out {kind}").schema["out"].dataType)
+    return grouped.select(*keys, "rows").mapInArrow(run, schema)
+
+
 def pack_starts(parts: DataFrame, keys: list[str], part: str, most: int, close: int = NEVER) -> DataFrame:
     """(keys, starts): the parts that begin a chunk. Columns of parts: keys, part, size.
 
     A part over `most` is a chunk of its own; a part that would take the chunk over `most` begins the next; a part of
     `close` and more ends its chunk.
     """
-    state = "struct<starts:array<int>,total:bigint,open:boolean>"
 
-    def step(s, x):
-        over = x["size"] > most
-        fresh = over | ~s["open"] | (s["total"] + x["size"] > most)
-        total = F.when(over, F.lit(0).cast("long")).when(fresh, x["size"]).otherwise(s["total"] + x["size"])
-        return F.struct(F.when(fresh, F.array_append(s["starts"], x["part"])).otherwise(s["starts"]).alias("starts"), total.alias("total"), (~over & (x["size"] < close)).alias("open")).cast(state)
+    def fold(rows: list[dict]) -> list[int]:
+        starts, total, open_ = [], 0, False
+        for row in rows:
+            over = row["size"] > most
+            fresh = over or not open_ or total + row["size"] > most
+            if fresh:
+                starts.append(row["part"])
+            total = 0 if over else row["size"] if fresh else total + row["size"]
+            open_ = not over and row["size"] < close
+        return starts
 
-    none = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).cast("long").alias("total"), F.lit(False).alias("open")).cast(state)
     rows = F.array_sort(F.collect_list(F.struct(F.col(part).cast("int").alias("part"), F.col("size").cast("long").alias("size"))))
-    return parts.groupBy(*keys).agg(rows.alias("rows")).select(*keys, F.aggregate("rows", none, step)["starts"].alias("starts"))
+    return _per_row(parts.groupBy(*keys).agg(rows.alias("rows")), keys, fold, "array<int>").withColumnRenamed("out", "starts")
 
 
 def _dealt(parts: DataFrame, keys: list[str], part: str, most: int, close: int = NEVER, name: str = "chunk") -> DataFrame:
@@ -98,19 +116,17 @@ def chunk_pages(pages: DataFrame, most: int = MAX_CHARS) -> DataFrame:
 
 def chunk_transcript(segments: DataFrame, duration: float = 300, overlap: float = 60) -> DataFrame:
     """(doc_id, chunk_no, start, end, text): spans of time whose beginning repeats the end of the span before."""
-    state = "struct<chunks:array<struct<at:int,lo:double,hi:double>>,lo:double>"
 
-    def step(s, x):
-        lo = F.greatest(F.lit(0.0), x["start"] - overlap)
-        first = F.size(s["chunks"]) == 0
-        fresh = first | (x["start"] - s["lo"] > duration)
-        lo = F.when(first, x["start"]).otherwise(lo)
-        new = F.struct(x["seg_no"].alias("at"), lo.alias("lo"), x["start"].alias("hi")).cast("struct<at:int,lo:double,hi:double>")
-        return F.struct(F.when(fresh, F.array_append(s["chunks"], new)).otherwise(s["chunks"]).alias("chunks"), F.when(fresh, lo).otherwise(s["lo"]).alias("lo")).cast(state)
+    def fold(rows: list[dict]) -> list[dict]:
+        chunks, lo = [], 0.0
+        for row in rows:
+            if not chunks or row["start"] - lo > duration:
+                lo = max(0.0, row["start"] - overlap) if chunks else row["start"]
+                chunks.append({"at": row["seg_no"], "lo": lo, "hi": row["start"]})
+        return chunks
 
-    none = F.struct(F.array().cast("array<struct<at:int,lo:double,hi:double>>").alias("chunks"), F.lit(0.0).alias("lo")).cast(state)
     rows = F.array_sort(F.collect_list(F.struct(F.col("seg_no").cast("int").alias("seg_no"), F.col("start").cast("double").alias("start"))))
-    spans = segments.groupBy("doc_id").agg(rows.alias("rows")).select("doc_id", F.aggregate("rows", none, step)["chunks"].alias("chunks"))
+    spans = _per_row(segments.where("start is not null").groupBy("doc_id").agg(rows.alias("rows")), ["doc_id"], fold, "array<struct<at:int,lo:double,hi:double>>").withColumnRenamed("out", "chunks")
     placed = F.transform("chunks", lambda c, i: F.struct((i + 1).alias("chunk_no"), c["lo"].alias("lo"), c["hi"].alias("hi"), c["at"].alias("at"), F.get("chunks", i + 1)["at"].alias("stop")))
     own = lambda c: (F.col("seg_no") >= c["at"]) & (c["stop"].isNull() | (F.col("seg_no") < c["stop"]))
     again = lambda c: (F.col("start") >= c["lo"]) & (F.col("start") < c["hi"])
