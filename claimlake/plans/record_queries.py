@@ -7,7 +7,7 @@ from ..sources import records, sinks
 from ..sources.shared import scratch_path
 from .corpus_queries import _OBS, observations
 from .registry import query, table
-from .text_queries import AUDIT_SQL, EXTRACTED_SQL, VECTORS, segments, signatures, verdicts
+from .text_queries import AUDIT_SQL, EXTRACTED_SQL, SEGMENTED_SQL, VECTORS, segments, signatures, verdicts, windowed_sql
 
 
 @query(EXTRACTED_SQL + " select 'B-' || lang as bundle_id, id, condition, action, count(*) as n from sig group by all")
@@ -173,7 +173,17 @@ def condition_action_cosine(spark, folder):
     return similarity.cosine(rows, "id", "condition", "action").withColumn("similarity", F.round("similarity", 6))
 
 
-@query()
+@query(EXTRACTED_SQL.replace("with src", "with recursive src", 1) + r""", claims as (select doc_id || '-' || id as id, case lang when 'en' then 1 when 'fr' then 2 when 'de' then 3 else 4 end as drawer, condition || ' ' || action as text from sig),
+own as (select *, case when regexp_matches(text, '[\p{L}\p{N}_]') then min(id) over (partition by drawer, text) else id end as rep from claims), firsts as (select id, drawer, text from own where id = rep),
+tok as (select id, drawer, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) as token from firsts), tf as (select id, drawer, token, count(*) as n from tok group by all), norm as (select id, sum(n * n)::double as sq from tf group by id),
+dots as (select a.id as a, b.id as b, a.drawer as ad, b.drawer as bd, sum(a.n * b.n)::double as dot from tf a join tf b on a.token = b.token and a.id < b.id group by all),
+pairs as (select dots.*, dot / (sqrt(x.sq) * sqrt(y.sq)) as s from dots join norm x on x.id = a join norm y on y.id = b where dot / (sqrt(x.sq) * sqrt(y.sq)) >= 0.85),
+near as (select b as id, a as other from pairs where ad = bd qualify rank() over (partition by b order by s desc) = 1),
+reached as (select id, other from near union select reached.id, near.other from reached join near on near.id = reached.other),
+roots as (select id, min(other) as root from reached where other not in (select id from near) group by id),
+met as (select own.drawer, own.id, coalesce(root, rep) as root from own left join roots on roots.id = rep),
+counts as (select drawer, count(*) as claims, count(*) filter (where id = root) as clusters from met group by rollup (drawer))
+select drawer, claims, clusters, (select count(*) from pairs where case when counts.drawer is null then true else ad = counts.drawer and bd = counts.drawer end) as pairs from counts""")
 def compress_counts(spark, folder):
     """Signatures as claims, drawers by language, compressed."""
     rows = signatures(spark, folder)
@@ -183,7 +193,9 @@ def compress_counts(spark, folder):
     return compress.compress(claims, negatives)[1]
 
 
-@query()
+@query(f"""with all_ as (select conv_id as doc_id, turn as seg_no, turn * 30.0 as start, text from conversations), short as (select conv_id as doc_id from conversations group by 1 having count(*) >= 4 and avg(length(text)) filter (where turn < 50) < 600),
+seg as (select * from all_ where doc_id in (from short)), {windowed_sql((1, 2, 3), 10)}, rest as (select * from all_ where doc_id not in (from short)), {SEGMENTED_SQL.replace("from seg", "from rest")}
+select * from windowed union all select * from segmented""")
 def extract_by_choice(spark, folder):
     return extract.extract(segments(spark, folder), windowing={"least": 4, "length": 600}, sizes=(1, 2, 3), least=10)
 

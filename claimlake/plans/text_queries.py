@@ -138,7 +138,34 @@ def confidence_labels(spark, folder):
     return table(spark, folder, "documents").select("doc_id", rules.confidence(F.col("text"), ("the of", "que la")).alias("confidence"))
 
 
-@query()
+_SPACES = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
+_INFERRED = " or ".join(f"contains(low, '{m}')" for m in L.INFERRED_MARKERS)
+_SEGMENTS = "seg as (select conv_id as doc_id, turn as seg_no, turn * 30.0 as start, text from conversations)"
+
+
+def _found(of: str, keep: str) -> str:
+    """SQL of all matches in the texts of a table."""
+    return " union all ".join(f"select {keep}, {i} as pattern_no, unnest(regexp_extract_all(text, '{p}', 1)) as c, unnest(regexp_extract_all(text, '{p}', 2)) as a, generate_subscripts(regexp_extract_all(text, '{p}', 1), 1) as match_no from {of}" for i, p in enumerate(_Q))
+
+
+def _windows(sizes: tuple[int, ...]) -> str:
+    return " union all ".join(f"select * from (select doc_id, seg_no, start, {i} as size_no, string_agg(text, ' ') over w as text, count(*) over w as n from seg window w as (partition by doc_id order by seg_no rows between current row and {k - 1} following)) where n = {k}" for i, k in enumerate(sizes))
+
+
+def windowed_sql(sizes: tuple[int, ...], least: int) -> str:
+    return f"""win as ({_windows(sizes)}), wf as ({_found("win", "doc_id, seg_no, size_no, start, left(text, 200) as quote")}),
+wm as (select *, trim(c, ' ') as condition, trim(a, ' ') as action from wf), wk as (select *, left(trim(regexp_replace(lower(condition), '{WS}+', ' ', 'g'), ' '), 80) as key, row_number() over (order by size_no, seg_no, pattern_no, match_no) as place from wm where length(condition) >= {least} and length(action) >= {least}),
+wb as (select *, min(place) over (partition by doc_id, key) as slot, row_number() over (partition by doc_id, key order by length(action) desc, place) as r from wk),
+windowed as (select doc_id, 'S-' || lpad((row_number() over (partition by doc_id order by slot))::varchar, 3, '0') as id, 'IF ' || condition as condition, 'THEN ' || action as action,
+  (floor(start)::bigint // 60) || ':' || lpad((floor(start)::bigint % 60)::varchar, 2, '0') as source_timestamp, quote as source_quote, case when {_INFERRED.replace("low", "lower(condition || ' ' || action)")} then 'INFERRED' else 'EXPLICIT' end as confidence from wb where r = 1)"""
+
+
+SEGMENTED_SQL = f"""sf as ({_found("seg", "doc_id, seg_no, start, text")}),
+segmented as (select doc_id, 'S-' || lpad((row_number() over (partition by doc_id order by seg_no, pattern_no, match_no))::varchar, 3, '0') as id, 'IF ' || trim(c, ' ') as condition, 'THEN ' || trim(a, ' ') as action,
+  (floor(start)::bigint // 60) || ':' || lpad((floor(start)::bigint % 60)::varchar, 2, '0') as source_timestamp, left(text, 200) as source_quote, case when {_INFERRED.replace("low", "lower(text)")} then 'INFERRED' else 'EXPLICIT' end as confidence from sf)"""
+
+
+@query(f"with {_SEGMENTS}, {windowed_sql((1, 2, 3), 10)} select * from windowed")
 def windowed_extract(spark, folder):
     return extract.extract_windowed(segments(spark, folder), sizes=(1, 2, 3), least=10)
 
