@@ -25,9 +25,17 @@ def unicode_abuse(spark, folder):
     return table(spark, folder, "documents").select("doc_id", T.unicode_abuse(F.col("text")).alias("abuse"))
 
 
-@query()
+#: One UTF-8 character, each of its bytes as a space and two digits.
+_UTF8 = " [0-7].| (?:c[2-9a-f]|d.) [89ab].| e0 [ab]. [89ab].| (?:e[1-9abcef]) [89ab]. [89ab].| ed [89]. [89ab].| f0 [9ab]. [89ab]. [89ab].| f[123] [89ab]. [89ab]. [89ab].| f4 8. [89ab]. [89ab]."
+
+
+@query(rf"""with r as (select doc_id, generate_subscripts(x, 1) as n, unnest(x) as run from (select doc_id, regexp_extract_all(text, '[A-Za-z0-9+/]{{20,}}={{0,2}}') as x from documents)),
+b as (select doc_id, n, lower(hex(try(from_base64(rtrim(run, '=') || repeat('=', (4 - length(rtrim(run, '=')) % 4) % 4))))) as h from r where length(run) % 4 = 0),
+d as (select doc_id, n, replace(decode(unhex(replace(array_to_string(regexp_extract_all(regexp_replace(h, '(..)', ' \1', 'g'), '{_UTF8}'), ''), ' ', ''))), chr(65533), '') as text from b where h is not null)
+select doc_id, string_agg(text, ' | ' order by n) as segments from d where length(text) > 5 and not regexp_matches(text, '[\p{{Cc}}\p{{Cf}}\p{{Co}}\p{{Zl}}\p{{Zp}}]') group by doc_id""")
 def b64_segments(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", T.b64_segments(F.col("text")).alias("segments")).where(F.size("segments") > 0)
+    found = table(spark, folder, "documents").select("doc_id", T.b64_segments(F.col("text")).alias("segments")).where(F.size("segments") > 0)
+    return found.withColumn("segments", F.array_join("segments", " | "))
 
 
 @query(r"""with t as (select doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) as token from documents), f as (select doc_id, token, count(*) as tf from t group by all)
