@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lexicons import CATEGORIES
 from .ordinal import rolling_mean, running_total, with_ordinal, with_previous
 
 
-def categorize(title: Column, rules: tuple[tuple[str, tuple[str, ...]], ...], override: Column | None = None) -> Column:
+def categorize(title: Column, rules: tuple[tuple[str, tuple[str, ...]], ...] = CATEGORIES, override: Column | None = None) -> Column:
     """The first category one of whose words the title contains, unless overridden; UNKNOWN if none does."""
     low, out = F.lower(title), F.when(F.lit(False), "")
     for name, words in rules:

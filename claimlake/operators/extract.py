@@ -18,14 +18,15 @@ def _matches(text: str, patterns: tuple[str, ...], gates: tuple[str, ...]):
     """
     parts = []
     for i, (pattern, gate) in enumerate(zip(patterns, gates, strict=True)):
-        one, two = (F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(g)) for g in (1, 2))
-        both = F.when(F.col(text).rlike(gate), F.arrays_zip(one.alias("condition"), two.alias("action"))).otherwise(F.array().cast("array<struct<condition:string,action:string>>"))
-        parts.append(F.transform(both, _pair(i)))
+        # whole matches first, whose groups are then told from the matches alone: a lazy search of the text is dear
+        whole = F.when(F.col(text).rlike(gate), F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
+        parts.append(F.transform(whole, _groups(i, pattern)))
     return F.explode(F.concat(*parts))
 
 
-def _pair(number: int):
-    return lambda x, at: F.struct(F.lit(number).alias("pattern_no"), at.alias("match_no"), F.trim(x["condition"]).alias("condition"), F.trim(x["action"]).alias("action"))
+def _groups(number: int, pattern: str):
+    side = lambda match, group: F.trim(F.regexp_extract(match, pattern, group))
+    return lambda match, at: F.struct(F.lit(number).alias("pattern_no"), at.alias("match_no"), side(match, 1).alias("condition"), side(match, 2).alias("action"))
 
 
 def extract_segments(segments: DataFrame, patterns: tuple[str, ...] = L.IF_THEN_PATTERNS, gates: tuple[str, ...] = L.IF_THEN_GATES, negatives: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:

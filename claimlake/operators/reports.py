@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.text import tokens
 from .matching import cosines
 
+# Fixed values.
 STOPWORDS = ("if", "the", "a", "an", "and", "or", "to", "of", "in", "at", "is", "then")
+GATES = ("TEMPORAL", "STRUCTURAL", "RISK")
+# Fixed values end.
 
 
 def by_drawer(c: Column) -> Column:
@@ -258,7 +261,6 @@ def yield_summary(docs: DataFrame, signatures: DataFrame, by: str) -> DataFrame:
     return met.agg(F.count(F.lit(1)).alias("files"), F.count_if(n > 0).alias("with_signatures"), F.count_if(n == 0).alias("zero_yield"), F.sum(n).alias("extracted"), F.sum(n - bad).alias("validated"), F.sum(bad).alias("rejected"))
 
 
-GATES = ("TEMPORAL", "STRUCTURAL", "RISK")
 ATTEMPTS = 3
 
 
@@ -286,6 +288,7 @@ def render_evidence(bundles: DataFrame, phrases: tuple[str, ...] = ()) -> DataFr
     reasons = F.when(F.size(rejected) > 0, F.array_join(F.transform(rejected, lambda x: F.concat(F.lit("- "), x["id"], F.lit(": "), F.coalesce(x["reason"], F.lit("")))), "\n")).otherwise("- None")
     statement = F.when(F.size(rejected) > 0, F.format_string("%d signatures rejected", F.size(rejected))).otherwise(f"No falsification found after {ATTEMPTS} attempts")
     negatives = F.coalesce(F.nullif(F.array_join("negatives", ", "), F.lit("")), F.lit("none"))
+    # The lines of the document.
     text = F.concat(
         F.lit("# EVIDENCE BUNDLE: "), "bundle_id", F.lit("\n## Source: "), "source", F.lit(" @ "), "span",
         F.lit("\n\n### IF-THEN SIGNATURES\n| ID | Condition (IF) | Action (THEN) | Source Timestamp |\n|----|----|----|----|\n"), _table(rows(F.col("signatures"), "id", "condition", "action", "at"), "| — | No validated signatures | — | — |"),
@@ -295,6 +298,7 @@ def render_evidence(bundles: DataFrame, phrases: tuple[str, ...] = ()) -> DataFr
         F.lit("\n\n### GATES PASSED\n| Gate | Status | Notes |\n|----|----|----|\n"), _table(gates, "| — | PENDING | — |"),
         F.lit("\n\n### PROVENANCE\n- Auditor model: ["), F.coalesce("auditor", F.lit("pending")), F.lit("]\n- Negatives considered: ["), negatives, F.lit("]\n"),
     )
+    # Fixed values end.
     out = bundles.withColumns({"text": text, "novel": novel})
     return out.withColumn("bleed", narrative_violations(F.col("text"), phrases, True) if phrases else F.array().cast("array<string>"))
 

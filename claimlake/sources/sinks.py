@@ -11,6 +11,9 @@ from .records import EVENT, missing
 from .shared import delete, materialise, scratch
 
 
+POINTER = "version string, number long"
+
+
 def append_events(events: DataFrame, path: str) -> None:
     """Appends by UTC day of the timestamp; rows of a day are brought together first, so that a day gets few files."""
     dated = events.withColumn("session_date", F.substring("timestamp", 1, 10))
@@ -28,15 +31,16 @@ def write_bundles(bundles: DataFrame, path: str) -> None:
 
 
 def replace_table(rows: DataFrame, path: str) -> str:
-    """Writes a new version beside the old one, then points to it; readers see the old or the new rows, never a part."""
+    """Writes a new version beside the old ones, then points to it; readers see the old or the new rows, never a part. One writer at a time."""
     spark, version = rows.sparkSession, f"v-{uuid.uuid4().hex}"
     rows.write.parquet(f"{path}/{version}")
-    spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at")).coalesce(1).write.mode("append").parquet(f"{path}/pointer")
+    number = 0 if missing(spark, f"{path}/pointer") else spark.read.schema(POINTER).parquet(f"{path}/pointer").agg(F.max("number")).first()[0] + 1
+    spark.range(1).select(F.lit(version).alias("version"), F.lit(number).cast("long").alias("number")).coalesce(1).write.mode("append").parquet(f"{path}/pointer")
     return version
 
 
 def read_replaced(spark: SparkSession, path: str) -> DataFrame:
-    version = spark.read.parquet(f"{path}/pointer").agg(F.max_by("version", "at")).first()[0]
+    version = spark.read.schema(POINTER).parquet(f"{path}/pointer").agg(F.max_by("version", F.struct("number", "version"))).first()[0]
     return spark.read.parquet(f"{path}/{version}")
 
 
