@@ -165,13 +165,13 @@ def _rarity(counts: DataFrame) -> np.ndarray:
     return out
 
 
-def _salts(counts: np.ndarray, usual: float) -> np.ndarray:
+def _salts(counts: np.ndarray, usual: float, hot: int) -> np.ndarray:
     """Over how many tasks the postings of shingles are dealt, by their counters; 0 for those that the usual counter may hide."""
     above = counts.astype(np.float64) - usual
-    return np.where(above > HOT + 8 * np.sqrt(usual), above // HOT + 1, 0).astype(np.int32)
+    return np.where(above > hot + 8 * np.sqrt(usual), above // hot + 1, 0).astype(np.int32)
 
 
-def _postings(sent, usual: float, words: int, similarity: tuple[int, int]):
+def _postings(sent, usual: float, words: int, similarity: tuple[int, int], hot: int):
     """(token, fp, n, after, salts) of the rarest shingles of each class that a partition holds.
 
     after counts the shingles of the set from this one on, in the order of rarity.
@@ -189,7 +189,7 @@ def _postings(sent, usual: float, words: int, similarity: tuple[int, int]):
                     keep = len(own) - required(len(own), similarity) + 1
                     counts = rarity[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]
                     order = np.lexsort((own, counts))[:keep]
-                    row = (own[order].view(np.int64), np.full(keep, both[0], np.int64), np.full(keep, len(own), np.int32), np.arange(len(own), len(own) - keep, -1, dtype=np.int32), _salts(counts[order], usual))
+                    row = (own[order].view(np.int64), np.full(keep, both[0], np.int64), np.full(keep, len(own), np.int32), np.arange(len(own), len(own) - keep, -1, dtype=np.int32), _salts(counts[order], usual, hot))
                     for column, values in zip(columns, row, strict=True):
                         column.append(values)
                 if columns[0]:
@@ -400,7 +400,7 @@ def _placed(active: DataFrame) -> tuple[DataFrame, int]:
 def links(docs: DataFrame, classes: DataFrame, rarity: np.ndarray, words: int, similarity: tuple[int, int]) -> DataFrame:
     """(u, v): links between classes, enough of them to connect all that all links connect."""
     sent = docs.sparkSession.sparkContext.broadcast(rarity)
-    postings = docs.select("text").mapInArrow(_postings(sent, float(np.median(rarity)), words, similarity), "token bigint, fp bigint, n int, after int, salts int")
+    postings = docs.select("text").mapInArrow(_postings(sent, float(np.median(rarity)), words, similarity, HOT), "token bigint, fp bigint, n int, after int, salts int")
     part = F.when(F.col("salts") > 0, F.pmod("fp", F.col("salts").cast("long"))).otherwise(0)
     shared = materialise(postings.repartition("token", part).sortWithinPartitions("token", "n", "fp").mapInArrow(_shared(similarity), "token bigint, fp bigint, n int, after int, salts int"), "shared")
     active = materialise(classes.join(shared.select("fp").distinct(), "fp").select("fp", "rep", "n", "low"), "active")

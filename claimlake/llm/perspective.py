@@ -8,7 +8,7 @@ Turns are ordered by turn, then speaker, then text. A null speaker is the partic
 mask span is empty then. Repeated turns are rendered as often as they occur. A conversation with none but context roles has no
 participant and no row. Markers that stand in a text or name are escaped, so that no turn can forge another: `<|` gets a backslash between its characters,
 and one with backslashes there one more, which unescape() takes back; names have a space for line ends and `|\>` for `|>`. Turns meet the participants of their
-conversation in a join that splits large conversations; a perspective is one row, so that its turns come to one task, sorted, and places in it are running sums.
+conversation in a join whose large conversations are split by adaptive execution, as it is set by default; a perspective is one row, so that its turns come to one task, sorted, and places in it are running sums.
 Extra columns are ignored, whatever their names. An empty table gives an empty table.
 """
 

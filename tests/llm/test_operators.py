@@ -113,8 +113,9 @@ def test_deduplicate_keeps_one_row_of_each_text(spark):
     assert sorted((r.doc_id or 0, r.text or "", r.fp) for r in kept) == [(0, "", 7), (0, "y", 6), (1, "a  b", 4), (3, "x", 1), (8, " ", 9)]
 
 
-@pytest.mark.parametrize("shard, probes, shares", [(jaccard_join.SHARD_SHINGLES, jaccard_join.PROBES, shared.LARGE_SHARES), (128, 1, 8)])
-def test_jaccard_join_against_all_pairs(spark, empty, monkeypatch, shard, probes, shares):
+@pytest.mark.parametrize("shard, probes, shares, hot", [(jaccard_join.SHARD_SHINGLES, jaccard_join.PROBES, shared.LARGE_SHARES, jaccard_join.HOT), (128, 1, 8, jaccard_join.HOT), (128, 2, 8, 1)])
+def test_jaccard_join_against_all_pairs(spark, empty, monkeypatch, shard, probes, shares, hot):
+    monkeypatch.setattr(jaccard_join, "HOT", hot)  # with 1, all repeated shingles are split
     monkeypatch.setattr(jaccard_join, "SHARD_SHINGLES", shard)
     monkeypatch.setattr(jaccard_join, "PROBES", probes)
     monkeypatch.setattr(shared, "LARGE_SHARES", shares)
@@ -128,7 +129,8 @@ def test_jaccard_join_against_all_pairs(spark, empty, monkeypatch, shard, probes
                 own[rng.integers(len(own))] = f"w{rng.integers(60)}"
             texts.append(" ".join(own).upper() if rng.random() < 0.5 else " ".join(own))
     texts += [None, "", "  ", texts[0], "one two"]
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    texts[5] = " ".join(f"long{i % 997}" for i in range(30_000)) + " " + (texts[5] or "")
+    rows = spark.createDataFrame([(i, t, 1, 2, "x") for i, t in enumerate(texts)], "doc_id long, text string, fp int, n int, component_id string")
     found = {r.doc_id: r for r in jaccard_join.join(rows).collect()}
     sets = []
     for text in texts:
