@@ -49,6 +49,8 @@ HOT = 256
 #: Weight of DivideSkip's estimate of how many long lists to pass over.
 SKIP_WEIGHT = 0.0085
 POSTING = ["token", "fp", "n", "after", "salts"]
+#: Entries of long lists that are probed at once.
+AT_ONCE = 1 << 20
 #: Classes of a token that are compared one by one.
 NEAR = 24
 
@@ -343,18 +345,20 @@ class Shard:
         order = np.argsort(-times, kind="stable")
         found, times = found[order], times[order]
         mine, theirs = int(self._roots(np.array([self._slot(probe)]))[0]), self._roots(found)
-        left = theirs != mine
+        left, size, most = theirs != mine, 1, max(1, AT_ONCE // max(1, len(long)))
         while left.any():
-            i = int(np.argmax(left))
-            left[i] = False
-            key = long * len(self.ids) + found[i]
+            # probes of the long lists for some candidates at once, for more each time: a first link often settles all of its group
+            part = np.flatnonzero(left)[:size]
+            key = long[:, None] * len(self.ids) + found[part]
             place = np.minimum(np.searchsorted(self.entries, key), len(self.entries) - 1)
-            overlap = int(times[i] + (self.entries[place] == key).sum())
-            if high * overlap >= low * (n + int(self.sizes[found[i]]) - overlap):
-                root = int(theirs[i])
-                self.up[max(mine, root)] = mine = min(mine, root)
-                left &= theirs != root
-                yield probe, tuple(self.ids[found[i]].tolist())
+            overlap = times[part] + (self.entries[place] == key).sum(axis=0)
+            for i in part[high * overlap >= low * (n + self.sizes[found[part]] - overlap)].tolist():
+                if left[i]:
+                    root = int(theirs[i])
+                    self.up[max(mine, root)] = mine = min(mine, root)
+                    left &= theirs != root
+                    yield probe, tuple(self.ids[found[i]].tolist())
+            left[part], size = False, min(8 * size, most)
 
 
 CLASS = "struct<one:bigint,two:bigint>"
