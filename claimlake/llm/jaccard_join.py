@@ -395,10 +395,11 @@ def _placed(active: DataFrame) -> tuple[DataFrame, int]:
     """Classes (fp, rep, n, low) with the shard of their smallest hash, or one of several where that has too many; and the number of shards."""
     total = active.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_SHINGLES))
-    large = active.groupBy("low").agg(F.sum("n").alias("size")).where(F.col("size") > SHARD_SHINGLES)
-    split = F.xxhash64("low", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / SHARD_SHINGLES)))
-    shard = F.when(F.col("size").isNull(), F.pmod(F.xxhash64("low"), F.lit(shards))).otherwise(split)
-    return materialise(active.join(large, "low", "left").select("fp", "rep", shard.alias("shard")), "placed"), shards
+    large = active.groupBy("low").agg(F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("size")).where(F.col("shingles") > SHARD_SHINGLES)
+    split = F.xxhash64("low", F.pmod(F.xxhash64("rep"), F.ceil(F.col("shingles") / SHARD_SHINGLES)))
+    shard = F.when(F.col("shingles").isNull(), F.pmod(F.xxhash64("low"), F.lit(shards))).otherwise(split)
+    met = left_join_large(active, large, ["low"], active.count())
+    return materialise(met.select("fp", "rep", shard.alias("shard")), "placed"), shards
 
 
 def links(docs: DataFrame, classes: DataFrame, rarity: np.ndarray, words: int, similarity: tuple[int, int]) -> DataFrame:
