@@ -62,6 +62,23 @@ def test_pairs_that_meet_in_blocks(spark, monkeypatch):
     assert set(found) == set(want) and (70, 71) in found and all(abs(found[k] - v) < 1e-9 for k, v in want.items())
 
 
+def test_pairs_leave_their_blocks_alone(spark, monkeypatch):
+    """Candidates and vectors aren't shuffled: pairs of long texts of one vocabulary grow with the square of the corpus."""
+    monkeypatch.setattr(similarity, "BLOCK", 3)
+    monkeypatch.setattr(similarity, "ENTRIES", 8)
+    monkeypatch.setattr(similarity, "MOST_PAIRS", 1)
+    rows = texts()
+    docs = spark.createDataFrame(rows, "id long, grp int, text string").repartition(3)
+    found = similarity.similar_pairs(docs, 0.85)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {(r.a, r.b): r.similarity for r in found.collect()}
+    want = {(a[0], b[0]): cosine(vector(a[2]), vector(b[2])) for a in rows for b in rows if a[0] < b[0] and cosine(vector(a[2]), vector(b[2])) >= 0.85}
+    assert set(got) == set(want) and all(abs(got[k] - v) < 1e-9 for k, v in want.items())
+    most = {b: max(v for (_, c), v in want.items() if c == b) for _, b in want}
+    some = {(r.a, r.b) for r in similarity.similar_pairs(docs, 0.85, best=True).collect()}
+    assert {k for k, v in want.items() if v == most[k[1]]} <= some <= set(want)
+
+
 def test_clusters_of_long_chains(spark):
     docs = spark.range(60)
     chain = [(i - 1, i, 0.9) for i in range(1, 40)] + [(39, 45, 0.8), (40, 45, 0.8), (41, 45, 0.7), (45, 46, 0.9)]
