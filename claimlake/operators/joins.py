@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -19,24 +19,31 @@ def lookup(table: DataFrame, most: int = MOST_LEXICON_ROWS) -> DataFrame:
     return table if table.limit(most + 1).count() > most else F.broadcast(table)
 
 
-def pattern_match(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, distinct: bool = True) -> DataFrame:
-    """(id, pattern_id): lower-case patterns contained in the raw or the preprocessed text; distinct needs state on a stream."""
-    rows = docs.select(id_col, F.lower(text_col).alias("raw"), F.lower(T.preprocess(F.col(text_col))).alias("clean"))
-    found = found_in(rows, ["raw", "clean"], vectors.select(F.col("id").alias("name"), F.lower("pattern").alias("needle")), most_in_place=MOST_NEEDLES)
+def _forms(text_col: str, preprocessed: bool) -> dict[str, Column]:
+    """The lower-case forms of a text in which patterns are looked for."""
+    return {"raw": F.lower(text_col)} | ({"clean": F.lower(T.preprocess(F.col(text_col)))} if preprocessed else {})
+
+
+def pattern_match(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, distinct: bool = True, preprocessed: bool = True) -> DataFrame:
+    """(id, pattern_id): lower-case patterns contained in the raw or, if wanted, the preprocessed text; distinct needs state on a stream."""
+    forms = _forms(text_col, preprocessed)
+    rows = docs.select(id_col, *(c.alias(n) for n, c in forms.items()))
+    found = found_in(rows, [*forms], vectors.select(F.col("id").alias("name"), F.lower("pattern").alias("needle")), most_in_place=MOST_NEEDLES)
     found = found.select(id_col, F.explode(F.array_distinct("names")).alias("pattern_id"))
     return found.distinct() if distinct else found
 
 
-def screen(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, mode: str = "halt", semantic: DataFrame | None = None, block_above: float = 0.92, keep: list[str] | None = None) -> DataFrame:
-    """Every document with its matches, whether it is clean, and whether it is blocked in the mode given.
+def screen(docs: DataFrame, vectors: DataFrame, id_col: str, text_col: str, mode: str = "halt", semantic: DataFrame | None = None, block_above: float = 0.92, keep: list[str] | None = None, preprocessed: bool = True) -> DataFrame:
+    """Every document with its matches in the raw or, if wanted, the preprocessed text, whether it is clean, and whether it is blocked in the mode given.
 
     semantic holds (id, pattern_id, similarity) of reports.semantic_match; each is a flag. In mode "halt" any match or flag
     blocks, in any other mode only a similarity above the bound. Columns in `keep` go along.
     """
     zero = F.lit(0).cast("long")
     kept = keep or []
-    rows = docs.select(id_col, *kept, T.unicode_abuse(F.col(text_col)).alias("warned"), F.lower(text_col).alias("raw"), F.lower(T.preprocess(F.col(text_col))).alias("clean"))
-    found = found_in(rows, ["raw", "clean"], vectors.select(F.col("id").alias("name"), F.lower("pattern").alias("needle")), most_in_place=MOST_NEEDLES)
+    forms = _forms(text_col, preprocessed)
+    rows = docs.select(id_col, *kept, T.unicode_abuse(F.col(text_col)).alias("warned"), *(c.alias(n) for n, c in forms.items()))
+    found = found_in(rows, [*forms], vectors.select(F.col("id").alias("name"), F.lower("pattern").alias("needle")), most_in_place=MOST_NEEDLES)
     names = F.array_distinct("names")  # no row leaves its partition
     out = found.select(id_col, *kept, "warned", F.size(names).cast("long").alias("matches"), F.array_min(names).alias("first_pattern"))
     if semantic is None:
