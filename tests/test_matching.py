@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,3 +77,11 @@ def test_lookup_beyond_the_broadcast_bound(spark):
     assert [r.cost_usd for r in joins.call_cost(usage, prices).collect()] == [1.0]
     routes = prices.select(F.lit("default").alias("tier"), F.col("model").alias("role"), F.lit("m").alias("model"))
     assert joins.route_models(spark.createDataFrame([("gold", "7")], "tier string, role string"), routes).first().model == "m"
+
+
+def test_batches_in_slices_of_few_words():
+    lists = [["a"] * n for n in (3, 0, 4, 9, 1, 1)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(lists, pa.list_(pa.string()))], ["id", "words"])
+    slices = [s.to_pydict() for s in matching.few_words(iter([batch, batch.slice(0, 0)]), 1, 7)]
+    assert [s["id"] for s in slices] == [[0, 1, 2], [3], [4, 5, 6]]
+    assert [w for s in slices for w in s["words"]] == lists
