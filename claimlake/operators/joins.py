@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .matching import first_overlaps, found_in
+from .matching import best_kinds, first_overlaps, found_in
 
 #: Rows that a broadcast table may have.
 MOST_LEXICON_ROWS = 100_000
@@ -87,34 +87,26 @@ def match_concepts(claims: DataFrame, concepts: DataFrame, top: int = 3, least:
 
     A claim that names a known concept matches it alone, with a null score. Otherwise a concept gets a point for each term that the text
     contains, and two if the drawers of claim and concept contain one another, in either case; the first of equals by ord rank.
-    Concepts with the same terms and drawer always score alike, so they are met as one kind, of which the first `top` can rank; these are ranked before they meet in a row.
+    Concepts with the same terms and drawer always score alike, so they are met as one kind, of which the first `top` can rank; kinds are scored where the text was read, and a claim leaves its task with its best alone.
     Any number of concepts, terms and drawers may be given; up to `most` terms are looked for in place. Claims without a column drawer or concept_id have none.
     """
     claims = claims.withColumns({c: F.lit(None).cast(concepts.schema[of].dataType) for c, of in (("drawer", "drawer_name"), ("concept_id", "concept_id")) if c not in claims.columns})
-    named = claims.join(concepts.select("concept_id").distinct(), "concept_id").select("claim_id", "concept_id", F.lit(None).cast("long").alias("score"), F.lit(1).alias("rank"))
-    claims = claims.join(named.select("claim_id"), "claim_id", "left_anti")
+    named = claims.select("claim_id", "concept_id").join(concepts.select("concept_id").distinct(), "concept_id").select("claim_id", "concept_id", F.lit(None).cast("long").alias("score"), F.lit(1).alias("rank"))
     low = concepts.select("concept_id", "ord", F.array_sort(F.transform("terms", lambda x: F.lower(x))).alias("terms"), F.coalesce(F.upper("drawer_name"), F.lit("")).alias("drawer_name"))
     within = F.row_number().over(Window.partitionBy("terms", "drawer_name").orderBy("ord", "concept_id"))
     leading = low.withColumn("n", within).where(F.col("n") <= top)
-    kinds = leading.groupBy("terms", "drawer_name").agg(F.array_sort(F.collect_list(F.struct("ord", "concept_id"))).alias("members")).withColumn("first", F.get("members", 0))
+    kinds = leading.groupBy("terms", "drawer_name").agg(F.array_sort(F.collect_list(F.struct("ord", "concept_id"))).alias("members"))
     # each distinct term is looked for once in a text, however many concepts have it
-    terms = kinds.select("first", F.explode("terms").alias("term"))
-    distinct = terms.select("term").distinct()
-    hits = found_in(claims.select("claim_id", F.lower("text").alias("low")), ["low"], distinct.select(F.col("term").alias("name"), F.col("term").alias("needle")), most_in_place=MOST_NEEDLES if most is None else most).select("claim_id", F.explode("names").alias("term"))
-    by_terms = hits.join(terms, "term").groupBy("claim_id", "first").agg(F.count(F.lit(1)).alias("points"))
+    distinct = kinds.select(F.explode("terms").alias("term")).distinct()
+    rows = claims.select("claim_id", F.upper("drawer").alias("drawer"), F.lower("text").alias("low"))
+    hits = found_in(rows, ["low"], distinct.select(F.col("term").alias("name"), F.col("term").alias("needle")), "terms", MOST_NEEDLES if most is None else most).select("claim_id", "drawer", "terms")
     # drawers meet as distinct names
-    drawers = claims.select("claim_id", F.upper("drawer").alias("drawer")).where("drawer <> ''")
-    alike = _alike(drawers.select("drawer").distinct(), kinds.select("drawer_name").where("drawer_name <> ''").distinct())
-    bonus = drawers.join(alike, "drawer").select("claim_id", "drawer_name", F.lit(2).alias("bonus"))
-    scored = by_terms.join(kinds.select("first", "drawer_name", "members"), "first").join(bonus, ["claim_id", "drawer_name"], "left")
-    scored = scored.select("claim_id", (F.col("points") + F.coalesce("bonus", F.lit(0))).alias("score"), F.inline("members"))
-    of_drawer = leading.withColumn("n", F.row_number().over(Window.partitionBy("drawer_name").orderBy("ord"))).where(F.col("n") <= top)
-    if least <= 2:  # the drawer alone is enough, for the first of its concepts
-        scored = scored.unionByName(bonus.join(of_drawer, "drawer_name").select("claim_id", F.col("bonus").cast("long").alias("score"), "ord", "concept_id"))
-    best = scored.groupBy("claim_id", "ord", "concept_id").agg(F.max("score").alias("score")).where(F.col("score") >= least)
+    alike = _alike(claims.select(F.upper("drawer").alias("drawer")).where("drawer <> ''").distinct(), kinds.select("drawer_name").where("drawer_name <> ''").distinct())
+    own = hits.join(lookup(alike.groupBy("drawer").agg(F.collect_list("drawer_name").alias("alike"))), "drawer", "left").select("claim_id", "terms", "alike")
+    own = own.join(named.select("claim_id"), "claim_id", "left_anti").where((F.size("terms") > 0) | F.col("alike").isNotNull())
     by = Window.partitionBy("claim_id").orderBy(F.desc("score"), "ord")
-    ranked = best.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top)
-    return ranked.select("claim_id", "concept_id", F.col("score").cast("long").alias("score"), "rank").unionByName(named)
+    ranked = best_kinds(own, kinds, top, least).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top)
+    return ranked.select("claim_id", "concept_id", "score", "rank").unionByName(named)
 
 
 def find_claims(specs: DataFrame, claims: DataFrame) -> DataFrame:

@@ -168,3 +168,19 @@ def test_concepts_beyond_the_broadcast_bound(spark):
     assert found == expected
     many = spark.range(joins.MOST_LEXICON_ROWS + 1).selectExpr("id as concept_id", "id as ord", "array('t1', 't2') as terms", "'x' as drawer_name")
     assert sorted(r.concept_id for r in joins.match_concepts(claims.where("claim_id = 1").drop("drawer"), many).collect()) == [0, 1, 2]
+
+
+def test_concepts_are_scored_in_the_tasks_of_the_texts(spark):
+    """A claim meets no row for each concept that it shares a term with: what is shuffled for it are its best."""
+    many = spark.range(300).select(F.col("id").alias("concept_id"), F.col("id").alias("ord"), F.array(F.lit("x"), F.concat(F.lit("t"), "id")).alias("terms"), F.concat(F.lit("d"), "id").alias("drawer_name"))
+    claims = spark.range(1000, 1040).select(F.col("id").alias("claim_id"), F.lit("x t7 t200").alias("text"), F.lit("d20").alias("drawer"))
+    found = joins.match_concepts(claims, many, most=10)
+    got = {(r.claim_id, r["rank"]): (r.concept_id, r.score) for r in found.collect()}
+    assert got == {(c, k + 1): x for c in range(1000, 1040) for k, x in enumerate(sorted(expected().items(), key=lambda x: (-x[1], x[0]))[:3])}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "points" not in plan and "bonus" not in plan
+
+
+def expected() -> dict[int, int]:
+    text, drawer = "x t7 t200", "D20"
+    return {i: sum(t in text for t in ("x", f"t{i}")) + 2 * (f"D{i}" in drawer or drawer in f"D{i}") for i in range(300)}
