@@ -100,8 +100,11 @@ def from_claims(cells: DataFrame, matches: DataFrame) -> DataFrame:
     """Cells (concept_id, source, status, signature_ids, bundles, documents) after the claims that were matched to their concepts.
 
     matches: (concept_id, source, ord, signature_id, bundle, document). A cell with a match is FOUND; each new name is appended to its
-    list once, in order. Matches without a cell are ignored. Names are made distinct before they meet in a cell.
+    list once, in order. Matches without a cell are ignored, before any list is made. Names are made distinct before they meet in a cell.
     """
+    from .joins import lookup
+
+    matches = matches.join(lookup(cells.select("concept_id", "source").distinct()), ["concept_id", "source"], "left_semi")
     lists = {"signature_ids": "signature_id", "bundles": "bundle", "documents": "document"}
     names = F.array(*(F.struct(F.lit(to).alias("list"), F.col(c).cast("string").alias("name")) for to, c in lists.items()))
     each = matches.select("concept_id", "source", "ord", F.inline(names)).where("name <> ''").groupBy("concept_id", "source", "list", "name").agg(F.min("ord").alias("ord"))
