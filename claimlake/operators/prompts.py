@@ -122,11 +122,11 @@ def ask(prompts: DataFrame, responder: Callable[[list[str]], list[str | None]],
     """Answers (prompt_hash, response, error) of all prompts (prompt), by a user's function from a list of prompts to one of answers.
 
     Each distinct prompt is asked once: answers are appended to the table at `answers`, below which earlier ones aren't asked for again, neither by a later run nor after a failure. Prompts
-    go in waves of about `wave`, each written when it ends, and within one in tasks of about `batch`, so that a lost executor costs a batch for each of its cores. An answer that failed has an
+    go in waves of about `wave`, each written when it ends, and within one in tasks of some batches, four for each core at most, so that a lost executor costs a task for each of its cores. An answer that failed has an
     error, and is asked for again by the next run.
     """
     from ..sources.records import missing
-    from ..sources.shared import materialise, scratch
+    from ..sources.shared import materialise, scratch, scratch_path
 
     spark = prompts.sparkSession
 
@@ -137,9 +137,15 @@ def ask(prompts: DataFrame, responder: Callable[[list[str]], list[str | None]],
         hashed = prompts.where("prompt is not null").select(F.sha2("prompt", 256).alias("prompt_hash"), "prompt").dropDuplicates(["prompt_hash"])
         todo = materialise(hashed.join(recorded().where("response is not null").select("prompt_hash"), "prompt_hash", "left_anti"), "prompts")
         waves = -(-todo.count() // wave)
+        tasks = 4 * spark.sparkContext.defaultParallelism  # a task for each batch costs more than its answers
+        # a folder for each wave, so that none reads the prompts of the others
+        path = scratch_path(spark, "waves")
+        numbered = todo.withColumn("wave", F.pmod(F.xxhash64("prompt_hash"), F.lit(max(1, waves))).cast("int"))
+        numbered.repartition(max(1, min(waves, 1_000)), "wave").write.partitionBy("wave").parquet(path)
         for i in range(waves):
-            part = todo.where(F.pmod(F.xxhash64("prompt_hash"), F.lit(waves)) == i)
-            part.repartition(max(1, min(wave, 10_000) // batch)).mapInPandas(_asked(responder, batch), ANSWERED).write.mode("append").parquet(answers)
+            if not missing(spark, f"{path}/wave={i}"):
+                part = spark.read.schema(todo.schema).parquet(f"{path}/wave={i}")
+                part.repartition(max(1, min(min(wave, 10_000) // batch, tasks))).mapInPandas(_asked(responder, batch), ANSWERED).write.mode("append").parquet(answers)
     return recorded()
 
 

@@ -101,6 +101,21 @@ def test_responder_is_asked_once(spark, tmp_path):
         prompts.with_model_responses(rows, responder)
 
 
+def test_a_wave_reads_its_own_prompts(spark, tmp_path, monkeypatch):
+    """What is read for a wave doesn't grow with the number of waves."""
+    read, mapped = [], type(spark.range(1)).mapInPandas
+
+    def counted(self, *a, **k):
+        read.append(sum(os.path.getsize(f.removeprefix("file://")) for f in self.inputFiles()))
+        return mapped(self, *a, **k)
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInPandas", counted)
+    rows = spark.range(400).select(F.col("id").alias("i"), F.sha2(F.col("id").cast("string"), 512).alias("prompt"))
+    got = {r.i: r.response for r in prompts.with_model_responses(rows, lambda batch: [p[:3] for p in batch], str(tmp_path / "answers"), batch=50, wave=100).collect()}
+    assert got == {r.i: r.prompt[:3] for r in rows.collect()}
+    assert len(read) == 4 and sum(read) < 2 * 400 * (64 + 128)
+
+
 def test_bundle_lines_with_too_few_cells(spark):
     text = "| S-001 | IF a | THEN b |\n| S-002 |\n| S-003 | only |\nx"
     got = reports.parse_bundles(spark.createDataFrame([(1, text), (2, None)], "doc_id int, text string"), "doc_id").collect()
