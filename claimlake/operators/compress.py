@@ -15,9 +15,9 @@ def compress(claims: DataFrame, negatives: DataFrame, threshold: float = 0.85) -
 
     theory has a text for each drawer and one, without a drawer, of pairs and negatives; counts a row for each drawer and one
     for all. Claims of a drawer with the same text are met as one: copies always share a cluster, and count once in pairs.
-    Without claims both are empty.
+    Without claims both are empty. Claims are written before they are read several times: what they come from may be dear.
     """
-    rows = claims.select("id", by_drawer(F.col("drawer")).alias("drawer"), F.concat_ws(" ", "condition", "action").alias("text"))
+    rows = materialise(claims.select("id", by_drawer(F.col("drawer")).alias("drawer"), F.concat_ws(" ", "condition", "action").alias("text")), "claims")
     own = materialise(classes(rows, by="drawer"), "classes")
     firsts = rows.join(own.where("id = rep").select("id"), "id", "left_semi")
     drawer_of = firsts.select("id", "drawer")
@@ -28,7 +28,7 @@ def compress(claims: DataFrame, negatives: DataFrame, threshold: float = 0.85) -
     roots = greedy_cluster(firsts, pairs.where("a_drawer = b_drawer"))
     clusters = materialise(rows.join(own, "id").join(roots.select(F.col("id").alias("rep"), "root"), "rep").select("id", "drawer", "text", "root"), "clusters")
     titled = clusters.join(cluster_topics(clusters, "root", "id", "text"), "root")
-    notes = render_notes(pairs, negatives).join(F.broadcast(claims.limit(1).select(F.lit(1).alias("one"))), F.lit(True)).select(F.lit(None).cast("int").alias("drawer"), "text")
+    notes = render_notes(pairs, negatives).join(F.broadcast(rows.limit(1).select(F.lit(1).alias("one"))), F.lit(True)).select(F.lit(None).cast("int").alias("drawer"), "text")
     theory = render_theory(titled, negatives).unionByName(notes)
 
     counts = clusters.rollup("drawer").agg(F.count(F.lit(1)).alias("claims"), F.count_if(F.col("id") == F.col("root")).alias("clusters"))

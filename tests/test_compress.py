@@ -107,6 +107,19 @@ def test_compression_counts(spark):
     assert none[0].count() == 0 and none[1].count() == 0
 
 
+def test_compression_makes_its_claims_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def text(t):
+        made.add(1)
+        return t
+
+    claims = spark.createDataFrame([(i, t, "", g) for i, g, t in texts()], "id long, condition string, action string, drawer int")
+    claims = claims.withColumn("condition", F.udf(text, "string").asNondeterministic()("condition"))
+    theory, counts = compress.compress(claims, spark.createDataFrame([(1, 1, "vague", 1)], "id long, ord long, reason string, drawer int"))
+    assert counts.count() == 4 and theory.count() == 4 and made.value == len(texts())
+
+
 def windowed(segments, sizes, least):
     found, place = [], {}
     for size in sizes:
