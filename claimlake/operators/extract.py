@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
 from ..functions.text import fmt_ts, norm_key
+from ..sources.shared import materialise
 from .joins import exclude_negatives
 from .rules import confidence
 
@@ -42,13 +43,15 @@ def extract_segments(segments: DataFrame, patterns: tuple[str, ...] = L.IF_THEN_
 
 
 def extract_windowed(segments: DataFrame, sizes: tuple[int, ...] = (3, 5, 7), least: int = 15, patterns: tuple[str, ...] = L.IF_THEN_PATTERNS, gates: tuple[str, ...] = L.IF_THEN_GATES, negatives: DataFrame | None = None) -> DataFrame:
-    """Matches in windows of consecutive segments; of equal conditions the longest action stays, in the first one's place."""
-    by = Window.partitionBy("doc_id").orderBy("seg_no")
-    windows = None
-    for i, size in enumerate(sizes):
-        over = by.rowsBetween(0, size - 1)
-        w = segments.select("doc_id", "seg_no", "start", F.array_join(F.collect_list("text").over(over), " ").alias("text"), F.count(F.lit(1)).over(over).alias("n")).where(F.col("n") == size).withColumn("size_no", F.lit(i))
-        windows = w if windows is None else windows.unionByName(w)
+    """Matches in windows of consecutive segments; of equal conditions the longest action stays, in the first one's place.
+
+    Segments are read and sorted once for all sizes: each gets the texts of its longest window, of which the others are the first.
+    """
+    over = Window.partitionBy("doc_id").orderBy("seg_no").rowsBetween(0, max(sizes) - 1)
+    following = segments.select("doc_id", "seg_no", "start", F.collect_list(F.struct("text")).over(over).alias("following"))
+    texts = F.col("following.text")
+    each = F.array(*(F.struct(F.lit(i).alias("size_no"), F.when(F.size(texts) >= size, F.array_join(F.slice(texts, 1, size), " ")).alias("text")) for i, size in enumerate(sizes)))
+    windows = following.select("doc_id", "seg_no", "start", F.explode(each).alias("w")).select("doc_id", "seg_no", "start", "w.size_no", "w.text")
     found = windows.select("doc_id", "seg_no", "size_no", "start", F.substring("text", 1, 200).alias("quote"), _matches("text", patterns, gates).alias("m")).select("doc_id", "seg_no", "size_no", "start", "quote", "m.*")
     found = found.where((F.length("condition") >= least) & (F.length("action") >= least))
     place = F.struct("size_no", "seg_no", "pattern_no", "match_no")
@@ -63,8 +66,11 @@ def extract_windowed(segments: DataFrame, sizes: tuple[int, ...] = (3, 5, 7), le
 
 
 def extract(segments: DataFrame, negatives: DataFrame | None = None, windowing: dict | None = None, **windowed) -> DataFrame:
-    """Documents of many short segments by windows, all others segment by segment; the keywords go to the two choices."""
-    short = needs_windowing(segments, **(windowing or {})).where("windowed").select("doc_id")
+    """Documents of many short segments by windows, all others segment by segment; the keywords go to the two choices.
+
+    The ids of the former are written first, so that their size is known when segments meet them: a table of few ids is broadcast, and no text is shuffled for it.
+    """
+    short = materialise(needs_windowing(segments, **(windowing or {})).where("windowed").select("doc_id"), "short")
     whole = extract_segments(segments.join(short, "doc_id", "left_anti"), negatives=negatives)
     return whole.unionByName(extract_windowed(segments.join(short, "doc_id", "left_semi"), negatives=negatives, **windowed))
 
