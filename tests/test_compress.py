@@ -4,7 +4,10 @@ import math
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from claimlake.functions import lexicons as L
@@ -79,6 +82,21 @@ def test_pairs_leave_their_blocks_alone(spark, monkeypatch):
     assert {k for k, v in want.items() if v == most[k[1]]} <= some <= set(want)
 
 
+def test_short_sketches_spare_whole_ones(monkeypatch):
+    """Vectors that have little in common are told apart by few columns; whole sketches aren't made for them."""
+    monkeypatch.setattr(similarity, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(similarity._Block, "sketch", property(lambda self: 1 / 0))
+    rng = random.Random(5)
+    rows = [sorted(rng.sample(range(5_000), 7)) for _ in range(40)]
+    rows[31] = rows[4][:6] + [9_999]
+    vectors = pa.record_batch({"id": pa.array(range(40)), "grp": pa.array([0] * 40), "h": pa.array(rows, pa.list_(pa.int64())), "tf": pa.array([[1] * 7] * 40, pa.list_(pa.int64()))})
+    made = list(similarity._packed(20, 1 << 20)(iter([vectors])))
+    sides = [pa.RecordBatch.from_arrays(a.columns + b.columns, [f"{n}_{c}" for n in "ab" for c in a.schema.names]) for i, a in enumerate(made) for b in made[i:]]
+    columns = (np.arange(similarity.OWN_COLUMNS), similarity.SHORT_OWN + np.arange(similarity.OWN_COLUMNS + similarity.BUCKETS) % similarity.SHORT_BUCKETS)
+    found = [r for x in similarity._meetings(0.85, SimpleNamespace(value=columns), False)(iter(sides)) for r in x.to_pylist()]
+    assert len(sides) == 3 and [(r["a"], r["b"]) for r in found] == [(4, 31)]
+
+
 def test_clusters_of_long_chains(spark):
     docs = spark.range(60)
     chain = [(i - 1, i, 0.9) for i in range(1, 40)] + [(39, 45, 0.8), (40, 45, 0.8), (41, 45, 0.7), (45, 46, 0.9)]
