@@ -97,6 +97,46 @@ def test_short_sketches_spare_whole_ones(monkeypatch):
     assert len(sides) == 3 and [(r["a"], r["b"]) for r in found] == [(4, 31)]
 
 
+def test_long_texts_are_multiplied_once_they_are_sorted(spark, monkeypatch):
+    """Long texts of two vocabularies, dealt out at random, lie in few blocks; only tiles of these are multiplied, and blocks of two vocabularies don't meet."""
+    monkeypatch.setattr(similarity, "BLOCK", 32)
+    monkeypatch.setattr(similarity, "TILE", 16)
+    monkeypatch.setattr(similarity, "PRODUCTS", 1_000)
+    monkeypatch.setattr(similarity, "COLUMNS", 8)
+    monkeypatch.setattr(similarity, "SKETCHED", 0)
+    rng = random.Random(11)
+    rows = []
+    for i in range(160):
+        language, long = "xyz"[i % 2], i % 4 < 2
+        common = [f"{language}{min(int(rng.expovariate(0.4)), 30)}" for _ in range(900 if long else 8)]
+        rows.append((i, " ".join(common + [f"r{rng.randrange(4_000)}" for _ in range(60 if long else 12)])))
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(5)
+    vectors = {i: vector(t) for i, t in rows}
+    want = {(i, j): c for i in vectors for j in vectors if i < j and (c := cosine(vectors[i], vectors[j])) >= 0.95}
+    assert len(want) > 1_000 and all(i % 2 == j % 2 for i, j in want)
+    for product in (0, math.inf):  # all rows of two tiles, and one candidate after the other
+        monkeypatch.setattr(similarity, "PRODUCT", product)
+        found = similarity.similar_pairs(docs, 0.95)
+        got = {(r.a, r.b): r.similarity for r in found.collect()}
+        assert set(got) == set(want) and all(abs(got[k] - v) < 1e-9 for k, v in want.items())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "a_peak" in plan and "b_rest" in plan
+
+
+def test_tiles_of_blocks_meet_once(monkeypatch):
+    monkeypatch.setattr(similarity, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(similarity, "TILE", 7)
+    rng = random.Random(6)
+    rows = [sorted(rng.sample(range(12), 6)) for _ in range(60)]
+    vectors = pa.record_batch({"id": pa.array(range(60)), "grp": pa.array([i // 40 for i in range(60)]), "h": pa.array(rows, pa.list_(pa.int64())), "tf": pa.array([[1] * 6] * 60, pa.list_(pa.int64()))})
+    columns = SimpleNamespace(value=(np.arange(similarity.OWN_COLUMNS), *(similarity._fold(np.ones(similarity.OWN_COLUMNS), *w) for w in ((similarity.SHORT_OWN, similarity.SHORT_BUCKETS), *similarity.LONGER))))
+    made = list(similarity._packed(25, 1 << 20)(similarity._sketched(columns)(iter([vectors]))))
+    sides = [pa.RecordBatch.from_arrays(a.columns + b.columns, [f"{n}_{c}" for n in "ab" for c in a.schema.names]) for i, a in enumerate(made) for b in made[i:]]
+    got = [(r["a"], r["b"]) for x in similarity._meetings(0.8, columns, False)(iter(sides)) for r in x.to_pylist()]
+    want = [(i, j) for i in range(60) for j in range(i + 1, 60) if i // 40 == j // 40 and len({*rows[i]} & {*rows[j]}) >= 5]
+    assert sorted(got) == want and len(want) > 20
+
+
 def test_clusters_of_long_chains(spark):
     docs = spark.range(60)
     chain = [(i - 1, i, 0.9) for i in range(1, 40)] + [(39, 45, 0.8), (40, 45, 0.8), (41, 45, 0.7), (45, 46, 0.9)]
